@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # A broadcast side must hold at most this many rows (~10 MB of short keys).
 DEFAULT_BROADCAST_ROWS = 200_000
+# A broadcast side of wide rows (token arrays) must stay under this many bytes.
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest number of members of one group paired inside a single join cell.
 DEFAULT_CELL_ROWS = 2_048
 

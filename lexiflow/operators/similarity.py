@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, prefix_length,
                                      similarity_value, size_compatible)
-from lexiflow.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_CELL_ROWS,
+from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
+                                      DEFAULT_CELL_ROWS,
                                       broadcast_if_small, pairs_within_groups)
 from lexiflow.session import materialize
 
@@ -53,8 +54,16 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFr
     return sets.select("set_id", "tokens", "size", "copies"), members
 
 
-def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int) -> DataFrame:
-    """Attach ``_k`` = posting-list length for hot keys (0 otherwise)."""
+def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int,
+                posting_bound: int | None = None) -> DataFrame:
+    """Attach ``_k`` = posting-list length for hot keys (0 otherwise).
+
+    With a proven ``posting_bound <= cell_rows`` (e.g. stop words removed at
+    threshold T bound every token's postings by T) no key can be hot and the
+    counting job is skipped.
+    """
+    if posting_bound is not None and posting_bound <= cell_rows:
+        return postings.withColumn("_k", F.lit(0).cast("bigint"))
     counts = postings.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
     hot = materialize(counts.where(F.col("_k") > cell_rows))
     hot = broadcast_if_small(hot, max_broadcast_rows)
@@ -63,27 +72,68 @@ def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_row
 
 
 def prefix_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> DataFrame:
-    """(token, <id_col>, size): the first prefix-length tokens of every set."""
+    """(<id_col>, size, pos, token): the first prefix-length tokens of every set.
+
+    ``pos`` is the 1-based position of the token in the set's global order.
+    """
     p, q = th.jaccard_bound()
     plen = prefix_length(F.col("size"), p, q)
     return sets.select(id_col, "size",
-                       F.explode(F.slice("tokens", F.lit(1), plen)).alias("token"))
+                       F.posexplode(F.slice("tokens", F.lit(1), plen)).alias("pos", "token")) \
+        .withColumn("pos", F.col("pos") + 1)
+
+
+def required_overlap_ok(bound: F.Column, size_a: F.Column, size_b: F.Column,
+                        p: int, q: int) -> F.Column:
+    """Can an overlap of at most ``bound`` reach Jaccard p/q?  o*(p+q) >= p*(|A|+|B|)."""
+    return bound.cast("bigint") * (p + q) >= (size_a + size_b).cast("bigint") * p
 
 
 def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """(l_set_id, r_set_id, l_size, r_size): distinct size-compatible prefix candidates."""
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    posting_bound: int | None = None) -> DataFrame:
+    """(l_set_id, r_set_id, l_size, r_size): distinct prefix candidates that survive
+    the size filter and the positional filter (J4).
+
+    Positional filter: tokens are in one global order, so every token the two
+    sets share before their last shared prefix token is itself a shared prefix
+    token. With ``m`` shared prefix tokens, the last at positions (i, j), the
+    overlap is at most ``m + min(|A| - i, |B| - j)``; pairs whose bound cannot
+    reach the threshold are dropped. The per-pair aggregate that computes the
+    bound also removes duplicate candidates (one shuffle either way).
+    """
     p, q = th.jaccard_bound()
-    postings = _salt_sizes(prefix_postings(sets, th), "token", cell_rows, max_broadcast_rows)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", "_k", carry=["size"],
+    postings = _salt_sizes(prefix_postings(sets, th), "token", cell_rows, max_broadcast_rows,
+                           posting_bound)
+    pairs = pairs_within_groups(postings, ["token"], "set_id", "_k", carry=["size", "pos"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
-    return pairs.select("l_set_id", "r_set_id", "l_size", "r_size").distinct()
+    per_pair = (pairs.groupBy("l_set_id", "r_set_id", "l_size", "r_size")
+                .agg(F.count(F.lit(1)).alias("_m"), F.max("l_pos").alias("_i"),
+                     F.max("r_pos").alias("_j")))
+    bound = F.col("_m") + F.least(F.col("l_size") - F.col("_i"), F.col("r_size") - F.col("_j"))
+    return (per_pair.where(required_overlap_ok(bound, F.col("l_size"), F.col("r_size"), p, q))
+            .select("l_set_id", "r_set_id", "l_size", "r_size"))
+
 
+def token_bytes(docs: DataFrame) -> int:
+    """Upper estimate of the in-memory bytes of ``(id, tokens)`` rows (one small job)."""
+    row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"),
+                   F.sum(F.length(F.array_join("tokens", "")).cast("bigint")).alias("c")).first()
+    n, t, c = (row["n"] or 0), (row["t"] or 0), (row["c"] or 0)
+    return 48 * n + 24 * t + c
 
-def verify(candidates: DataFrame, sets: DataFrame, th: Threshold) -> DataFrame:
-    """(set_a, set_b, similarity) for candidates passing the exact test."""
+
+def verify(candidates: DataFrame, sets: DataFrame, th: Threshold,
+           broadcast_sets: bool = False) -> DataFrame:
+    """(set_a, set_b, similarity) for candidates passing the exact test.
+
+    ``broadcast_sets`` (decided by the caller from a byte-size check) ships
+    the token arrays to every task; otherwise candidates are shuffled to them.
+    """
     toks = sets.select("set_id", "tokens")
+    if broadcast_sets:
+        toks = F.broadcast(toks)
     joined = (candidates
               .join(toks.withColumnRenamed("set_id", "l_set_id")
                     .withColumnRenamed("tokens", "l_tokens"), "l_set_id")
@@ -99,7 +149,8 @@ def verify(candidates: DataFrame, sets: DataFrame, th: Threshold) -> DataFrame:
 
 
 def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  posting_bound: int | None = None) -> DataFrame:
     """(set_a, set_b, similarity) by counting shared tokens over the full index.
 
     No prefix filter: every size-compatible pair sharing any token is scored
@@ -108,7 +159,7 @@ def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_
     """
     p, q = th.jaccard_bound()
     postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    postings = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows)
+    postings = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
     pairs = pairs_within_groups(postings, ["token"], "set_id", "_k", carry=["size"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
@@ -141,35 +192,50 @@ def expand_pairs(set_pairs: DataFrame, sets: DataFrame, members: DataFrame, th:
 
 def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
                     id_col: str = "doc_id", strict: bool | None = None, method: str = "prefix",
-                    cell_rows: int = DEFAULT_CELL_ROWS,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    posting_bound: int | None = None, cell_rows: int = DEFAULT_CELL_ROWS,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                    checkpoint: bool = True) -> DataFrame:
     """All pairs (doc_a < doc_b) with similarity >= t (or > t when strict).
 
     method="prefix": prefix-filtered candidates verified by id join (the
     reference's inverted-index job); method="overlap": full-index overlap
     counting, i.e. every pair that could score above zero (the all-pairs job).
-    Both return the same rows.
+    Both return the same rows. ``posting_bound``: a proven upper bound on how
+    many documents share one token (the stop threshold after stop-word
+    removal); it lets the join skip hot-token detection. ``checkpoint`` writes
+    the input documents once to the shared checkpoint folder, the stage
+    boundary the reference also writes, so every later stage re-reads them
+    instead of recomputing the preprocessing.
     """
     th = as_threshold(threshold, measure, strict)
+    docs = docs.select(id_col, "tokens", "size")
+    if checkpoint:
+        docs = materialize(docs)
     sets, members = collapse_duplicates(docs, id_col)
-    sets = materialize(sets)
     if method == "prefix":
-        set_pairs = verify(candidate_pairs(sets, th, cell_rows, max_broadcast_rows), sets, th)
+        cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
+        small = checkpoint and token_bytes(docs) <= max_broadcast_bytes
+        set_pairs = verify(cands, sets, th, broadcast_sets=small)
     elif method == "overlap":
-        set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows)
+        set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
     else:
         raise ValueError(f"unknown method {method!r}")
     return expand_pairs(set_pairs, sets, members, th, id_col, cell_rows)
 
 
 def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
-                     id_col: str = "doc_id", cell_rows: int = DEFAULT_CELL_ROWS,
-                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     id_col: str = "doc_id", posting_bound: int | None = None,
+                     cell_rows: int = DEFAULT_CELL_ROWS,
+                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                     checkpoint: bool = True) -> DataFrame:
     """One row: documents, all pairs n(n-1)/2, distinct sets, prefix candidates, ratio."""
     th = as_threshold(threshold, measure)
+    docs = docs.select(id_col, "tokens", "size")
+    if checkpoint:
+        docs = materialize(docs)
     sets, _ = collapse_duplicates(docs, id_col)
-    sets = materialize(sets)
-    cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows)
+    cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
     # three scalars gathered as tagged rows and folded by one aggregate
     tagged = (docs.select(F.lit("n_documents").alias("_m"))
               .unionByName(sets.select(F.lit("distinct_sets").alias("_m")))

@@ -127,21 +127,22 @@ def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def similar_pairs_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_join(processed_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD,
-                                      method="overlap")
+                                      method="overlap", posting_bound=QUERY_STOP_THRESHOLD)
 
 
 def similar_pairs_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_join(processed_lines(spark, sf_dir), PREFIX_THRESHOLD,
-                                      method="prefix")
+                                      method="prefix", posting_bound=QUERY_STOP_THRESHOLD)
 
 
 def similar_pairs_overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_join(processed_lines(spark, sf_dir), OVERLAP_RATIO_THRESHOLD,
-                                      method="prefix")
+                                      method="prefix", posting_bound=QUERY_STOP_THRESHOLD)
 
 
 def comparison_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.comparison_stats(processed_lines(spark, sf_dir), PREFIX_THRESHOLD)
+    return similarity.comparison_stats(processed_lines(spark, sf_dir), PREFIX_THRESHOLD,
+                                       posting_bound=QUERY_STOP_THRESHOLD)
 
 
 # --- sampling -------------------------------------------------------------------

@@ -9,10 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiflow.sources.lines import lines_from_documents
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def balance_partitions(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A small table stored as one parquet row group is read by a single task,
+    which then tokenizes everything alone. Below ``defaultParallelism`` splits
+    the input is at most (cores x maxPartitionBytes), so a round-robin
+    repartition is cheap; large inputs already have enough splits and are
+    left untouched (no extra shuffle at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
+               balance: bool = True) -> DataFrame:
     """``<sf_dir>/<name>.parquet``; listing ``columns`` keeps the ReadSchema narrow."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return balance_partitions(df) if balance else df
 
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
