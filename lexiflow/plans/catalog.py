@@ -176,3 +176,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "comparison_stats": comparison_stats,
     "sample_lines": sample_lines,
 }
+
+
+def _register_round_trips() -> None:
+    from lexiflow.plans.round_trips import ROUND_TRIP_QUERIES
+    QUERIES.update(ROUND_TRIP_QUERIES)
+
+
+_register_round_trips()

@@ -174,3 +174,32 @@ FROM c""",
 WITH {LINES.strip()}
 SELECT line_id AS doc_id, value AS line FROM lines ORDER BY line_id LIMIT 1000""",
 }
+
+_SAME = {
+    "text_round_trip_tab": "first_letter_count",
+    "text_round_trip_comma": "word_count_clean",
+    "text_round_trip_processed": "preprocess_documents",
+    "document_count_round_trip": "document_count",
+    "file_name_index": "single_document_words",
+}
+for _name, _base in _SAME.items():
+    ORACLE_SQL[_name] = ORACLE_SQL[_base]
+
+ORACLE_SQL["stop_list_round_trip"] = f"""
+WITH {CLEAN_TOKENS.strip()}
+SELECT word FROM clean_tokens GROUP BY word HAVING count(*) > {T}"""
+
+ORACLE_SQL["text_round_trip_arrow"] = f"""
+WITH {TAGGED.strip()}
+SELECT word, string_agg(doc, ', ' ORDER BY doc) AS docs FROM tf GROUP BY word"""
+
+ORACLE_SQL["corpus_from_files"] = """
+SELECT source AS doc, sum(len(string_split(text, chr(10)))) AS n_lines,
+       sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS n_words
+FROM documents GROUP BY source"""
+
+ORACLE_SQL["numbered_lines"] = f"""
+WITH {LINES.strip()}
+SELECT row_number() OVER (ORDER BY doc_id, line_no) AS line_id, value AS line
+FROM lines WHERE value <> ''"""
+
