@@ -203,3 +203,6 @@ WITH {LINES.strip()}
 SELECT row_number() OVER (ORDER BY doc_id, line_no) AS line_id, value AS line
 FROM lines WHERE value <> ''"""
 
+
+ORACLE_SQL["streaming_word_count"] = ORACLE_SQL["word_count_clean"]
+ORACLE_SQL["streaming_stop_words"] = ORACLE_SQL["stop_words_lower"]

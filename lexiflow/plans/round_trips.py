@@ -128,3 +128,38 @@ ROUND_TRIP_QUERIES = {
     "file_name_index": file_name_index,
     "numbered_lines": numbered_lines,
 }
+
+
+# --- streaming --------------------------------------------------------------------
+
+STREAM_FILES = 16
+STREAM_FILES_PER_TRIGGER = 4
+
+
+def _write_stream_input(spark: SparkSession, sf_dir: str) -> str:
+    """The documents' text as STREAM_FILES text files, arriving as a file stream."""
+    path = scratch_path(spark, "stream-in")
+    (document_texts(spark, sf_dir).select(F.col("text").alias("value"))
+     .repartition(STREAM_FILES).write.text(path))
+    return path
+
+
+def streaming_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Case-kept word counts kept up to date by a streaming query, 4 files per batch."""
+    from lexiflow.streaming.incremental import incremental_word_count
+    return incremental_word_count(spark, _write_stream_input(spark, sf_dir),
+                                  max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+
+
+def streaming_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased stop words (count > threshold) from the same streaming plan."""
+    from lexiflow.streaming.incremental import incremental_word_count
+    return incremental_word_count(spark, _write_stream_input(spark, sf_dir), lower=True,
+                                  min_count=catalog.QUERY_STOP_THRESHOLD,
+                                  max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+
+
+ROUND_TRIP_QUERIES.update({
+    "streaming_word_count": streaming_word_count,
+    "streaming_stop_words": streaming_stop_words,
+})
