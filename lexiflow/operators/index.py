@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from lexiflow.session import materialize
 
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
@@ -30,7 +31,8 @@ def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
     if case_insensitive:
         stop_keys = stop_keys.select(F.lower("_stop").alias("_stop")).distinct()
         key = F.lower(key)
-    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows)
+    # written once: the size check and the join then read the same small table
+    stop_keys = broadcast_if_small(materialize(stop_keys, "stop-list"), max_broadcast_rows)
     return words.join(stop_keys, key == F.col("_stop"), "left_anti")
 
 

@@ -23,8 +23,23 @@ def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(side) if n <= max_rows else side
 
 
+def _plain_pairs(members: DataFrame, group_cols: list[str], id_col: str,
+                 carry: list[str]) -> DataFrame:
+    """Self equi-join on the group with ``l.id < r.id`` (groups known to be small)."""
+    left = members.select(*group_cols, F.col(id_col).alias(f"l_{id_col}"),
+                          *[F.col(c).alias(f"l_{c}") for c in carry])
+    right = members.select(*[F.col(g).alias(f"_r_{g}") for g in group_cols],
+                           F.col(id_col).alias(f"r_{id_col}"),
+                           *[F.col(c).alias(f"r_{c}") for c in carry])
+    cond = [F.col(g) == F.col(f"_r_{g}") for g in group_cols]
+    cond.append(F.col(f"l_{id_col}") < F.col(f"r_{id_col}"))
+    joined = left.join(right, cond)
+    return joined.select(*group_cols, f"l_{id_col}", f"r_{id_col}",
+                         *[x for c in carry for x in (f"l_{c}", f"r_{c}")])
+
+
 def pairs_within_groups(members: DataFrame, group_cols: list[str], id_col: str,
-                        group_size_col: str, carry: list[str] | None = None,
+                        group_size_col: str | None, carry: list[str] | None = None,
                         cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """All unordered pairs (left.id < right.id) of members sharing a group.
 
@@ -34,10 +49,15 @@ def pairs_within_groups(members: DataFrame, group_cols: list[str], id_col: str,
     is. Each member is replicated to ``B`` cells (``B = 1`` for ordinary
     groups, i.e. a plain equi-join). ``group_size_col`` must hold ``k``.
 
+    ``group_size_col=None`` declares every group small (a proven bound of at
+    most ``cell_rows`` members): a plain self-join, no bucket columns.
+
     Returns columns ``<group_cols>``, ``l_<id>``, ``r_<id>`` and ``l_``/``r_``
     copies of ``carry``.
     """
     carry = carry or []
+    if group_size_col is None:
+        return _plain_pairs(members, group_cols, id_col, carry)
     n_buckets = F.greatest(F.lit(1), F.ceil(F.col(group_size_col) / F.lit(cell_rows))).cast("int")
     base = members.select(*group_cols, id_col, *carry, n_buckets.alias("_nb"))
     base = base.withColumn("_b", F.pmod(F.xxhash64(F.col(id_col)), F.col("_nb")).cast("int"))

@@ -55,20 +55,21 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFr
 
 
 def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int,
-                posting_bound: int | None = None) -> DataFrame:
+                posting_bound: int | None = None) -> tuple[DataFrame, str | None]:
     """Attach ``_k`` = posting-list length for hot keys (0 otherwise).
 
-    With a proven ``posting_bound <= cell_rows`` (e.g. stop words removed at
-    threshold T bound every token's postings by T) no key can be hot and the
-    counting job is skipped.
+    Returns the postings and the name of the group-size column for
+    :func:`pairs_within_groups`. With a proven ``posting_bound <= cell_rows``
+    (stop words removed at threshold T bound every token's postings by T) no
+    key can be hot: the counting job is skipped and ``None`` is returned.
     """
     if posting_bound is not None and posting_bound <= cell_rows:
-        return postings.withColumn("_k", F.lit(0).cast("bigint"))
+        return postings, None
     counts = postings.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    hot = materialize(counts.where(F.col("_k") > cell_rows))
+    hot = materialize(counts.where(F.col("_k") > cell_rows), "hot-keys")
     hot = broadcast_if_small(hot, max_broadcast_rows)
     return (postings.join(hot, key, "left")
-            .withColumn("_k", F.coalesce(F.col("_k"), F.lit(0))))
+            .withColumn("_k", F.coalesce(F.col("_k"), F.lit(0)))), "_k"
 
 
 def prefix_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> DataFrame:
@@ -103,9 +104,9 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
     bound also removes duplicate candidates (one shuffle either way).
     """
     p, q = th.jaccard_bound()
-    postings = _salt_sizes(prefix_postings(sets, th), "token", cell_rows, max_broadcast_rows,
-                           posting_bound)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", "_k", carry=["size", "pos"],
+    postings, k = _salt_sizes(prefix_postings(sets, th), "token", cell_rows,
+                              max_broadcast_rows, posting_bound)
+    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size", "pos"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
     per_pair = (pairs.groupBy("l_set_id", "r_set_id", "l_size", "r_size")
@@ -159,8 +160,8 @@ def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_
     """
     p, q = th.jaccard_bound()
     postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    postings = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", "_k", carry=["size"],
+    postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
+    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
     scored = (pairs.groupBy("l_set_id", "r_set_id", "l_size", "r_size")

@@ -64,11 +64,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder.
 
-    Unlike a local checkpoint the data survives executor loss; downstream
-    stages re-read it instead of recomputing the whole upstream plan.
+    The table survives executor loss and later stages re-read it instead of
+    recomputing the upstream plan. Unlike ``DataFrame.checkpoint`` (which,
+    without a persisted input, computes the plan once for the action and once
+    more to write the checkpoint files) the plan runs exactly once, and the
+    read-back is columnar, so later projections prune columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
