@@ -49,3 +49,21 @@ def stop_words(counts: DataFrame, threshold: int = STOP_WORD_THRESHOLD) -> DataF
 def top_words(counts: DataFrame, k: int) -> DataFrame:
     """The ``k`` most frequent words, ties by word (a top-k report, O6)."""
     return counts.orderBy(F.col("n").desc(), F.col("word")).limit(k)
+
+
+def job_counters(lines: DataFrame, text_col: str = "value", **token_opts) -> DataFrame:
+    """One row of record counters of a word-count job (A16):
+    input_records (lines read), output_records (tokens emitted), output_groups (words).
+
+    The three numbers come from two aggregates folded by one more; no join.
+    """
+    toks = tokenize(text_col, **token_opts)
+    per_line = lines.select(F.lit("line").alias("_m"), F.size(toks).cast("bigint").alias("_v"))
+    groups = word_count(explode_tokens(lines, text_col, **token_opts)).select(
+        F.lit("group").alias("_m"), F.lit(1).cast("bigint").alias("_v"))
+    both = per_line.unionByName(groups)
+    return both.agg(F.count(F.when(F.col("_m") == "line", 1)).alias("input_records"),
+                    F.coalesce(F.sum(F.when(F.col("_m") == "line", F.col("_v"))), F.lit(0))
+                    .cast("bigint").alias("output_records"),
+                    F.count(F.when(F.col("_m") == "group", 1)).alias("output_groups"))
+

@@ -58,6 +58,11 @@ def stop_words_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.stop_words(word_count_clean(spark, sf_dir), QUERY_STOP_THRESHOLD)
 
 
+def word_count_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = document_lines(spark, sf_dir)
+    return counts.job_counters(lines, "value", clean=False, keep_empty=True)
+
+
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.top_words(word_count_clean(spark, sf_dir), TOP_K)
 
@@ -162,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stop_words_lower": stop_words_lower,
     "stop_words_case": stop_words_case,
     "top_words": top_words,
+    "word_count_counters": word_count_counters,
     "inverted_index": inverted_index,
     "inverted_index_tf": inverted_index_tf,
     "single_document_words": single_document_words,

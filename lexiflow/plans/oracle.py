@@ -206,3 +206,17 @@ FROM lines WHERE value <> ''"""
 
 ORACLE_SQL["streaming_word_count"] = ORACLE_SQL["word_count_clean"]
 ORACLE_SQL["streaming_stop_words"] = ORACLE_SQL["stop_words_lower"]
+
+ORACLE_SQL["word_count_counters"] = f"""
+WITH {LINES.strip()},
+toks AS (SELECT CASE WHEN regexp_matches(value, '^\\s+$') THEN []::VARCHAR[]
+                     ELSE string_split_regex(regexp_replace(value, '\\s+$', ''), '\\s+') END AS t
+         FROM lines)
+SELECT (SELECT count(*) FROM toks) AS input_records,
+       (SELECT coalesce(sum(len(t)), 0) FROM toks) AS output_records,
+       (SELECT count(DISTINCT w) FROM (SELECT unnest(t) AS w FROM toks)) AS output_groups"""
+
+ORACLE_SQL["similar_pairs_text"] = f"""
+SELECT doc_a, doc_b, CAST(CAST(similarity AS FLOAT) AS VARCHAR) AS similarity
+FROM ({_pairs(4, 5, "jaccard", False)})"""
+

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.functions.render import join_tokens
+from lexiflow.functions.render import join_tokens, pair_line
 from lexiflow.operators import counts, preprocess
 from lexiflow.operators.index import single_document_words
 from lexiflow.plans import catalog
@@ -67,6 +67,20 @@ def text_round_trip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", join_tokens(F.col("tokens")).alias("tokens"))
 
 
+def similar_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar pairs written as ``a,b, similarity : x`` lines (T14), read back and parsed."""
+    path = scratch_path(spark, "similar_pairs")
+    pairs = catalog.similar_pairs_prefix(spark, sf_dir)
+    (pairs.select(pair_line(F.col("doc_a"), F.col("doc_b"), F.col("similarity")).alias("value"),
+                  "doc_a", "doc_b")
+     .sortWithinPartitions("doc_a", "doc_b").select("value").write.text(path))
+    pattern = r"^(\d+),(\d+), similarity : (.*)$"
+    back = spark.read.text(path)
+    return back.select(F.regexp_extract("value", pattern, 1).cast("bigint").alias("doc_a"),
+                       F.regexp_extract("value", pattern, 2).cast("bigint").alias("doc_b"),
+                       F.regexp_extract("value", pattern, 3).alias("similarity"))
+
+
 def document_count_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document count written as a one-line file, overwriting (K4, K6), read back."""
     path = scratch_path(spark, "nb_lines")
@@ -124,6 +138,7 @@ ROUND_TRIP_QUERIES = {
     "text_round_trip_arrow": text_round_trip_arrow,
     "text_round_trip_processed": text_round_trip_processed,
     "document_count_round_trip": document_count_round_trip,
+    "similar_pairs_text": similar_pairs_text,
     "corpus_from_files": corpus_from_files,
     "file_name_index": file_name_index,
     "numbered_lines": numbered_lines,
