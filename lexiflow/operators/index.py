@@ -24,15 +24,21 @@ from lexiflow.session import materialize
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
                       case_insensitive: bool = False,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Drop rows whose word is in ``stop`` (column ``word``)."""
+                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                      stop_is_table: bool = False) -> DataFrame:
+    """Drop rows whose word is in ``stop`` (column ``word``).
+
+    The stop list is written once as a table (unless ``stop_is_table`` says it
+    already reads one), so its size check and the join share one computation.
+    """
     stop_keys = stop.select(F.col("word").alias("_stop"))
     key = F.col(word_col)
     if case_insensitive:
         stop_keys = stop_keys.select(F.lower("_stop").alias("_stop")).distinct()
         key = F.lower(key)
-    # written once: the size check and the join then read the same small table
-    stop_keys = broadcast_if_small(materialize(stop_keys, "stop-list"), max_broadcast_rows)
+    if not stop_is_table:
+        stop_keys = materialize(stop_keys, "stop-list")
+    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows)
     return words.join(stop_keys, key == F.col("_stop"), "left_anti")
 
 

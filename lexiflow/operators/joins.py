@@ -7,12 +7,28 @@ from pyspark.sql import functions as F
 
 # A broadcast side must hold at most this many rows (~10 MB of short keys).
 DEFAULT_BROADCAST_ROWS = 200_000
+# A broadcast key table (e.g. word -> count) must stay under this many bytes.
+DEFAULT_KEY_BROADCAST_BYTES = 32 * 1024 * 1024
 # A broadcast side of wide rows (token arrays) must stay under this many bytes.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 # Largest number of members of one group paired inside a single join cell.
 DEFAULT_CELL_ROWS = 2_048
 
 
+def table_size(side: DataFrame, string_cols: tuple[str, ...] = ()) -> tuple[int, int]:
+    """(rows, estimated in-memory bytes) of a (materialized) table, in one small job.
+
+    Bytes: 32 per row plus 16 per string value plus the string lengths.
+    """
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(string_cols):
+        aggs.append(F.sum(F.length(c).cast("bigint")).alias(f"_len{i}"))
+    row = side.agg(*aggs).first()
+    rows = row["_rows"] or 0
+    chars = sum((row[f"_len{i}"] or 0) for i in range(len(string_cols)))
+    return rows, 32 * rows + 16 * rows * len(string_cols) + chars
+
+
 def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting the side (call on a materialized side).
 

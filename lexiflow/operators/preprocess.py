@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from lexiflow.functions.text import alnum_tokens
 from lexiflow.operators.counts import STOP_WORD_THRESHOLD, word_count
 from lexiflow.operators.index import remove_stop_words
-from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS
+from lexiflow.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_KEY_BROADCAST_BYTES,
+                                      table_size)
 from lexiflow.session import materialize
 
 
@@ -30,30 +31,45 @@ def _collapse_ties(ranked):
 def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value", *,
                stop_threshold: int = STOP_WORD_THRESHOLD, stop: DataFrame | None = None,
                frequencies: DataFrame | None = None, collapse_ties: bool = False,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+               max_broadcast_bytes: int = DEFAULT_KEY_BROADCAST_BYTES) -> DataFrame:
     """(``id_col``, tokens, size) for every non-empty line that keeps a token.
 
     Frequencies default to this corpus's own counts, and the stop list to the
     words counted more than ``stop_threshold`` times. The vocabulary is
-    checkpointed once (it feeds the stop list and the frequency join), the
-    stop list is broadcast only if its size check passes, and the frequency
-    join then only sees words counted at most ``stop_threshold`` times, so no
-    join key can be hot.
+    written once as a table and its size measured. If it is small enough to
+    broadcast, one map-side join both drops stop words and attaches counts.
+    Otherwise the stop list is broadcast after its own size check (dropping
+    stop words before any shuffle) and the frequency join is a shuffle join
+    that only sees words counted at most ``stop_threshold`` times, so no join
+    key can be hot.
     """
     kept = lines.where(F.col(text_col) != "")
     words = kept.select(F.col(id_col).alias("_id"),
                         F.explode(F.array_distinct(alnum_tokens(text_col))).alias("word"))
     derived = frequencies is None
-    vocab = materialize(word_frequency(kept, text_col) if derived else frequencies)
-    if stop is None:
-        stop = vocab.where(F.col("n") > stop_threshold).select("word")
-    words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows)
-    if derived:
-        # inner join: every remaining word is in the vocabulary, n <= threshold
-        ranked = words.join(vocab.where(F.col("n") <= stop_threshold), "word")
+    vocab = materialize(word_frequency(kept, text_col) if derived else frequencies, "vocabulary")
+    _, vocab_bytes = table_size(vocab, ("word",))
+    small_vocab = vocab_bytes <= max_broadcast_bytes
+    if stop is None and derived and small_vocab:
+        # one map-side join removes stop words (n > T) and attaches n: no shuffle
+        ranked = words.join(F.broadcast(vocab.where(F.col("n") <= stop_threshold)), "word")
     else:
-        ranked = (words.join(vocab, "word", "left")
-                  .withColumn("n", F.coalesce(F.col("n"), F.lit(0))))
+        if stop is None:
+            stop = vocab.where(F.col("n") > stop_threshold).select("word")
+            words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows,
+                                      stop_is_table=True)
+        else:
+            words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows)
+        if derived:
+            # inner join: every remaining word is in the vocabulary with n <= T,
+            # so no join key is hot
+            side = vocab.where(F.col("n") <= stop_threshold)
+            ranked = words.join(F.broadcast(side) if small_vocab else side, "word")
+        else:
+            side = F.broadcast(vocab) if small_vocab else vocab
+            ranked = (words.join(side, "word", "left")
+                      .withColumn("n", F.coalesce(F.col("n"), F.lit(0))))
     docs = ranked.groupBy("_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("n").cast("bigint").alias("n"),
                                              F.col("word")))).alias("_ranked"))

@@ -13,8 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this package relies on. AQE re-plans joins from runtime
-# sizes (broadcast conversion, skew splitting, partition coalescing).
+# sizes (broadcast conversion, skew splitting, partition coalescing). Broadcasts
+# decided from *estimated* plan sizes are off: an explode or aggregate can make
+# an estimate arbitrarily wrong, so a join is broadcast only by an explicit,
+# size-checked hint in the code or by AQE from measured shuffle output.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -46,3 +46,12 @@ def test_external_frequencies_unknown_word_ranks_first(spark):
     stop = spark.createDataFrame([("z",)], "word string")
     out = preprocess.preprocess(_lines(spark, ["a b q z"]), frequencies=freq, stop=stop)
     assert list(out.first().tokens) == ["q", "b", "a"]
+
+
+def test_broadcast_and_shuffle_plans_agree(spark):
+    lines = _lines(spark, ["a b c d", "a c d", "d", "b e e", "the the a", "x the"])
+    small = preprocess.preprocess(lines, stop_threshold=2)
+    big = preprocess.preprocess(lines, stop_threshold=2, max_broadcast_bytes=0,
+                                max_broadcast_rows=0)
+    key = lambda df: sorted((r.line_id, tuple(r.tokens)) for r in df.collect())
+    assert key(small) == key(big)
