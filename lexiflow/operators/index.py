@@ -11,6 +11,10 @@ Stop words can be removed two ways:
   this same corpus", a word is a stop word exactly when its total count in the
   per-word aggregate exceeds T, so a HAVING clause replaces the join with no
   extra shuffle. It also bounds every posting list by T.
+
+With neither given, the reference's threshold (4000) applies as ``max_count``,
+so an index never holds a stop word and never collects more than 4000 postings
+into one row; pass ``max_count=None`` explicitly for an index of every word.
 """
 
 from __future__ import annotations
@@ -18,9 +22,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.operators.counts import STOP_WORD_THRESHOLD
 from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from lexiflow.session import materialize
 
+# marker: "no max_count given" (None means: no threshold at all)
+_DEFAULT = object()
+
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
                       case_insensitive: bool = False,
@@ -55,40 +63,46 @@ def _per_word(tf: DataFrame, max_count: int | None, *aggs) -> DataFrame:
     return grouped.drop("_total")
 
 
-def _prepare(tagged: DataFrame, stop: DataFrame | None) -> DataFrame:
-    return tagged if stop is None else remove_stop_words(tagged, stop)
+def _prepare(tagged: DataFrame, stop: DataFrame | None, max_count) -> tuple[DataFrame, int | None]:
+    if max_count is _DEFAULT:
+        max_count = STOP_WORD_THRESHOLD if stop is None else None
+    return (tagged if stop is None else remove_stop_words(tagged, stop)), max_count
 
 
 def inverted_index(tagged: DataFrame, stop: DataFrame | None = None,
-                   max_count: int | None = None) -> DataFrame:
+                   max_count=_DEFAULT) -> DataFrame:
     """(word, n_docs, docs): sorted distinct documents containing each word."""
-    tf = term_frequencies(_prepare(tagged, stop))
+    tagged, max_count = _prepare(tagged, stop, max_count)
+    tf = term_frequencies(tagged)
     return _per_word(tf, max_count,
                      F.count(F.lit(1)).alias("n_docs"),
                      F.array_sort(F.collect_list("doc")).alias("docs"))
 
 
 def inverted_index_tf(tagged: DataFrame, stop: DataFrame | None = None,
-                      max_count: int | None = None) -> DataFrame:
+                      max_count=_DEFAULT) -> DataFrame:
     """(word, postings): ``array<struct<doc, tf>>`` sorted by doc."""
-    tf = term_frequencies(_prepare(tagged, stop))
+    tagged, max_count = _prepare(tagged, stop, max_count)
+    tf = term_frequencies(tagged)
     return _per_word(tf, max_count,
                      F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("postings"))
 
 
 def single_document_words(tagged: DataFrame, stop: DataFrame | None = None,
-                          max_count: int | None = None) -> DataFrame:
+                          max_count=_DEFAULT) -> DataFrame:
     """(word, doc) for words found in exactly one document."""
-    tf = term_frequencies(_prepare(tagged, stop))
+    tagged, max_count = _prepare(tagged, stop, max_count)
+    tf = term_frequencies(tagged)
     per_word = _per_word(tf, max_count, F.count(F.lit(1)).alias("_n_docs"),
                          F.min("doc").alias("doc"))
     return per_word.where(F.col("_n_docs") == 1).select("word", "doc")
 
 
 def vocabulary_stats(tagged: DataFrame, stop: DataFrame | None = None,
-                     max_count: int | None = None) -> DataFrame:
+                     max_count=_DEFAULT) -> DataFrame:
     """One row: unique (non-stop) words and words in a single document."""
-    tf = term_frequencies(_prepare(tagged, stop))
+    tagged, max_count = _prepare(tagged, stop, max_count)
+    tf = term_frequencies(tagged)
     per_word = _per_word(tf, max_count, F.count(F.lit(1)).alias("_n_docs"))
     return per_word.agg(F.count(F.lit(1)).alias("unique_words"),
                         F.count(F.when(F.col("_n_docs") == 1, 1)).alias("single_document_words"))

@@ -38,20 +38,29 @@ def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None)
         Threshold.of(threshold, measure=measure, strict=strict)
 
 
-def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
+                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
     """(sets, members): distinct token arrays and the documents holding them.
 
     sets:    set_id (smallest member id), tokens, size, copies
-    members: set_id, <id_col>, copies
-    The aggregate is partial map-side, so a hot set collapses before the
-    shuffle; the member join's hot key is split by AQE's skew handling.
+    members: <id_col>, set_id, copies, size
+    Each document is tagged with its set once (an aggregate on the token
+    array, partial map-side so a hot copy cluster collapses before the
+    shuffle, joined back on the array; AQE splits a hot key). The tagged table
+    is written once (``checkpoint``); ``sets`` is then a narrow filter on it
+    (the member whose id is the set id) and ``members`` a projection, so no
+    later stage recomputes the preprocessing or the grouping.
     """
-    sets = (docs.groupBy("tokens")
-            .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies"),
-                 F.first("size").alias("size")))
-    members = docs.select(id_col, "tokens").join(
-        sets.select("tokens", "set_id", "copies"), "tokens").drop("tokens")
-    return sets.select("set_id", "tokens", "size", "copies"), members
+    docs = docs.select(id_col, "tokens", "size")
+    set_of = (docs.groupBy("tokens")
+              .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
+    tagged = docs.join(set_of, "tokens")
+    if checkpoint:
+        tagged = materialize(tagged, "set-members")
+    sets = (tagged.where(F.col(id_col) == F.col("set_id"))
+            .select("set_id", "tokens", "size", "copies"))
+    members = tagged.select(id_col, "set_id", "copies", "size")
+    return sets, members
 
 
 def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int,
@@ -172,7 +181,7 @@ def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_
                                      th.measure).alias("similarity")))
 
 
-def expand_pairs(set_pairs: DataFrame, sets: DataFrame, members: DataFrame, th: Threshold,
+def expand_pairs(set_pairs: DataFrame, members: DataFrame, th: Threshold,
                  id_col: str = "doc_id", cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """Member pairs of similar sets plus pairs of copies inside one set."""
     a = members.select(F.col("set_id").alias("set_a"), F.col(id_col).alias("_a"))
@@ -181,10 +190,9 @@ def expand_pairs(set_pairs: DataFrame, sets: DataFrame, members: DataFrame, th:
               .select(F.least("_a", "_b").alias("doc_a"), F.greatest("_a", "_b").alias("doc_b"),
                       "similarity"))
     multi = members.where(F.col("copies") > 1)
-    within = pairs_within_groups(multi, ["set_id"], id_col, "copies", cell_rows=cell_rows)
-    size = sets.where(F.col("copies") > 1).select("set_id", "size")
-    within = within.join(size, "set_id")
-    s = F.col("size")
+    within = pairs_within_groups(multi, ["set_id"], id_col, "copies", carry=["size"],
+                                 cell_rows=cell_rows)
+    s = F.col("l_size")
     within = (within.where(accept(s, s, s, th))
               .select(F.col(f"l_{id_col}").alias("doc_a"), F.col(f"r_{id_col}").alias("doc_b"),
                       similarity_value(s, s, s, th.measure).alias("similarity")))
@@ -210,19 +218,16 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     instead of recomputing the preprocessing.
     """
     th = as_threshold(threshold, measure, strict)
-    docs = docs.select(id_col, "tokens", "size")
-    if checkpoint:
-        docs = materialize(docs)
-    sets, members = collapse_duplicates(docs, id_col)
+    sets, members = collapse_duplicates(docs, id_col, checkpoint)
     if method == "prefix":
         cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
-        small = checkpoint and token_bytes(docs) <= max_broadcast_bytes
+        small = checkpoint and token_bytes(sets) <= max_broadcast_bytes
         set_pairs = verify(cands, sets, th, broadcast_sets=small)
     elif method == "overlap":
         set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
     else:
         raise ValueError(f"unknown method {method!r}")
-    return expand_pairs(set_pairs, sets, members, th, id_col, cell_rows)
+    return expand_pairs(set_pairs, members, th, id_col, cell_rows)
 
 
 def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
@@ -232,13 +237,10 @@ def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                      checkpoint: bool = True) -> DataFrame:
     """One row: documents, all pairs n(n-1)/2, distinct sets, prefix candidates, ratio."""
     th = as_threshold(threshold, measure)
-    docs = docs.select(id_col, "tokens", "size")
-    if checkpoint:
-        docs = materialize(docs)
-    sets, _ = collapse_duplicates(docs, id_col)
+    sets, members = collapse_duplicates(docs, id_col, checkpoint)
     cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
     # three scalars gathered as tagged rows and folded by one aggregate
-    tagged = (docs.select(F.lit("n_documents").alias("_m"))
+    tagged = (members.select(F.lit("n_documents").alias("_m"))
               .unionByName(sets.select(F.lit("distinct_sets").alias("_m")))
               .unionByName(cands.select(F.lit("candidate_pairs").alias("_m"))))
     counts = tagged.agg(*[F.count(F.when(F.col("_m") == m, 1)).alias(m)

@@ -37,31 +37,40 @@ def running_word_count(lines: DataFrame, text_col: str = "value", *, clean: bool
 
 def run_to_parquet(counts: DataFrame, out_path: str, checkpoint_path: str,
                    available_now: bool = True):
-    """Run a streaming aggregate; after every micro-batch the full result table
-    is rewritten at ``out_path`` (complete output mode through ``foreachBatch``).
+    """Run a streaming aggregate in update mode: each micro-batch appends only the
+    rows whose value changed, under ``out_path/epoch=<id>``.
 
-    ``available_now`` processes everything present and stops, in as many
-    micro-batches as the source options ask for.
+    Writing an epoch's folder with overwrite makes a replayed epoch (after a
+    failure) idempotent; :func:`read_latest` folds the epochs into the current
+    table. ``available_now`` processes everything present and stops, in as
+    many micro-batches as the source options ask for.
     """
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def publish(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
-    writer = (counts.writeStream.outputMode("complete").foreachBatch(publish)
+    writer = (counts.writeStream.outputMode("update").foreachBatch(publish)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
+def read_latest(spark: SparkSession, out_path: str, key: str = "word") -> DataFrame:
+    """Current value per key: the row of the newest epoch (counts only grow)."""
+    rows = spark.read.parquet(out_path)
+    values = [c for c in rows.columns if c not in (key, "epoch")]
+    return rows.groupBy(key).agg(*[F.max_by(c, "epoch").alias(c) for c in values])
+
+
 def incremental_word_count(spark: SparkSession, path: str, *, clean: bool = True,
                            lower: bool = False, keep_empty: bool = False,
                            min_count: int | None = None,
                            max_files_per_trigger: int | None = None) -> DataFrame:
     """Count the words of every file under ``path`` with a streaming query, then
-    return the published result as a batch DataFrame."""
+    return the current result as a batch DataFrame."""
     out = scratch_path(spark, "stream-out")
     ckpt = scratch_path(spark, "stream-ckpt")
     counts = running_word_count(stream_lines(spark, path, max_files_per_trigger), clean=clean,
                                 lower=lower, keep_empty=keep_empty, min_count=min_count)
     query = run_to_parquet(counts, out, ckpt)
     query.awaitTermination()
-    return spark.read.parquet(out)
+    return read_latest(spark, out)
