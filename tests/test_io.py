@@ -78,3 +78,26 @@ def test_lines_from_documents(spark):
     out = lines_from_documents(docs)
     assert rows(out, "line_id", "doc_id", "line_no", "value") == [
         (7000001, 7, 1, "x"), (7000002, 7, 2, ""), (7000003, 7, 3, "y z"), (8000001, 8, 1, "")]
+
+
+def test_dense_ids_across_many_splits(spark):
+    """Line ids stay dense and in file order when files are cut into many splits."""
+    path = scratch_path(spark, "split-corpus")
+    expected = []
+    for f in range(3):
+        lines = [f"file{f} line {i} " + "x" * (i % 40) for i in range(4000)]
+        lines[7] = ""  # empty lines are skipped and use no id
+        _write_lines(path, f"part-{f:05d}.txt", lines)
+        expected += [(f"part-{f:05d}.txt", v) for v in lines if v != ""]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024))
+    try:
+        df = number_lines(spark, path)
+        assert df.rdd.getNumPartitions() >= 1
+        got = sorted((r.line_id, r.doc, r.value) for r in df.collect())
+        n_splits = spark.read.text(path).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert n_splits > 10
+    assert [g[0] for g in got] == list(range(1, len(expected) + 1))
+    assert [(g[1], g[2]) for g in got] == expected
