@@ -194,8 +194,8 @@ WITH {TAGGED.strip()}
 SELECT word, string_agg(doc, ', ' ORDER BY doc) AS docs FROM tf GROUP BY word"""
 
 ORACLE_SQL["corpus_from_files"] = """
-SELECT source AS doc, sum(len(string_split(text, chr(10)))) AS n_lines,
-       sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS n_words
+SELECT source AS doc, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines,
+       CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS BIGINT) AS n_words
 FROM documents GROUP BY source"""
 
 ORACLE_SQL["numbered_lines"] = f"""
@@ -213,7 +213,7 @@ toks AS (SELECT CASE WHEN regexp_matches(value, '^\\s+$') THEN []::VARCHAR[]
                      ELSE string_split_regex(regexp_replace(value, '\\s+$', ''), '\\s+') END AS t
          FROM lines)
 SELECT (SELECT count(*) FROM toks) AS input_records,
-       (SELECT coalesce(sum(len(t)), 0) FROM toks) AS output_records,
+       (SELECT CAST(coalesce(sum(len(t)), 0) AS BIGINT) FROM toks) AS output_records,
        (SELECT count(DISTINCT w) FROM (SELECT unnest(t) AS w FROM toks)) AS output_groups"""
 
 ORACLE_SQL["similar_pairs_text"] = f"""
