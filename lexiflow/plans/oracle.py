@@ -181,6 +181,8 @@ _SAME = {
     "text_round_trip_processed": "preprocess_documents",
     "document_count_round_trip": "document_count",
     "file_name_index": "single_document_words",
+    "preprocess_chained": "preprocess_documents",
+    "similar_pairs_chained": "similar_pairs_prefix",
 }
 for _name, _base in _SAME.items():
     ORACLE_SQL[_name] = ORACLE_SQL[_base]

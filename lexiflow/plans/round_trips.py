@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.functions.render import join_tokens, pair_line
-from lexiflow.operators import counts, preprocess
+from lexiflow.operators import counts, preprocess, similarity
 from lexiflow.operators.index import single_document_words
 from lexiflow.plans import catalog
 from lexiflow.session import scratch_path
@@ -81,6 +81,38 @@ def similar_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.regexp_extract("value", pattern, 3).alias("similarity"))
 
 
+def _chained_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's preprocessing chain glued by files: word frequencies and
+    the stop list are written as ``word,n`` files, read back (S4, S5) and
+    given to the preprocessing job as external side inputs (J1, J2)."""
+    freq_path = scratch_path(spark, "word_frequency")
+    stop_path = scratch_path(spark, "stop_words")
+    write_delimited(catalog.word_count_clean(spark, sf_dir), freq_path, "word", "n", sep=COMMA,
+                    n_files=N_OUTPUT_FILES)
+    write_delimited(catalog.stop_words_case(spark, sf_dir), stop_path, "word", "n", sep=COMMA,
+                    n_files=1)
+    lines = catalog.document_lines(spark, sf_dir).select("line_id", "value")
+    out = preprocess.preprocess(lines, "line_id", "value",
+                                stop=read_stop_list(spark, stop_path),
+                                frequencies=read_word_counts(spark, freq_path))
+    return out.withColumnRenamed("line_id", "doc_id")
+
+
+def preprocess_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preprocessing from frequency and stop-list files (E2): (doc_id, tokens)."""
+    return _chained_processed(spark, sf_dir).select(
+        "doc_id", join_tokens(F.col("tokens")).alias("tokens"))
+
+
+def similar_pairs_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix similarity join reading the preprocessed ``id,t1;t2`` file (E2 -> E3, S6)."""
+    path = scratch_path(spark, "processed")
+    write_delimited(preprocess_chained(spark, sf_dir), path, "doc_id", "tokens", sep=COMMA)
+    docs = read_processed(spark, path)
+    return similarity.similarity_join(docs, catalog.PREFIX_THRESHOLD, method="prefix",
+                                      posting_bound=catalog.QUERY_STOP_THRESHOLD)
+
+
 def document_count_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document count written as a one-line file, overwriting (K4, K6), read back."""
     path = scratch_path(spark, "nb_lines")
@@ -139,6 +171,8 @@ ROUND_TRIP_QUERIES = {
     "text_round_trip_processed": text_round_trip_processed,
     "document_count_round_trip": document_count_round_trip,
     "similar_pairs_text": similar_pairs_text,
+    "preprocess_chained": preprocess_chained,
+    "similar_pairs_chained": similar_pairs_chained,
     "corpus_from_files": corpus_from_files,
     "file_name_index": file_name_index,
     "numbered_lines": numbered_lines,
