@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lexiflow.operators.counts import STOP_WORD_THRESHOLD
 from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-from lexiflow.session import materialize
+from lexiflow.session import materialize_measured
 
 # marker: "no max_count given" (None means: no threshold at all)
 _DEFAULT = object()
@@ -33,11 +33,13 @@ _DEFAULT = object()
 def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
                       case_insensitive: bool = False,
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                      stop_is_table: bool = False) -> DataFrame:
+                      stop_is_table: bool = False,
+                      stop_rows: int | None = None) -> DataFrame:
     """Drop rows whose word is in ``stop`` (column ``word``).
 
     The stop list is written once as a table (unless ``stop_is_table`` says it
-    already reads one), so its size check and the join share one computation.
+    already reads one), so its size check and the join share one computation;
+    the row count is observed during that write (or given as ``stop_rows``).
     """
     stop_keys = stop.select(F.col("word").alias("_stop"))
     key = F.col(word_col)
@@ -45,8 +47,9 @@ def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
         stop_keys = stop_keys.select(F.lower("_stop").alias("_stop")).distinct()
         key = F.lower(key)
     if not stop_is_table:
-        stop_keys = materialize(stop_keys, "stop-list")
-    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows)
+        stop_keys, m = materialize_measured(stop_keys, "stop-list", {"rows": F.count(F.lit(1))})
+        stop_rows = m["rows"]
+    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows, known_rows=stop_rows)
     return words.join(stop_keys, key == F.col("_stop"), "left_anti")
 
 

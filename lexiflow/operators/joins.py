@@ -26,19 +26,27 @@ def table_size(side: DataFrame, string_cols: tuple[str, ...] = ()) -> tuple[int,
     row = side.agg(*aggs).first()
     rows = row["_rows"] or 0
     chars = sum((row[f"_len{i}"] or 0) for i in range(len(string_cols)))
-    return rows, 32 * rows + 16 * rows * len(string_cols) + chars
+    return rows, key_table_bytes(rows, len(string_cols), chars)
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       known_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after counting the side (call on a materialized side).
 
-    Past the limit the side is returned unchanged and the planner shuffles
-    (AQE may still convert the join from runtime statistics).
+    ``known_rows`` is a count already measured (e.g. observed while the side
+    was written), which saves the counting job. Past the limit the side is
+    returned unchanged and the planner shuffles (AQE may still convert the
+    join from measured runtime statistics).
     """
-    n = side.count()
+    n = side.count() if known_rows is None else known_rows
     return F.broadcast(side) if n <= max_rows else side
 
 
+def key_table_bytes(rows: int, string_cols: int, chars: int) -> int:
+    """Estimated in-memory bytes: 32 per row, 16 per string value, plus the characters."""
+    return 32 * rows + 16 * rows * string_cols + chars
+
+
 def _plain_pairs(members: DataFrame, group_cols: list[str], id_col: str,
                  carry: list[str]) -> DataFrame:
     """Self equi-join on the group with ``l.id < r.id`` (groups known to be small)."""

@@ -13,8 +13,8 @@ from lexiflow.functions.text import alnum_tokens
 from lexiflow.operators.counts import STOP_WORD_THRESHOLD, word_count
 from lexiflow.operators.index import remove_stop_words
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_KEY_BROADCAST_BYTES,
-                                      table_size)
-from lexiflow.session import materialize
+                                      key_table_bytes)
+from lexiflow.session import materialize_measured
 
 
 def word_frequency(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -48,9 +48,11 @@ def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value
     words = kept.select(F.col(id_col).alias("_id"),
                         F.explode(F.array_distinct(alnum_tokens(text_col))).alias("word"))
     derived = frequencies is None
-    vocab = materialize(word_frequency(kept, text_col) if derived else frequencies, "vocabulary")
-    _, vocab_bytes = table_size(vocab, ("word",))
-    small_vocab = vocab_bytes <= max_broadcast_bytes
+    vocab, m = materialize_measured(
+        word_frequency(kept, text_col) if derived else frequencies, "vocabulary",
+        {"rows": F.count(F.lit(1)), "chars": F.sum(F.length("word").cast("bigint")),
+         "stop_rows": F.count(F.when(F.col("n") > stop_threshold, 1))})
+    small_vocab = key_table_bytes(m["rows"], 1, m["chars"]) <= max_broadcast_bytes
     if stop is None and derived and small_vocab:
         # one map-side join removes stop words (n > T) and attaches n: no shuffle
         ranked = words.join(F.broadcast(vocab.where(F.col("n") <= stop_threshold)), "word")
@@ -58,7 +60,7 @@ def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value
         if stop is None:
             stop = vocab.where(F.col("n") > stop_threshold).select("word")
             words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows,
-                                      stop_is_table=True)
+                                      stop_is_table=True, stop_rows=m["stop_rows"])
         else:
             words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows)
         if derived:

@@ -30,7 +30,7 @@ from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, pre
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
                                       DEFAULT_CELL_ROWS,
                                       broadcast_if_small, pairs_within_groups)
-from lexiflow.session import materialize
+from lexiflow.session import materialize_measured
 
 
 def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None) -> Threshold:
@@ -39,8 +39,8 @@ def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None)
 
 
 def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
-                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(sets, members): distinct token arrays and the documents holding them.
+                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame, int | None]:
+    """(sets, members, set_bytes): distinct token arrays and the documents holding them.
 
     sets:    set_id (smallest member id), tokens, size, copies
     members: <id_col>, set_id, copies, size
@@ -49,18 +49,26 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
     shuffle, joined back on the array; AQE splits a hot key). The tagged table
     is written once (``checkpoint``); ``sets`` is then a narrow filter on it
     (the member whose id is the set id) and ``members`` a projection, so no
-    later stage recomputes the preprocessing or the grouping.
+    later stage recomputes the preprocessing or the grouping. ``set_bytes``
+    (estimated in-memory size of the sets' token arrays) is observed during
+    that write; None without ``checkpoint``.
     """
     docs = docs.select(id_col, "tokens", "size")
     set_of = (docs.groupBy("tokens")
               .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
     tagged = docs.join(set_of, "tokens")
+    set_bytes = None
     if checkpoint:
-        tagged = materialize(tagged, "set-members")
+        rep = F.col(id_col) == F.col("set_id")
+        tagged, m = materialize_measured(tagged, "set-members", {
+            "n": F.count(F.when(rep, 1)),
+            "t": F.sum(F.when(rep, F.col("size").cast("bigint"))),
+            "c": F.sum(F.when(rep, F.length(F.array_join("tokens", "")).cast("bigint")))})
+        set_bytes = array_table_bytes(m["n"], m["t"], m["c"])
     sets = (tagged.where(F.col(id_col) == F.col("set_id"))
             .select("set_id", "tokens", "size", "copies"))
     members = tagged.select(id_col, "set_id", "copies", "size")
-    return sets, members
+    return sets, members, set_bytes
 
 
 def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int,
@@ -75,8 +83,9 @@ def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_row
     if posting_bound is not None and posting_bound <= cell_rows:
         return postings, None
     counts = postings.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    hot = materialize(counts.where(F.col("_k") > cell_rows), "hot-keys")
-    hot = broadcast_if_small(hot, max_broadcast_rows)
+    hot, m = materialize_measured(counts.where(F.col("_k") > cell_rows), "hot-keys",
+                                  {"rows": F.count(F.lit(1))})
+    hot = broadcast_if_small(hot, max_broadcast_rows, known_rows=m["rows"])
     return (postings.join(hot, key, "left")
             .withColumn("_k", F.coalesce(F.col("_k"), F.lit(0)))), "_k"
 
@@ -126,12 +135,16 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
             .select("l_set_id", "r_set_id", "l_size", "r_size"))
 
 
+def array_table_bytes(rows: int, tokens: int, chars: int) -> int:
+    """Upper estimate of the in-memory bytes of ``(id, tokens)`` rows."""
+    return 48 * rows + 24 * tokens + chars
+
+
 def token_bytes(docs: DataFrame) -> int:
-    """Upper estimate of the in-memory bytes of ``(id, tokens)`` rows (one small job)."""
+    """:func:`array_table_bytes` of a table with ``tokens`` and ``size`` (one small job)."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"),
                    F.sum(F.length(F.array_join("tokens", "")).cast("bigint")).alias("c")).first()
-    n, t, c = (row["n"] or 0), (row["t"] or 0), (row["c"] or 0)
-    return 48 * n + 24 * t + c
+    return array_table_bytes(row["n"] or 0, row["t"] or 0, row["c"] or 0)
 
 
 def verify(candidates: DataFrame, sets: DataFrame, th: Threshold,
@@ -218,10 +231,10 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     instead of recomputing the preprocessing.
     """
     th = as_threshold(threshold, measure, strict)
-    sets, members = collapse_duplicates(docs, id_col, checkpoint)
+    sets, members, set_bytes = collapse_duplicates(docs, id_col, checkpoint)
     if method == "prefix":
         cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
-        small = checkpoint and token_bytes(sets) <= max_broadcast_bytes
+        small = set_bytes is not None and set_bytes <= max_broadcast_bytes
         set_pairs = verify(cands, sets, th, broadcast_sets=small)
     elif method == "overlap":
         set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
@@ -237,7 +250,7 @@ def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                      checkpoint: bool = True) -> DataFrame:
     """One row: documents, all pairs n(n-1)/2, distinct sets, prefix candidates, ratio."""
     th = as_threshold(threshold, measure)
-    sets, members = collapse_duplicates(docs, id_col, checkpoint)
+    sets, members, _ = collapse_duplicates(docs, id_col, checkpoint)
     cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
     # three scalars gathered as tagged rows and folded by one aggregate
     tagged = (members.select(F.lit("n_documents").alias("_m"))

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every job in this package relies on. AQE re-plans joins from runtime
 # sizes (broadcast conversion, skew splitting, partition coalescing). Broadcasts
@@ -82,3 +82,19 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_measured(df: DataFrame, name: str, metrics: dict[str, Column]
+                         ) -> tuple[DataFrame, dict]:
+    """:func:`materialize`, also returning aggregate ``metrics`` of the written rows.
+
+    The metrics are observed while the table is written (``DataFrame.observe``),
+    so a size check on a stage table costs no extra job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    df.observe(obs, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
+    values = {k: (v if v is not None else 0) for k, v in obs.get.items()}
+    return spark.read.parquet(path), values
+

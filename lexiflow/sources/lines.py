@@ -39,7 +39,7 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
     Output: ``line_id`` (1-based, dense over kept lines), ``value``, ``doc``.
     """
     from lexiflow.operators.joins import broadcast_if_small
-    from lexiflow.session import materialize
+    from lexiflow.session import materialize_measured
 
     df = spark.read.text(path)
     if skip_empty:
@@ -52,10 +52,12 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
     per_block = df.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"),
                                                   F.min("_scan").alias("_first"))
     before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(per_block.select(
+    offsets, m = materialize_measured(per_block.select(
         "_path", "_block",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
-    numbered = df.join(broadcast_if_small(offsets, max_broadcast_blocks), ["_path", "_block"])
+        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")),
+        "line-offsets", {"rows": F.count(F.lit(1))})
+    offsets = broadcast_if_small(offsets, max_broadcast_blocks, known_rows=m["rows"])
+    numbered = df.join(offsets, ["_path", "_block"])
     cols = [(F.col("_scan") + F.col("_shift")).alias("line_id"), "value"]
     if with_file:
         cols.append("doc")
