@@ -15,20 +15,6 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_CELL_ROWS = 2_048
 
 
-def table_size(side: DataFrame, string_cols: tuple[str, ...] = ()) -> tuple[int, int]:
-    """(rows, estimated in-memory bytes) of a (materialized) table, in one small job.
-
-    Bytes: 32 per row plus 16 per string value plus the string lengths.
-    """
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(string_cols):
-        aggs.append(F.sum(F.length(c).cast("bigint")).alias(f"_len{i}"))
-    row = side.agg(*aggs).first()
-    rows = row["_rows"] or 0
-    chars = sum((row[f"_len{i}"] or 0) for i in range(len(string_cols)))
-    return rows, key_table_bytes(rows, len(string_cols), chars)
-
-
 def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        known_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after counting the side (call on a materialized side).

@@ -140,13 +140,6 @@ def array_table_bytes(rows: int, tokens: int, chars: int) -> int:
     return 48 * rows + 24 * tokens + chars
 
 
-def token_bytes(docs: DataFrame) -> int:
-    """:func:`array_table_bytes` of a table with ``tokens`` and ``size`` (one small job)."""
-    row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"),
-                   F.sum(F.length(F.array_join("tokens", "")).cast("bigint")).alias("c")).first()
-    return array_table_bytes(row["n"] or 0, row["t"] or 0, row["c"] or 0)
-
-
 def verify(candidates: DataFrame, sets: DataFrame, th: Threshold,
            broadcast_sets: bool = False) -> DataFrame:
     """(set_a, set_b, similarity) for candidates passing the exact test.

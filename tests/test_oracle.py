@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB SQL on the sf0.001 tables."""
 
-import math
 import os
 
 import duckdb
