@@ -127,8 +127,10 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
     pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size", "pos"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
-    per_pair = (pairs.groupBy("l_set_id", "r_set_id", "l_size", "r_size")
-                .agg(F.count(F.lit(1)).alias("_m"), F.max("l_pos").alias("_i"),
+    # sizes depend on the ids: carried as max() so the key is just the id pair
+    per_pair = (pairs.groupBy("l_set_id", "r_set_id")
+                .agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
+                     F.count(F.lit(1)).alias("_m"), F.max("l_pos").alias("_i"),
                      F.max("r_pos").alias("_j")))
     bound = F.col("_m") + F.least(F.col("l_size") - F.col("_i"), F.col("r_size") - F.col("_j"))
     return (per_pair.where(required_overlap_ok(bound, F.col("l_size"), F.col("r_size"), p, q))
@@ -179,8 +181,9 @@ def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_
     pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
                                 cell_rows=cell_rows)
     pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
-    scored = (pairs.groupBy("l_set_id", "r_set_id", "l_size", "r_size")
-              .agg(F.count(F.lit(1)).alias("_o")))
+    scored = (pairs.groupBy("l_set_id", "r_set_id")
+              .agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
+                   F.count(F.lit(1)).alias("_o")))
     return (scored.where(accept(F.col("_o"), F.col("l_size"), F.col("r_size"), th))
             .select(F.col("l_set_id").alias("set_a"), F.col("r_set_id").alias("set_b"),
                     similarity_value(F.col("_o"), F.col("l_size"), F.col("r_size"),
