@@ -69,31 +69,29 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- inverted indexes ---------------------------------------------------------
 
-def _tagged_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tagged_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc, word): lower-cased alphanumeric tokens tagged with the source."""
     return counts.explode_tokens(tagged_texts(spark, sf_dir), "value", clean=True,
                                  lower=True, keep=("doc",))
 
 
 def inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    idx = index.inverted_index(_tagged_words(spark, sf_dir), max_count=QUERY_STOP_THRESHOLD)
+    idx = index.inverted_index(tagged_words(spark, sf_dir), max_count=QUERY_STOP_THRESHOLD)
     return idx.select("word", "n_docs", join_docs(F.col("docs")).alias("docs"))
 
 
 def inverted_index_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # here the stop list is a separate DataFrame removed by an anti-join
-    stop = stop_words_lower(spark, sf_dir).select("word")
-    idx = index.inverted_index_tf(_tagged_words(spark, sf_dir), stop=stop)
+    idx = index.inverted_index_tf(tagged_words(spark, sf_dir), max_count=QUERY_STOP_THRESHOLD)
     return idx.select("word", join_tf_postings(F.col("postings")).alias("postings"))
 
 
 def single_document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.single_document_words(_tagged_words(spark, sf_dir),
+    return index.single_document_words(tagged_words(spark, sf_dir),
                                        max_count=QUERY_STOP_THRESHOLD)
 
 
 def vocabulary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.vocabulary_stats(_tagged_words(spark, sf_dir), max_count=QUERY_STOP_THRESHOLD)
+    return index.vocabulary_stats(tagged_words(spark, sf_dir), max_count=QUERY_STOP_THRESHOLD)
 
 
 # --- preprocessing ------------------------------------------------------------

@@ -181,6 +181,7 @@ _SAME = {
     "text_round_trip_processed": "preprocess_documents",
     "document_count_round_trip": "document_count",
     "file_name_index": "single_document_words",
+    "inverted_index_stop_file": "inverted_index",
     "preprocess_chained": "preprocess_documents",
     "similar_pairs_chained": "similar_pairs_prefix",
 }

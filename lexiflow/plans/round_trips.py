@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.functions.render import join_tokens, pair_line
+from lexiflow.functions.render import join_docs, join_tokens, pair_line
 from lexiflow.operators import counts, preprocess, similarity
-from lexiflow.operators.index import single_document_words
+from lexiflow.operators.index import inverted_index, single_document_words
 from lexiflow.plans import catalog
 from lexiflow.session import scratch_path
 from lexiflow.sinks.delimited import ARROW, COMMA, TAB, write_delimited, write_scalar
@@ -49,6 +49,17 @@ def stop_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stop_list(spark, path, sep=COMMA)
 
 
+def inverted_index_stop_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index job as the reference runs it: the lower-cased stop list is written
+    as a ``word,n`` file, read back (S4) and removed with an anti-join (J1, F2)."""
+    path = scratch_path(spark, "stop_words_lower")
+    write_delimited(catalog.stop_words_lower(spark, sf_dir), path, "word", "n", sep=COMMA,
+                    n_files=1)
+    stop = read_stop_list(spark, path)
+    idx = inverted_index(catalog.tagged_words(spark, sf_dir), stop=stop)
+    return idx.select("word", "n_docs", join_docs(F.col("docs")).alias("docs"))
+
+
 def text_round_trip_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inverted index as ``word => a, b`` (K3), read back and split at the arrow."""
     path = scratch_path(spark, "inverted_index")
@@ -167,6 +178,7 @@ ROUND_TRIP_QUERIES = {
     "text_round_trip_tab": text_round_trip_tab,
     "text_round_trip_comma": text_round_trip_comma,
     "stop_list_round_trip": stop_list_round_trip,
+    "inverted_index_stop_file": inverted_index_stop_file,
     "text_round_trip_arrow": text_round_trip_arrow,
     "text_round_trip_processed": text_round_trip_processed,
     "document_count_round_trip": document_count_round_trip,
