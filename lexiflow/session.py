@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared, fault-tolerant folder there; we only create a
     scratch one when neither the setting nor a context checkpoint dir exists
-    (local tests).
+    and the master is local (tests). On a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or \
@@ -56,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     active = sc.getCheckpointDir()
     base = named or active
     if not base:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on other machines
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (e.g. on "
+                               "HDFS or object storage) for stage tables on a cluster")
         base = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
     if active is None:
         sc.setCheckpointDir(base)

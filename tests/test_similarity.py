@@ -119,3 +119,24 @@ def test_comparison_stats(spark):
     assert r.n_documents == 4 and r.all_pairs == 6 and r.distinct_sets == 3
     assert 0 <= r.candidate_pairs <= 3
     assert r.saving_ratio == pytest.approx(r.candidate_pairs / 6)
+
+
+def test_hot_token_and_hot_copy_cluster_exact(spark):
+    """A third of the documents are copies of one set and a third share one hot
+    token; with tiny join cells both are split across many cells and the result
+    still equals brute force."""
+    rng = random.Random(3)
+    vocab = [f"v{i}" for i in range(40)]
+    sets = {}
+    for i in range(1, 91):
+        if i <= 30:
+            sets[i] = ["hot", "a", "b", "c"]
+        elif i <= 60:
+            sets[i] = ["hot"] + rng.sample(vocab, rng.randint(1, 4))
+        else:
+            sets[i] = rng.sample(vocab, rng.randint(1, 5))
+    for t in ("1/2", "4/5"):
+        th = Threshold.of(t)
+        for method in ("prefix", "overlap"):
+            got = _run(spark, sets, th, method=method, cell_rows=4)
+            assert got.keys() == _brute(sets, th).keys(), (t, method)
