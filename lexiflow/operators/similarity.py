@@ -260,3 +260,31 @@ def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                          "candidate_pairs",
                          F.when(all_pairs > 0, F.col("candidate_pairs") / all_pairs.cast("double"))
                          .alias("saving_ratio"))
+
+
+def all_pairs_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
+                    id_col: str = "doc_id", posting_bound: int | None = None,
+                    cell_rows: int = DEFAULT_CELL_ROWS,
+                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    checkpoint: bool = True) -> DataFrame:
+    """One row for the all-pairs method (A15 for J3): documents, all pairs
+    n(n-1)/2, distinct sets, and ``scored_pairs`` — the size-compatible set
+    pairs sharing at least one token, i.e. the comparisons it performs."""
+    th = as_threshold(threshold, measure)
+    p, q = th.jaccard_bound()
+    sets, members, _ = collapse_duplicates(docs, id_col, checkpoint)
+    postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
+    postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
+    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
+                                cell_rows=cell_rows)
+    scored = (pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
+              .select("l_set_id", "r_set_id").distinct())
+    tagged = (members.select(F.lit("n_documents").alias("_m"))
+              .unionByName(sets.select(F.lit("distinct_sets").alias("_m")))
+              .unionByName(scored.select(F.lit("scored_pairs").alias("_m"))))
+    counts = tagged.agg(*[F.count(F.when(F.col("_m") == m, 1)).alias(m)
+                          for m in ("n_documents", "distinct_sets", "scored_pairs")])
+    n = F.col("n_documents").cast("bigint")
+    return counts.select("n_documents", ((n * (n - 1) / 2).cast("bigint")).alias("all_pairs"),
+                         "distinct_sets", "scored_pairs")
+

@@ -148,6 +148,11 @@ def comparison_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        posting_bound=QUERY_STOP_THRESHOLD)
 
 
+def all_pairs_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.all_pairs_stats(processed_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD,
+                                      posting_bound=QUERY_STOP_THRESHOLD)
+
+
 # --- sampling -------------------------------------------------------------------
 
 def sample_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +183,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similar_pairs_prefix": similar_pairs_prefix,
     "similar_pairs_overlap_ratio": similar_pairs_overlap_ratio,
     "comparison_stats": comparison_stats,
+    "all_pairs_stats": all_pairs_stats,
     "sample_lines": sample_lines,
 }
 

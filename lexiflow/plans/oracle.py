@@ -223,3 +223,17 @@ ORACLE_SQL["similar_pairs_text"] = f"""
 SELECT doc_a, doc_b, CAST(CAST(similarity AS FLOAT) AS VARCHAR) AS similarity
 FROM ({_pairs(4, 5, "jaccard", False)})"""
 
+ORACLE_SQL["all_pairs_stats"] = f"""
+WITH {PROCESSED.strip()},
+sets AS (SELECT tokens, min(doc_id) AS set_id, any_value(size) AS size FROM docs GROUP BY tokens),
+posted AS (SELECT set_id, size, unnest(tokens) AS tok FROM sets),
+scored AS (SELECT DISTINCT a.set_id AS l, b.set_id AS r FROM posted a JOIN posted b
+           ON a.tok = b.tok AND a.set_id < b.set_id
+           WHERE least(a.size, b.size) * 2 >= greatest(a.size, b.size) * 1),
+c AS (SELECT (SELECT count(*) FROM docs) AS n_documents,
+             (SELECT count(*) FROM sets) AS distinct_sets,
+             (SELECT count(*) FROM scored) AS scored_pairs)
+SELECT n_documents, n_documents * (n_documents - 1) // 2 AS all_pairs, distinct_sets,
+       scored_pairs
+FROM c"""
+
