@@ -10,6 +10,7 @@ folder, so a restarted query — or one that lost executors — resumes exactly.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import tokenize
@@ -54,9 +55,16 @@ def run_to_parquet(counts: DataFrame, out_path: str, checkpoint_path: str,
     return writer.start()
 
 
-def read_latest(spark: SparkSession, out_path: str, key: str = "word") -> DataFrame:
-    """Current value per key: the row of the newest epoch (counts only grow)."""
-    rows = spark.read.parquet(out_path)
+def read_latest(spark: SparkSession, out_path: str, key: str = "word",
+                empty_schema: str = "word string, n bigint") -> DataFrame:
+    """Current value per key: the row of the newest epoch (counts only grow).
+
+    No epoch written yet (an empty input) gives an empty table.
+    """
+    try:
+        rows = spark.read.parquet(out_path)
+    except AnalysisException:
+        return spark.createDataFrame([], empty_schema)
     values = [c for c in rows.columns if c not in (key, "epoch")]
     return rows.groupBy(key).agg(*[F.max_by(c, "epoch").alias(c) for c in values])
 

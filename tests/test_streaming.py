@@ -18,3 +18,11 @@ def test_streaming_count_equals_batch_count(spark):
     assert rows(streamed) == rows(batch)
     stops = incremental_word_count(spark, path, lower=True, min_count=2)
     assert rows(stops) == [("the", 4)]
+
+
+def test_streaming_count_of_empty_folder(spark):
+    path = scratch_path(spark, "stream-empty")
+    os.makedirs(path)
+    with open(os.path.join(path, "empty.txt"), "w"):
+        pass
+    assert incremental_word_count(spark, path).count() == 0
