@@ -89,3 +89,21 @@ def similarity_value(overlap: Column, size_a: Column, size_b: Column,
 def overlap_of(tokens_a: Column, tokens_b: Column) -> Column:
     """Number of tokens two distinct-token arrays share."""
     return F.size(F.array_intersect(tokens_a, tokens_b))
+
+
+def pair_count(n: Column) -> Column:
+    """n(n-1)/2 as an exact bigint: the even factor is halved first, so nothing
+    overflows unless the result itself exceeds 64 bits (then NULL, never an error)."""
+    n = n.cast("bigint")
+    even_first = F.try_multiply(F.floor(n / 2).cast("bigint"), n - 1)
+    odd_first = F.try_multiply(n, F.floor((n - 1) / 2).cast("bigint"))
+    return F.when(F.pmod(n, F.lit(2)) == 0, even_first).otherwise(odd_first)
+
+
+def pair_ratio(count: Column, n: Column) -> Column:
+    """count / (n(n-1)/2) as a double; NULL when there is no pair."""
+    pairs = pair_count(n)
+    exact = count.cast("double") / pairs.cast("double")
+    approx = count.cast("double") / (n.cast("double") * (n - 1).cast("double") / 2.0)
+    return F.when(n.cast("bigint") > 1, F.coalesce(exact, approx))
+

@@ -14,8 +14,10 @@ Plan, all DataFrame joins and aggregates:
    ``d - ceil(t*d) + 1`` tokens; sets sharing a posted token become candidates
    if their sizes are compatible. Posting lists are paired with a salted grid
    (:func:`pairs_within_groups`), so a hot token never lands in one task.
-3. Distinct candidates fetch both token arrays by id (two shuffle joins, no
-   driver-side copy) and are verified exactly in integer arithmetic.
+3. Distinct candidates (deduplicated by the same aggregate that applies the
+   positional filter) fetch both token arrays by id — broadcast lookups when
+   the measured size of the sets allows, else two shuffle joins, never a
+   driver-side copy — and are verified exactly in integer arithmetic.
 4. Similar set pairs expand to member pairs; copies inside one set are pairs
    with similarity 1 (Jaccard) or 1/2 (overlap ratio).
 """
@@ -25,8 +27,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, prefix_length,
-                                     similarity_value, size_compatible)
+from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, pair_count,
+                                     pair_ratio, prefix_length, similarity_value,
+                                     size_compatible)
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
                                       DEFAULT_CELL_ROWS,
                                       broadcast_if_small, pairs_within_groups)
@@ -222,9 +225,9 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     Both return the same rows. ``posting_bound``: a proven upper bound on how
     many documents share one token (the stop threshold after stop-word
     removal); it lets the join skip hot-token detection. ``checkpoint`` writes
-    the input documents once to the shared checkpoint folder, the stage
-    boundary the reference also writes, so every later stage re-reads them
-    instead of recomputing the preprocessing.
+    the documents tagged with their duplicate set once to the shared
+    checkpoint folder (the stage boundary the reference also writes after
+    preprocessing), so every later stage re-reads them instead of recomputing.
     """
     th = as_threshold(threshold, measure, strict)
     sets, members, set_bytes = collapse_duplicates(docs, id_col, checkpoint)
@@ -254,12 +257,10 @@ def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
               .unionByName(cands.select(F.lit("candidate_pairs").alias("_m"))))
     counts = tagged.agg(*[F.count(F.when(F.col("_m") == m, 1)).alias(m)
                           for m in ("n_documents", "distinct_sets", "candidate_pairs")])
-    n = F.col("n_documents").cast("bigint")
-    all_pairs = (n * (n - 1) / 2).cast("bigint")
-    return counts.select("n_documents", all_pairs.alias("all_pairs"), "distinct_sets",
+    n = F.col("n_documents")
+    return counts.select("n_documents", pair_count(n).alias("all_pairs"), "distinct_sets",
                          "candidate_pairs",
-                         F.when(all_pairs > 0, F.col("candidate_pairs") / all_pairs.cast("double"))
-                         .alias("saving_ratio"))
+                         pair_ratio(F.col("candidate_pairs"), n).alias("saving_ratio"))
 
 
 def all_pairs_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
@@ -284,7 +285,6 @@ def all_pairs_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
               .unionByName(scored.select(F.lit("scored_pairs").alias("_m"))))
     counts = tagged.agg(*[F.count(F.when(F.col("_m") == m, 1)).alias(m)
                           for m in ("n_documents", "distinct_sets", "scored_pairs")])
-    n = F.col("n_documents").cast("bigint")
-    return counts.select("n_documents", ((n * (n - 1) / 2).cast("bigint")).alias("all_pairs"),
+    return counts.select("n_documents", pair_count(F.col("n_documents")).alias("all_pairs"),
                          "distinct_sets", "scored_pairs")
 

@@ -65,3 +65,15 @@ def test_threshold_bounds():
     assert Threshold.of(Fraction(1, 2)).strict is False
     with pytest.raises(ValueError):
         Threshold.of("1/2", measure=OVERLAP_RATIO)
+
+
+def test_pair_count_exact_and_overflow_safe(spark):
+    from lexiflow.functions.sets import pair_count, pair_ratio
+    ns = [0, 1, 2, 3, 10, 9288, 3_037_000_499, 4_294_967_296, 6_000_000_000]
+    df = spark.createDataFrame([(n,) for n in ns], "n long")
+    got = [r[0] for r in df.select(pair_count(F.col("n"))).collect()]
+    exp = [n * (n - 1) // 2 if n * (n - 1) // 2 < 2**63 else None for n in ns]
+    assert got == exp
+    ratio = df.select(pair_ratio(F.lit(7).cast("long"), F.col("n"))).collect()
+    assert ratio[0][0] is None and ratio[1][0] is None and ratio[2][0] == 7.0
+    assert ratio[-1][0] == pytest.approx(7 / (6e9 * (6e9 - 1) / 2))
