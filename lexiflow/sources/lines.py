@@ -65,16 +65,23 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
 
 
 def lines_from_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per line of a text column; ``line_id = id * 1e6 + line_no``.
+                         keep: tuple[str, ...] = (),
+                         stride: int = LINE_ID_STRIDE) -> DataFrame:
+    """One row per line of a text column; ``line_id = id * stride + line_no``.
 
     Narrow transformation: no shuffle, splits stay where the scan put them.
+    A document with ``stride`` lines or more would make ids collide; such a
+    row fails the job (``raise_error``) rather than produce wrong ids — pass a
+    wider ``stride`` for such texts.
     """
     exploded = docs.select(F.col(id_col).alias("_doc"), *keep,
                            F.posexplode(split_lines(text_col)).alias("_pos", "value"))
+    line_no = F.col("_pos") + 1
+    line_id = F.when(line_no < stride, F.col("_doc") * stride + line_no).otherwise(
+        F.raise_error(F.lit(f"a document has {stride} lines or more; widen the line-id stride")))
     return exploded.select(
-        (F.col("_doc") * LINE_ID_STRIDE + F.col("_pos") + 1).alias("line_id"),
-        F.col("_doc").alias(id_col), (F.col("_pos") + 1).alias("line_no"), *keep, "value")
+        line_id.cast("bigint").alias("line_id"),
+        F.col("_doc").alias(id_col), line_no.alias("line_no"), *keep, "value")
 
 
 def non_empty_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:

@@ -101,3 +101,10 @@ def test_dense_ids_across_many_splits(spark):
     assert n_splits > 10
     assert [g[0] for g in got] == list(range(1, len(expected) + 1))
     assert [(g[1], g[2]) for g in got] == expected
+
+
+def test_line_id_stride_guard(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc")], "doc_id long, text string")
+    assert [r.line_id for r in lines_from_documents(docs, stride=10).collect()] == [11, 12, 13]
+    with pytest.raises(Exception):
+        lines_from_documents(docs, stride=3).collect()
