@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.functions.render import join_docs, join_tf_postings
 from lexiflow.operators.counts import STOP_WORD_THRESHOLD
 from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from lexiflow.session import materialize_measured
@@ -109,3 +110,14 @@ def vocabulary_stats(tagged: DataFrame, stop: DataFrame | None = None,
     per_word = _per_word(tf, max_count, F.count(F.lit(1)).alias("_n_docs"))
     return per_word.agg(F.count(F.lit(1)).alias("unique_words"),
                         F.count(F.when(F.col("_n_docs") == 1, 1)).alias("single_document_words"))
+
+
+def render_postings(idx: DataFrame) -> DataFrame:
+    """Index rows with their postings as text, decided from the schema (T7, T8):
+    ``docs`` → ``a, b``; ``postings`` (doc, tf structs) → ``a#2, b#1``."""
+    if "postings" in idx.columns:
+        return idx.withColumn("postings", join_tf_postings(F.col("postings")))
+    if "docs" in idx.columns:
+        return idx.withColumn("docs", join_docs(F.col("docs")))
+    return idx
+

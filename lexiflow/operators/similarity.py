@@ -242,6 +242,25 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     return expand_pairs(set_pairs, members, th, id_col, cell_rows)
 
 
+def all_pairs(docs: DataFrame, threshold, measure: str = JACCARD, **kw) -> DataFrame:
+    """The all-pairs job (J3): every pair scored exactly, no prefix filter."""
+    return similarity_join(docs, threshold, measure, method="overlap", **kw)
+
+
+def prefix_index(docs: DataFrame, threshold, measure: str = JACCARD,
+                 id_col: str = "doc_id") -> DataFrame:
+    """(word, n_docs, docs): the inverted index of prefix tokens only.
+
+    Every posted word is a non-stop word, so with stop words removed at
+    threshold T a posting list holds at most T ids.
+    """
+    th = as_threshold(threshold, measure)
+    posted = prefix_postings(docs.withColumnRenamed(id_col, "_pid"), th, id_col="_pid")
+    return (posted.groupBy(F.col("token").alias("word"))
+            .agg(F.count(F.lit(1)).alias("n_docs"),
+                 F.array_sort(F.collect_list("_pid")).alias("docs")))
+
+
 def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                      id_col: str = "doc_id", posting_bound: int | None = None,
                      cell_rows: int = DEFAULT_CELL_ROWS,

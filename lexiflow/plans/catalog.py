@@ -121,16 +121,13 @@ def document_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- similarity joins -----------------------------------------------------------
 
 def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = processed_lines(spark, sf_dir)
-    posted = similarity.prefix_postings(docs, PREFIX_THRESHOLD, id_col="doc_id")
-    return (posted.groupBy(F.col("token").alias("word"))
-            .agg(F.count(F.lit(1)).alias("n_docs"),
-                 F.array_join(F.array_sort(F.collect_list("doc_id")), ", ").alias("docs")))
+    idx = similarity.prefix_index(processed_lines(spark, sf_dir), PREFIX_THRESHOLD)
+    return idx.select("word", "n_docs", F.array_join("docs", ", ").alias("docs"))
 
 
 def similar_pairs_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.similarity_join(processed_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD,
-                                      method="overlap", posting_bound=QUERY_STOP_THRESHOLD)
+    return similarity.all_pairs(processed_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD,
+                                posting_bound=QUERY_STOP_THRESHOLD)
 
 
 def similar_pairs_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,11 @@ def test_case_insensitive_stop_removal(spark):
     stop = spark.createDataFrame([("the",)], "word string")
     assert rows(index.remove_stop_words(words, stop, case_insensitive=True)) == [("cat",)]
     assert rows(index.remove_stop_words(words, stop)) == [("The",), ("cat",)]
+
+
+def test_render_postings_by_schema(spark):
+    words = _tagged(spark, [("d1", "x y"), ("d2", "y")])
+    a = index.render_postings(index.inverted_index(words)).select("word", "docs")
+    b = index.render_postings(index.inverted_index_tf(words))
+    assert rows(a) == [("x", "d1"), ("y", "d1, d2")]
+    assert rows(b) == [("x", "d1#1"), ("y", "d1#1, d2#1")]
