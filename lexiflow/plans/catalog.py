@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from lexiflow.functions.render import join_docs, join_tf_postings, join_tokens
 from lexiflow.functions.sets import OVERLAP_RATIO, Threshold
 from lexiflow.operators import counts, index, preprocess, similarity
-from lexiflow.sources.tables import document_lines, document_texts, tagged_texts
+from lexiflow.sources.tables import (document_lines, document_texts, multi_corpus_texts,
+                                     tagged_texts)
 
 # Parameters of the test queries. 4000 (the reference's stop threshold) finds
 # almost no words on the small test tables, so the queries use 400.
@@ -85,6 +86,14 @@ def inverted_index_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.select("word", join_tf_postings(F.col("postings")).alias("postings"))
 
 
+def multi_corpus_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted index over the union of three corpora (U4), stop words removed."""
+    words = counts.explode_tokens(multi_corpus_texts(spark, sf_dir), "value", clean=True,
+                                  lower=True, keep=("doc",))
+    idx = index.inverted_index(words, max_count=QUERY_STOP_THRESHOLD)
+    return idx.select("word", "n_docs", join_docs(F.col("docs")).alias("docs"))
+
+
 def single_document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.single_document_words(tagged_words(spark, sf_dir),
                                        max_count=QUERY_STOP_THRESHOLD)
@@ -170,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_counters": word_count_counters,
     "inverted_index": inverted_index,
     "inverted_index_tf": inverted_index_tf,
+    "multi_corpus_index": multi_corpus_index,
     "single_document_words": single_document_words,
     "vocabulary_stats": vocabulary_stats,
     "preprocess_documents": preprocess_documents,

@@ -237,3 +237,17 @@ SELECT n_documents, n_documents * (n_documents - 1) // 2 AS all_pairs, distinct_
        scored_pairs
 FROM c"""
 
+ORACLE_SQL["multi_corpus_index"] = f"""
+WITH corpus AS (
+  SELECT source AS doc, text FROM documents
+  UNION ALL SELECT 'benchmark' AS doc, text FROM benchmark
+  UNION ALL SELECT role AS doc, text FROM conversations),
+tagged AS (
+  SELECT doc, lower(w) AS word
+  FROM (SELECT doc, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM corpus)),
+stop AS (SELECT word FROM tagged GROUP BY word HAVING count(*) > {T}),
+tf AS (SELECT word, doc, count(*) AS tf FROM tagged
+       WHERE word NOT IN (SELECT word FROM stop) GROUP BY word, doc)
+SELECT word, count(*) AS n_docs, string_agg(doc, ', ' ORDER BY doc) AS docs
+FROM tf GROUP BY word"""
+

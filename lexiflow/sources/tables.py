@@ -45,3 +45,16 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tagged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc, value): document text tagged with its ``source`` as the file name (S3)."""
     return document_texts(spark, sf_dir).selectExpr("source AS doc", "text AS value")
+
+
+def multi_corpus_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, value) over three corpora (U4): ``documents`` tagged by source,
+    ``benchmark`` as one document named "benchmark", ``conversations`` tagged by role."""
+    docs = read_table(spark, sf_dir, "documents", "source", "text", balance=False) \
+        .selectExpr("source AS doc", "text AS value")
+    bench = read_table(spark, sf_dir, "benchmark", "text", balance=False) \
+        .selectExpr("'benchmark' AS doc", "text AS value")
+    convs = read_table(spark, sf_dir, "conversations", "role", "text", balance=False) \
+        .selectExpr("role AS doc", "text AS value")
+    return balance_partitions(docs.unionByName(bench).unionByName(convs))
+
