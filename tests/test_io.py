@@ -108,3 +108,18 @@ def test_line_id_stride_guard(spark):
     assert [r.line_id for r in lines_from_documents(docs, stride=10).collect()] == [11, 12, 13]
     with pytest.raises(Exception):
         lines_from_documents(docs, stride=3).collect()
+
+
+def test_multi_file_sink_partitions_by_key_and_sorts(spark):
+    df = spark.createDataFrame([(f"w{i:03d}", i) for i in range(200)], "word string, n long")
+    path = scratch_path(spark, "k7")
+    write_delimited(df.repartition(7), path, "word", "n", sep=COMMA, n_files=5)
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert 1 < len(files) <= 5
+    seen = []
+    for f in files:
+        with open(os.path.join(path, f), encoding="utf-8") as fh:
+            keys = [line.split(",")[0] for line in fh.read().splitlines()]
+        assert keys == sorted(keys)  # sorted inside each file (K8)
+        seen += keys
+    assert sorted(seen) == sorted(f"w{i:03d}" for i in range(200))  # each key once (K7)
