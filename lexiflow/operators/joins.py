@@ -101,3 +101,34 @@ def pairs_within_groups(members: DataFrame, group_cols: list[str], id_col: str,
         cols.append(pick(f"l_{c}", f"r_{c}").alias(f"l_{c}"))
         cols.append(pick(f"r_{c}", f"l_{c}").alias(f"r_{c}"))
     return out.select(*cols)
+
+
+def pairs_across_groups(left: DataFrame, right: DataFrame, group_cols: list[str],
+                        left_id: str, right_id: str, sized: bool,
+                        cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
+    """Equi-join of two sides on ``group_cols``, skew-safe.
+
+    With ``sized``, both sides carry ``_kl`` and ``_kr``: the group's row
+    counts on the left and on the right (0 for groups known to be small). A
+    group is cut into ``ceil(kl / cell_rows) x ceil(kr / cell_rows)`` cells:
+    a left row is hashed (by ``left_id``) into its left bucket and copied to
+    every right bucket, a right row likewise, so each (left, right) pair meets
+    in exactly one cell and no task handles more than about ``cell_rows**2``
+    pairs. Without ``sized`` it is a plain equi-join. Column names of the two
+    sides must not clash except for ``group_cols``.
+    """
+    if not sized:
+        return left.join(right, group_cols)
+
+    def buckets(col: str):
+        return F.greatest(F.lit(1), F.ceil(F.col(col) / F.lit(cell_rows))).cast("int")
+
+    l_ = left.select("*",
+                     F.pmod(F.xxhash64(left_id), buckets("_kl")).cast("int").alias("_cl"),
+                     F.explode(F.sequence(F.lit(0), buckets("_kr") - 1)).alias("_cr"))
+    r_ = right.select("*",
+                      F.explode(F.sequence(F.lit(0), buckets("_kl") - 1)).alias("_cl"),
+                      F.pmod(F.xxhash64(right_id), buckets("_kr")).cast("int").alias("_cr"))
+    l_ = l_.drop("_kl", "_kr")
+    r_ = r_.drop("_kl", "_kr")
+    return l_.join(r_, [*group_cols, "_cl", "_cr"]).drop("_cl", "_cr")

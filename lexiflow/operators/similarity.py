@@ -31,8 +31,8 @@ from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, pai
                                      pair_ratio, prefix_length, similarity_value,
                                      size_compatible)
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
-                                      DEFAULT_CELL_ROWS,
-                                      broadcast_if_small, pairs_within_groups)
+                                      DEFAULT_CELL_ROWS, broadcast_if_small,
+                                      pairs_across_groups, pairs_within_groups)
 from lexiflow.session import materialize_measured
 
 
@@ -111,33 +111,83 @@ def required_overlap_ok(bound: F.Column, size_a: F.Column, size_b: F.Column,
     return bound.cast("bigint") * (p + q) >= (size_a + size_b).cast("bigint") * p
 
 
+def index_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> DataFrame:
+    """(<id_col>, size, pos, token): the shorter *index* prefix of every set.
+
+    When the larger document of a pair probes with its prefix, the smaller
+    one needs only its first ``d - ceil(2t/(1+t) d) + 1`` tokens indexed: a
+    pair with Jaccard >= t shares at least 2t/(1+t)·|smaller| tokens, so its
+    first shared token lies in both prefixes (the AllPairs / PPJoin indexing
+    bound).
+    """
+    p, q = th.jaccard_bound()
+    plen = prefix_length(F.col("size"), 2 * p, p + q)
+    return sets.select(id_col, "size",
+                       F.posexplode(F.slice("tokens", F.lit(1), plen)).alias("pos", "token")) \
+        .withColumn("pos", F.col("pos") + 1)
+
+
+def _hot_token_counts(probe: DataFrame, index: DataFrame, cell_rows: int,
+                      max_broadcast_rows: int) -> DataFrame:
+    """(token, _kl, _kr) for tokens with more than ``cell_rows`` postings on a side."""
+    both = (probe.groupBy("token").agg(F.count(F.lit(1)).alias("_kl"),
+                                       F.lit(0).cast("bigint").alias("_kr"))
+            .unionByName(index.groupBy("token").agg(F.lit(0).cast("bigint").alias("_kl"),
+                                                    F.count(F.lit(1)).alias("_kr"))))
+    per_token = both.groupBy("token").agg(F.sum("_kl").alias("_kl"), F.sum("_kr").alias("_kr"))
+    hot, m = materialize_measured(
+        per_token.where(F.greatest("_kl", "_kr") > cell_rows), "hot-keys",
+        {"rows": F.count(F.lit(1))})
+    return broadcast_if_small(hot, max_broadcast_rows, known_rows=m["rows"])
+
+
 def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                     posting_bound: int | None = None) -> DataFrame:
     """(l_set_id, r_set_id, l_size, r_size): distinct prefix candidates that survive
     the size filter and the positional filter (J4).
 
+    Sets are ordered by (size, id). The later set ``x`` probes with its prefix,
+    the earlier set ``y`` is indexed on its shorter index prefix
+    (:func:`index_postings`); each pair is generated in that one orientation.
     Positional filter: tokens are in one global order, so every token the two
-    sets share before their last shared prefix token is itself a shared prefix
-    token. With ``m`` shared prefix tokens, the last at positions (i, j), the
-    overlap is at most ``m + min(|A| - i, |B| - j)``; pairs whose bound cannot
-    reach the threshold are dropped. The per-pair aggregate that computes the
-    bound also removes duplicate candidates (one shuffle either way).
+    sets share before their last shared prefix token is itself a match. With
+    ``m`` matches, the last at positions (i, j), the overlap is at most
+    ``m + min(|x| - i, |y| - j)``; pairs whose bound cannot reach the
+    threshold are dropped. The per-pair aggregate that computes the bound also
+    removes duplicate candidates (one shuffle either way). Tokens with long
+    posting lists are split into a salted grid unless ``posting_bound`` proves
+    none exists.
     """
     p, q = th.jaccard_bound()
-    postings, k = _salt_sizes(prefix_postings(sets, th), "token", cell_rows,
-                              max_broadcast_rows, posting_bound)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size", "pos"],
-                                cell_rows=cell_rows)
-    pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
+    probe = prefix_postings(sets, th).select(
+        F.col("set_id").alias("x_id"), F.col("size").alias("x_size"),
+        F.col("pos").alias("x_pos"), "token")
+    index = index_postings(sets, th).select(
+        F.col("set_id").alias("y_id"), F.col("size").alias("y_size"),
+        F.col("pos").alias("y_pos"), "token")
+    sized = not (posting_bound is not None and posting_bound <= cell_rows)
+    if sized:
+        hot = _hot_token_counts(probe, index, cell_rows, max_broadcast_rows)
+        zero = {"_kl": 0, "_kr": 0}
+        probe = probe.join(hot, "token", "left").fillna(zero)
+        index = index.join(hot, "token", "left").fillna(zero)
+    pairs = pairs_across_groups(probe, index, ["token"], "x_id", "y_id", sized, cell_rows)
+    later = (F.col("x_size") > F.col("y_size")) | \
+        ((F.col("x_size") == F.col("y_size")) & (F.col("x_id") > F.col("y_id")))
+    pairs = pairs.where(later & size_compatible(F.col("x_size"), F.col("y_size"), p, q))
     # sizes depend on the ids: carried as max() so the key is just the id pair
-    per_pair = (pairs.groupBy("l_set_id", "r_set_id")
-                .agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
-                     F.count(F.lit(1)).alias("_m"), F.max("l_pos").alias("_i"),
-                     F.max("r_pos").alias("_j")))
-    bound = F.col("_m") + F.least(F.col("l_size") - F.col("_i"), F.col("r_size") - F.col("_j"))
-    return (per_pair.where(required_overlap_ok(bound, F.col("l_size"), F.col("r_size"), p, q))
-            .select("l_set_id", "r_set_id", "l_size", "r_size"))
+    per_pair = (pairs.groupBy("x_id", "y_id")
+                .agg(F.max("x_size").alias("x_size"), F.max("y_size").alias("y_size"),
+                     F.count(F.lit(1)).alias("_m"), F.max("x_pos").alias("_i"),
+                     F.max("y_pos").alias("_j")))
+    bound = F.col("_m") + F.least(F.col("x_size") - F.col("_i"), F.col("y_size") - F.col("_j"))
+    kept = per_pair.where(required_overlap_ok(bound, F.col("x_size"), F.col("y_size"), p, q))
+    x_first = F.col("x_id") < F.col("y_id")
+    return kept.select(
+        F.least("x_id", "y_id").alias("l_set_id"), F.greatest("x_id", "y_id").alias("r_set_id"),
+        F.when(x_first, F.col("x_size")).otherwise(F.col("y_size")).alias("l_size"),
+        F.when(x_first, F.col("y_size")).otherwise(F.col("x_size")).alias("r_size"))
 
 
 def array_table_bytes(rows: int, tokens: int, chars: int) -> int:

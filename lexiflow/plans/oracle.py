@@ -152,14 +152,16 @@ FROM posted GROUP BY word""",
     "comparison_stats": f"""
 WITH {PROCESSED.strip()},
 sets AS (SELECT tokens, min(doc_id) AS set_id, any_value(size) AS size FROM docs GROUP BY tokens),
-posted AS (SELECT set_id, size, unnest(tokens[1:{_prefix_len(4, 5)}]) AS tok,
-                  unnest(generate_series(1, {_prefix_len(4, 5)})) AS pos FROM sets),
-cand AS (SELECT a.set_id AS l, b.set_id AS r FROM posted a JOIN posted b
-         ON a.tok = b.tok AND a.set_id < b.set_id
-         WHERE least(a.size, b.size) * 5 >= greatest(a.size, b.size) * 4
-         GROUP BY a.set_id, b.set_id, a.size, b.size
-         HAVING (count(*) + least(a.size - max(a.pos), b.size - max(b.pos))) * 9
-                >= (a.size + b.size) * 4),
+probe AS (SELECT set_id, size, unnest(tokens[1:{_prefix_len(4, 5)}]) AS tok,
+                 unnest(generate_series(1, {_prefix_len(4, 5)})) AS pos FROM sets),
+idx AS (SELECT set_id, size, unnest(tokens[1:{_prefix_len(8, 9)}]) AS tok,
+               unnest(generate_series(1, {_prefix_len(8, 9)})) AS pos FROM sets),
+cand AS (SELECT x.set_id AS l, y.set_id AS r FROM probe x JOIN idx y
+         ON x.tok = y.tok AND (x.size > y.size OR (x.size = y.size AND x.set_id > y.set_id))
+         WHERE least(x.size, y.size) * 5 >= greatest(x.size, y.size) * 4
+         GROUP BY x.set_id, y.set_id, x.size, y.size
+         HAVING (count(*) + least(x.size - max(x.pos), y.size - max(y.pos))) * 9
+                >= (x.size + y.size) * 4),
 c AS (SELECT (SELECT count(*) FROM docs) AS n_documents,
              (SELECT count(*) FROM sets) AS distinct_sets,
              (SELECT count(*) FROM cand) AS candidate_pairs)
