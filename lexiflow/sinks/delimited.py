@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The key/value separators of the reference's output files.
 TAB = "\t"
 COMMA = ","
 ARROW = " => "
