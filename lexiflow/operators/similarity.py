@@ -42,8 +42,8 @@ def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None)
 
 
 def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
-                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame, int | None]:
-    """(sets, members, set_bytes): distinct token arrays and the documents holding them.
+                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame, dict | None]:
+    """(sets, members, stats): distinct token arrays and the documents holding them.
 
     sets:    set_id (smallest member id), tokens, size, copies
     members: <id_col>, set_id, copies, size
@@ -52,26 +52,27 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
     shuffle, joined back on the array; AQE splits a hot key). The tagged table
     is written once (``checkpoint``); ``sets`` is then a narrow filter on it
     (the member whose id is the set id) and ``members`` a projection, so no
-    later stage recomputes the preprocessing or the grouping. ``set_bytes``
-    (estimated in-memory size of the sets' token arrays) is observed during
-    that write; None without ``checkpoint``.
+    later stage recomputes the preprocessing or the grouping. ``stats`` of the
+    sets (count ``n``, tokens ``t``, characters ``c``, id range, largest size)
+    are observed during that write; None without ``checkpoint``.
     """
     docs = docs.select(id_col, "tokens", "size")
     set_of = (docs.groupBy("tokens")
               .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
     tagged = docs.join(set_of, "tokens")
-    set_bytes = None
+    stats = None
     if checkpoint:
         rep = F.col(id_col) == F.col("set_id")
-        tagged, m = materialize_measured(tagged, "set-members", {
+        tagged, stats = materialize_measured(tagged, "set-members", {
             "n": F.count(F.when(rep, 1)),
             "t": F.sum(F.when(rep, F.col("size").cast("bigint"))),
-            "c": F.sum(F.when(rep, F.length(F.array_join("tokens", "")).cast("bigint")))})
-        set_bytes = array_table_bytes(m["n"], m["t"], m["c"])
+            "c": F.sum(F.when(rep, F.length(F.array_join("tokens", "")).cast("bigint"))),
+            "min_id": F.min("set_id"), "max_id": F.max("set_id"),
+            "max_size": F.max("size")})
     sets = (tagged.where(F.col(id_col) == F.col("set_id"))
             .select("set_id", "tokens", "size", "copies"))
     members = tagged.select(id_col, "set_id", "copies", "size")
-    return sets, members, set_bytes
+    return sets, members, stats
 
 
 def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_rows: int,
@@ -219,24 +220,56 @@ def verify(candidates: DataFrame, sets: DataFrame, th: Threshold,
                                      th.measure).alias("similarity")))
 
 
+# Packed posting keys: ``id << SIZE_BITS | size`` in one bigint.
+SIZE_BITS = 20
+
+
+def _packable(stats: dict | None) -> bool:
+    """Ids and sizes measured to fit one bigint key (ids >= 0, < 2^43; sizes < 2^20)."""
+    return bool(stats) and stats["n"] > 0 and stats["min_id"] >= 0 \
+        and stats["max_id"] < (1 << (63 - SIZE_BITS)) and stats["max_size"] < (1 << SIZE_BITS)
+
+
 def overlap_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  posting_bound: int | None = None) -> DataFrame:
+                  posting_bound: int | None = None, stats: dict | None = None) -> DataFrame:
     """(set_a, set_b, similarity) by counting shared tokens over the full index.
 
     No prefix filter: every size-compatible pair sharing any token is scored
     (the all-pairs semantics, minus pairs with nothing in common, which score
     0). Overlaps come from a partial-aggregated count, no arrays are fetched.
+    When the measured ``stats`` show ids and sizes fit, each posting carries
+    ``id << 20 | size`` as one key, so the size filter reads bits and the
+    per-pair aggregate is a bare count on two longs (no size columns carried).
     """
     p, q = th.jaccard_bound()
-    postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
-                                cell_rows=cell_rows)
-    pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
-    scored = (pairs.groupBy("l_set_id", "r_set_id")
-              .agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
-                   F.count(F.lit(1)).alias("_o")))
+    if _packable(stats):
+        mask = (1 << SIZE_BITS) - 1
+        postings = sets.select(
+            (F.shiftleft(F.col("set_id"), SIZE_BITS) + F.col("size")).alias("key"),
+            F.explode("tokens").alias("token"))
+        postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows,
+                                  posting_bound)
+        pairs = pairs_within_groups(postings, ["token"], "key", k, cell_rows=cell_rows)
+        l_size = F.col("l_key").bitwiseAND(F.lit(mask))
+        r_size = F.col("r_key").bitwiseAND(F.lit(mask))
+        pairs = pairs.where(size_compatible(l_size, r_size, p, q))
+        scored = pairs.groupBy("l_key", "r_key").agg(F.count(F.lit(1)).alias("_o"))
+        scored = scored.select(
+            F.shiftright("l_key", SIZE_BITS).alias("l_set_id"),
+            F.shiftright("r_key", SIZE_BITS).alias("r_set_id"),
+            F.col("l_key").bitwiseAND(F.lit(mask)).cast("int").alias("l_size"),
+            F.col("r_key").bitwiseAND(F.lit(mask)).cast("int").alias("r_size"), "_o")
+    else:
+        postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
+        postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows,
+                                  posting_bound)
+        pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
+                                    cell_rows=cell_rows)
+        pairs = pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
+        scored = (pairs.groupBy("l_set_id", "r_set_id")
+                  .agg(F.max("l_size").alias("l_size"), F.max("r_size").alias("r_size"),
+                       F.count(F.lit(1)).alias("_o")))
     return (scored.where(accept(F.col("_o"), F.col("l_size"), F.col("r_size"), th))
             .select(F.col("l_set_id").alias("set_a"), F.col("r_set_id").alias("set_b"),
                     similarity_value(F.col("_o"), F.col("l_size"), F.col("r_size"),
@@ -280,13 +313,14 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     preprocessing), so every later stage re-reads them instead of recomputing.
     """
     th = as_threshold(threshold, measure, strict)
-    sets, members, set_bytes = collapse_duplicates(docs, id_col, checkpoint)
+    sets, members, stats = collapse_duplicates(docs, id_col, checkpoint)
     if method == "prefix":
         cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
-        small = set_bytes is not None and set_bytes <= max_broadcast_bytes
+        small = stats is not None and \
+            array_table_bytes(stats["n"], stats["t"], stats["c"]) <= max_broadcast_bytes
         set_pairs = verify(cands, sets, th, broadcast_sets=small)
     elif method == "overlap":
-        set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
+        set_pairs = overlap_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound, stats)
     else:
         raise ValueError(f"unknown method {method!r}")
     return expand_pairs(set_pairs, members, th, id_col, cell_rows)

@@ -140,3 +140,19 @@ def test_hot_token_and_hot_copy_cluster_exact(spark):
         for method in ("prefix", "overlap"):
             got = _run(spark, sets, th, method=method, cell_rows=4)
             assert got.keys() == _brute(sets, th).keys(), (t, method)
+
+
+def test_overlap_method_packed_and_unpacked_paths_agree(spark):
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(25)]
+    sets = {i: rng.sample(vocab, rng.randint(1, 7)) for i in range(1, 80)}
+    sets.update({80: list(sets[5]), 81: list(sets[5])})
+    th = Threshold.of("1/2")
+    expected = _brute(sets, th)
+    packed = _run(spark, sets, th, method="overlap")
+    unpacked = _run(spark, sets, th, method="overlap", checkpoint=False)
+    assert packed.keys() == expected.keys() == unpacked.keys()
+    # negative ids cannot be packed: the measured check falls back
+    shifted = {i - 1000: s for i, s in sets.items()}
+    neg = _run(spark, shifted, th, method="overlap")
+    assert neg.keys() == {(a - 1000, b - 1000) for a, b in expected}
