@@ -54,7 +54,7 @@ def read_processed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     # a document is a set: repeated tokens keep their first position
     tokens = F.array_distinct(F.split(parts.getItem(1), TOKEN_SEPARATOR))
     return (raw.select(doc_id.alias("doc_id"), tokens.alias("tokens"))
-            .where(F.col("doc_id").isNotNull())
+            .where(F.col("doc_id").isNotNull() & F.col("tokens").isNotNull())
             .withColumn("size", F.size("tokens")))
 
 

@@ -32,7 +32,7 @@ def test_stop_list_uses_word_part_only(spark):
 
 def test_processed_and_scalar(spark):
     path = scratch_path(spark, "processed")
-    _write_lines(path, "p.txt", ["1,EBook;Complete;Works", "2,Shakespeare;William", "bad"])
+    _write_lines(path, "p.txt", ["1,EBook;Complete;Works", "2,Shakespeare;William", "bad", "7"])
     got = {r.doc_id: (list(r.tokens), r.size) for r in read_processed(spark, path).collect()}
     assert got == {1: (["EBook", "Complete", "Works"], 3), 2: (["Shakespeare", "William"], 2)}
     spath = scratch_path(spark, "nb")
