@@ -24,7 +24,7 @@ def word_frequency(lines: DataFrame, text_col: str = "value") -> DataFrame:
 
 def _collapse_ties(ranked):
     """Keep only the greatest word of each run of equal frequency (D9 stand-in)."""
-    nxt = lambda i: F.element_at(ranked, i + 2)  # noqa: E731  1-based next element
+    nxt = lambda i: F.get(ranked, i + 1)  # noqa: E731  next element, NULL past the end
     return F.filter(ranked, lambda x, i: (i == F.size(ranked) - 1) | (nxt(i)["n"] != x["n"]))
 
 

@@ -66,7 +66,7 @@ def text_round_trip_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_delimited(catalog.inverted_index(spark, sf_dir), path, "word", "docs", sep=ARROW)
     back = spark.read.text(path)
     parts = F.split("value", ARROW, 2)
-    return back.select(parts.getItem(0).alias("word"), parts.getItem(1).alias("docs"))
+    return back.select(F.get(parts, 0).alias("word"), F.get(parts, 1).alias("docs"))
 
 
 def text_round_trip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ def read_processed(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     parts = F.split("value", sep, 2)
     doc_id = F.expr(f"try_cast(split(value, '{sep}', 2)[0] AS BIGINT)")
     # a document is a set: repeated tokens keep their first position
-    tokens = F.array_distinct(F.split(parts.getItem(1), TOKEN_SEPARATOR))
+    tokens = F.array_distinct(F.split(F.get(parts, 1), TOKEN_SEPARATOR))
     return (raw.select(doc_id.alias("doc_id"), tokens.alias("tokens"))
             .where(F.col("doc_id").isNotNull() & F.col("tokens").isNotNull())
             .withColumn("size", F.size("tokens")))
