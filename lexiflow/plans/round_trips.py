@@ -87,8 +87,8 @@ def similar_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
      .sortWithinPartitions("doc_a", "doc_b").select("value").write.text(path))
     pattern = r"^(\d+),(\d+), similarity : (.*)$"
     back = spark.read.text(path)
-    return back.select(F.regexp_extract("value", pattern, 1).cast("bigint").alias("doc_a"),
-                       F.regexp_extract("value", pattern, 2).cast("bigint").alias("doc_b"),
+    return back.select(F.regexp_extract("value", pattern, 1).try_cast("bigint").alias("doc_a"),
+                       F.regexp_extract("value", pattern, 2).try_cast("bigint").alias("doc_b"),
                        F.regexp_extract("value", pattern, 3).alias("similarity"))
 
 
