@@ -87,7 +87,13 @@ def inverted_index_tf(tagged: DataFrame, stop: DataFrame | None = None,
                       max_count=_DEFAULT) -> DataFrame:
     """(word, postings): ``array<struct<doc, tf>>`` sorted by doc."""
     tagged, max_count = _prepare(tagged, stop, max_count)
-    tf = term_frequencies(tagged)
+    return index_from_term_frequencies(term_frequencies(tagged), max_count)
+
+
+def index_from_term_frequencies(tf: DataFrame, max_count: int | None = STOP_WORD_THRESHOLD
+                                ) -> DataFrame:
+    """(word, postings) from an existing (word, doc, tf) table, e.g. streaming state;
+    words whose total count exceeds ``max_count`` are stop words and left out."""
     return _per_word(tf, max_count,
                      F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("postings"))
 

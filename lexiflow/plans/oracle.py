@@ -252,4 +252,4 @@ tf AS (SELECT word, doc, count(*) AS tf FROM tagged
        WHERE word NOT IN (SELECT word FROM stop) GROUP BY word, doc)
 SELECT word, count(*) AS n_docs, string_agg(doc, ', ' ORDER BY doc) AS docs
 FROM tf GROUP BY word"""
-
+ORACLE_SQL["streaming_inverted_index_tf"] = ORACLE_SQL["inverted_index_tf"]

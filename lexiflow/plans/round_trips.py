@@ -220,7 +220,21 @@ def streaming_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
 
 
+def streaming_inverted_index_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term-frequency index kept by a streaming query over arriving parquet files."""
+    from lexiflow.functions.render import join_tf_postings
+    from lexiflow.streaming.incremental import incremental_inverted_index_tf
+    path = scratch_path(spark, "stream-docs")
+    (document_texts(spark, sf_dir).select("source", "text")
+     .repartition(STREAM_FILES).write.parquet(path))
+    idx = incremental_inverted_index_tf(spark, path, "source string, text string",
+                                        max_count=catalog.QUERY_STOP_THRESHOLD,
+                                        max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    return idx.select("word", join_tf_postings(F.col("postings")).alias("postings"))
+
+
 ROUND_TRIP_QUERIES.update({
+    "streaming_inverted_index_tf": streaming_inverted_index_tf,
     "streaming_word_count": streaming_word_count,
     "streaming_stop_words": streaming_stop_words,
 })

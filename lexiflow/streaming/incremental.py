@@ -55,18 +55,19 @@ def run_to_parquet(counts: DataFrame, out_path: str, checkpoint_path: str,
     return writer.start()
 
 
-def read_latest(spark: SparkSession, out_path: str, key: str = "word",
+def read_latest(spark: SparkSession, out_path: str, key: str | list[str] = "word",
                 empty_schema: str = "word string, n bigint") -> DataFrame:
     """Current value per key: the row of the newest epoch (counts only grow).
 
     No epoch written yet (an empty input) gives an empty table.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     try:
         rows = spark.read.parquet(out_path)
     except AnalysisException:
         return spark.createDataFrame([], empty_schema)
-    values = [c for c in rows.columns if c not in (key, "epoch")]
-    return rows.groupBy(key).agg(*[F.max_by(c, "epoch").alias(c) for c in values])
+    values = [c for c in rows.columns if c not in (*keys, "epoch")]
+    return rows.groupBy(*keys).agg(*[F.max_by(c, "epoch").alias(c) for c in values])
 
 
 def incremental_word_count(spark: SparkSession, path: str, *, clean: bool = True,
@@ -82,3 +83,38 @@ def incremental_word_count(spark: SparkSession, path: str, *, clean: bool = True
     query = run_to_parquet(counts, out, ckpt)
     query.awaitTermination()
     return read_latest(spark, out)
+
+
+def running_term_frequencies(tagged_lines: DataFrame, text_col: str = "value",
+                             doc_col: str = "doc") -> DataFrame:
+    """Streaming (word, doc, tf) of lower-cased alphanumeric tokens: the state
+    of an inverted index, one row per (word, document) pair."""
+    words = tagged_lines.select(F.col(doc_col).alias("doc"),
+                                F.explode(tokenize(text_col, clean=True, lower=True))
+                                .alias("word"))
+    return words.groupBy("word", "doc").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def incremental_inverted_index_tf(spark: SparkSession, path: str, schema: str,
+                                  text_col: str = "text", doc_col: str = "source", *,
+                                  max_count: int | None = None,
+                                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Term-frequency index of the parquet files arriving under ``path``.
+
+    The streaming query keeps (word, doc) -> tf in its state store and writes
+    only changed pairs per micro-batch; the index is folded from the newest
+    values on read, with stop words (total count above ``max_count``) removed
+    as in the batch job.
+    """
+    from lexiflow.operators.index import index_from_term_frequencies
+
+    out = scratch_path(spark, "stream-index-out")
+    ckpt = scratch_path(spark, "stream-index-ckpt")
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    tf = running_term_frequencies(reader.parquet(path), text_col, doc_col)
+    query = run_to_parquet(tf, out, ckpt)
+    query.awaitTermination()
+    state = read_latest(spark, out, ["word", "doc"], "word string, doc string, tf bigint")
+    return index_from_term_frequencies(state, max_count)
