@@ -55,3 +55,8 @@ def test_broadcast_and_shuffle_plans_agree(spark):
                                 max_broadcast_rows=0)
     key = lambda df: sorted((r.line_id, tuple(r.tokens)) for r in df.collect())
     assert key(small) == key(big)
+
+
+def test_empty_lines_table(spark):
+    out = preprocess.preprocess(_lines(spark, ["", "  ", "!!"]), stop_threshold=2)
+    assert out.count() == 0

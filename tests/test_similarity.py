@@ -156,3 +156,11 @@ def test_overlap_method_packed_and_unpacked_paths_agree(spark):
     shifted = {i - 1000: s for i, s in sets.items()}
     neg = _run(spark, shifted, th, method="overlap")
     assert neg.keys() == {(a - 1000, b - 1000) for a, b in expected}
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], DOC_SCHEMA)
+    for method in ("prefix", "overlap"):
+        assert similarity.similarity_join(empty, Threshold.of("4/5"), method=method).count() == 0
+    r = similarity.comparison_stats(empty, Threshold.of("4/5")).first()
+    assert (r.n_documents, r.all_pairs, r.candidate_pairs, r.saving_ratio) == (0, 0, 0, None)
