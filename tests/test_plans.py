@@ -7,6 +7,7 @@ from lexiflow.plans.catalog import QUERIES
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
 
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_join_or_python(spark, sf_small, name):
     df = QUERIES[name](spark, sf_small)
