@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lexiflow.plans.catalog import QUERIES
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def _canon(cols, records):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
