@@ -105,6 +105,10 @@ def scan(versions: DataFrame, ledger: str, path_col: str = "doc_id", content_col
     return findings_by_path(versions, ledger, path_col, content_col, rule_version)
 
 
+def _of_kind(number: int):
+    return lambda f: f.kind_no == number
+
+
 def finding_digest(found: DataFrame) -> DataFrame:
     """Add n_assign, n_access, n_hex, spans and base_sha256 from the ``findings`` column."""
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -112,5 +116,5 @@ def finding_digest(found: DataFrame) -> DataFrame:
         ":", F.element_at(names, f.kind_no + 1), f.start.cast("string"), f.end.cast("string"))), ",")
     out = found.withColumn("spans", spans)
     for i, k in enumerate(KINDS):
-        out = out.withColumn(f"n_{k}", F.size(F.filter("findings", lambda f, i=i: f.kind_no == i)).cast("long"))
+        out = out.withColumn(f"n_{k}", F.size(F.filter("findings", _of_kind(i))).cast("long"))
     return out.withColumn("base_sha256", F.sha2("spans", 256))
