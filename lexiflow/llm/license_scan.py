@@ -1,21 +1,27 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Scanned units are every line of a text and every paragraph of two lines or more. A
-unit's normal form is its lower-case words of letters, digits and dots inside numbers.
-With A and B the sets of word bigrams of unit and template, Dice is
-``2|A & B| / (|A| + |B|)``; it can reach t only if
-``t / (2 - t) <= |A| / |B| <= (2 - t) / t``, so each template is filed under the set sizes
-that can reach t, and units meet templates by an equi-join on size. Units of any other
-size are dropped before a bigram set is compared.
+Scanned units are every line of a text, and every paragraph: a run of two or more lines that are
+not blank. A unit's normal form is its words: runs of ASCII letters and digits, A-Z lower-cased, dots
+allowed inside. With A and B the sets of word bigrams of unit and template (a single word counts
+as a bigram), Dice is ``2|A & B| / (|A| + |B|)``. It can reach t only if
+``t / (2 - t) <= |A| / |B| <= (2 - t) / t``, so templates are filed under the set sizes that can
+reach t, and a unit is compared only with those under its own size.
+
+A set of bigrams is at least as large as the unit's distinct words less one, so long units
+are dropped before their bigrams are made.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.llm.common import text_or_empty
+
 THRESHOLD = 0.8
 # Licence notices.
 TEMPLATES = {
@@ -48,74 +54,86 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
                 "If a copy of the MPL was not distributed with this file, You can obtain one at"],
 }
+UNITS = "array<struct<unit:string,unit_no:int,licence:string,dice:double>>"
+_WORD = re.compile(rb"[a-z0-9]+(?:\.[a-z0-9]+)*")
 
 
-def words(unit: Column) -> Column:
-    """Lower-case words of a unit: runs of ASCII letters and digits, dots allowed inside."""
-    return F.regexp_extract_all(F.lower(unit), F.lit(r"([a-z0-9]+(?:\.[a-z0-9]+)*)"), 1)
+def words(unit: bytes) -> list[bytes]:
+    return _WORD.findall(unit.lower())
 
 
-def bigrams(w: Column) -> Column:
-    """Distinct word bigrams of a word array; a single word is its own bigram."""
-    pairs = F.when(F.size(w) >= 2, F.zip_with(
-        F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w) - 1),
-        lambda a, b: F.concat_ws(" ", a, b))).otherwise(w)
-    return F.array_distinct(pairs)
+def bigrams(w: list[bytes]) -> set:
+    return set(zip(w, w[1:], strict=False)) if len(w) > 1 else set(w)
 
 
 def size_range(n: int, threshold: float) -> range:
-    """Set sizes that can reach the threshold against a set of n."""
+    """Sizes of sets that can reach the threshold against a set of n."""
     low = math.ceil(n * threshold / (2 - threshold) - 1e-9)
     return range(max(1, low), math.floor(n * (2 - threshold) / threshold + 1e-9) + 1)
 
 
-def template_table(spark: SparkSession, threshold: float = THRESHOLD,
-                   templates: dict | None = None) -> DataFrame:
-    """One row per template and reachable size: licence, template_no, t_size, size, t_grams."""
-    rows = [(name, i, text) for name, texts in (templates or TEMPLATES).items()
-            for i, text in enumerate(texts)]
-    base = spark.createDataFrame(rows, "licence string, template_no int, body string") \
-        .select("licence", "template_no", bigrams(words(F.col("body"))).alias("t_grams"))
-    n = F.size("t_grams")
-    low = F.greatest(F.lit(1), F.ceil(n * F.lit(threshold / (2 - threshold)) - F.lit(1e-9))).cast("int")
-    high = F.floor(n * F.lit((2 - threshold) / threshold) + F.lit(1e-9)).cast("int")
-    return base.withColumn("size", F.explode(F.sequence(low, high)))
+class TemplateFile:
+    """Templates filed under the sizes of the units that can reach the threshold."""
+
+    def __init__(self, templates: dict[str, list[str]], threshold: float):
+        self.threshold = threshold
+        self.by_size: dict[int, list[tuple[str, set]]] = {}
+        for licence, texts in templates.items():
+            for text in texts:
+                grams = bigrams(words(text.encode()))
+                for n in size_range(len(grams), threshold) if grams else ():
+                    self.by_size.setdefault(n, []).append((licence, grams))
+        self.most = max(self.by_size, default=0)
+
+    def match(self, w: list[bytes]) -> dict[str, float]:
+        """Dice of the best template of every licence that reaches the threshold."""
+        if not w or len(set(w)) - 1 > self.most:
+            return {}
+        grams = bigrams(w)
+        best: dict[str, float] = {}
+        for licence, t in self.by_size.get(len(grams), ()):
+            dice = 2.0 * len(grams & t) / (len(grams) + len(t))
+            if dice >= self.threshold and dice > best.get(licence, 0.0):
+                best[licence] = dice
+        return best
+
+    def scan(self, text: str) -> list[dict]:
+        out: list[dict] = []
+        run: list[list[bytes]] = []
+
+        def add(unit, no, w):
+            out.extend({"unit": unit, "unit_no": no, "licence": name, "dice": dice}
+                       for name, dice in sorted(self.match(w).items()))
+
+        lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+        for no, line in enumerate([*lines, b""]):
+            if line.strip(b" \t\r"):
+                w = words(line)
+                add("line", no, w)
+                run.append(w)
+            else:
+                if len(run) > 1:
+                    add("paragraph", no - len(run), [x for part in run for x in part])
+                run = []
+        return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          threshold: float = THRESHOLD, templates: dict | None = None) -> DataFrame:
     """Per unit and licence that reaches the threshold: id, unit ('line' or 'paragraph'),
-    unit_no (from 0 within the text), licence, dice (the best of the licence's templates).
-
-    The template table has a few rows per fixed template, so it is broadcast.
+    unit_no (the number of its first line, from 0), licence, dice (of the licence's best template).
 
-    Defined cases: a null or empty text has no units with words and gives no row; repeated rows give
-    their rows again (``unit_no`` tells units apart, ids need not); ties between
-    licences are all returned; a null id is kept; an empty table gives an empty result; other columns are
-    not read.
+    Defined cases: a null or empty text has no units with words and gives no row; a unit
+    without words matches nothing; repeated rows give their rows again; licences that tie are all
+    returned; a null id is kept; an empty table gives an empty result; other columns are not read.
     """
-    most = max(size_range(_gram_count(t), threshold)[-1]
-               for ts in (templates or TEMPLATES).values() for t in ts)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    lines = rows.select("id", F.lit("line").alias("unit"),
-                        F.posexplode(F.split("text", "\n")).alias("unit_no", "body"))
-    paragraphs = (rows.where(F.col("text").rlike(r"\S[^\n]*\n[^\n]*\S"))
-                  .select("id", F.lit("paragraph").alias("unit"),
-                          F.posexplode(F.split("text", r"\n[ \t\r]*\n")).alias("unit_no", "body"))
-                  .where(F.instr("body", "\n") > 0))
-    units = (lines.unionByName(paragraphs)
-             .withColumn("words", words(F.col("body"))).drop("body").where(F.size("words") > 0))
-    sized = (units.withColumn("grams", bigrams(F.col("words"))).drop("words")
-             .withColumn("size", F.size("grams")).where(F.col("size") <= most))
-    met = sized.join(F.broadcast(template_table(docs.sparkSession, threshold, templates)), "size")
-    dice = (F.lit(2.0) * F.size(F.array_intersect("grams", "t_grams"))
-            / (F.col("size") + F.size("t_grams")))
-    best = F.max("dice").alias("dice")
-    scored = met.withColumn("dice", dice).where(F.col("dice") >= threshold)
-    return (scored.groupBy("id", "unit", "unit_no", "licence").agg(best)
-            .select(F.col("id").alias(id_col), "unit", "unit_no", "licence", "dice"))
-
-
-def _gram_count(text: str) -> int:
-    return max(1, len(text.split()) + 2)
+    filed = TemplateFile(templates or TEMPLATES, threshold)
+
+    @F.pandas_udf(UNITS)
+    def units(texts: pd.Series) -> pd.Series:
+        return pd.Series([filed.scan(t) for t in texts], dtype=object)
+
+    found = docs.select(F.col(id_col).alias("id"),
+                        units.asNondeterministic()(text_or_empty(text_col)).alias("u"))
+    return (found.where(F.size("u") > 0).select("id", F.explode("u").alias("u"))
+            .select(F.col("id").alias(id_col), "u.*"))

@@ -87,7 +87,8 @@ def _quoted(text: str) -> str:
 
 _VALUES = ", ".join(f"({_quoted(name)}, {i}, {_quoted(t)})"
                     for name, texts in TEMPLATES.items() for i, t in enumerate(texts))
-_WORDS = r"regexp_extract_all(lower(body), '[a-z0-9]+(?:\.[a-z0-9]+)*')"
+_WORDS = (r"regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+(?:\.[a-z0-9]+)*')")
 _GRAMS = ("list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), "
           "lambda i: w[i] || ' ' || w[i + 1]) ELSE w END)")
 
@@ -99,13 +100,16 @@ lines AS (
   SELECT doc_id, 'line' AS unit, unnest(range(0, len(l))) AS unit_no, unnest(l) AS body
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
 paragraphs AS (
-  SELECT doc_id, 'paragraph' AS unit, unnest(range(0, len(l))) AS unit_no, unnest(l) AS body
-  FROM (SELECT doc_id, regexp_split_to_array(text, '\n[ \t\r]*\n') AS l FROM documents
-        WHERE regexp_matches(text, '\S[^\n]*\n[^\n]*\S'))),
+  SELECT doc_id, 'paragraph' AS unit, min(unit_no) AS unit_no, string_agg(body, chr(10) ORDER BY unit_no) AS body
+  FROM (SELECT *, trim(body, ' ' || chr(9) || chr(13)) = '' AS blank,
+               count(*) FILTER (trim(body, ' ' || chr(9) || chr(13)) = '')
+                 OVER (PARTITION BY doc_id ORDER BY unit_no) AS run
+        FROM lines)
+  WHERE NOT blank GROUP BY doc_id, run HAVING count(*) > 1),
 units AS (
   SELECT doc_id, unit, unit_no, {_GRAMS} AS g FROM (
     SELECT doc_id, unit, unit_no, {_WORDS} AS w FROM (
-      SELECT * FROM lines UNION ALL SELECT * FROM paragraphs WHERE contains(body, chr(10))))
+      SELECT * FROM lines UNION ALL SELECT * FROM paragraphs))
   WHERE len(w) > 0),
 scored AS (
   SELECT doc_id, unit, unit_no, licence,
