@@ -9,10 +9,11 @@
    neighbours are found by brute force over all rows, and the visits are widened
    until the wanted share of them lies in visited leaves. Every query also goes on until its
    leaves hold enough rows.
-5. Rows and visiting queries meet per leaf. A leaf with many rows is cut into chunks and
-   one with many visitors into blocks of queries; each (chunk, block) is scored in one
-   task with exact double-precision distances, and keeps the best k of each query. The
-   best k over all are then taken per query.
+5. Neighbouring leaves share a shelf of about ``chunk`` rows, and rows and visiting queries meet
+   per shelf, where a query is scored against the rows of its own leaves. A leaf with more rows is a
+   shelf of its own, cut into chunks; a shelf with many visitors is cut into blocks of queries. Each
+   (chunk, block) is scored in one task with exact double-precision distances, and keeps the
+   best k of each query. The best k over all are then taken per query.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ BRANCHING = 8
 LEAF_SAMPLE = 40
 CALIBRATION_QUERIES = 100
 #: wanted share of true neighbours in visited leaves on the calibration queries
-TARGET_RECALL = 0.98
+TARGET_RECALL = 0.95
 CHUNK = 4096
 QUERY_BLOCK = 1024
 SEED = 11
@@ -47,10 +48,6 @@ class Tree:
     first: np.ndarray
     n_children: np.ndarray
 
-    @property
-    def leaves(self) -> np.ndarray:
-        return np.flatnonzero(self.n_children == 0)
-
     def descend(self, x: np.ndarray) -> np.ndarray:
         """Leaf of every row of ``x``."""
         node = np.zeros(len(x), np.int64)
@@ -63,6 +60,18 @@ class Tree:
                 kids = self.first[p] + np.arange(self.n_children[p])
                 node[at] = kids[_sq_dists(x[at], self.centre[kids]).argmin(axis=1)]
 
+    def leaves_in_order(self) -> list[int]:
+        """Leaves depth first, so that neighbours in the list are neighbours in the tree."""
+        out, todo = [], [0]
+        while todo:
+            p = todo.pop()
+            n = int(self.n_children[p])
+            if n:
+                todo.extend(range(int(self.first[p]) + n - 1, int(self.first[p]) - 1, -1))
+            else:
+                out.append(p)
+        return out
+
     def visit(self, q: np.ndarray):
         """Leaves best-bin-first, with their priority queue distances."""
         queue = [(0.0, 0)]
@@ -200,20 +209,37 @@ def calibrate(indexed: DataFrame, tree: Tree, queries: list[tuple[int, np.ndarra
     return int(np.sort(places)[max(0, int(np.ceil(target * len(places))) - 1)])
 
 
+def shelves(order: list[int], held: dict[int, int], chunk: int) -> dict[int, int]:
+    """Shelf of every leaf that holds rows: runs of leaves in tree order of at most ``chunk`` rows."""
+    out: dict[int, int] = {}
+    shelf, room = -1, 0
+    for leaf in order:
+        n = held.get(leaf, 0)
+        if n:
+            if shelf < 0 or n > room:
+                shelf, room = shelf + 1, chunk
+            out[leaf] = shelf
+            room -= n
+    return out
+
+
 def _score_cell(dim: int, k: int):
     def run(cell: pa.Table) -> pa.Table:
         is_query = cell.column("is_query").to_numpy()
         ids = cell.column("id").to_numpy()
         x = _matrix(cell.column("vec"), dim)
+        of = cell.column("leaves").combine_chunks()
+        first = of.offsets.to_numpy()
+        leaves = of.values.to_numpy()
         rows, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
-        d_out, v_out, n_out = [], [], []
+        row_ids, row_x, row_leaf = ids[rows], x[rows], leaves[first[rows]]
+        d_out, v_out, n_out = [np.empty(0)], [np.empty(0, np.int64)], []
         for i in queries:
-            d, v = _best(ids[rows], x[rows], ids[i], x[i], k)
+            at = np.isin(row_leaf, leaves[first[i]:first[i + 1]])
+            d, v = _best(row_ids[at], row_x[at], ids[i], x[i], k)
             d_out.append(d)
             v_out.append(v)
             n_out.append(len(d))
-        if not d_out:
-            d_out, v_out = [np.empty(0)], [np.empty(0, np.int64)]
         return pa.table({"query_id": pa.array(np.repeat(ids[queries], n_out).astype(np.int64)),
                          "vec_id": pa.array(np.concatenate(v_out).astype(np.int64)),
                          "score": pa.array(np.concatenate(d_out))})
@@ -265,37 +291,48 @@ def search(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: s
     # one number per leaf: the tree's size bounds it
     held = {r.leaf: r["count"] for r in indexed.groupBy("leaf").count().collect()}
 
+    shelf_of = shelves(tree.leaves_in_order(), held, chunk)
+
     def to_visits(batches):
         for b in batches:
-            at, leaves = [], []
+            at, shelf, leaves = [], [], []
             for i, q in enumerate(_matrix(b.column(1), dim)):
-                enough = 0
+                met, enough = {}, 0
                 for n, leaf in enumerate(tree.visit(q), 1):
                     if leaf in held:
-                        at.append(i)
-                        leaves.append(leaf)
+                        met.setdefault(shelf_of[leaf], []).append(leaf)
                         enough += held[leaf]
                     if n >= visits and enough > k:
                         break
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())),
-                                              b.column(1).take(pa.array(at, pa.int64())),
-                                              pa.array(leaves, pa.int64())], names=["id", "vec", "leaf"])
-
-    asked = materialize(indexed.where(is_query).select("id", "vec")
-                        .mapInArrow(to_visits, "id long, vec array<double>, leaf long"), "ann-visits")
-    callers = {r.leaf: r["count"] for r in asked.groupBy("leaf").count().collect()}
-    shape = [(leaf, -(-n // chunk), -(-callers.get(leaf, 1) // query_block)) for leaf, n in held.items()]
-    cut = F.broadcast(spark.createDataFrame(shape, "leaf long, chunks int, blocks int"))
-    part = ["leaf", "chunk", "block"]
-    data = (indexed.join(F.broadcast(spark.createDataFrame([(x,) for x in callers], "leaf long")), "leaf", "left_semi")
-            .join(cut, "leaf")
+                at += [i] * len(met)
+                shelf += list(met)
+                leaves += list(met.values())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(at, pa.int64())), b.column(1).take(pa.array(at, pa.int64())),
+                 pa.array(shelf, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))],
+                names=["id", "vec", "shelf", "leaves"])
+
+    asked = materialize(indexed.where(is_query).select("id", "vec").mapInArrow(
+        to_visits, "id long, vec array<double>, shelf long, leaves array<long>"), "ann-visits")
+    callers = {r.shelf: r["count"] for r in asked.groupBy("shelf").count().collect()}
+    if not callers:
+        return spark.createDataFrame([], schema)
+    size: dict[int, int] = {}
+    for leaf, shelf in shelf_of.items():
+        size[shelf] = size.get(shelf, 0) + held[leaf]
+    # tables of one row per leaf or shelf, bounded by the tree
+    cut = spark.createDataFrame([(s, -(-size[s] // chunk), -(-n // query_block)) for s, n in callers.items()],
+                                "shelf long, chunks int, blocks int")
+    places = spark.createDataFrame(list(shelf_of.items()), "leaf long, shelf long")
+    part = ["shelf", "chunk", "block"]
+    data = (indexed.join(F.broadcast(places), "leaf").join(F.broadcast(cut), "shelf")
             .withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(*part, F.lit(False).alias("is_query"), "id", "vec"))
-    queries = (asked.join(cut, "leaf")
+            .select(*part, F.lit(False).alias("is_query"), "id", "vec", F.array("leaf").alias("leaves")))
+    queries = (asked.join(F.broadcast(cut), "shelf")
                .withColumn("block", F.pmod(F.xxhash64("id", F.lit(2)), F.col("blocks")).cast("int"))
                .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-               .select(*part, F.lit(True).alias("is_query"), "id", "vec"))
+               .select(*part, F.lit(True).alias("is_query"), "id", "vec", "leaves"))
     found = data.unionByName(queries).groupBy(*part).applyInArrow(
         _score_cell(dim, k), "query_id long, vec_id long, score double")
     return _top(found, k).select("query_id", "rank", "vec_id", "score")
