@@ -9,8 +9,8 @@ the same rows, scores every document.
 
 A document is good if its labels say quality 1 and not toxic, bad if they say quality 0 or
 toxic. The fit sees a bounded sample (``labelled`` and ``pool`` rows, chosen by a hash of the
-id); only hashed feature numbers of that sample travel to the driver. Scoring is a
-scan of all documents.
+id). Which text features tell the classes apart is counted in Spark; only those of the sample
+travel to the driver. Scoring is a scan of all documents.
 """
 
 from __future__ import annotations
@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.llm.common import text_or_empty
+from lexiflow.session import materialize
 
-LABELLED = 8_000
-POOL = 4_000
+LABELLED = 12_000
+POOL = 6_000
 ROUNDS = 3
 #: share of the pool that a view may label per round and class, most confident first
 CONFIDENT_SHARE = 0.1
@@ -144,24 +145,18 @@ class View:
         return self.scale * margin + self.shift
 
 
-def fit_view(rows: list[np.ndarray], good: np.ndarray, least_z: float) -> View:
-    """Ridge logistic regression with balanced classes over features that tell the classes apart."""
+def fit_view(rows: list[np.ndarray], good: np.ndarray) -> View:
+    """Ridge logistic regression with balanced classes."""
     bad = 1.0 - good
     share = bad.mean()
     if not 0 < share < 1:
         return View(bias=4.0 if share == 0 else -4.0)
     of_row = np.repeat(np.arange(len(rows), dtype=np.int64), [len(r) for r in rows])
-    idx = np.concatenate(rows).astype(np.int64)
-    once = np.unique(of_row * BUCKETS + idx)
-    row1, idx1 = once // BUCKETS, once % BUCKETS
-    n = np.bincount(idx1, minlength=BUCKETS)
-    z = (np.bincount(idx1, weights=bad[row1], minlength=BUCKETS) - n * share) \
-        / np.sqrt(n * share * (1 - share) + 1e-9)
-    used = np.flatnonzero((n >= LEAST_ROWS) & (np.abs(z) >= least_z))
+    idx = np.concatenate(rows)
+    used = np.unique(idx)
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
     at = place[idx]
-    of_row, at = of_row[at >= 0], at[at >= 0]
     balance = np.where(good > 0, 0.5 / (1 - share), 0.5 / share)
     # Adam on the full sample; the last weight is the bias
     w, m, v = (np.zeros(len(used) + 1) for _ in range(3))
@@ -219,9 +214,9 @@ def co_train(text_rows: list[np.ndarray], meta_rows: list[np.ndarray], label: np
     fitted: list[View] = []
     for turn in range(rounds + 1):
         fitted = []
-        for rows, known, least_z in zip(views, taught, (LEAST_Z, 0.0), strict=True):
+        for rows, known in zip(views, taught, strict=True):
             at = np.fromiter(known, np.int64)
-            view = fit_view([rows[i] for i in at], np.array([known[i] for i in at]), least_z)
+            view = fit_view([rows[i] for i in at], np.array([known[i] for i in at]))
             scale, shift = fit_logistic(view.margins([rows[i] for i in held])[:, None], label[held])
             view.scale, view.shift = float(max(scale, 0.0)), float(shift)
             fitted.append(view)
@@ -271,16 +266,42 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def hashed(texts: pd.Series) -> pd.Series:
         return pd.Series([np.array(text_features(t), np.int32) for t in texts])
 
-    rows = (docs.join(F.broadcast(wanted), F.col(id_col) == F.col("_id"))  # at most labelled + pool rows
-            .select(F.col("_id"), "label", hashed(text_or_empty(text_col)).alias("f"),
-                    F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-                    F.col(chars_col).alias("n_chars"))
-            .toPandas().sort_values("_id", kind="stable"))
+    # a quarter of the labelled rows is held out of the training
+    held = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) == 0
+    sample = materialize(
+        docs.join(F.broadcast(wanted), F.col(id_col) == F.col("_id"))  # at most labelled + pool rows
+        .select(F.col("_id"), "label", held.alias("held"), hashed(text_or_empty(text_col)).alias("f"),
+                F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
+                F.col(chars_col).cast("double").alias("n_chars")), "labelled-sample")
+    telling = telling_features(sample.where(F.col("label").isNotNull() & ~F.col("held")))
+
+    @F.pandas_udf("array<int>")
+    def only_telling(features: pd.Series) -> pd.Series:
+        return pd.Series([f[np.isin(f, telling)] for f in features])
+
+    rows = sample.withColumn("f", only_telling("f")).toPandas().sort_values("_id", kind="stable")
     text_rows = [np.asarray(f, np.int32) for f in rows["f"]]
     meta_rows = [np.array(meta_features(*m), np.int32)
                  for m in zip(rows["lang"], rows["source"], rows["n_chars"], strict=True)]
-    held = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in rows["_id"]], bool)
-    return co_train(text_rows, meta_rows, rows["label"].to_numpy(np.float64), held, rounds)
+    return co_train(text_rows, meta_rows, rows["label"].to_numpy(np.float64),
+                    rows["held"].to_numpy(bool), rounds)
+
+
+def telling_features(train: DataFrame) -> np.ndarray:
+    """Buckets in at least LEAST_ROWS rows whose share of bad rows is off by LEAST_Z deviations.
+
+    The result is a subset of the BUCKETS numbers, a few thousand in practice.
+    """
+    total = train.agg(F.count(F.lit(1)).alias("n"), F.sum(1 - F.col("label")).alias("bad")).first()
+    if not total["n"]:
+        return np.empty(0, np.int32)
+    share = total["bad"] / total["n"]
+    n, bad = F.col("n"), F.col("bad")
+    off = F.abs(bad - n * F.lit(share)) / F.sqrt(n * F.lit(share * (1 - share)) + F.lit(1e-9))
+    got = (train.select((1 - F.col("label")).alias("bad"), F.explode(F.array_distinct("f")).alias("f"))
+           .groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+           .where((n >= LEAST_ROWS) & (off >= LEAST_Z)).select("f").toPandas())
+    return np.sort(got["f"].to_numpy(np.int32))
 
 
 def with_scores(docs: DataFrame, model: CoTrained, out_col: str = "scores", text_col: str = "text",
