@@ -41,7 +41,7 @@ BUCKETS = 1 << 20
 #: a feature is used if it is in so many training rows and its share of bad rows is off by so many
 #: standard deviations
 LEAST_ROWS = 5
-LEAST_Z = 4.5
+LEAST_Z = 2.5
 RIDGE = 1e-4
 STEPS = 150
 _EDGE = re.compile(r"^[^\w]*(.*?)([^\w]*)$", re.DOTALL)
@@ -254,13 +254,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         lang_col: str = "lang", source_col: str = "source", chars_col: str = "n_chars",
         labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> CoTrained:
     """Fit on at most ``labelled`` labelled and ``pool`` unlabelled documents of ``docs``."""
-    known = document_labels(labels, id_col)
-    order = F.xxhash64(F.col(id_col), F.lit(SEED))
-    ids = docs.where(F.col(id_col).isNotNull()).select(id_col).distinct()
-    some = known.join(ids, id_col, "left_semi").orderBy(order, id_col).limit(labelled)
-    rest = (ids.join(known.select(id_col), id_col, "left_anti").orderBy(order, id_col).limit(pool)
-            .select(id_col, F.lit(None).cast("double").alias("label")))
-    wanted = some.unionByName(rest).select(F.col(id_col).alias("_id"), "label")
+    docs = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"),
+                       F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
+                       F.col(chars_col).cast("double").alias("n_chars"))
+    known = document_labels(labels, id_col).withColumnRenamed(id_col, "_id")
+    order = F.xxhash64(F.col("_id"), F.lit(SEED))
+    ids = docs.where(F.col("_id").isNotNull()).select("_id").distinct()
+    some = known.join(ids, "_id", "left_semi").orderBy(order, "_id").limit(labelled)
+    rest = (ids.join(known.select("_id"), "_id", "left_anti").orderBy(order, "_id").limit(pool)
+            .select("_id", F.lit(None).cast("double").alias("label")))
+    wanted = some.unionByName(rest)
 
     @F.pandas_udf("array<int>")
     def hashed(texts: pd.Series) -> pd.Series:
@@ -269,10 +272,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # a quarter of the labelled rows is held out of the training
     held = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) == 0
     sample = materialize(
-        docs.join(F.broadcast(wanted), F.col(id_col) == F.col("_id"))  # at most labelled + pool rows
-        .select(F.col("_id"), "label", held.alias("held"), hashed(text_or_empty(text_col)).alias("f"),
-                F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
-                F.col(chars_col).cast("double").alias("n_chars")), "labelled-sample")
+        docs.join(F.broadcast(wanted), "_id")  # at most labelled + pool rows
+        .select("_id", "label", held.alias("held"), hashed("_text").alias("f"), "lang", "source", "n_chars"),
+        "labelled-sample")
     telling = telling_features(sample.where(F.col("label").isNotNull() & ~F.col("held")))
 
     @F.pandas_udf("array<int>")

@@ -210,7 +210,7 @@ def _passes(benchmark: DataFrame, id_col: str, text_col: str, q: int, rate: floa
             index_grams: int):
     """Benchmark segments in passes of at most ``index_grams`` q-grams each."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"),
-                            text_or_empty(text_col).alias("text")).where(F.col("item_id").isNotNull())
+                            text_or_empty(text_col).alias("text")).where(F.col("item_id").isNotNull()).distinct()
     held, grams = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         for part in segments(row.text, q, segment):
@@ -243,8 +243,17 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches"
     parts = []
     for held in _passes(benchmark, item_col, item_text_col, q, rate, segment, index_grams):
         parts.append(_matcher(held, q, rate)(text_or_empty(text_col)))
-    both = F.flatten(F.array(*parts)) if len(parts) > 1 else parts[0]
-    return docs.withColumn(out_col, both)
+    return docs.withColumn(out_col, parts[0] if len(parts) == 1 else _best_per_item(F.flatten(F.array(*parts))))
+
+
+def _best_per_item(matches):
+    """Of an item that matched in several passes, the match with fewest edits, then the first."""
+    def best(item):
+        m = F.array_min(F.transform(F.filter(matches, lambda x: x.item_id == item), lambda x: F.struct(
+            x.edits.alias("edits"), x.start.alias("start"), x.end.alias("end"))))
+        return F.struct(item.alias("item_id"), m.edits.alias("edits"), m.start.alias("start"), m.end.alias("end"))
+
+    return F.transform(F.array_distinct(F.transform(matches, lambda x: x.item_id)), best)
 
 
 def _matcher(held: list[tuple[int, str]], q: int, rate: float):

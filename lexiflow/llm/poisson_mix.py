@@ -39,8 +39,8 @@ def hash_unit(*parts: Column) -> Column:
 
 def source_means(docs: DataFrame, source_col: str = "source", text_col: str = "text",
                  temperature: float = TEMPERATURE, epochs: float = EPOCHS,
-                 weights: dict | None = None) -> DataFrame:
-    """Per source: ``volume``, ``weight`` (target share) and ``mean`` repetitions.
+                 weights: dict | None = None) -> tuple[DataFrame, int]:
+    """Per source: ``volume``, ``weight`` (target share) and ``mean`` repetitions; and the number of sources.
 
     Without ``weights`` the target shares are volumes raised to ``temperature``,
     normalised; with them, a source not named has weight 0. A source
@@ -56,13 +56,14 @@ def source_means(docs: DataFrame, source_col: str = "source", text_col: str = "t
         for name, w in weights.items():
             raw = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(w))).otherwise(raw)
     raw = F.when(F.col("volume") > 0, raw).otherwise(F.lit(0.0))
-    rated = volumes.withColumn("raw", raw).withColumn("one", F.lit(1))
-    total = rated.groupBy("one").agg(F.sum("volume").alias("all_volume"), F.sum("raw").alias("all_raw"))
-    share = F.when(F.col("all_raw") > 0, F.col("raw") / F.col("all_raw")).otherwise(F.lit(0.0))
-    mean = F.lit(float(epochs)) * share * F.col("all_volume") / F.col("volume")
-    return rated.join(F.broadcast(total), "one").select(  # `total` is one row
+    # one row per source is written; the two totals are observed on the way
+    rated, total = materialize_measured(volumes.withColumn("raw", raw), "source-volumes", {
+        "volume": F.sum("volume"), "raw": F.sum("raw"), "n": F.count(F.lit(1))})
+    share = F.col("raw") / F.lit(float(total["raw"])) if total["raw"] > 0 else F.lit(0.0)
+    mean = F.lit(float(epochs)) * share * F.lit(float(total["volume"])) / F.col("volume")
+    return rated.select(
         "source", "volume", share.alias("weight"),
-        F.when(F.col("volume") > 0, mean).otherwise(F.lit(1.0)).alias("mean"))
+        F.when(F.col("volume") > 0, mean).otherwise(F.lit(1.0)).alias("mean")), total["n"]
 
 
 def with_distribution(means: DataFrame) -> DataFrame:
@@ -93,12 +94,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     clash = {"_copies", "_copy", "_key"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are added by this operator")
-    means, seen = materialize_measured(
-        with_distribution(source_means(docs, source_col, text_col, temperature, epochs, weights)),
-        "source-means", {"n": F.count(F.lit(1))})
-    side = means.select(F.col("source").alias("_src"), F.col("steps").alias("_steps"),
+    means, n_sources = source_means(docs, source_col, text_col, temperature, epochs, weights)
+    side = with_distribution(means).select(F.col("source").alias("_src"), F.col("steps").alias("_steps"),
                         F.col("cdf").alias("_cdf"))
-    joined = docs.join(broadcast_if_small(side, known_rows=seen["n"]),
+    joined = docs.join(broadcast_if_small(side, known_rows=n_sources),
                        F.col(source_col).eqNullSafe(F.col("_src")))
     draws = F.transform(F.sequence(F.lit(0), F.col("_steps") - 1), lambda i: F.size(F.filter(
         "_cdf", lambda c: c <= hash_unit(F.lit(seed), F.col(id_col), i))))
