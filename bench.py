@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lexiflow.plans.catalog import QUERIES  # noqa: E402
-from lexiflow.session import local_session  # noqa: E402
+from lexiflow.session import drop_stage_tables, local_session  # noqa: E402
 
 HEADLINE = [
     "word_count_raw", "first_letter_count", "stop_words_case", "inverted_index",
@@ -47,6 +47,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        drop_stage_tables(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total_wall",

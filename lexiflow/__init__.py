@@ -15,25 +15,27 @@ from lexiflow.functions.sets import JACCARD, OVERLAP_RATIO, Threshold
 from lexiflow.functions.text import first_letter, tokenize
 from lexiflow.operators.counts import (count_words, explode_tokens, first_letter_count,
                                        job_counters, stop_words, top_words, word_count)
-from lexiflow.operators.index import (inverted_index, inverted_index_tf, remove_stop_words,
-                                      render_postings, single_document_words, vocabulary_stats)
+from lexiflow.operators.index import (inverted_index, inverted_index_tf, posting_blocks,
+                                      remove_stop_words, render_postings, single_document_words,
+                                      vocabulary_stats)
 from lexiflow.operators.preprocess import document_count, preprocess, word_frequency
 from lexiflow.operators.similarity import (all_pairs, all_pairs_stats, candidate_pairs,
-                                           comparison_stats, prefix_index, similarity_join)
+                                           comparison_stats, prefix_index, similar_sets,
+                                           similarity_join)
 from lexiflow.sinks.delimited import write_delimited, write_scalar
 from lexiflow.sources.lines import lines_from_documents, number_lines, read_lines
 from lexiflow.sources.side_inputs import (read_processed, read_scalar, read_stop_list,
-                                          read_word_counts, read_word_frequency)
+                                          read_word_counts)
 
 __version__ = "0.1.0"
 
 __all__ = [
     "JACCARD", "OVERLAP_RATIO", "Threshold", "first_letter", "tokenize", "count_words",
     "explode_tokens", "first_letter_count", "job_counters", "stop_words", "top_words",
-    "word_count", "inverted_index", "inverted_index_tf", "remove_stop_words", "render_postings",
+    "word_count", "inverted_index", "inverted_index_tf", "posting_blocks", "remove_stop_words", "render_postings",
     "single_document_words", "vocabulary_stats", "document_count", "preprocess",
     "word_frequency", "all_pairs", "all_pairs_stats", "candidate_pairs", "comparison_stats",
-    "prefix_index", "similarity_join", "write_delimited", "write_scalar", "lines_from_documents",
+    "prefix_index", "similar_sets", "similarity_join", "write_delimited", "write_scalar", "lines_from_documents",
     "number_lines", "read_lines", "read_processed", "read_scalar", "read_stop_list",
-    "read_word_counts", "read_word_frequency",
+    "read_word_counts",
 ]

@@ -15,8 +15,9 @@ ALNUM_RUN = "[A-Za-z0-9]+"
 NON_ALNUM = "[^A-Za-z0-9]"
 # Whitespace as the reference's tokenizer understands it (Java regex \s).
 WHITESPACE_RUN = r"\s+"
-# Lines of a text value are separated by a newline.
-LINE_SEPARATOR = "\n"
+NON_SPACE_RUN = r"\S+"
+# A line of a text value ends as a line of a text file does: at \r\n, \n or a lone \r.
+LINE_SEPARATOR = "\r\n|\n|\r"
 
 
 def _col(c: Column | str) -> Column:
@@ -37,10 +38,11 @@ def whitespace_tokens(text: Column | str, keep_empty: bool = False) -> Column:
     nothing. ``keep_empty=False`` drops empty tokens altogether.
     """
     t = _col(text)
+    words = F.regexp_extract_all(t, F.lit(NON_SPACE_RUN), 0)
     if keep_empty:
-        return (F.when(t.rlike(r"^\s+$"), F.array().cast("array<string>"))
-                .otherwise(F.split(F.regexp_replace(t, r"\s+$", ""), WHITESPACE_RUN)))
-    return F.filter(F.split(t, WHITESPACE_RUN), lambda x: x != "")
+        leading = F.substring(t, 1, 1).rlike(WHITESPACE_RUN) & t.rlike(r"\S")
+        return F.when((t == "") | leading, F.concat(F.array(F.lit("")), words)).otherwise(words)
+    return words
 
 
 def alnum_tokens(text: Column | str, lower: bool = False) -> Column:

@@ -5,16 +5,15 @@ map-side partial aggregation: first per (word, doc) — a hot word in a hot
 document collapses to one row per task before any shuffle — then per word.
 
 Stop words can be removed two ways:
-* ``stop``: an external stop list, removed with a left-anti join (the side is
-  broadcast only after its size is checked);
+* ``stop``: an external stop list, matched without regard to case and removed with a
+  left-anti join (the side is broadcast only after its rows and bytes are checked);
 * ``max_count``: when the stop list is "words counted more than T times in
-  this same corpus", a word is a stop word exactly when its total count in the
-  per-word aggregate exceeds T, so a HAVING clause replaces the join with no
-  extra shuffle. It also bounds every posting list by T.
+  this same corpus", the (word, doc, tf) table is written once, the words whose
+  total exceeds T are listed from it, and an anti-join removes their rows *before*
+  posting lists are collected, so no list holds more than T documents.
 
-With neither given, the reference's threshold (4000) applies as ``max_count``,
-so an index never holds a stop word and never collects more than 4000 postings
-into one row; pass ``max_count=None`` explicitly for an index of every word.
+With neither given every word is indexed, however often it occurs; for lists without
+such a bound :func:`posting_blocks` cuts a list into rows of bounded length.
 """
 
 from __future__ import annotations
@@ -23,24 +22,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.functions.render import join_docs, join_tf_postings
-from lexiflow.operators.counts import STOP_WORD_THRESHOLD
-from lexiflow.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
-from lexiflow.session import materialize_measured
-
-# marker: "no max_count given" (None means: no threshold at all)
-_DEFAULT = object()
+from lexiflow.operators.joins import (DEFAULT_BROADCAST_ROWS, broadcast_if_small,
+                                      key_table_bytes)
+from lexiflow.session import materialize, materialize_measured
 
 
 def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
                       case_insensitive: bool = False,
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                       stop_is_table: bool = False,
-                      stop_rows: int | None = None) -> DataFrame:
+                      stop_rows: int | None = None, stop_bytes: int = 0) -> DataFrame:
     """Drop rows whose word is in ``stop`` (column ``word``).
 
     The stop list is written once as a table (unless ``stop_is_table`` says it
     already reads one), so its size check and the join share one computation;
-    the row count is observed during that write (or given as ``stop_rows``).
+    rows and characters are observed during that write (or given as ``stop_rows`` and
+    ``stop_bytes``).
     """
     stop_keys = stop.select(F.col("word").alias("_stop"))
     key = F.col(word_col)
@@ -48,9 +45,11 @@ def remove_stop_words(words: DataFrame, stop: DataFrame, word_col: str = "word",
         stop_keys = stop_keys.select(F.lower("_stop").alias("_stop")).distinct()
         key = F.lower(key)
     if not stop_is_table:
-        stop_keys, m = materialize_measured(stop_keys, "stop-list", {"rows": F.count(F.lit(1))})
-        stop_rows = m["rows"]
-    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows, known_rows=stop_rows)
+        stop_keys, m = materialize_measured(stop_keys, "stop-list", {
+            "rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length("_stop").cast("bigint"))})
+        stop_rows, stop_bytes = m["rows"], key_table_bytes(m["rows"], 1, m["chars"])
+    stop_keys = broadcast_if_small(stop_keys, max_broadcast_rows, known_rows=stop_rows,
+                                   known_bytes=stop_bytes)
     return words.join(stop_keys, key == F.col("_stop"), "left_anti")
 
 
@@ -60,60 +59,70 @@ def term_frequencies(tagged: DataFrame, word_col: str = "word", doc_col: str = "
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
-def _per_word(tf: DataFrame, max_count: int | None, *aggs) -> DataFrame:
-    grouped = tf.groupBy("word").agg(F.sum("tf").alias("_total"), *aggs)
-    if max_count is not None:
-        grouped = grouped.where(F.col("_total") <= max_count)
-    return grouped.drop("_total")
+def _prepared(tagged: DataFrame, stop: DataFrame | None, max_count: int | None) -> DataFrame:
+    """(word, doc, tf) without stop words."""
+    if stop is not None:
+        tagged = remove_stop_words(tagged, stop, case_insensitive=True)
+    return drop_frequent(term_frequencies(tagged), max_count)
 
 
-def _prepare(tagged: DataFrame, stop: DataFrame | None, max_count) -> tuple[DataFrame, int | None]:
-    if max_count is _DEFAULT:
-        max_count = STOP_WORD_THRESHOLD if stop is None else None
-    return (tagged if stop is None else remove_stop_words(tagged, stop)), max_count
+def drop_frequent(tf: DataFrame, max_count: int | None) -> DataFrame:
+    """(word, doc, tf) rows of words whose total count is at most ``max_count`` (None: all)."""
+    if max_count is None:
+        return tf
+    tf = materialize(tf.select("word", "doc", "tf"), "term-frequencies")
+    totals = tf.groupBy("word").agg(F.sum("tf").alias("n")).where(F.col("n") > max_count)
+    return remove_stop_words(tf, totals.select("word"))
 
 
 def inverted_index(tagged: DataFrame, stop: DataFrame | None = None,
-                   max_count=_DEFAULT) -> DataFrame:
+                   max_count: int | None = None) -> DataFrame:
     """(word, n_docs, docs): sorted distinct documents containing each word."""
-    tagged, max_count = _prepare(tagged, stop, max_count)
-    tf = term_frequencies(tagged)
-    return _per_word(tf, max_count,
-                     F.count(F.lit(1)).alias("n_docs"),
-                     F.array_sort(F.collect_list("doc")).alias("docs"))
+    return _prepared(tagged, stop, max_count).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc")).alias("docs"))
 
 
 def inverted_index_tf(tagged: DataFrame, stop: DataFrame | None = None,
-                      max_count=_DEFAULT) -> DataFrame:
+                      max_count: int | None = None) -> DataFrame:
     """(word, postings): ``array<struct<doc, tf>>`` sorted by doc."""
-    tagged, max_count = _prepare(tagged, stop, max_count)
+    if stop is not None:
+        tagged = remove_stop_words(tagged, stop, case_insensitive=True)
     return index_from_term_frequencies(term_frequencies(tagged), max_count)
 
 
-def index_from_term_frequencies(tf: DataFrame, max_count: int | None = STOP_WORD_THRESHOLD
-                                ) -> DataFrame:
+def index_from_term_frequencies(tf: DataFrame, max_count: int | None = None) -> DataFrame:
     """(word, postings) from an existing (word, doc, tf) table, e.g. streaming state;
     words whose total count exceeds ``max_count`` are stop words and left out."""
-    return _per_word(tf, max_count,
-                     F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("postings"))
+    return drop_frequent(tf, max_count).groupBy("word").agg(
+        F.array_sort(F.collect_list(F.struct("doc", "tf"))).alias("postings"))
+
+
+def posting_blocks(tagged: DataFrame, stop: DataFrame | None = None,
+                   max_count: int | None = None, width: int = 4096) -> DataFrame:
+    """(word, block, n_docs, docs): the index over integer document ids in bounded rows.
+
+    Block b of a word holds its documents ``b * width`` to ``b * width + width - 1``, so no row
+    and no group ever holds more than ``width`` ids, even for a word that is in every document.
+    """
+    tf = _prepared(tagged, stop, max_count)
+    block = F.floor(F.col("doc") / F.lit(width)).cast("bigint")
+    return tf.groupBy("word", block.alias("block")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list("doc")).alias("docs"))
 
 
 def single_document_words(tagged: DataFrame, stop: DataFrame | None = None,
-                          max_count=_DEFAULT) -> DataFrame:
+                          max_count: int | None = None) -> DataFrame:
     """(word, doc) for words found in exactly one document."""
-    tagged, max_count = _prepare(tagged, stop, max_count)
-    tf = term_frequencies(tagged)
-    per_word = _per_word(tf, max_count, F.count(F.lit(1)).alias("_n_docs"),
-                         F.min("doc").alias("doc"))
+    tf = _prepared(tagged, stop, max_count)
+    per_word = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_n_docs"), F.min("doc").alias("doc"))
     return per_word.where(F.col("_n_docs") == 1).select("word", "doc")
 
 
 def vocabulary_stats(tagged: DataFrame, stop: DataFrame | None = None,
-                     max_count=_DEFAULT) -> DataFrame:
+                     max_count: int | None = None) -> DataFrame:
     """One row: unique (non-stop) words and words in a single document."""
-    tagged, max_count = _prepare(tagged, stop, max_count)
-    tf = term_frequencies(tagged)
-    per_word = _per_word(tf, max_count, F.count(F.lit(1)).alias("_n_docs"))
+    tf = _prepared(tagged, stop, max_count)
+    per_word = tf.groupBy("word").agg(F.count(F.lit(1)).alias("_n_docs"))
     return per_word.agg(F.count(F.lit(1)).alias("unique_words"),
                         F.count(F.when(F.col("_n_docs") == 1, 1)).alias("single_document_words"))
 

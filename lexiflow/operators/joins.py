@@ -16,16 +16,18 @@ DEFAULT_CELL_ROWS = 2_048
 
 
 def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       known_rows: int | None = None) -> DataFrame:
+                       known_rows: int | None = None, known_bytes: int = 0,
+                       max_bytes: int = DEFAULT_KEY_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after counting the side (call on a materialized side).
 
     ``known_rows`` is a count already measured (e.g. observed while the side
-    was written), which saves the counting job. Past the limit the side is
-    returned unchanged and the planner shuffles (AQE may still convert the
-    join from measured runtime statistics).
+    was written), which saves the counting job; ``known_bytes`` is the measured size of
+    a side with strings (:func:`key_table_bytes`), whose rows alone bound nothing. Past either
+    limit the side is returned unchanged and the planner shuffles (AQE may still
+    convert the join from measured runtime statistics).
     """
     n = side.count() if known_rows is None else known_rows
-    return F.broadcast(side) if n <= max_rows else side
+    return F.broadcast(side) if n <= max_rows and known_bytes <= max_bytes else side
 
 
 def key_table_bytes(rows: int, string_cols: int, chars: int) -> int:

@@ -40,18 +40,23 @@ def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value
     written once as a table and its size measured. If it is small enough to
     broadcast, one map-side join both drops stop words and attaches counts.
     Otherwise the stop list is broadcast after its own size check (dropping
-    stop words before any shuffle) and the frequency join is a shuffle join
-    that only sees words counted at most ``stop_threshold`` times, so no join
-    key can be hot.
+    stop words before any shuffle) and the frequency join is a shuffle join. With the
+    derived stop list it only sees words counted at most ``stop_threshold`` times, so no
+    join key can be hot; with a given ``stop`` list only the words it names are removed,
+    whatever their counts, and the skew join splits a hot word's rows.
+
+    ``frequencies`` may name a word more than once; its greatest count is used.
     """
     kept = lines.where(F.col(text_col) != "")
     words = kept.select(F.col(id_col).alias("_id"),
                         F.explode(F.array_distinct(alnum_tokens(text_col))).alias("word"))
     derived = frequencies is None
     vocab, m = materialize_measured(
-        word_frequency(kept, text_col) if derived else frequencies, "vocabulary",
-        {"rows": F.count(F.lit(1)), "chars": F.sum(F.length("word").cast("bigint")),
-         "stop_rows": F.count(F.when(F.col("n") > stop_threshold, 1))})
+        word_frequency(kept, text_col) if derived
+        else frequencies.groupBy("word").agg(F.max("n").alias("n")), "vocabulary",
+        {"rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length("word").cast("bigint")),
+         "stop_rows": F.count(F.when(F.col("n") > stop_threshold, 1)),
+         "stop_chars": F.sum(F.when(F.col("n") > stop_threshold, F.octet_length("word").cast("bigint")))})
     small_vocab = key_table_bytes(m["rows"], 1, m["chars"]) <= max_broadcast_bytes
     if stop is None and derived and small_vocab:
         # one map-side join removes stop words (n > T) and attaches n: no shuffle
@@ -60,14 +65,15 @@ def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value
         if stop is None:
             stop = vocab.where(F.col("n") > stop_threshold).select("word")
             words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows,
-                                      stop_is_table=True, stop_rows=m["stop_rows"])
+                                      stop_is_table=True, stop_rows=m["stop_rows"],
+                                      stop_bytes=key_table_bytes(m["stop_rows"], 1, m["stop_chars"]))
+            known = vocab.where(F.col("n") <= stop_threshold)
         else:
             words = remove_stop_words(words, stop, max_broadcast_rows=max_broadcast_rows)
+            known = vocab
         if derived:
-            # inner join: every remaining word is in the vocabulary with n <= T,
-            # so no join key is hot
-            side = vocab.where(F.col("n") <= stop_threshold)
-            ranked = words.join(F.broadcast(side) if small_vocab else side, "word")
+            # inner join: every remaining word is in the vocabulary
+            ranked = words.join(F.broadcast(known) if small_vocab else known, "word")
         else:
             side = F.broadcast(vocab) if small_vocab else vocab
             ranked = (words.join(side, "word", "left")

@@ -47,26 +47,29 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
 
     sets:    set_id (smallest member id), tokens, size, copies
     members: <id_col>, set_id, copies, size
-    Each document is tagged with its set once (an aggregate on the token
-    array, partial map-side so a hot copy cluster collapses before the
-    shuffle, joined back on the array; AQE splits a hot key). The tagged table
+    Each document is tagged with its set once: an aggregate on the SHA-256 of the
+    token array (each token with its length before it, so no two arrays read alike), partial
+    map-side so a hot copy cluster collapses before the shuffle, joined back on that
+    64-character key; arrays never are a shuffle key and AQE splits a hot one. The tagged table
     is written once (``checkpoint``); ``sets`` is then a narrow filter on it
     (the member whose id is the set id) and ``members`` a projection, so no
     later stage recomputes the preprocessing or the grouping. ``stats`` of the
     sets (count ``n``, tokens ``t``, characters ``c``, id range, largest size)
     are observed during that write; None without ``checkpoint``.
     """
-    docs = docs.select(id_col, "tokens", "size")
-    set_of = (docs.groupBy("tokens")
+    spelled = F.transform("tokens", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t))
+    docs = docs.select(id_col, "tokens", "size",
+                       F.sha2(F.array_join(spelled, ","), 256).alias("_print"))
+    set_of = (docs.groupBy("_print")
               .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
-    tagged = docs.join(set_of, "tokens")
+    tagged = docs.join(set_of, "_print").drop("_print")
     stats = None
     if checkpoint:
         rep = F.col(id_col) == F.col("set_id")
         tagged, stats = materialize_measured(tagged, "set-members", {
             "n": F.count(F.when(rep, 1)),
             "t": F.sum(F.when(rep, F.col("size").cast("bigint"))),
-            "c": F.sum(F.when(rep, F.length(F.array_join("tokens", "")).cast("bigint"))),
+            "c": F.sum(F.when(rep, F.octet_length(F.array_join("tokens", "")).cast("bigint"))),
             "min_id": F.min("set_id"), "max_id": F.max("set_id"),
             "max_size": F.max("size")})
     sets = (tagged.where(F.col(id_col) == F.col("set_id"))
@@ -335,8 +338,8 @@ def prefix_index(docs: DataFrame, threshold, measure: str = JACCARD,
                  id_col: str = "doc_id") -> DataFrame:
     """(word, n_docs, docs): the inverted index of prefix tokens only.
 
-    Every posted word is a non-stop word, so with stop words removed at
-    threshold T a posting list holds at most T ids.
+    For documents whose stop words are removed at a threshold T, as :func:`preprocess` does: a
+    posting list then holds at most T ids.
     """
     th = as_threshold(threshold, measure)
     posted = prefix_postings(docs.withColumnRenamed(id_col, "_pid"), th, id_col="_pid")
@@ -366,28 +369,25 @@ def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                          pair_ratio(F.col("candidate_pairs"), n).alias("saving_ratio"))
 
 
-def all_pairs_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
-                    id_col: str = "doc_id", posting_bound: int | None = None,
-                    cell_rows: int = DEFAULT_CELL_ROWS,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    checkpoint: bool = True) -> DataFrame:
-    """One row for the all-pairs method (A15 for J3): documents, all pairs
-    n(n-1)/2, distinct sets, and ``scored_pairs`` — the size-compatible set
-    pairs sharing at least one token, i.e. the comparisons it performs."""
-    th = as_threshold(threshold, measure)
-    p, q = th.jaccard_bound()
-    sets, members, _ = collapse_duplicates(docs, id_col, checkpoint)
-    postings = sets.select("set_id", "size", F.explode("tokens").alias("token"))
-    postings, k = _salt_sizes(postings, "token", cell_rows, max_broadcast_rows, posting_bound)
-    pairs = pairs_within_groups(postings, ["token"], "set_id", k, carry=["size"],
-                                cell_rows=cell_rows)
-    scored = (pairs.where(size_compatible(F.col("l_size"), F.col("r_size"), p, q))
-              .select("l_set_id", "r_set_id").distinct())
-    tagged = (members.select(F.lit("n_documents").alias("_m"))
-              .unionByName(sets.select(F.lit("distinct_sets").alias("_m")))
-              .unionByName(scored.select(F.lit("scored_pairs").alias("_m"))))
-    counts = tagged.agg(*[F.count(F.when(F.col("_m") == m, 1)).alias(m)
-                          for m in ("n_documents", "distinct_sets", "scored_pairs")])
-    return counts.select("n_documents", pair_count(F.col("n_documents")).alias("all_pairs"),
-                         "distinct_sets", "scored_pairs")
+def similar_sets(docs: DataFrame, threshold, measure: str = JACCARD, *, id_col: str = "doc_id",
+                 strict: bool | None = None, posting_bound: int | None = None,
+                 cell_rows: int = DEFAULT_CELL_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The similarity join in class form: (set_a, set_b, similarity) and (``id_col``, set_id, copies, size).
 
+    Copies of one token set are one class, so a cluster of k copies costs k membership rows
+    instead of the k(k-1)/2 pairs of :func:`similarity_join`, and no link between different sets is lost.
+    """
+    th = as_threshold(threshold, measure, strict)
+    sets, members, stats = collapse_duplicates(docs, id_col)
+    cands = candidate_pairs(sets, th, cell_rows, posting_bound=posting_bound)
+    small = array_table_bytes(stats["n"], stats["t"], stats["c"]) <= DEFAULT_BROADCAST_BYTES
+    return verify(cands, sets, th, broadcast_sets=small), members
+
+
+def all_pairs_stats(docs: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """One row for the all-pairs method (A15 for J3): documents, the n(n-1)/2 comparisons it
+    makes, distinct token sets. Counted, never enumerated."""
+    sets, members, _ = collapse_duplicates(docs, id_col)
+    counts = members.agg(F.count(F.lit(1)).alias("n_documents"),
+                         F.count(F.when(F.col(id_col) == F.col("set_id"), 1)).alias("distinct_sets"))
+    return counts.select("n_documents", pair_count(F.col("n_documents")).alias("all_pairs"), "distinct_sets")

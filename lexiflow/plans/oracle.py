@@ -7,13 +7,15 @@ counting shared tokens over the whole (unfiltered) index, not with prefixes.
 
 from __future__ import annotations
 
-T = 400  # QUERY_STOP_THRESHOLD
+T = 4000  # QUERY_STOP_THRESHOLD
+T_LIST = 400  # LIST_THRESHOLD
+EOL = "'\\r\\n|\\n|\\r'"
 
-LINES = """
+LINES = f"""
 lines AS (
   SELECT doc_id * 1000000 + line_no AS line_id, doc_id, line_no, source, value
-  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS value,
-               unnest(generate_series(1, len(string_split(text, chr(10))))) AS line_no
+  FROM (SELECT doc_id, source, unnest(string_split_regex(text, {EOL})) AS value,
+               unnest(generate_series(1, len(string_split_regex(text, {EOL})))) AS line_no
         FROM documents))"""
 
 RAW_TOKENS = """
@@ -37,7 +39,8 @@ tf AS (SELECT word, doc, count(*) AS tf FROM tagged
 
 # line documents: distinct case-kept tokens, stop words (> T occurrences) removed,
 # ordered by (global count, word)
-PROCESSED = f"""
+def _processed(threshold: int) -> str:
+    return f"""
 {LINES.strip()},
 kept AS (SELECT line_id, value FROM lines WHERE value <> ''),
 occ AS (SELECT unnest(regexp_extract_all(value, '[A-Za-z0-9]+')) AS word FROM kept),
@@ -47,24 +50,32 @@ line_words AS (
   FROM (SELECT line_id, unnest(regexp_extract_all(value, '[A-Za-z0-9]+')) AS word FROM kept)),
 ranked AS (
   SELECT l.line_id AS doc_id, l.word, v.n FROM line_words l JOIN vocab v USING (word)
-  WHERE l.word NOT IN (SELECT word FROM vocab WHERE n > {T})),
+  WHERE l.word NOT IN (SELECT word FROM vocab WHERE n > {threshold})),
 docs AS (
   SELECT doc_id, list(word ORDER BY n, word) AS tokens, count(*) AS size
   FROM ranked GROUP BY doc_id)"""
 
 
-def _pairs(p: int, q: int, measure: str, strict: bool) -> str:
-    """Similar pairs from overlap counts of the whole index, no prefix filter."""
+PROCESSED = _processed(T)
+
+
+def _pairs(p: int, q: int, measure: str, strict: bool, processed: str = PROCESSED) -> str:
+    """Similar pairs from overlap counts of the whole index, no prefix filter.
+
+    Sizes further apart than the threshold allows cannot reach it and are not counted.
+    """
+    far = (p, q) if measure == "jaccard" else (p, q - p)
     if measure == "jaccard":
         denom = "(sa.size + sb.size - o)"
     else:
         denom = "(sa.size + sb.size)"
     op = ">" if strict else ">="
     return f"""
-WITH {PROCESSED.strip()},
-dw AS (SELECT doc_id, word FROM ranked),
+WITH {processed.strip()},
+dw AS (SELECT ranked.doc_id, word, size FROM ranked JOIN docs ON ranked.doc_id = docs.doc_id),
 ov AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS o
-       FROM dw a JOIN dw b ON a.word = b.word AND a.doc_id < b.doc_id GROUP BY 1, 2)
+       FROM dw a JOIN dw b ON a.word = b.word AND a.doc_id < b.doc_id
+       WHERE least(a.size, b.size) * {far[1]} >= greatest(a.size, b.size) * {far[0]} GROUP BY 1, 2)
 SELECT doc_a, doc_b, o::DOUBLE / {denom}::DOUBLE AS similarity
 FROM ov JOIN docs sa ON sa.doc_id = ov.doc_a JOIN docs sb ON sb.doc_id = ov.doc_b
 WHERE o * {q} {op} {denom} * {p}"""
@@ -95,11 +106,11 @@ FROM raw_tokens GROUP BY lower(substring(word, 1, 1))""",
     "stop_words_lower": f"""
 WITH {CLEAN_TOKENS.strip()}
 SELECT lower(word) AS word, count(*) AS n FROM clean_tokens GROUP BY lower(word)
-HAVING count(*) > {T}""",
+HAVING count(*) > {T_LIST}""",
 
     "stop_words_case": f"""
 WITH {CLEAN_TOKENS.strip()}
-SELECT word, count(*) AS n FROM clean_tokens GROUP BY word HAVING count(*) > {T}""",
+SELECT word, count(*) AS n FROM clean_tokens GROUP BY word HAVING count(*) > {T_LIST}""",
 
     "top_words": f"""
 WITH {CLEAN_TOKENS.strip()}
@@ -183,23 +194,21 @@ _SAME = {
     "text_round_trip_processed": "preprocess_documents",
     "document_count_round_trip": "document_count",
     "file_name_index": "single_document_words",
-    "inverted_index_stop_file": "inverted_index",
-    "preprocess_chained": "preprocess_documents",
-    "similar_pairs_chained": "similar_pairs_prefix",
+    "preprocess_stop_file": "preprocess_documents",
 }
 for _name, _base in _SAME.items():
     ORACLE_SQL[_name] = ORACLE_SQL[_base]
 
 ORACLE_SQL["stop_list_round_trip"] = f"""
 WITH {CLEAN_TOKENS.strip()}
-SELECT word FROM clean_tokens GROUP BY word HAVING count(*) > {T}"""
+SELECT word FROM clean_tokens GROUP BY word HAVING count(*) > {T_LIST}"""
 
 ORACLE_SQL["text_round_trip_arrow"] = f"""
 WITH {TAGGED.strip()}
 SELECT word, string_agg(doc, ', ' ORDER BY doc) AS docs FROM tf GROUP BY word"""
 
-ORACLE_SQL["corpus_from_files"] = """
-SELECT source AS doc, CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines,
+ORACLE_SQL["corpus_from_files"] = f"""
+SELECT source AS doc, CAST(sum(len(string_split_regex(text, {EOL}))) AS BIGINT) AS n_lines,
        CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS BIGINT) AS n_words
 FROM documents GROUP BY source"""
 
@@ -226,18 +235,32 @@ SELECT doc_a, doc_b, CAST(CAST(similarity AS FLOAT) AS VARCHAR) AS similarity
 FROM ({_pairs(4, 5, "jaccard", False)})"""
 
 ORACLE_SQL["all_pairs_stats"] = f"""
-WITH {PROCESSED.strip()},
-sets AS (SELECT tokens, min(doc_id) AS set_id, any_value(size) AS size FROM docs GROUP BY tokens),
-posted AS (SELECT set_id, size, unnest(tokens) AS tok FROM sets),
-scored AS (SELECT DISTINCT a.set_id AS l, b.set_id AS r FROM posted a JOIN posted b
-           ON a.tok = b.tok AND a.set_id < b.set_id
-           WHERE least(a.size, b.size) * 2 >= greatest(a.size, b.size) * 1),
-c AS (SELECT (SELECT count(*) FROM docs) AS n_documents,
-             (SELECT count(*) FROM sets) AS distinct_sets,
-             (SELECT count(*) FROM scored) AS scored_pairs)
-SELECT n_documents, n_documents * (n_documents - 1) // 2 AS all_pairs, distinct_sets,
-       scored_pairs
-FROM c"""
+WITH {PROCESSED.strip()}
+SELECT count(*) AS n_documents, count(*) * (count(*) - 1) // 2 AS all_pairs,
+       count(DISTINCT tokens) AS distinct_sets
+FROM docs"""
+
+ORACLE_SQL["preprocess_chained"] = f"""
+WITH {_processed(T_LIST).strip()}
+SELECT doc_id, array_to_string(tokens, ';') AS tokens FROM docs"""
+ORACLE_SQL["similar_pairs_chained"] = _pairs(4, 5, "jaccard", False, _processed(T_LIST))
+
+ORACLE_SQL["inverted_index_stop_file"] = f"""
+WITH {CLEAN_TOKENS.strip()},
+stop AS (SELECT lower(word) AS word FROM clean_tokens GROUP BY word HAVING count(*) > {T_LIST}),
+tagged AS (
+  SELECT DISTINCT source AS doc, lower(w) AS word
+  FROM (SELECT source, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM documents))
+SELECT word, count(*) AS n_docs, string_agg(doc, ', ' ORDER BY doc) AS docs
+FROM tagged WHERE word NOT IN (SELECT word FROM stop) GROUP BY word"""
+
+ORACLE_SQL["posting_blocks"] = """
+WITH tagged AS (
+  SELECT DISTINCT doc_id, lower(w) AS word
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM documents))
+SELECT word, doc_id // 500 AS block, count(*) AS n_docs,
+       string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS docs
+FROM tagged GROUP BY word, doc_id // 500"""
 
 ORACLE_SQL["multi_corpus_index"] = f"""
 WITH corpus AS (

@@ -44,17 +44,15 @@ def text_round_trip_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stop_list_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop list written as ``word,n`` then read as a stop list: words only."""
     path = scratch_path(spark, "stop_words")
-    write_delimited(catalog.stop_words_case(spark, sf_dir), path, "word", "n", sep=COMMA,
-                    n_files=1)
+    write_delimited(catalog.stop_words_case(spark, sf_dir), path, "word", "n", sep=COMMA)
     return read_stop_list(spark, path, sep=COMMA)
 
 
 def inverted_index_stop_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index job as the reference runs it: the lower-cased stop list is written
-    as a ``word,n`` file, read back (S4) and removed with an anti-join (J1, F2)."""
-    path = scratch_path(spark, "stop_words_lower")
-    write_delimited(catalog.stop_words_lower(spark, sf_dir), path, "word", "n", sep=COMMA,
-                    n_files=1)
+    """The index job as the reference runs it: a stop list, case kept, is written as ``word,n``
+    files, read back (S4) and removed without regard to case with an anti-join (J1, F2)."""
+    path = scratch_path(spark, "stop_words_case")
+    write_delimited(catalog.stop_words_case(spark, sf_dir), path, "word", "n", sep=COMMA)
     stop = read_stop_list(spark, path)
     idx = inverted_index(catalog.tagged_words(spark, sf_dir), stop=stop)
     return idx.select("word", "n_docs", join_docs(F.col("docs")).alias("docs"))
@@ -73,7 +71,7 @@ def text_round_trip_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed documents as ``id,t1;t2`` (K2, T6), read back as token arrays."""
     path = scratch_path(spark, "processed")
     write_delimited(catalog.preprocess_documents(spark, sf_dir), path, "doc_id", "tokens",
-                    sep=COMMA)
+                    sep=COMMA, total_order=True)
     back = read_processed(spark, path)
     return back.select("doc_id", join_tokens(F.col("tokens")).alias("tokens"))
 
@@ -84,7 +82,8 @@ def similar_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = catalog.similar_pairs_prefix(spark, sf_dir)
     (pairs.select(pair_line(F.col("doc_a"), F.col("doc_b"), F.col("similarity")).alias("value"),
                   "doc_a", "doc_b")
-     .sortWithinPartitions("doc_a", "doc_b").select("value").write.text(path))
+     .repartitionByRange("doc_a", "doc_b").sortWithinPartitions("doc_a", "doc_b")
+     .select("value").write.text(path))
     pattern = r"^(\d+),(\d+), similarity : (.*)$"
     back = spark.read.text(path)
     return back.select(F.regexp_extract("value", pattern, 1).try_cast("bigint").alias("doc_a"),
@@ -100,8 +99,7 @@ def _chained_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     stop_path = scratch_path(spark, "stop_words")
     write_delimited(catalog.word_count_clean(spark, sf_dir), freq_path, "word", "n", sep=COMMA,
                     n_files=N_OUTPUT_FILES)
-    write_delimited(catalog.stop_words_case(spark, sf_dir), stop_path, "word", "n", sep=COMMA,
-                    n_files=1)
+    write_delimited(catalog.stop_words_case(spark, sf_dir), stop_path, "word", "n", sep=COMMA)
     lines = catalog.document_lines(spark, sf_dir).select("line_id", "value")
     out = preprocess.preprocess(lines, "line_id", "value",
                                 stop=read_stop_list(spark, stop_path),
@@ -115,18 +113,34 @@ def preprocess_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", join_tokens(F.col("tokens")).alias("tokens"))
 
 
+def preprocess_stop_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preprocessing from a stop-list file alone (S4, J1), frequencies derived.
+
+    The file names only the words above the reference's threshold; the operator's own threshold is
+    lower and must not remove any other word.
+    """
+    path = scratch_path(spark, "stop_words")
+    listed = counts.stop_words(catalog.word_count_clean(spark, sf_dir), counts.STOP_WORD_THRESHOLD)
+    write_delimited(listed, path, "word", "n", sep=COMMA)
+    lines = catalog.document_lines(spark, sf_dir).select("line_id", "value")
+    out = preprocess.preprocess(lines, "line_id", "value", stop_threshold=catalog.LIST_THRESHOLD,
+                                stop=read_stop_list(spark, path))
+    return out.select(F.col("line_id").alias("doc_id"), join_tokens(F.col("tokens")).alias("tokens"))
+
+
 def similar_pairs_chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix similarity join reading the preprocessed ``id,t1;t2`` file (E2 -> E3, S6)."""
     path = scratch_path(spark, "processed")
     write_delimited(preprocess_chained(spark, sf_dir), path, "doc_id", "tokens", sep=COMMA)
     docs = read_processed(spark, path)
-    return similarity.similarity_join(docs, catalog.PREFIX_THRESHOLD, method="prefix",
-                                      posting_bound=catalog.QUERY_STOP_THRESHOLD)
+    # the files' tokens were counted at most LIST_THRESHOLD times, which bounds every posting list
+    return similarity.similarity_join(docs, catalog.PREFIX_THRESHOLD,
+                                      posting_bound=catalog.LIST_THRESHOLD)
 
 
 def document_count_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document count written as a one-line file, overwriting (K4, K6), read back."""
-    path = scratch_path(spark, "nb_lines")
+    path = scratch_path(spark, "document_count")
     n = preprocess.document_count(catalog.processed_lines(spark, sf_dir))
     write_scalar(n, path)
     write_scalar(n, path, mode="overwrite")  # a second run replaces the file
@@ -184,6 +198,7 @@ ROUND_TRIP_QUERIES = {
     "document_count_round_trip": document_count_round_trip,
     "similar_pairs_text": similar_pairs_text,
     "preprocess_chained": preprocess_chained,
+    "preprocess_stop_file": preprocess_stop_file,
     "similar_pairs_chained": similar_pairs_chained,
     "corpus_from_files": corpus_from_files,
     "file_name_index": file_name_index,
@@ -216,7 +231,7 @@ def streaming_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased stop words (count > threshold) from the same streaming plan."""
     from lexiflow.streaming.incremental import incremental_word_count
     return incremental_word_count(spark, _write_stream_input(spark, sf_dir), lower=True,
-                                  min_count=catalog.QUERY_STOP_THRESHOLD,
+                                  min_count=catalog.LIST_THRESHOLD,
                                   max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
 
 

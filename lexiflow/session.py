@@ -66,11 +66,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}") if "://" not in base \
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}") if "://" not in base \
         else f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_stage_tables(spark: SparkSession) -> int:
+    """Delete every path handed out by :func:`scratch_path` in this process so far.
+
+    Query results are lazy and read their stage tables, so the caller decides when they
+    are done with: call this after the results have been consumed. Returns the number
+    of paths deleted.
+    """
+    n = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        n += bool(fs.delete(path, True))
+    return n
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -21,16 +21,21 @@ def to_lines(df: DataFrame, key: str | Column, value: str | Column, sep: str = T
 
 def write_delimited(df: DataFrame, path: str, key: str | Column, value: str | Column,
                     sep: str = TAB, n_files: int | None = None, mode: str = "errorifexists",
-                    sort: bool = True) -> None:
+                    sort: bool = True, total_order: bool = False) -> None:
     """Write ``key<sep>value`` text lines.
 
     ``n_files`` sets the number of output files by hash-partitioning on the
     key (every key in exactly one file, K7); ``sort`` orders lines by key
     inside each file (K8); ``mode`` is "errorifexists" (K5) or "overwrite" (K4).
+    ``total_order`` deals keys out by range instead, so the files in name order are
+    one sorted sequence (O2, O3), still with every key in exactly one file.
     For one merged file (K9) pass ``n_files=1`` — only for small results.
     """
     lines = to_lines(df, key, value, sep)
-    if n_files is not None:
+    if total_order:
+        lines = (lines.repartitionByRange("_key") if n_files is None
+                 else lines.repartitionByRange(n_files, "_key"))
+    elif n_files is not None:
         lines = lines.repartition(n_files, "_key")
     if sort:
         lines = lines.sortWithinPartitions("_key")

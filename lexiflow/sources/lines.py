@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import split_lines
 
 # Lines of document ``d`` get ids ``d * LINE_ID_STRIDE + line_no`` (line_no from 1).
 LINE_ID_STRIDE = 1_000_000
+# A text is under 2**31 bytes, so under 10**12 lines; with a 19-digit id that is 31 digits.
+WIDE_STRIDE = 10 ** 12
 
 
 def read_lines(spark: SparkSession, path: str | list[str], with_file: bool = False,
@@ -16,14 +18,19 @@ def read_lines(spark: SparkSession, path: str | list[str], with_file: bool = Fal
     """One row per line of every text file under ``path``.
 
     ``with_file`` adds ``doc``: the base name of the containing file (or the
-    full path with ``full_path``), taken from the hidden ``_metadata`` column so
-    it costs nothing per row. The line reader drops a UTF-8 byte-order mark.
+    full path with ``full_path``) as it is on disk, taken from the hidden ``_metadata``
+    column. The line reader drops a UTF-8 byte-order mark.
     """
     df = spark.read.text(path)
     if not with_file:
         return df
     name = "_metadata.file_path" if full_path else "_metadata.file_name"
-    return df.select("value", F.col(name).alias("doc"))
+    return df.select("value", plain_name(F.col(name)).alias("doc"))
+
+
+def plain_name(encoded: Column) -> Column:
+    """A file name or path as on disk: ``_metadata`` holds it percent-encoded, plus signs bare."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool = True,
@@ -46,7 +53,7 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
         df = df.where(F.col("value") != "")
     df = df.select("value",
                    F.col("_metadata.file_path").alias("_path"),
-                   F.col("_metadata.file_name").alias("doc"),
+                   plain_name(F.col("_metadata.file_name")).alias("doc"),
                    F.col("_metadata.file_block_start").alias("_block"),
                    F.monotonically_increasing_id().alias("_scan"))
     per_block = df.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"),
@@ -66,24 +73,26 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
 
 def lines_from_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          keep: tuple[str, ...] = (),
-                         stride: int = LINE_ID_STRIDE) -> DataFrame:
+                         stride: int = LINE_ID_STRIDE, wide: bool = False) -> DataFrame:
     """One row per line of a text column; ``line_id = id * stride + line_no``.
 
     Narrow transformation: no shuffle, splits stay where the scan put them.
     A document with ``stride`` lines or more would make ids collide; such a
-    row fails the job (``raise_error``) rather than produce wrong ids — pass a
-    wider ``stride`` for such texts.
+    row fails the job (``raise_error``) rather than produce wrong ids. ``wide`` gives
+    decimal(38) ids with a stride that no text can reach and no id can overflow; the joins
+    take either type.
     """
     exploded = docs.select(F.col(id_col).alias("_doc"), *keep,
                            F.posexplode(split_lines(text_col)).alias("_pos", "value"))
     line_no = F.col("_pos") + 1
+    if wide:
+        wide_id = (F.col("_doc").cast("decimal(20,0)") * F.lit(WIDE_STRIDE).cast("decimal(14,0)")
+                   + line_no.cast("decimal(20,0)"))
+        return exploded.select(wide_id.cast("decimal(38,0)").alias("line_id"),
+                               F.col("_doc").alias(id_col), line_no.alias("line_no"), *keep, "value")
     line_id = F.when(line_no < stride, F.col("_doc") * stride + line_no).otherwise(
         F.raise_error(F.lit(f"a document has {stride} lines or more; widen the line-id stride")))
     return exploded.select(
         line_id.cast("bigint").alias("line_id"),
         F.col("_doc").alias(id_col), line_no.alias("line_no"), *keep, "value")
 
-
-def non_empty_lines(lines: DataFrame, text_col: str = "value") -> DataFrame:
-    """Keep lines that are not the empty string (whitespace-only lines stay, F1)."""
-    return lines.where(F.col(text_col) != "")

@@ -29,11 +29,6 @@ def read_word_counts(spark: SparkSession, path: str, sep: str = ",") -> DataFram
             .where(F.col("n").isNotNull()))
 
 
-def read_word_frequency(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """The word-frequency file of the preprocessing chain: ``word,n`` lines."""
-    return read_word_counts(spark, path, sep)
-
-
 def read_stop_list(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Stop words from a file: one per line, optionally followed by ``<sep>count``.
 

@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from lexiflow.sources.lines import lines_from_documents
 
 
+# Only a scan of at most this many splits (8 GB at 128 MB each) is ever spread.
+BALANCE_SPLITS = 64
+
+
 def balance_partitions(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores.
 
     A small table stored as one parquet row group is read by a single task,
-    which then tokenizes everything alone. Below ``defaultParallelism`` splits
-    the input is at most (cores x maxPartitionBytes), so a round-robin
-    repartition is cheap; large inputs already have enough splits and are
-    left untouched (no extra shuffle at scale).
+    which then tokenizes everything alone. Such an input, of at most BALANCE_SPLITS
+    splits, is spread round-robin; larger ones are left untouched on a cluster of any size, so
+    no extra shuffle grows with the data.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() < min(cores, BALANCE_SPLITS):
         return df.repartition(cores)
     return df
 

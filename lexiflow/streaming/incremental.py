@@ -10,7 +10,6 @@ folder, so a restarted query — or one that lost executors — resumes exactly.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import tokenize
@@ -49,23 +48,32 @@ def run_to_parquet(counts: DataFrame, out_path: str, checkpoint_path: str,
     def publish(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
 
+    folder, fs = _folder(counts.sparkSession, out_path)
+    fs.mkdirs(folder)
     writer = (counts.writeStream.outputMode("update").foreachBatch(publish)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def read_latest(spark: SparkSession, out_path: str, key: str | list[str] = "word",
                 empty_schema: str = "word string, n bigint") -> DataFrame:
     """Current value per key: the row of the newest epoch (counts only grow).
 
-    No epoch written yet (an empty input) gives an empty table.
+    A folder without any epoch yet (an empty input) gives an empty table; a path that
+    does not exist is an error.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    try:
-        rows = spark.read.parquet(out_path)
-    except AnalysisException:
+    folder, fs = _folder(spark, out_path)
+    if fs.exists(folder) and not fs.listStatus(folder):
         return spark.createDataFrame([], empty_schema)
+    rows = spark.read.parquet(out_path)
     values = [c for c in rows.columns if c not in (*keys, "epoch")]
     return rows.groupBy(*keys).agg(*[F.max_by(c, "epoch").alias(c) for c in values])
 

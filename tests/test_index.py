@@ -52,3 +52,35 @@ def test_render_postings_by_schema(spark):
     b = index.render_postings(index.inverted_index_tf(words))
     assert rows(a) == [("x", "d1"), ("y", "d1, d2")]
     assert rows(b) == [("x", "d1#1"), ("y", "d1#1, d2#1")]
+
+
+def test_stop_list_of_any_case(spark):
+    words = _tagged(spark, [("d1", "The cat"), ("d2", "the dog")])
+    stop = spark.createDataFrame([("The",), ("DOG",)], "word string")
+    assert rows(index.inverted_index(words, stop=stop).select("word")) == [("cat",)]
+    assert rows(index.inverted_index_tf(words, stop=stop).select("word")) == [("cat",)]
+
+
+def test_nothing_is_cut_by_default(spark):
+    tagged = spark.range(5000).selectExpr("cast(id AS string) AS doc", "'the' AS word")
+    assert [r.n_docs for r in index.inverted_index(tagged).collect()] == [5000]
+
+
+def test_frequent_word_goes_before_the_collect(spark):
+    tagged = spark.range(100_000).selectExpr("id AS doc", "'hot' AS word").unionByName(
+        spark.range(10).selectExpr("id AS doc", "'cold' AS word"))
+    idx = index.inverted_index(tagged, max_count=10)
+    assert rows(idx.select("word", "n_docs")) == [("cold", 10)]
+    plan = idx._jdf.queryExecution().optimizedPlan().toString()
+    # the anti join stands below the aggregate that collects
+    assert plan.index("collect_list") < plan.index("LeftAnti")
+
+
+def test_posting_blocks_are_bounded_and_complete(spark):
+    tagged = spark.range(1000).selectExpr("id AS doc", "'hot' AS word").unionByName(
+        spark.createDataFrame([(5, "rare"), (999, "rare")], "doc long, word string"))
+    got = index.posting_blocks(tagged, width=64).collect()
+    assert max(r.n_docs for r in got) <= 64
+    assert sorted(d for r in got if r.word == "hot" for d in r.docs) == list(range(1000))
+    assert [(r.block, list(r.docs)) for r in got if r.word == "rare"] in ([(0, [5]), (15, [999])],
+                                                                         [(15, [999]), (0, [5])])

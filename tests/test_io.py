@@ -123,3 +123,43 @@ def test_multi_file_sink_partitions_by_key_and_sorts(spark):
         assert keys == sorted(keys)  # sorted inside each file (K8)
         seen += keys
     assert sorted(seen) == sorted(f"w{i:03d}" for i in range(200))  # each key once (K7)
+
+
+def test_plain_file_names(spark, tmp_path):
+    names = ["War and Peace.txt", "a+b.txt", "50%.txt", "été.txt", "x%20y.txt"]
+    for n in names:
+        (tmp_path / n).write_text(f"in {n}\n")
+    from lexiflow.sources.lines import number_lines, read_lines
+    for df in (read_lines(spark, str(tmp_path), with_file=True), number_lines(spark, str(tmp_path))):
+        assert sorted((r.doc, r.value) for r in df.collect()) == sorted((n, f"in {n}") for n in names)
+
+
+def test_files_in_name_order_are_one_sequence(spark, tmp_path):
+    import glob
+
+    from lexiflow.sinks.delimited import write_delimited
+    df = spark.range(5000).selectExpr("(id * 7919) % 5003 AS k", "id AS v")
+    write_delimited(df, str(tmp_path / "o"), "k", "v", n_files=6, total_order=True)
+    files = sorted(glob.glob(str(tmp_path / "o" / "part-*")))
+    keys = [int(line.split("\t")[0]) for f in files for line in open(f)]
+    assert len(files) > 1 and keys == sorted(keys) and len(keys) == 5000
+
+
+def test_lines_of_a_table_end_as_lines_of_a_file(spark, tmp_path):
+    from lexiflow.sources.lines import lines_from_documents, read_lines
+    text = "a\r\nb\rc\nd"
+    (tmp_path / "t.txt").write_bytes(text.encode())
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    want = ["a", "b", "c", "d"]
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path / "t.txt")).collect()) == want
+    assert [r.value for r in lines_from_documents(docs).orderBy("line_no").collect()] == want
+
+
+def test_stage_tables_are_dropped_on_request(spark):
+    import os
+
+    from lexiflow.session import drop_stage_tables, materialize, scratch_path
+    materialize(spark.range(3), "gone")
+    unused = scratch_path(spark, "never-written")
+    assert drop_stage_tables(spark) >= 1 and not os.path.exists(unused)
+    assert drop_stage_tables(spark) == 0

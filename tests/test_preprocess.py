@@ -60,3 +60,42 @@ def test_broadcast_and_shuffle_plans_agree(spark):
 def test_empty_lines_table(spark):
     out = preprocess.preprocess(_lines(spark, ["", "  ", "!!"]), stop_threshold=2)
     assert out.count() == 0
+
+
+def _plan_limits():
+    """Keyword arguments that force the broadcast branch and the shuffle branch."""
+    return [{}, {"max_broadcast_bytes": 0, "max_broadcast_rows": 0}]
+
+
+def test_given_stop_list_removes_only_the_words_it_names(spark):
+    lines = _lines(spark, [f"common w{i}" for i in range(7)] + ["zzz w1"])
+    stop = spark.createDataFrame([("zzz",)], "word string")
+    for limits in _plan_limits():
+        out = preprocess.preprocess(lines, stop_threshold=3, stop=stop, **limits)
+        got = {r.line_id: list(r.tokens) for r in out.collect()}
+        # "common" is counted above the threshold but not listed
+        assert got == {**{i + 1: [f"w{i}", "common"] for i in range(7)}, 8: ["w1"]}
+
+
+def test_repeated_frequency_rows_count_once(spark):
+    lines = _lines(spark, ["a b", "b"])
+    freq = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "word string, n long")
+    for limits in _plan_limits():
+        out = preprocess.preprocess(lines, frequencies=freq, stop=freq.limit(0).select("word"), **limits)
+        assert {r.line_id: (list(r.tokens), r["size"]) for r in out.collect()} == {
+            1: (["b", "a"], 2), 2: (["b"], 1)}
+
+
+def test_wide_line_ids_of_a_huge_text_and_a_long_id(spark):
+    from lexiflow.functions.sets import Threshold
+    from lexiflow.operators.similarity import similarity_join
+    from lexiflow.sources.lines import lines_from_documents
+
+    text = "\n" * 1_000_000 + "alpha beta gamma"
+    docs = spark.createDataFrame([(9_300_000_000_001, text), (7, "alpha beta gamma")], "doc_id long, text string")
+    lines = lines_from_documents(docs, wide=True)
+    assert lines.where("line_no = 1000001").count() == 1
+    out = preprocess.preprocess(lines.select("line_id", "value"), stop_threshold=10)
+    pairs = similarity_join(out.withColumnRenamed("line_id", "doc_id"), Threshold.of("4/5")).collect()
+    assert [(int(r.doc_a), int(r.doc_b)) for r in pairs] == [
+        (7 * 10 ** 12 + 1, 9_300_000_000_001 * 10 ** 12 + 1_000_001)]

@@ -164,3 +164,39 @@ def test_empty_inputs(spark):
         assert similarity.similarity_join(empty, Threshold.of("4/5"), method=method).count() == 0
     r = similarity.comparison_stats(empty, Threshold.of("4/5")).first()
     assert (r.n_documents, r.all_pairs, r.candidate_pairs, r.saving_ratio) == (0, 0, 0, None)
+
+
+def test_hot_token_and_hot_set_at_the_default_cell_size(spark):
+    from pyspark.sql import functions as F
+    # one token in 3000 distinct sets of one size, and one set of 2100 copies
+    distinct = spark.range(3000).select(F.col("id").alias("doc_id"), F.array(
+        F.concat(F.lit("u"), F.col("id").cast("string")), F.lit("hot")).alias("tokens"))
+    copies = spark.range(2100).select((F.col("id") + 10_000).alias("doc_id"), F.array(
+        F.lit("c1"), F.lit("c2"), F.lit("c3")).alias("tokens"))
+    docs = distinct.unionByName(copies).withColumn("size", F.size("tokens"))
+    pairs = similarity.similarity_join(docs, Threshold.of("4/5"))
+    assert pairs.agg(F.count("*"), F.min("doc_a")).first()[:] == (2100 * 2099 // 2, 10_000)
+    # sharing the hot token alone is a third: all pairs at 1/3 come through the salted grid
+    low = similarity.candidate_pairs(distinct.withColumn("size", F.lit(2)).withColumnRenamed("doc_id", "set_id"),
+                                     Threshold.of("1/3"))
+    assert low.count() == 3000 * 2999 // 2
+    set_pairs, members = similarity.similar_sets(docs, Threshold.of("4/5"))
+    assert set_pairs.count() == 0
+    assert members.where("copies = 2100").select("set_id").distinct().count() == 1
+
+
+def test_arrays_that_read_alike_are_different_sets(spark):
+    docs = spark.createDataFrame([(1, ["a b"], 1), (2, ["a", "b"], 2)], DOC_SCHEMA)
+    sets, _, _ = similarity.collapse_duplicates(docs)
+    assert sets.count() == 2
+
+
+def test_candidates_lie_between_result_and_all_pairs(spark, sf_small):
+    from lexiflow.plans import catalog
+    docs = catalog.processed_lines(spark, sf_small)
+    stats = similarity.comparison_stats(docs, Threshold.of("4/5")).first()
+    set_pairs, _ = similarity.similar_sets(docs, Threshold.of("4/5"))
+    sizes = [set(r.tokens) for r in docs.collect()]
+    assert stats.n_documents == len(sizes)
+    assert stats.distinct_sets == len({tuple(sorted(s)) for s in sizes})
+    assert set_pairs.count() <= stats.candidate_pairs <= stats.all_pairs

@@ -26,3 +26,14 @@ def test_streaming_count_of_empty_folder(spark):
     with open(os.path.join(path, "empty.txt"), "w"):
         pass
     assert incremental_word_count(spark, path).count() == 0
+
+
+def test_reading_a_path_that_is_not_there_fails(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from lexiflow.streaming.incremental import read_latest
+    with pytest.raises(AnalysisException):
+        read_latest(spark, str(tmp_path / "nowhere")).collect()
+    (tmp_path / "empty").mkdir()
+    assert read_latest(spark, str(tmp_path / "empty")).count() == 0
