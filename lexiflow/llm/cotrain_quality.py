@@ -281,12 +281,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def only_telling(features: pd.Series) -> pd.Series:
         return pd.Series([f[np.isin(f, telling)] for f in features])
 
-    rows = sample.withColumn("f", only_telling("f")).toPandas().sort_values("_id", kind="stable")
-    text_rows = [np.asarray(f, np.int32) for f in rows["f"]]
-    meta_rows = [np.array(meta_features(*m), np.int32)
-                 for m in zip(rows["lang"], rows["source"], rows["n_chars"], strict=True)]
-    return co_train(text_rows, meta_rows, rows["label"].to_numpy(np.float64),
-                    rows["held"].to_numpy(bool), rounds)
+    # one flat array of feature numbers; the rows are views on it
+    got = sample.withColumn("f", only_telling("f")).toArrow()
+    order = np.argsort(got["_id"].to_numpy(), kind="stable")
+    features = got["f"].combine_chunks()
+    flat, ends = features.values.to_numpy(), features.offsets.to_numpy()
+    text_rows = [flat[ends[i]:ends[i + 1]] for i in order]
+    meta = list(zip(*(got[c].to_pylist() for c in ("lang", "source", "n_chars")), strict=True))
+    meta_rows = [np.array(meta_features(*meta[i]), np.int32) for i in order]
+    label = got["label"].to_numpy().astype(np.float64)
+    return co_train(text_rows, meta_rows, label[order], got["held"].to_numpy()[order], rounds)
 
 
 def telling_features(train: DataFrame) -> np.ndarray:
