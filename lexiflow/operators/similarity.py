@@ -31,7 +31,7 @@ from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, pai
                                      pair_ratio, prefix_length, similarity_value,
                                      size_compatible)
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
-                                      DEFAULT_CELL_ROWS, broadcast_if_small,
+                                      DEFAULT_CELL_ROWS, broadcast_if_small, key_table_bytes,
                                       pairs_across_groups, pairs_within_groups)
 from lexiflow.session import materialize_measured
 
@@ -132,8 +132,8 @@ def index_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> Da
 
 
 def _hot_token_counts(probe: DataFrame, index: DataFrame, cell_rows: int,
-                      max_broadcast_rows: int) -> DataFrame:
-    """(token, _kl, _kr) for tokens with more than ``cell_rows`` postings on a side."""
+                      max_broadcast_rows: int) -> DataFrame | None:
+    """(token, _kl, _kr) for tokens with more than ``cell_rows`` postings on a side; None if none has."""
     both = (probe.groupBy("token").agg(F.count(F.lit(1)).alias("_kl"),
                                        F.lit(0).cast("bigint").alias("_kr"))
             .unionByName(index.groupBy("token").agg(F.lit(0).cast("bigint").alias("_kl"),
@@ -141,8 +141,11 @@ def _hot_token_counts(probe: DataFrame, index: DataFrame, cell_rows: int,
     per_token = both.groupBy("token").agg(F.sum("_kl").alias("_kl"), F.sum("_kr").alias("_kr"))
     hot, m = materialize_measured(
         per_token.where(F.greatest("_kl", "_kr") > cell_rows), "hot-keys",
-        {"rows": F.count(F.lit(1))})
-    return broadcast_if_small(hot, max_broadcast_rows, known_rows=m["rows"])
+        {"rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length("token").cast("bigint"))})
+    if not m["rows"]:
+        return None
+    return broadcast_if_small(hot, max_broadcast_rows, known_rows=m["rows"],
+                              known_bytes=key_table_bytes(m["rows"], 1, m["chars"]))
 
 
 def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
@@ -173,6 +176,8 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
     sized = not (posting_bound is not None and posting_bound <= cell_rows)
     if sized:
         hot = _hot_token_counts(probe, index, cell_rows, max_broadcast_rows)
+        sized = hot is not None
+    if sized:
         zero = {"_kl": 0, "_kr": 0}
         probe = probe.join(hot, "token", "left").fillna(zero)
         index = index.join(hot, "token", "left").fillna(zero)
