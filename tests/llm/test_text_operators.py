@@ -191,6 +191,12 @@ def page(body):
     ("<article><header><h1>T</h1></header><p>a<p>b<script>x('</p>')</script><form>f</form></article>",
      [("main", "T"), ("main", "a"), ("main", "b")]),
     ("<article><p>cut off", [("main", "cut off")]),
+    ("<div class='page-content'><p>Body.</p><p class='share-links'>Tweet</p><p>More.</p></div><div>x</div>",
+     [("main", "Body."), ("main", "More.")]),
+    ("<div class=content>out<article><div class='post-header'>Title</div><p hidden>h</p><p>In.</p></article></div>",
+     [("main", "Title"), ("main", "In.")]),
+    ("<article><p>a</p><div style='display: none'>b</div><aside>c</aside><ul><li>d</li><li class=ad>e</li></ul>"
+     "</article>", [("main", "a"), ("main", "d")]),
     ("<article><p>5 < 6 and a<b", [("main", "5 < 6 and a")]),
 ])
 def test_blocks(body, want):
