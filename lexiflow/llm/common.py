@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: texts are handed to the vectorised kernels in slices of about this many characters
 SLICE_CHARS = 1 << 20
+#: a key with fewer rows than this is never hot; a broadcast of hot keys has at most HOT_KEYS rows
+HOT_ROWS = 256
+HOT_KEYS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,5 +56,24 @@ def slices(texts: list[str], limit: int = SLICE_CHARS):
         yield part
 
 
+def join_counted(rows: DataFrame, side: DataFrame, key: str, side_key: str, most: int) -> DataFrame:
+    """Inner join of ``rows`` with ``side``, whose keys are distinct and whose ``_k`` counts a key's ``rows``.
+
+    Keys with more than ``most`` rows go by broadcast and so never meet in one task; there are
+    at most ``total / most`` of them, which is the caller's bound on the broadcast.
+    The others are shuffled, at most ``most`` rows per key. Null keys match nothing.
+    """
+    on = F.col(key) == F.col(side_key)
+    hot, cold = side.where(F.col("_k") > most), side.where(F.col("_k") <= most)
+    direct = rows.join(F.broadcast(hot), on)
+    dealt = rows.join(F.broadcast(hot.select(side_key)), on, "left_anti").join(cold, on)
+    return direct.unionByName(dealt).drop("_k", side_key)
+
+
+def hot_limit(total: int, most_keys: int = HOT_KEYS, least: int = HOT_ROWS) -> int:
+    """Rows from which a key counts as hot, such that ``total`` rows have at most ``most_keys`` hot keys."""
+    return max(least, -(-total // most_keys))
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)

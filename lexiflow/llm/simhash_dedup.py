@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import popcount, text_or_empty, text_udf
+from lexiflow.llm.common import hot_limit, join_counted, popcount, text_or_empty, text_udf
 from lexiflow.llm.graph import connected_components
 from lexiflow.operators.joins import broadcast_if_small
 from lexiflow.session import materialize, materialize_measured
@@ -213,7 +213,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One row per input row: id, ``fp`` (signed bits), ``component_id``.
 
     ``component_id`` is the smallest id reachable over links of at most
-    ``radius`` differing bits, the row's own id included.
+    ``radius`` differing bits, the row's own id included. A fingerprint or component with very many
+    rows is joined by broadcast, the others by shuffle.
 
     Defined cases: a null or empty text has fingerprint 0 and links like any
     other; repeated rows come out as often as they went in; a row whose id is
@@ -221,18 +222,24 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     has none); an empty table gives an empty result; other columns, whatever
     their names, are not read.
     """
-    rows = materialize(docs.select(F.col(id_col).alias("id"),
-                                   fingerprint_column(text_col, width).alias("fp")), "simhash")
-    fps = materialize(rows.groupBy("fp").agg(F.min("id").alias("low")), "simhash-distinct")
+    rows, seen = materialize_measured(
+        docs.select(F.col(id_col).alias("id"), fingerprint_column(text_col, width).alias("fp")),
+        "simhash", {"n": F.count(F.lit(1))})
+    most = hot_limit(seen["n"])
+    fps = materialize(rows.groupBy("fp").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies")),
+                      "simhash-distinct")
     edges = fingerprint_links(fps.select("fp"), radius, cell_rows=cell_rows)
     labels = connected_components(edges)
-    linked = fps.join(labels.withColumnRenamed("node", "fp"), "fp")
-    lowest = linked.groupBy("label").agg(F.min("low").alias("component_id"))
-    linked = linked.join(lowest, "label").select("fp", "component_id")
+    linked = fps.join(labels.withColumnRenamed("node", "fp"), "fp").select("fp", "low", "label")
+    lowest = linked.groupBy(F.col("label").alias("root")).agg(F.min("low").alias("component_id"),
+                                                              F.count(F.lit(1)).alias("_k"))
+    linked = join_counted(linked, lowest, "label", "root", most).select("fp", "component_id")
     per_fp = (fps.join(linked, "fp", "left")
-              .select("fp", F.coalesce("component_id", "low").alias("component_id")))
+              .select(F.col("fp").alias("print"), F.col("copies").alias("_k"),
+                      F.coalesce("component_id", "low").alias("component_id")))
     per_fp = materialize(per_fp, "simhash-components")
-    return rows.join(per_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return join_counted(rows, per_fp, "fp", "print", most).select(
+        F.col("id").alias(id_col), "fp", "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from lexiflow.llm import ann_tree, cotrain_quality, graph, poisson_mix, simhash_dedup
-from lexiflow.llm.common import DOC_COLUMNS, table
+from lexiflow.llm.common import DOC_COLUMNS, hot_limit, join_counted, table
 from lexiflow.llm.oracle import ORACLE_SQL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,16 +36,29 @@ def components(nodes, links):
     return {n: low[find(n)] for n in nodes}
 
 
-def test_components_of_paths_stars_and_random_edges(spark):
+@pytest.mark.parametrize("hot_rows", [256, 3])
+def test_components_of_paths_stars_and_random_edges(spark, hot_rows):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 600)]
     links += [(rng.randrange(1000, 1300), rng.randrange(1000, 1300)) for _ in range(200)] + [(-5, 3), (7, 7)]
-    got = graph.connected_components(spark.createDataFrame([*links, (None, 3)], "a long, b long"))
+    got = graph.connected_components(spark.createDataFrame([*links, (None, 3)], "a long, b long"),
+                                     hot_rows=hot_rows)
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert {r.node: r.label for r in got.collect()} == components(nodes, [x for x in links if x[0] != x[1]])
     assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most", [2, 100])
+def test_join_of_counted_keys(spark, most):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1, 1, 1, 2, None, None, None, 4])], "key int, v int")
+    side = (rows.where("key is null or key <> 4").groupBy(F.col("key").alias("of"))
+            .agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("_k")))
+    got = join_counted(rows, side, "key", "of", most)
+    assert got.columns == ["key", "v", "top"]
+    assert {tuple(r) for r in got.collect()} == {(1, 0, 2), (1, 1, 2), (1, 2, 2), (2, 3, 3)}
+    assert hot_limit(10) == 256 and 10**9 / hot_limit(10**9) <= 50_000
+
+
 # ---- SimHash
 
 def plain_fingerprint(spark, text, width):
