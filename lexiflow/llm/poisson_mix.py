@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.operators.joins import broadcast_if_small
+from lexiflow.operators.joins import broadcast_if_small, key_table_bytes
 from lexiflow.session import materialize_measured
 
 SEED = "mix-1"
@@ -39,8 +39,8 @@ def hash_unit(*parts: Column) -> Column:
 
 def source_means(docs: DataFrame, source_col: str = "source", text_col: str = "text",
                  temperature: float = TEMPERATURE, epochs: float = EPOCHS,
-                 weights: dict | None = None) -> tuple[DataFrame, int]:
-    """Per source: ``volume``, ``weight`` (target share) and ``mean`` repetitions; and the number of sources.
+                 weights: dict | None = None) -> tuple[DataFrame, int, int]:
+    """Per source: ``volume``, ``weight`` (target share), ``mean`` repetitions; number of sources and bytes of their names.
 
     Without ``weights`` the target shares are volumes raised to ``temperature``,
     normalised; with them, a source not named has weight 0. A source
@@ -58,12 +58,13 @@ def source_means(docs: DataFrame, source_col: str = "source", text_col: str = "t
     raw = F.when(F.col("volume") > 0, raw).otherwise(F.lit(0.0))
     # one row per source is written; the two totals are observed on the way
     rated, total = materialize_measured(volumes.withColumn("raw", raw), "source-volumes", {
-        "volume": F.sum("volume"), "raw": F.sum("raw"), "n": F.count(F.lit(1))})
+        "volume": F.sum("volume"), "raw": F.sum("raw"), "n": F.count(F.lit(1)),
+        "bytes": F.sum(F.octet_length(F.col("source").cast("string")).cast("long"))})
     share = F.col("raw") / F.lit(float(total["raw"])) if total["raw"] > 0 else F.lit(0.0)
     mean = F.lit(float(epochs)) * share * F.lit(float(total["volume"])) / F.col("volume")
     return rated.select(
         "source", "volume", share.alias("weight"),
-        F.when(F.col("volume") > 0, mean).otherwise(F.lit(1.0)).alias("mean")), total["n"]
+        F.when(F.col("volume") > 0, mean).otherwise(F.lit(1.0)).alias("mean")), total["n"], total["bytes"]
 
 
 def with_distribution(means: DataFrame) -> DataFrame:
@@ -94,10 +95,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     clash = {"_copies", "_copy", "_key"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are added by this operator")
-    means, n_sources = source_means(docs, source_col, text_col, temperature, epochs, weights)
+    means, n_sources, name_bytes = source_means(docs, source_col, text_col, temperature, epochs, weights)
     side = with_distribution(means).select(F.col("source").alias("_src"), F.col("steps").alias("_steps"),
                         F.col("cdf").alias("_cdf"))
-    joined = docs.join(broadcast_if_small(side, known_rows=n_sources),
+    side_bytes = key_table_bytes(n_sources, 1, name_bytes) + 8 * (MAX_DRAW + 3) * n_sources
+    joined = docs.join(broadcast_if_small(side, known_rows=n_sources, known_bytes=side_bytes),
                        F.col(source_col).eqNullSafe(F.col("_src")))
     draws = F.transform(F.sequence(F.lit(0), F.col("_steps") - 1), lambda i: F.size(F.filter(
         "_cdf", lambda c: c <= hash_unit(F.lit(seed), F.col(id_col), i))))
