@@ -9,8 +9,9 @@ alignment lies wholly in one. Bands that reach the bound are regions; a region i
 confirmed by aligning the whole item to it in a band of that width, free ends in the text,
 with at most e edits.
 
-Items longer than ``segment`` are compared in overlapping segments, so a large part of a long
-item is found as well.
+An item is compared as a whole, or in overlapping segments of ``segment`` characters if it is longer, and
+also in passages: every ``stride``-th run of ``passage`` characters, and the last one. A verbatim
+quote of ``passage + stride - 1`` characters holds a whole passage, wherever it begins.
 """
 
 from __future__ import annotations
@@ -27,11 +28,14 @@ from lexiflow.llm.common import slices, text_or_empty
 Q = 10
 EDIT_RATE = 0.06
 SEGMENT = 512
+#: a quote of part of an item counts from this many folded characters on; passages begin every STRIDE
+PASSAGE = 50
+STRIDE = 10
 #: the index of one pass over the texts holds at most this many benchmark q-grams
 INDEX_GRAMS = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
-MATCHES = "array<struct<item_id:long,edits:int,start:long,end:long>>"
+MATCHES = "array<struct<item_id:long,edits:int,start:long,end:long,size:int>>"
 _OTHER = re.compile(r"[\W_]+")
 
 
@@ -88,6 +92,20 @@ def segments(item: str, q: int, segment: int) -> list[str]:
             for i in range(0, len(text) - step, step)]
 
 
+def passages(item: str, passage: int, stride: int) -> list[str]:
+    """Folded passages of an item longer than ``passage``."""
+    text = fold(item)
+    last = len(text) - passage
+    if last <= 0:
+        return []
+    return [text[i:i + passage] for i in [*range(0, last, stride), last]]
+
+
+def parts_of(item: str, q: int, segment: int, passage: int, stride: int) -> list[str]:
+    """Everything an item is compared by, each text once."""
+    return list(dict.fromkeys(segments(item, q, segment) + passages(item, passage, stride)))
+
+
 class GramIndex:
     """The q-grams of a set of benchmark segments with their places."""
 
@@ -182,7 +200,10 @@ def align(text: str, item: str, first: int, last: int, budget: int) -> tuple[int
 
 
 def find_matches(texts: list[str], index: GramIndex) -> list[list[dict]]:
-    """Per text, its best confirmed match with every benchmark item; places in the folded text."""
+    """Per text, its best confirmed match with every benchmark item; places in the folded text.
+
+    Best is the longest part of the item, then fewest edits, then the first place.
+    """
     folded = [fold(t) for t in texts]
     starts = np.cumsum([0] + [len(t) + 1 for t in folded])
     # texts are joined by a character that folding removes, so no gram crosses it unseen
@@ -192,28 +213,33 @@ def find_matches(texts: list[str], index: GramIndex) -> list[list[dict]]:
         return np.searchsorted(starts, pos, side="right") - 1
 
     found: list[dict[int, dict]] = [{} for _ in texts]
-    for doc, seg, first, last in index.regions(_codes(joined), doc_of):
+    regions = index.regions(_codes(joined), doc_of)
+    # longest parts first: a shorter part of an item already found is not aligned
+    for doc, seg, first, last in sorted(regions, key=lambda r: -int(index.length[r[1]])):
         item_id, item = index.items[seg]
+        old = found[doc].get(item_id)
+        if old is not None and old["size"] > len(item):
+            continue
         text, shift = folded[doc], int(starts[doc])
         got = align(text, item, first - shift, last - shift, int(index.budget[seg]))
         if got is None:
             continue
         edits, end = got
-        match = {"item_id": item_id, "edits": edits, "start": max(0, end - len(item)), "end": end}
-        old = found[doc].get(item_id)
+        match = {"item_id": item_id, "edits": edits, "start": max(0, end - len(item)), "end": end,
+                 "size": len(item)}
         if old is None or (edits, match["start"]) < (old["edits"], old["start"]):
             found[doc][item_id] = match
     return [[m[k] for k in sorted(m)] for m in found]
 
 
 def _passes(benchmark: DataFrame, id_col: str, text_col: str, q: int, rate: float, segment: int,
-            index_grams: int):
-    """Benchmark segments in passes of at most ``index_grams`` q-grams each."""
+            passage: int, stride: int, index_grams: int):
+    """Benchmark segments and passages in passes of at most ``index_grams`` q-grams each."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"),
                             text_or_empty(text_col).alias("text")).where(F.col("item_id").isNotNull()).distinct()
     held, grams = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
-        for part in segments(row.text, q, segment):
+        for part in parts_of(row.text, q, segment, passage, stride):
             if held and grams + len(part) > index_grams:
                 yield held
                 held, grams = [], 0
@@ -224,11 +250,14 @@ def _passes(benchmark: DataFrame, id_col: str, text_col: str, q: int, rate: floa
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches",
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                 q: int = Q, rate: float = EDIT_RATE, segment: int = SEGMENT,
-                 index_grams: int = INDEX_GRAMS) -> DataFrame:
+                 q: int = Q, rate: float = EDIT_RATE, segment: int = SEGMENT, passage: int = PASSAGE,
+                 stride: int = STRIDE, index_grams: int = INDEX_GRAMS) -> DataFrame:
     """``docs`` with a column of matches (item_id, edits, start, end; places in the folded text).
 
-    The benchmark is the small, held-out side: its segments are read in passes of at most
+    A match is that of the longest part of the item found: the whole item or segment, else a passage of
+    ``passage`` characters with at most ``rate`` edits.
+
+    The benchmark is the small, held-out side: its parts are read in passes of at most
     ``index_grams`` q-grams (about 100 MB on a worker), each shipped with the scan of the texts as one
     UDF; a larger benchmark takes more UDFs over the same scan, never a larger one. The texts
     are not shuffled.
@@ -240,17 +269,21 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches"
     """
     if out_col in docs.columns:
         raise ValueError(f"column {out_col} is added by this operator")
+    if passage + 1 - q - q * edit_budget(passage, rate) < 1:
+        raise ValueError(f"a passage of {passage} characters may share no {q}-gram with its quote")
     parts = []
-    for held in _passes(benchmark, item_col, item_text_col, q, rate, segment, index_grams):
+    for held in _passes(benchmark, item_col, item_text_col, q, rate, segment, passage, stride, index_grams):
         parts.append(_matcher(held, q, rate)(text_or_empty(text_col)))
-    return docs.withColumn(out_col, parts[0] if len(parts) == 1 else _best_per_item(F.flatten(F.array(*parts))))
+    # one UDF column is read twice if its fields are picked at once, so the size goes in a step of its own
+    found = docs.withColumn(out_col, parts[0] if len(parts) == 1 else F.flatten(F.array(*parts)))
+    return found.withColumn(out_col, _best_per_item(F.col(out_col)))
 
 
 def _best_per_item(matches):
-    """Of an item that matched in several passes, the match with fewest edits, then the first."""
+    """Of an item that matched in several passes, the longest match, then fewest edits, then the first."""
     def best(item):
         m = F.array_min(F.transform(F.filter(matches, lambda x: x.item_id == item), lambda x: F.struct(
-            x.edits.alias("edits"), x.start.alias("start"), x.end.alias("end"))))
+            (-x["size"]).alias("size"), x.edits.alias("edits"), x.start.alias("start"), x.end.alias("end"))))
         return F.struct(item.alias("item_id"), m.edits.alias("edits"), m.start.alias("start"), m.end.alias("end"))
 
     return F.transform(F.array_distinct(F.transform(matches, lambda x: x.item_id)), best)

@@ -177,6 +177,26 @@ def test_contamination_edge_rows(spark):
     assert sorted(r.item_id for r in many.collect()) == [7, 7, 7, 7]
 
 
+def test_part_quotes_of_short_and_long_items_are_found(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(3000)]
+
+    def prose(n):
+        return " ".join(rng.choices(words, k=n))
+
+    short, long = prose(80)[:250].strip(), prose(400)
+    shortest = decontaminate.PASSAGE + decontaminate.STRIDE + 1
+    quotes = [short[:-16], short[16:], short[80:80 + shortest], long[700:1100], long[333:333 + shortest],
+              mutate(rng, long[500:600], 2), long]
+    rows = [(i, f"{prose(30)} {q} {prose(30)}") for i, q in enumerate(quotes)] + [(90, prose(300))]
+    bench = spark.createDataFrame([(1, short), (2, long)], "item_id long, text string")
+    for grams in (decontaminate.INDEX_GRAMS, 1000):
+        got = decontaminate.contaminated(docs(spark, rows).drop("matches"), bench, index_grams=grams)
+        assert got.columns == ["doc_id", "item_id", "edits", "start", "end"]
+        assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [
+            (0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2)]
+
+
 # ---- HTML extraction
 
 def page(body):
