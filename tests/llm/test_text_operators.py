@@ -106,6 +106,41 @@ def test_size_filing_loses_no_match():
         assert filed.match(w) == want
 
 
+def test_notices_inside_lines_and_comment_blocks_are_found(spark):
+    mit, gpl = license_scan.NOTICES["MIT"][1], license_scan.NOTICES["GPL-2.0"][1]
+
+    def comment(text, mark):
+        w = text.split()
+        return "\n".join([mark, *(f"{mark} {' '.join(w[i:i + 9])}" for i in range(0, len(w), 9)), mark])
+
+    rows = [(7, "This work is licensed under the GNU General Public License, version 3."),
+            (1, "Copyright 2019 Foo. Released under the MIT License. All rights reserved."),
+            (2, "#!/bin/sh\n" + comment("Copyright (c) 2020 A. B.\n" + mit, "#") + "\nimport os\nrun()"),
+            (3, "/*\n" + comment(gpl, " *") + "\n */\nint main() {}"),
+            (4, comment(license_scan.NOTICES["ISC"][0], "//") + "\ncode"),
+            (5, "the free software of the license and the work under the terms of the day " * 50),
+            (6, "Copyright X\n\n" + license_scan.NOTICES["BSD"][1].replace(" 2. ", "\n\n2. ") + "\nmore")]
+    got = {}
+    for r in license_scan.scan(docs(spark, rows)).collect():
+        got.setdefault(r.doc_id, {})[r.licence] = max(r.dice, got.get(r.doc_id, {}).get(r.licence, 0))
+    assert {i: max(g, key=g.get) for i, g in got.items()} == {1: "MIT", 2: "MIT", 3: "GPL-2.0", 4: "ISC", 6: "BSD", 7: "GPL-3.0"}
+    assert list(got[7]) == ["GPL-3.0"]
+    assert all(max(g.values()) > 0.9 for g in got.values())
+
+
+def test_windows_equal_brute_force():
+    rng = random.Random(9)
+    vocabulary = [bytes([c]) for c in b"abcdefg"]
+    for _ in range(300):
+        t = " ".join(x.decode() for x in rng.choices(vocabulary, k=rng.randint(3, 8)))
+        filed = license_scan.TemplateFile({"x": [t]}, 0.8)
+        _, grams, _, most = filed.windowed[0]
+        w = rng.choices(vocabulary, k=rng.randint(2, 30))
+        best = max((2 * len(a & grams) / (len(a) + len(grams)) for i in range(len(w) - 1)
+                    for a in (license_scan.bigrams(w[i:j + 1]) for j in range(i + 1, min(len(w), i + most + 1)))))
+        assert max((d for _, _, d in filed.windows(w, [])), default=0) == (best if best >= 0.8 else 0)
+
+
 # ---- decontamination
 
 def edit_distance_anywhere(text, item):
