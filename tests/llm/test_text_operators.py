@@ -290,6 +290,25 @@ def test_unmarked_boilerplate_goes_unique_runs_stay(spark, shard_tokens):
     assert html_extract.extract(src.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard_tokens", [1_000_000, 60])
+def test_repeated_text_that_is_no_boilerplate_stays(spark, shard_tokens):
+    phrase = "as the minister said in a long interview on Monday evening"
+    copy = "<h1>Introduction</h1><p>" + " ".join(f"word{i}" for i in range(40)) + "</p>"
+    long = " ".join(f"long{i}" for i in range(60))
+    rows = [(0, "http://a.x/0", page(copy)), (1, "http://a.x/1", page(copy + "<p>other end</p>")),
+            (2, "http://a.x/2", page(f"<p>One story, {phrase}, and more.</p>")),
+            (3, "http://a.x/3", page(f"<p>Two stories, {phrase}, or less.</p>")),
+            (4, "http://b.x/", page(copy)), (5, "http://b.x/", page(copy)), (6, "http://b.x/", page(copy)),
+            *[(10 + i, f"http://c.x/{i}", page(f"<p>Menu of c</p><p>{long}</p><p>Text {i}</p>")) for i in range(4)]]
+    src = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(src, shard_tokens=shard_tokens).collect()}
+    whole = {r[0]: "\n\n".join(t for _, t in html_extract.page_blocks(r[2])) for r in rows}
+    for i in range(7):
+        assert got[i] == whole[i] != ""
+    for i in range(4):
+        assert got[10 + i] == f"{long}\n\nText {i}"
+
+
 # ---- packing
 
 def test_best_fit_decreasing_equals_brute_force():
