@@ -259,6 +259,24 @@ def test_blocks(body, want):
     assert [b for b in got if b[0] == "main"] == want
 
 
+@pytest.mark.parametrize("body,want", [
+    ("<article><script>for(i=0;i<n;i++){f(i)}</script><p>a</p></article>", ["a"]),
+    ("<script>if (i<n && s=='it\\'s') x=\"</p>\"</script><article><p>a</p><script>var t = \"don't\"</script><p>b</p>"
+     "</article>", ["a", "b"]),
+    ("<article><p>if i<n it's so</p><p>don't <b>x</b></p></article>", ["if i<n it's so", "don't x"]),
+    ("<article><p title=it's>one</p><p>isn't two</p></article>", ["one", "isn't two"]),
+    ("<article><a title='a>b' href=\"c<d\">e</a><svg><style>a<b{}</style><text>no</text></svg><p>f</p></article>",
+     ["e", "f"]),
+    ("<article><p>a</p><STYLE>p<q</STYLE ><p>b</p><textarea>x<y</textarea>c</article>", ["a", "b", "c"]),
+])
+def test_raw_text_and_odd_quotes_swallow_nothing(body, want):
+    assert [t for z, t in html_extract.page_blocks(page(body)) if z == "main"] == want
+    in_head = f"<html><head><script>a<b; d='<body>'</script></head><body>{body}</body></html>"
+    assert [t for z, t in html_extract.page_blocks(in_head) if z == "main"] == want
+    # a tag that never ends takes one pass
+    assert html_extract.page_blocks("<p " + "a=\"b\" " * 20000) == []
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(3)
     for _ in range(200):
