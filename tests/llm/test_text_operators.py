@@ -277,6 +277,26 @@ def test_raw_text_and_odd_quotes_swallow_nothing(body, want):
     assert html_extract.page_blocks("<p " + "a=\"b\" " * 20000) == []
 
 
+@pytest.mark.parametrize("body,want", [
+    ("<div class='content-sidebar-wrap'><main><p>a</p></main><div class='sidebar'>s</div></div>", ["a"]),
+    ("<div class='sidebar-container'><main><p>a</p></main></div>", ["a"]),
+    ("<div class='site-header-wrapper banner'><article><p>a</p></article></div><div class=footer>f</div>", ["a"]),
+    ("<article><div class='elementor-widget elementor-widget-text'><p>a</p></div><div class=ad>x</div></article>", ["a"]),
+    ("<article><div class='widget'><p>a</p></div></article><div>f</div>", ["a"]),
+    ("<div class='no-sidebar has-banner'><article><p>a</p></article></div>", ["a"]),
+    ("<div id=page class='has-banner'><div class='entry-content no-sidebar'><p>a</p></div></div>", ["a"]),
+    ("<article><p>a</p></article><div class='comments-area'><article class='comment'><p>c</p></article></div>", ["a"]),
+    ("<article><p>a</p></article><div class='sidebar widget-area'><article>teaser</article></div>", ["a"]),
+    ("<div class='related-posts'><article>r</article></div><main><p>a</p></main><div class='cookie-notice'>c</div>", ["a"]),
+    ("<article><p>a</p><div class='share-links'>s</div><div class='newsletter-form'>n</div></article>", ["a"]),
+    ("<nav><article>n</article></nav><article><p>a</p></article>", ["a"]),
+])
+def test_class_names_never_cost_the_article(body, want):
+    assert [t for z, t in html_extract.page_blocks(page(body)) if z == "main"] == want
+    plain = page("<p>Story.</p><div class='comments'><article>lol</article><div class=content>x</div></div>")
+    assert [t for z, t in html_extract.page_blocks(plain) if z == "plain"] == ["Story."]
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(3)
     for _ in range(200):
