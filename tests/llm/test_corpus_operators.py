@@ -289,3 +289,7 @@ def test_query_matches_sql(spark, sf_small, name):
                       key=repr)
 
     assert canon(df.columns, df.collect()) == canon(cols, res.fetchall())
+
+
+def test_leaf_visits_aim_at_the_stated_recall():
+    assert ann_tree.TARGET_RECALL == 0.98
