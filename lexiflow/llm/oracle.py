@@ -121,4 +121,61 @@ FROM scored WHERE dice >= {THRESHOLD}
 GROUP BY doc_id, unit, unit_no, licence
 """
 
-ORACLE_SQL = {"op3_poisson_mix": OP3, "op4_secret_scan": OP4, "op7_license_scan": OP7}
+def _levels(name: str, first: str, levels: int) -> str:
+    """Runs of three of ``first(grp, pos, n, h)``: per level the nodes and what stands beside each in its run."""
+    out = [f"{name}_0 AS ({first})"]
+    for i in range(levels):
+        out.append(f"""{name}_run_{i} AS (
+  SELECT grp, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}_{i} WHERE n > 1 WINDOW w AS (PARTITION BY grp, pos // 3 ORDER BY pos))""")
+        out.append(f"""{name}_{i + 1} AS (
+  SELECT grp, pos // 3 AS pos, (any_value(n) + 2) // 3 AS n, sha256(string_agg(h, '' ORDER BY pos)) AS h
+  FROM {name}_{i} WHERE n > 1 GROUP BY grp, pos // 3
+  UNION ALL SELECT grp, pos, n, h FROM {name}_{i} WHERE n = 1)""")
+    return ",\n".join(out)
+
+
+def _folds(name: str, runs: str, first: str, levels: int) -> str:
+    """``first`` with ``f`` folded and ``p`` prolonged by the siblings of every level."""
+    out = [f"{name}_0 AS ({first})"]
+    for i in range(levels):
+        out.append(f"""{name}_{i + 1} AS (
+  SELECT d.* REPLACE (CASE WHEN s.l IS NULL THEN f ELSE sha256(s.l || f || s.r) END AS f,
+                      p || coalesce(s.l || s.r, '') AS p, d.pos // 3 AS pos)
+  FROM {name}_{i} d LEFT JOIN {runs}_run_{i} s ON d.grp IS NOT DISTINCT FROM s.grp AND d.pos = s.pos)""")
+    return ",\n".join(out)
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+  list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b:
+  list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, z:
+    xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+_TREE_LEVELS = 12
+
+OP11 = f"""
+WITH leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM (SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+               CASE WHEN {_CRC32} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")}
+                    ELSE {_leaf_sql("text")} END AS tampered FROM documents)),
+{_levels("t", "SELECT source AS grp, pos, n, leaf AS h FROM leaves", _TREE_LEVELS)},
+{_levels("g", f"SELECT 0 AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, count(*) OVER () AS n, h "
+              f"FROM t_{_TREE_LEVELS}", _TREE_LEVELS)},
+{_folds("d", "t", "SELECT doc_id, leaf, source AS grp, pos, tampered AS f, '' AS p FROM leaves", _TREE_LEVELS)},
+{_folds("e", "g", f"SELECT d.doc_id, d.leaf, s.h AS subroot, 0 AS grp, s.pos, d.f, d.p FROM d_{_TREE_LEVELS} d JOIN "
+                  f"(SELECT grp, h, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos FROM t_{_TREE_LEVELS}) s "
+                  "ON d.grp IS NOT DISTINCT FROM s.grp", _TREE_LEVELS)}
+SELECT doc_id, leaf, subroot, (SELECT h FROM g_{_TREE_LEVELS}) AS root, sha256(p) AS proof_sha256,
+       f AS folded_root, f = (SELECT h FROM g_{_TREE_LEVELS}) AS verified
+FROM e_{_TREE_LEVELS}
+"""
+
+ORACLE_SQL = {"op3_poisson_mix": OP3, "op4_secret_scan": OP4, "op7_license_scan": OP7,
+              "op11_merkle_manifest": OP11}
