@@ -25,6 +25,13 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def finite_entries(vec: Column) -> Column:
+    """Is the vector known, with every entry known and finite? (an empty one is)"""
+    ok = vec.isNotNull() & F.forall(
+        vec, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
+    return F.coalesce(ok, F.lit(False))
+
+
 def text_udf(fn, returns: str | T.DataType):
     """A batch UDF over one text column: ``fn(list of str) -> list or array``.
 

@@ -1,13 +1,16 @@
 """Merkle manifest, whitening and embedding near-duplicates against brute force."""
 
 import hashlib
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexiflow.llm import merkle
+import __spark_entry__ as entry
+from lexiflow.llm import merkle, whitening
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -92,3 +95,93 @@ def test_witnesses_fold_to_the_root(spark):
     assert bad.count() == 0 and got.where("mark <> 2 * k").count() == 0
     wrong = got.where(merkle.fold(F.sha2("leaf", 256), F.col("lefts"), F.col("rights")) == F.col("root"))
     assert wrong.count() == 0
+
+
+# ---- whitening
+
+def check_whitening(got, vectors, dim):
+    """Rows of the operator against an eigendecomposition; ``vectors`` has (id, list) of the fit list."""
+    x = [[math.floor(1024 * float(c)) + 100_000 for c in v] for _, v in vectors]
+    n = len(x)
+    sums = [sum(col) for col in zip(*x, strict=True)]
+    a = np.array([[(n * c - s) / n for c, s in zip(r, sums, strict=True)] for r in x])
+    values, basis = np.linalg.eigh(a.T @ a / n)
+    values, basis = values[::-1], basis[:, ::-1]
+    k = min(8, int((values > 1e-10 * values.sum()).sum()))
+    assert len(got) == n * k
+    per = {}
+    for r in got:
+        per.setdefault(r.component, {}).setdefault(r.vec_id, []).append(r)
+    assert sorted(per) == list(range(1, k + 1))
+    dev = {}
+    for (i, _), r in zip(vectors, x, strict=True):
+        dev.setdefault(i, []).append(sum((n * c - s) ** 2 for c, s in zip(r, sums, strict=True)))
+    for j in range(k):
+        want = {}
+        for (i, _), y in zip(vectors, a @ basis[:, j] / np.sqrt(values[j]), strict=True):
+            want.setdefault(i, []).append(y)
+        rows = per[j + 1]
+        assert rows.keys() == want.keys()
+        first = max(want, key=lambda i: abs(want[i][0]))
+        biggest = max(want[first], key=abs)
+        sign = np.sign(biggest * max((r.whitened for r in rows[first]), key=abs))
+        for i, rs in rows.items():
+            assert np.allclose(sorted(r.whitened * sign for r in rs), sorted(want[i]), rtol=0, atol=1e-8)
+            assert sorted(r.deviation for r in rs) == sorted(dev[i])
+            assert all(r.n == n and abs(r.explained * values.sum() / values[j] - 1) < 1e-9 for r in rs)
+            assert all(r.identity_error < 1e-8 for r in rs)
+
+
+def test_whitening_of_the_table(spark, sf_small):
+    got = entry.queries()["op12_embedding_whitening"](spark, sf_small).collect()
+    vectors = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_small}/embeddings.parquet").collect()]
+    check_whitening(got, vectors, 64)
+
+
+@pytest.mark.parametrize("n,dim,rank", [(40, 5, 5), (300, 12, 12), (60, 10, 4), (30, 40, 29)])
+def test_whitening_equals_eigenvectors(spark, n, dim, rank):
+    rng = np.random.default_rng(n)
+    base = rng.standard_normal((n, rank)) * np.arange(1, rank + 1) ** 1.5
+    # whole multiples of 1/1024 keep a low rank low
+    v = (np.round(base * 50) @ np.round(rng.standard_normal((rank, dim)) * 3)) / 1024
+    vectors = [(i % 7 if i < 20 else i, r) for i, r in enumerate(v.tolist())]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    check_whitening(whitening.whiten(df).collect(), vectors, dim)
+
+
+def test_whitening_of_equal_eigenvalues(spark):
+    # every direction has the same variance: restarts must find a whole basis
+    vectors = [(i * 2 + s, [(1.0 if s else -1.0) if j == i else 0.0 for j in range(12)])
+               for i in range(12) for s in (0, 1)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = whitening.whiten(df).collect()
+    assert len(got) == 24 * 8 and max(r.identity_error for r in got) < 1e-9
+    assert all(abs(r.explained - 1 / 12) < 1e-9 for r in got)
+
+
+def test_long_vectors_may_stop_early(spark):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((200, 30)) * (2.0 ** -np.arange(30))
+    vectors = list(enumerate(v.tolist()))
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = {(r.vec_id, r.component): r for r in whitening.whiten(df, full_length=10).collect()}
+    want = {(r.vec_id, r.component): r for r in whitening.whiten(df).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(abs(got[i].whitened) - abs(want[i].whitened)) < 1e-6 for i in want)
+
+
+def test_whitening_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rng = np.random.default_rng(9)
+    good = [(i, rng.standard_normal(3).tolist()) for i in range(30)]
+    good += [(None, [0.0, 0.0, 0.0]), (5, [0.5, -0.25, 1.0]), (5, [0.5, -0.25, 1.0])]
+    bad = [(50, None), (51, [1.0, None, 2.0]), (52, [nan, 0.0, 0.0]), (53, [0.0, inf, 0.0]), (54, []), (55, [1.0])]
+    kind = "vec_id long, embedding array<double>"
+    df = spark.createDataFrame(good + bad, kind).selectExpr(
+        "*", "1 AS id", "2 AS x", "3 AS component", "4 AS n", "5 AS whitened")
+    check_whitening(whitening.whiten(df).collect(), good, 3)
+    for few in ([], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])], bad):
+        assert whitening.whiten(spark.createDataFrame(few, kind)).count() == 0
+    # beyond the range of a long: held, and no wrong deviation
+    huge = whitening.whiten(spark.createDataFrame([(1, [1e300]), (2, [-1e300]), (3, [0.0])], kind)).collect()
+    assert len(huge) == 3 and {r.deviation for r in huge if r.vec_id != 3} == {None}
