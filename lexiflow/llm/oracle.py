@@ -177,5 +177,25 @@ SELECT doc_id, leaf, subroot, (SELECT h FROM g_{_TREE_LEVELS}) AS root, sha256(p
 FROM e_{_TREE_LEVELS}
 """
 
+OP13 = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row_id, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+usable AS (
+  SELECT * FROM vectors
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(e, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.row_id, b.row_id AS other, b.vec_id AS other_id FROM usable a JOIN usable b ON a.row_id <> b.row_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reached AS (
+  SELECT row_id, row_id AS other, vec_id AS other_id FROM vectors
+  UNION SELECT r.row_id, l.other, l.other_id FROM reached r JOIN links l ON r.other = l.row_id),
+lowest AS (SELECT row_id, min(other_id) AS component_id FROM reached GROUP BY row_id),
+counts AS (SELECT row_id, count(*) AS n_links FROM links GROUP BY row_id)
+SELECT v.vec_id, coalesce(c.n_links, 0)::BIGINT AS n_links, l.component_id,
+       v.vec_id IS NOT DISTINCT FROM l.component_id AS kept
+FROM vectors v JOIN lowest l USING (row_id) LEFT JOIN counts c USING (row_id)
+"""
+
 ORACLE_SQL = {"op3_poisson_mix": OP3, "op4_secret_scan": OP4, "op7_license_scan": OP7,
-              "op11_merkle_manifest": OP11}
+              "op11_merkle_manifest": OP11, "op13_embedding_dedup": OP13}

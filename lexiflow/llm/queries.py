@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.llm import (ann_tree, cotrain_quality, decontaminate, html_extract, license_scan,
-                          merkle, packing, poisson_mix, secret_scan, simhash_dedup, token_counts,
-                          whitening)
+from lexiflow.llm import (ann_tree, cotrain_quality, decontaminate, embedding_dedup, html_extract,
+                          license_scan, merkle, packing, poisson_mix, secret_scan, simhash_dedup,
+                          token_counts, whitening)
 from lexiflow.llm.common import table
 from lexiflow.session import scratch_path
 
@@ -75,7 +75,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_cotrain_quality, op2_token_counts, op3_poisson_mix, op4_secret_scan, op5_decontaminate,
     op6_ann_tree, op7_license_scan, op8_pack_tokens, op9_html_extract, op10_simhash_dedup,
-    op11_merkle_manifest, op12_embedding_whitening)}
+    op11_merkle_manifest, op12_embedding_whitening, op13_embedding_dedup)}

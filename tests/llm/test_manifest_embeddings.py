@@ -5,12 +5,14 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lexiflow.llm import merkle, whitening
+from lexiflow.llm import embedding_dedup, merkle, whitening
+from lexiflow.llm.oracle import ORACLE_SQL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -185,3 +187,96 @@ def test_whitening_edge_rows(spark):
     # beyond the range of a long: held, and no wrong deviation
     huge = whitening.whiten(spark.createDataFrame([(1, [1e300]), (2, [-1e300]), (3, [0.0])], kind)).collect()
     assert len(huge) == 3 and {r.deviation for r in huge if r.vec_id != 3} == {None}
+
+
+# ---- embedding near-duplicates
+
+def plain_dedup(rows, threshold=0.95):
+    """Rows are (id, list or None); by pairs, with a plain flood fill."""
+    dim = max((len(v) for _, v in rows if v), default=0)
+    ok = [v is not None and all(c is not None and math.isfinite(c) for c in v) and any(v) for _, v in rows]
+    x = np.array([np.pad(np.array(v, float) / max(map(abs, v)), (0, dim - len(v))) if good else np.zeros(dim)
+                  for (_, v), good in zip(rows, ok, strict=True)]).reshape(len(rows), dim)
+    norm = np.sqrt((x * x).sum(1))
+    cos = (x @ x.T) / np.where(norm > 0, norm, 1)[:, None] / np.where(norm > 0, norm, 1)[None, :]
+    link = (cos >= threshold) & np.outer(ok, ok) & ~np.eye(len(rows), dtype=bool)
+    out, part = [], {}
+    for i in range(len(rows)):
+        if i in part:
+            continue
+        seen, todo = {i}, [i]
+        while todo:
+            for j in np.flatnonzero(link[todo.pop()]).tolist():
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        low = min((rows[j][0] for j in seen if rows[j][0] is not None), default=None)
+        part.update(dict.fromkeys(seen, low))
+    for i, (vec_id, _) in enumerate(rows):
+        out.append((vec_id, int(link[i].sum()), part[i], vec_id == part[i]))
+    return out
+
+
+def clusters(n, dim, seed, spread):
+    """Random vectors, chains and balls of near copies, exact copies, scaled copies."""
+    rng = np.random.default_rng(seed)
+    v = rng.standard_normal((n, dim))
+    hot = rng.standard_normal(dim)
+    v[:n // 3] = hot + spread * rng.standard_normal((n // 3, dim))
+    for i in range(n // 3, n // 3 + 40):  # a chain: neighbours link, its ends do not
+        v[i] = v[i - 1] + spread * 1.5 * rng.standard_normal(dim)
+    v[n // 2:n // 2 + 30] = v[0]
+    v[n // 2 + 30:n // 2 + 40] = 3 * v[5]
+    return [(int(i), r) for i, r in zip(rng.permutation(n) + 10, v.tolist(), strict=True)]
+
+
+@pytest.mark.parametrize("n,dim,tile", [(300, 5, 16), (500, 40, 64), (500, 24, None), (240, 1, 20), (300, 2, 7)])
+def test_dedup_equals_brute_force(spark, n, dim, tile):
+    for spread in (0.05, 0.25):
+        rows = clusters(n, dim, n + dim, spread)
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+        got = embedding_dedup.near_duplicates(df, tile_rows=tile).collect()
+        assert key(got) == key(plain_dedup(rows))
+
+
+def test_links_by_steps_equal_plain_products():
+    rng = np.random.default_rng(6)
+    for dim in (3, 16, 33, 100):
+        x = rng.standard_normal((700, dim)) + 2.0 * (rng.random((700, 1)) < 0.3)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        axes = embedding_dedup.principal_axes(x[:200])
+        for t in (0.3, 0.8, 0.95):
+            for a, b in ((x, x), (x[:300], x[300:])):
+                got = set()
+                for i, j in embedding_dedup.linked_pairs(a, b, a @ axes, b @ axes, t, a is b, lead=8, strip=64):
+                    got |= set(zip(i.tolist(), j.tolist(), strict=True))
+                want = np.argwhere(a @ b.T >= t)
+                assert got == {(i, j) for i, j in want.tolist() if a is not b or i < j}
+
+
+def test_dedup_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(9, [1.0, 2.0]), (3, [2.0, 4.0]), (4, [1.0, 2.0]), (4, [1.0, 2.0]), (None, [1.0, 2.01]), (None, [-5.0, 0.0]),
+            (None, [-5.0, 0.0]), (20, None), (21, []), (22, [0.0, 0.0]), (23, [nan, 1.0]), (24, [inf, 1.0]),
+            (25, [None, 1.0]), (26, [3.0]), (27, [3.0, 0.1]), (28, [1e300, 1e300]), (29, [1e-300, 1e-300]),
+            (20, None), (30, [0.0, -1.0]), (30, [1.0, -1.0])]
+    kind = "vec_id long, embedding array<double>"
+    df = spark.createDataFrame(rows, kind).selectExpr(
+        "*", *[f"1 AS {c}" for c in ("id", "vec", "mark", "node", "copies", "tile", "low", "label", "n_links", "kept")])
+    got = embedding_dedup.near_duplicates(df)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert key(got.collect()) == key(plain_dedup(rows))
+    for few in ([], [(1, None)], [(1, [1.0])]):
+        assert key(embedding_dedup.near_duplicates(spark.createDataFrame(few, kind)).collect()) == key(plain_dedup(few))
+
+
+def test_dedup_sql_finds_the_same(spark, tmp_path):
+    rows = clusters(150, 6, 2, 0.2) + [(5000, None), (5001, [0.0] * 6), (5002, [float("nan")] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df.coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = entry.queries()["op13_embedding_dedup"](spark, str(tmp_path))
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        want = db.execute(ORACLE_SQL["op13_embedding_dedup"]).fetchall()
+    assert key(got.select("vec_id", "n_links", "component_id", "kept").collect()) == key(want)
+    assert max(r[1] for r in want) > 30
