@@ -33,8 +33,8 @@ from lexiflow.session import materialize, materialize_measured
 
 THRESHOLD = 0.95
 #: rows and bytes of the sample that the axes are fitted on
-SAMPLE = 20_000
-SAMPLE_BYTES = 1 << 26
+SAMPLE = 8_000
+SAMPLE_BYTES = 1 << 25
 #: a tile holds a share of the classes between these bounds, and at most so many bytes of vectors
 TILES = 24
 LEAST_TILE = 1024
@@ -143,6 +143,8 @@ def join_labels(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
 
 def _compare_tiles(dim: int, axes: np.ndarray, threshold: float):
     def run(cell: pa.Table) -> pa.Table:
+        # in the order of the nodes, so that every task names a component by the smallest node it sees
+        cell = cell.sort_by("node")
         second = cell.column("second").to_numpy()
         node, copies = cell.column("node").to_numpy(), cell.column("copies").to_numpy()
         x = unit_rows(cell.column("vec"), dim)

@@ -199,7 +199,7 @@ def plain_dedup(rows, threshold=0.95):
                   for (_, v), good in zip(rows, ok, strict=True)]).reshape(len(rows), dim)
     norm = np.sqrt((x * x).sum(1))
     cos = (x @ x.T) / np.where(norm > 0, norm, 1)[:, None] / np.where(norm > 0, norm, 1)[None, :]
-    link = (cos >= threshold) & np.outer(ok, ok) & ~np.eye(len(rows), dtype=bool)
+    link = (cos >= threshold) & np.outer(np.array(ok, bool), np.array(ok, bool)) & ~np.eye(len(rows), dtype=bool)
     out, part = [], {}
     for i in range(len(rows)):
         if i in part:
