@@ -91,6 +91,35 @@ def overlap_of(tokens_a: Column, tokens_b: Column) -> Column:
     return F.size(F.array_intersect(tokens_a, tokens_b))
 
 
+#: a signature has this many longs, 64 bits each
+SIGNATURE_WORDS = 4
+
+
+def signature(tokens: Column) -> list[Column]:
+    """256 bits of a token set as four longs: every token sets the bit its hash names."""
+    bits = F.transform(tokens, lambda t: F.xxhash64(t).bitwiseAND(F.lit(64 * SIGNATURE_WORDS - 1)))
+
+    def word(k: int) -> Column:
+        def put(acc: Column, bit: Column) -> Column:
+            one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(F.shiftright(bit, 6) == k, acc.bitwiseOR(one)).otherwise(acc)
+
+        return F.aggregate(bits, F.lit(0).cast("bigint"), put)
+
+    return [word(k) for k in range(SIGNATURE_WORDS)]
+
+
+def signature_overlap(size_a: Column, size_b: Column, sig_a: list[Column], sig_b: list[Column]) -> Column:
+    """An upper bound of the overlap: a bit that only one set has stands for a token that the other lacks."""
+    def only(one: list[Column], other: list[Column]) -> Column:
+        total = F.lit(0)
+        for x, y in zip(one, other, strict=True):
+            total = total + F.bit_count(x.bitwiseAND(F.bitwise_not(y)))
+        return total
+
+    return F.least(size_a - only(sig_a, sig_b), size_b - only(sig_b, sig_a))
+
+
 def pair_count(n: Column) -> Column:
     """n(n-1)/2 as an exact bigint: the even factor is halved first, so nothing
     overflows unless the result itself exceeds 64 bits (then NULL, never an error)."""

@@ -14,6 +14,7 @@ from lexiflow.operators.counts import STOP_WORD_THRESHOLD, word_count
 from lexiflow.operators.index import remove_stop_words
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_ROWS, DEFAULT_KEY_BROADCAST_BYTES,
                                       key_table_bytes)
+from lexiflow.operators.ranks import dense_ranks
 from lexiflow.session import materialize_measured
 
 
@@ -87,6 +88,55 @@ def preprocess(lines: DataFrame, id_col: str = "line_id", text_col: str = "value
                        F.size(tokens).alias("size"))
 
 
+def _vocabulary(kept: DataFrame, text_col: str, stop_threshold: int) -> tuple[DataFrame, dict]:
+    """(word, n) of the lines' words, written once, with its row and byte counts."""
+    return materialize_measured(word_frequency(kept, text_col), "vocabulary", {
+        "rows": F.count(F.lit(1)), "known": F.count(F.when(F.col("n") <= stop_threshold, 1)),
+        "chars": F.sum(F.when(F.col("n") <= stop_threshold, F.octet_length("word").cast("bigint")))})
+
+
+def rank_dictionary(vocab: DataFrame, known: int) -> DataFrame:
+    """(word, n, rank): dense ranks of the ``known`` words of ``vocab(word, n)`` by (n, word), rarest 0.
+
+    The order of tokens in a document, as one integer per word. Ranges of words are
+    sorted where they lie and offset by the sizes of the ranges before them, so no task holds more
+    than a range; ranks are ``int`` as long as they fit.
+    """
+    ranked = dense_ranks(vocab.select("word", "n"), ["n", "word"], alias="rank", name="dictionary")
+    return ranked.withColumn("rank", F.col("rank").cast("int" if known < 1 << 31 else "bigint"))
+
+
+def preprocess_ranked(lines: DataFrame, id_col: str = "line_id", text_col: str = "value", *,
+                      stop_threshold: int = STOP_WORD_THRESHOLD,
+                      max_broadcast_bytes: int = DEFAULT_KEY_BROADCAST_BYTES
+                      ) -> tuple[DataFrame, DataFrame]:
+    """(docs, dictionary): :func:`preprocess` with every token as its rank in the global order.
+
+    ``docs`` has (``id_col``, tokens, size) with ``tokens`` ascending ranks, the same documents in the same
+    order as the words of :func:`preprocess`; ``dictionary`` has (word, n, rank). The dictionary holds the words
+    counted at most ``stop_threshold`` times, so its join is also the stop filter; it is
+    broadcast below the checked size, else words and dictionary are shuffled, and no key of that join is hot.
+    """
+    kept = lines.where(F.col(text_col) != "")
+    words = kept.select(F.col(id_col).alias("_id"),
+                        F.explode(F.array_distinct(alnum_tokens(text_col))).alias("word"))
+    vocab, m = _vocabulary(kept, text_col, stop_threshold)
+    dictionary = rank_dictionary(vocab.where(F.col("n") <= stop_threshold), m["known"])
+    small = key_table_bytes(m["known"], 1, m["chars"]) <= max_broadcast_bytes
+    if not small:
+        # frequent words go before the shuffle
+        stop, stop_m = materialize_measured(
+            vocab.where(F.col("n") > stop_threshold).select(F.col("word").alias("_stop")), "stop-list",
+            {"rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length("_stop").cast("bigint"))})
+        words = remove_stop_words(words, stop.withColumnRenamed("_stop", "word"), stop_is_table=True,
+                                  stop_rows=stop_m["rows"],
+                                  stop_bytes=key_table_bytes(stop_m["rows"], 1, stop_m["chars"]))
+    side = dictionary.select("word", "rank")
+    ranked = words.join(F.broadcast(side) if small else side, "word").select("_id", "rank")
+    docs = ranked.groupBy("_id").agg(F.sort_array(F.collect_list("rank")).alias("tokens"))
+    return docs.select(F.col("_id").alias(id_col), "tokens", F.size("tokens").alias("size")), dictionary
+
+
 def document_count(processed: DataFrame) -> DataFrame:
     """One row: number of retained documents."""
     return processed.agg(F.count(F.lit(1)).alias("n_documents"))

@@ -1,8 +1,9 @@
 """Set-similarity self-joins over token-set documents.
 
 Input: ``docs`` with an id column, ``tokens`` (distinct, in one global order,
-rarest first — see :func:`lexiflow.operators.preprocess.preprocess`) and
-``size``. Output pairs ``doc_a < doc_b`` with ``similarity``.
+rarest first: words as of :func:`lexiflow.operators.preprocess.preprocess`, or their integer
+ranks as of :func:`~lexiflow.operators.preprocess.preprocess_ranked`, which are
+narrower everywhere) and ``size``. Output pairs ``doc_a < doc_b`` with ``similarity``.
 
 Plan, all DataFrame joins and aggregates:
 
@@ -12,28 +13,41 @@ Plan, all DataFrame joins and aggregates:
    candidates per shared token.
 2. Prefix filtering between distinct sets: each set posts its first
    ``d - ceil(t*d) + 1`` tokens; sets sharing a posted token become candidates
-   if their sizes are compatible. Posting lists are paired with a salted grid
-   (:func:`pairs_within_groups`), so a hot token never lands in one task.
-3. Distinct candidates (deduplicated by the same aggregate that applies the
+   if their sizes are compatible. With ``l - 1`` tokens more on both sides a pair must share ``l``
+   of them; ``l`` is chosen from the measured lengths of the posting lists
+   (:func:`posting_profile`). Posting lists are paired with a salted grid
+   (:func:`pairs_across_groups`), so a hot token never lands in one task.
+3. A posting carries a 256-bit signature of its set. Bits that only one of two
+   sets has bound the overlap from above, so most candidates go where they arise, before they
+   are shuffled and before any token array is fetched.
+4. Distinct candidates (deduplicated by the same aggregate that applies the
    positional filter) fetch both token arrays by id — broadcast lookups when
    the measured size of the sets allows, else two shuffle joins, never a
    driver-side copy — and are verified exactly in integer arithmetic.
-4. Similar set pairs expand to member pairs; copies inside one set are pairs
+5. Similar set pairs expand to member pairs; copies inside one set are pairs
    with similarity 1 (Jaccard) or 1/2 (overlap ratio).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexiflow.functions.sets import (JACCARD, Threshold, accept, overlap_of, pair_count,
-                                     pair_ratio, prefix_length, similarity_value,
-                                     size_compatible)
+from lexiflow.functions.sets import (JACCARD, SIGNATURE_WORDS, Threshold, accept, overlap_of,
+                                     pair_count, pair_ratio, prefix_length, signature,
+                                     signature_overlap, similarity_value, size_compatible)
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
                                       DEFAULT_CELL_ROWS, broadcast_if_small, key_table_bytes,
                                       pairs_across_groups, pairs_within_groups)
-from lexiflow.session import materialize_measured
+from lexiflow.session import materialize_measured, scratch_path
+
+SIGNATURE = [f"sig{k}" for k in range(SIGNATURE_WORDS)]
+#: most tokens that two prefixes may have to share, and by how much the posting joins may grow for it
+MAX_SHARED = 4
+SHARED_GROWTH = 1.5
 
 
 def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None) -> Threshold:
@@ -41,11 +55,16 @@ def as_threshold(threshold, measure: str = JACCARD, strict: bool | None = None)
         Threshold.of(threshold, measure=measure, strict=strict)
 
 
-def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
-                        checkpoint: bool = True) -> tuple[DataFrame, DataFrame, dict | None]:
+def _words(docs: DataFrame) -> bool:
+    """Are the tokens words (and not ranks)?"""
+    return isinstance(docs.schema["tokens"].dataType.elementType, T.StringType)
+
+
+def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id", checkpoint: bool = True,
+                        signatures: bool = False) -> tuple[DataFrame, DataFrame, dict | None]:
     """(sets, members, stats): distinct token arrays and the documents holding them.
 
-    sets:    set_id (smallest member id), tokens, size, copies
+    sets:    set_id (smallest member id), tokens, size, copies (and the ``signatures``)
     members: <id_col>, set_id, copies, size
     Each document is tagged with its set once: an aggregate on the SHA-256 of the
     token array (each token with its length before it, so no two arrays read alike), partial
@@ -57,23 +76,29 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id",
     sets (count ``n``, tokens ``t``, characters ``c``, id range, largest size)
     are observed during that write; None without ``checkpoint``.
     """
-    spelled = F.transform("tokens", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t))
+    words = _words(docs)
+    spelled = F.transform("tokens", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t)
+                          if words else t.cast("string"))
     docs = docs.select(id_col, "tokens", "size",
                        F.sha2(F.array_join(spelled, ","), 256).alias("_print"))
     set_of = (docs.groupBy("_print")
               .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
     tagged = docs.join(set_of, "_print").drop("_print")
     stats = None
+    rep = F.col(id_col) == F.col("set_id")
+    if signatures:
+        tagged = tagged.select("*", *[F.when(rep, word).alias(name) for name, word in
+                                      zip(SIGNATURE, signature(F.col("tokens")), strict=True)])
     if checkpoint:
-        rep = F.col(id_col) == F.col("set_id")
+        chars = F.octet_length(F.array_join("tokens", "")).cast("bigint") if words else F.lit(0).cast("bigint")
         tagged, stats = materialize_measured(tagged, "set-members", {
             "n": F.count(F.when(rep, 1)),
             "t": F.sum(F.when(rep, F.col("size").cast("bigint"))),
-            "c": F.sum(F.when(rep, F.octet_length(F.array_join("tokens", "")).cast("bigint"))),
+            "c": F.sum(F.when(rep, chars)),
             "min_id": F.min("set_id"), "max_id": F.max("set_id"),
             "max_size": F.max("size")})
-    sets = (tagged.where(F.col(id_col) == F.col("set_id"))
-            .select("set_id", "tokens", "size", "copies"))
+    sets = tagged.where(rep).select("set_id", "tokens", "size", "copies",
+                                    *(SIGNATURE if signatures else []))
     members = tagged.select(id_col, "set_id", "copies", "size")
     return sets, members, stats
 
@@ -97,16 +122,33 @@ def _salt_sizes(postings: DataFrame, key: str, cell_rows: int, max_broadcast_row
             .withColumn("_k", F.coalesce(F.col("_k"), F.lit(0)))), "_k"
 
 
-def prefix_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> DataFrame:
+def _postings(sets: DataFrame, length: Column, id_col: str, extra: int = 0,
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """(<id_col>, size, pos, token, carry): the first ``length + extra`` tokens of every set."""
+    most = F.least(F.col("size"), length + F.lit(extra))
+    return sets.select(id_col, "size", *carry,
+                       F.posexplode(F.slice("tokens", F.lit(1), most)).alias("pos", "token")) \
+        .withColumn("pos", F.col("pos") + 1)
+
+
+def _probe_length(th: Threshold) -> Column:
+    p, q = th.jaccard_bound()
+    return prefix_length(F.col("size"), p, q)
+
+
+def _index_length(th: Threshold) -> Column:
+    p, q = th.jaccard_bound()
+    return prefix_length(F.col("size"), 2 * p, p + q)
+
+
+def prefix_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id", extra: int = 0,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """(<id_col>, size, pos, token): the first prefix-length tokens of every set.
 
-    ``pos`` is the 1-based position of the token in the set's global order.
+    ``pos`` is the 1-based position of the token in the set's global order; ``extra`` lengthens
+    the prefix, the columns ``carry`` come along.
     """
-    p, q = th.jaccard_bound()
-    plen = prefix_length(F.col("size"), p, q)
-    return sets.select(id_col, "size",
-                       F.posexplode(F.slice("tokens", F.lit(1), plen)).alias("pos", "token")) \
-        .withColumn("pos", F.col("pos") + 1)
+    return _postings(sets, _probe_length(th), id_col, extra, carry)
 
 
 def required_overlap_ok(bound: F.Column, size_a: F.Column, size_b: F.Column,
@@ -115,48 +157,67 @@ def required_overlap_ok(bound: F.Column, size_a: F.Column, size_b: F.Column,
     return bound.cast("bigint") * (p + q) >= (size_a + size_b).cast("bigint") * p
 
 
-def index_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id") -> DataFrame:
+def index_postings(sets: DataFrame, th: Threshold, id_col: str = "set_id", extra: int = 0,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """(<id_col>, size, pos, token): the shorter *index* prefix of every set.
 
     When the larger document of a pair probes with its prefix, the smaller
     one needs only its first ``d - ceil(2t/(1+t) d) + 1`` tokens indexed: a
     pair with Jaccard >= t shares at least 2t/(1+t)·|smaller| tokens, so its
     first shared token lies in both prefixes (the AllPairs / PPJoin indexing
-    bound).
+    bound). With ``extra`` tokens more on both sides ``extra + 1`` shared tokens do.
     """
-    p, q = th.jaccard_bound()
-    plen = prefix_length(F.col("size"), 2 * p, p + q)
-    return sets.select(id_col, "size",
-                       F.posexplode(F.slice("tokens", F.lit(1), plen)).alias("pos", "token")) \
-        .withColumn("pos", F.col("pos") + 1)
+    return _postings(sets, _index_length(th), id_col, extra, carry)
+
+
+def posting_profile(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
+                    most: int = MAX_SHARED) -> tuple[DataFrame, dict]:
+    """(hot, measures): lengths of the posting lists when prefixes must share 1 to ``most`` tokens.
+
+    A posting's level is the smallest number of shared tokens whose prefix holds it. ``hot`` has the
+    tokens with more than ``cell_rows`` postings on a side at the last level, with the lengths
+    ``x1..``, ``y1..`` of their probe and index lists at each level. ``measures`` has, per level l:
+    ``pairs<l>``, the rows that joining the lists gives at most, ``hot<l>`` and ``chars<l>``, number
+    and bytes of its hot tokens. One aggregate with map-side combine; only hot tokens are written.
+    """
+    levels = range(1, most + 1)
+    # the index prefix is a part of the probe prefix: one pass over the postings counts both
+    postings = _postings(sets.withColumn("_probe", _probe_length(th)).withColumn("_index", _index_length(th)),
+                         F.col("_probe"), "set_id", most - 1, ("_probe", "_index"))
+    lists = postings.groupBy("token").agg(
+        *[F.count(F.when(F.col("pos") < F.col(length) + n, 1)).alias(f"{side}{n}")
+          for side, length in (("x", "_probe"), ("y", "_index")) for n in levels])
+    obs = Observation(f"postings-{uuid.uuid4().hex[:8]}")
+
+    def hot(n: int) -> Column:
+        return F.greatest(f"x{n}", f"y{n}") > cell_rows
+
+    chars = F.octet_length(F.col("token").cast("string")).cast("bigint")
+    path = scratch_path(sets.sparkSession, "hot-tokens")
+    (lists.observe(obs, *[F.sum(F.col(f"x{n}").cast("double") * F.col(f"y{n}")).alias(f"pairs{n}") for n in levels],
+                   *[F.count(F.when(hot(n), 1)).alias(f"hot{n}") for n in levels],
+                   *[F.sum(F.when(hot(n), chars)).alias(f"chars{n}") for n in levels])
+     .where(hot(most)).write.parquet(path))
+    return sets.sparkSession.read.parquet(path), {k: v or 0 for k, v in obs.get.items()}
 
 
-def _hot_token_counts(probe: DataFrame, index: DataFrame, cell_rows: int,
-                      max_broadcast_rows: int) -> DataFrame | None:
-    """(token, _kl, _kr) for tokens with more than ``cell_rows`` postings on a side; None if none has."""
-    both = (probe.groupBy("token").agg(F.count(F.lit(1)).alias("_kl"),
-                                       F.lit(0).cast("bigint").alias("_kr"))
-            .unionByName(index.groupBy("token").agg(F.lit(0).cast("bigint").alias("_kl"),
-                                                    F.count(F.lit(1)).alias("_kr"))))
-    per_token = both.groupBy("token").agg(F.sum("_kl").alias("_kl"), F.sum("_kr").alias("_kr"))
-    hot, m = materialize_measured(
-        per_token.where(F.greatest("_kl", "_kr") > cell_rows), "hot-keys",
-        {"rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length("token").cast("bigint"))})
-    if not m["rows"]:
-        return None
-    return broadcast_if_small(hot, max_broadcast_rows, known_rows=m["rows"],
-                              known_bytes=key_table_bytes(m["rows"], 1, m["chars"]))
+def choose_shared(measures: dict, most: int = MAX_SHARED, growth: float = SHARED_GROWTH) -> int:
+    """The most tokens to share for which joining the posting lists grows to ``growth`` times at most."""
+    allowed = [n for n in range(1, most + 1) if measures[f"pairs{n}"] <= growth * measures["pairs1"]]
+    return max(allowed, default=1)
 
 
 def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CELL_ROWS,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                    posting_bound: int | None = None) -> DataFrame:
+                    posting_bound: int | None = None, shared: int | None = 1) -> DataFrame:
     """(l_set_id, r_set_id, l_size, r_size): distinct prefix candidates that survive
-    the size filter and the positional filter (J4).
+    the size filter, the positional filter and, if ``sets`` has them, the signatures (J4).
 
     Sets are ordered by (size, id). The later set ``x`` probes with its prefix,
     the earlier set ``y`` is indexed on its shorter index prefix
     (:func:`index_postings`); each pair is generated in that one orientation.
+    ``shared`` tokens must lie in both prefixes, which are longer by ``shared - 1`` for it (None: as
+    many as :func:`choose_shared` allows); a pair whose least overlap is smaller must share that.
     Positional filter: tokens are in one global order, so every token the two
     sets share before their last shared prefix token is itself a match. With
     ``m`` matches, the last at positions (i, j), the overlap is at most
@@ -167,31 +228,49 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
     none exists.
     """
     p, q = th.jaccard_bound()
-    probe = prefix_postings(sets, th).select(
-        F.col("set_id").alias("x_id"), F.col("size").alias("x_size"),
-        F.col("pos").alias("x_pos"), "token")
-    index = index_postings(sets, th).select(
-        F.col("set_id").alias("y_id"), F.col("size").alias("y_size"),
-        F.col("pos").alias("y_pos"), "token")
-    sized = not (posting_bound is not None and posting_bound <= cell_rows)
-    if sized:
-        hot = _hot_token_counts(probe, index, cell_rows, max_broadcast_rows)
-        sized = hot is not None
-    if sized:
+    signed = SIGNATURE[0] in sets.columns
+    carry = tuple(SIGNATURE) if signed else ()
+    bounded = posting_bound is not None and posting_bound <= cell_rows
+    hot = None
+    if shared is None or not bounded:
+        most = MAX_SHARED if shared is None else shared
+        lists, measures = posting_profile(sets, th, cell_rows, most)
+        shared = choose_shared(measures, most) if shared is None else shared
+        if measures[f"hot{shared}"] and not bounded:
+            rows = measures[f"hot{shared}"]
+            hot = broadcast_if_small(
+                lists.select("token", F.col(f"x{shared}").alias("_kl"), F.col(f"y{shared}").alias("_kr"))
+                .where(F.greatest("_kl", "_kr") > cell_rows), max_broadcast_rows, known_rows=rows,
+                known_bytes=key_table_bytes(rows, 1, measures[f"chars{shared}"]))
+
+    def side(postings: DataFrame, name: str) -> DataFrame:
+        return postings.select(F.col("set_id").alias(f"{name}_id"), F.col("size").alias(f"{name}_size"),
+                               F.col("pos").alias(f"{name}_pos"), "token",
+                               *[F.col(c).alias(f"{name}_{c}") for c in carry])
+
+    probe = side(prefix_postings(sets, th, extra=shared - 1, carry=carry), "x")
+    index = side(index_postings(sets, th, extra=shared - 1, carry=carry), "y")
+    if hot is not None:
         zero = {"_kl": 0, "_kr": 0}
         probe = probe.join(hot, "token", "left").fillna(zero)
         index = index.join(hot, "token", "left").fillna(zero)
-    pairs = pairs_across_groups(probe, index, ["token"], "x_id", "y_id", sized, cell_rows)
-    later = (F.col("x_size") > F.col("y_size")) | \
-        ((F.col("x_size") == F.col("y_size")) & (F.col("x_id") > F.col("y_id")))
-    pairs = pairs.where(later & size_compatible(F.col("x_size"), F.col("y_size"), p, q))
+    pairs = pairs_across_groups(probe, index, ["token"], "x_id", "y_id", hot is not None, cell_rows)
+    x_size, y_size = F.col("x_size"), F.col("y_size")
+    later = (x_size > y_size) | ((x_size == y_size) & (F.col("x_id") > F.col("y_id")))
+    pairs = pairs.where(later & size_compatible(x_size, y_size, p, q))
+    if signed:
+        most = signature_overlap(x_size, y_size, [F.col(f"x_{c}") for c in SIGNATURE],
+                                 [F.col(f"y_{c}") for c in SIGNATURE])
+        pairs = pairs.where(required_overlap_ok(most, x_size, y_size, p, q))
     # sizes depend on the ids: carried as max() so the key is just the id pair
     per_pair = (pairs.groupBy("x_id", "y_id")
                 .agg(F.max("x_size").alias("x_size"), F.max("y_size").alias("y_size"),
                      F.count(F.lit(1)).alias("_m"), F.max("x_pos").alias("_i"),
                      F.max("y_pos").alias("_j")))
-    bound = F.col("_m") + F.least(F.col("x_size") - F.col("_i"), F.col("y_size") - F.col("_j"))
-    kept = per_pair.where(required_overlap_ok(bound, F.col("x_size"), F.col("y_size"), p, q))
+    bound = F.col("_m") + F.least(x_size - F.col("_i"), y_size - F.col("_j"))
+    kept = per_pair.where(required_overlap_ok(bound, x_size, y_size, p, q))
+    if shared > 1:
+        kept = kept.where((F.col("_m") >= shared) | required_overlap_ok(F.col("_m"), x_size, y_size, p, q))
     x_first = F.col("x_id") < F.col("y_id")
     return kept.select(
         F.least("x_id", "y_id").alias("l_set_id"), F.greatest("x_id", "y_id").alias("r_set_id"),
@@ -200,8 +279,8 @@ def candidate_pairs(sets: DataFrame, th: Threshold, cell_rows: int = DEFAULT_CEL
 
 
 def array_table_bytes(rows: int, tokens: int, chars: int) -> int:
-    """Upper estimate of the in-memory bytes of ``(id, tokens)`` rows."""
-    return 48 * rows + 24 * tokens + chars
+    """Upper estimate of the in-memory bytes of ``(id, tokens)`` rows (ranks: no ``chars``)."""
+    return 48 * rows + (24 if chars else 8) * tokens + chars
 
 
 def verify(candidates: DataFrame, sets: DataFrame, th: Threshold,
@@ -307,7 +386,7 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
                     posting_bound: int | None = None, cell_rows: int = DEFAULT_CELL_ROWS,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True, shared: int | None = None) -> DataFrame:
     """All pairs (doc_a < doc_b) with similarity >= t (or > t when strict).
 
     method="prefix": prefix-filtered candidates verified by id join (the
@@ -321,9 +400,9 @@ def similarity_join(docs: DataFrame, threshold, measure: str = JACCARD, *,
     preprocessing), so every later stage re-reads them instead of recomputing.
     """
     th = as_threshold(threshold, measure, strict)
-    sets, members, stats = collapse_duplicates(docs, id_col, checkpoint)
+    sets, members, stats = collapse_duplicates(docs, id_col, checkpoint, signatures=method == "prefix")
     if method == "prefix":
-        cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound)
+        cands = candidate_pairs(sets, th, cell_rows, max_broadcast_rows, posting_bound, shared)
         small = stats is not None and \
             array_table_bytes(stats["n"], stats["t"], stats["c"]) <= max_broadcast_bytes
         set_pairs = verify(cands, sets, th, broadcast_sets=small)
@@ -383,8 +462,8 @@ def similar_sets(docs: DataFrame, threshold, measure: str = JACCARD, *, id_col:
     instead of the k(k-1)/2 pairs of :func:`similarity_join`, and no link between different sets is lost.
     """
     th = as_threshold(threshold, measure, strict)
-    sets, members, stats = collapse_duplicates(docs, id_col)
-    cands = candidate_pairs(sets, th, cell_rows, posting_bound=posting_bound)
+    sets, members, stats = collapse_duplicates(docs, id_col, signatures=True)
+    cands = candidate_pairs(sets, th, cell_rows, posting_bound=posting_bound, shared=None)
     small = array_table_bytes(stats["n"], stats["t"], stats["c"]) <= DEFAULT_BROADCAST_BYTES
     return verify(cands, sets, th, broadcast_sets=small), members
 

@@ -123,6 +123,13 @@ def processed_lines(spark: SparkSession, sf_dir: str, collapse_ties: bool = Fals
     return out.withColumnRenamed("line_id", "doc_id")
 
 
+def ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, tokens, size) as :func:`processed_lines`, with ranks in the global order for tokens."""
+    lines = document_lines(spark, sf_dir).select("line_id", "value")
+    docs, _ = preprocess.preprocess_ranked(lines, "line_id", "value", stop_threshold=QUERY_STOP_THRESHOLD)
+    return docs.withColumnRenamed("line_id", "doc_id")
+
+
 def preprocess_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed_lines(spark, sf_dir).select("doc_id", join_tokens(F.col("tokens"))
                                                  .alias("tokens"))
@@ -146,23 +153,23 @@ def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def similar_pairs_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs with Jaccard >= 1/2: the rows of a full comparison, from prefix candidates."""
-    return similarity.similarity_join(processed_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD)
+    return similarity.similarity_join(ranked_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD)
 
 
 def similar_pairs_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.similarity_join(processed_lines(spark, sf_dir), PREFIX_THRESHOLD)
+    return similarity.similarity_join(ranked_lines(spark, sf_dir), PREFIX_THRESHOLD)
 
 
 def similar_pairs_overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.similarity_join(processed_lines(spark, sf_dir), OVERLAP_RATIO_THRESHOLD)
+    return similarity.similarity_join(ranked_lines(spark, sf_dir), OVERLAP_RATIO_THRESHOLD)
 
 
 def comparison_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.comparison_stats(processed_lines(spark, sf_dir), PREFIX_THRESHOLD)
+    return similarity.comparison_stats(ranked_lines(spark, sf_dir), PREFIX_THRESHOLD)
 
 
 def all_pairs_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.all_pairs_stats(processed_lines(spark, sf_dir))
+    return similarity.all_pairs_stats(ranked_lines(spark, sf_dir))
 
 
 # --- sampling -------------------------------------------------------------------

@@ -99,3 +99,21 @@ def test_wide_line_ids_of_a_huge_text_and_a_long_id(spark):
     pairs = similarity_join(out.withColumnRenamed("line_id", "doc_id"), Threshold.of("4/5")).collect()
     assert [(int(r.doc_a), int(r.doc_b)) for r in pairs] == [
         (7 * 10 ** 12 + 1, 9_300_000_000_001 * 10 ** 12 + 1_000_001)]
+
+
+def test_ranked_documents_spell_the_same_words(spark, sf_small):
+    from lexiflow.operators.preprocess import preprocess_ranked
+    from lexiflow.sources.tables import document_lines
+    lines = document_lines(spark, sf_small).select("line_id", "value")
+    want = {r.line_id: r.tokens for r in preprocess.preprocess(lines, stop_threshold=50).collect()}
+    for limit in (1 << 25, 0):  # broadcast and shuffled dictionary
+        docs, dictionary = preprocess_ranked(lines, stop_threshold=50, max_broadcast_bytes=limit)
+        words = {r["rank"]: r for r in dictionary.collect()}
+        assert sorted(words) == list(range(len(words)))
+        order = [(words[i].n, words[i].word) for i in sorted(words)]
+        assert order == sorted(order) and order[-1][0] <= 50
+        got = docs.collect()
+        assert {r.line_id: [words[t].word for t in r.tokens] for r in got} == want
+        assert all(r.size == len(r.tokens) for r in got)
+    empty, none = preprocess_ranked(lines.limit(0))
+    assert empty.count() == 0 and none.count() == 0

@@ -200,3 +200,109 @@ def test_candidates_lie_between_result_and_all_pairs(spark, sf_small):
     assert stats.n_documents == len(sizes)
     assert stats.distinct_sets == len({tuple(sorted(s)) for s in sizes})
     assert set_pairs.count() <= stats.candidate_pairs <= stats.all_pairs
+
+
+# ---- ranks, signatures, adaptive prefixes
+
+def _ranked(spark, sets):
+    """The documents of :func:`_docs` with integer ranks for tokens."""
+    docs = _docs(spark, sets).collect()
+    freq = {}
+    for d in docs:
+        for t in d.tokens:
+            freq[t] = freq.get(t, 0) + 1
+    rank = {t: i for i, t in enumerate(sorted(freq, key=lambda t: (freq[t], t)))}
+    return spark.createDataFrame([(d.doc_id, [rank[t] for t in d.tokens], d.size) for d in docs],
+                                 "doc_id long, tokens array<int>, size int")
+
+
+def _near_copies(seed, n, words, longest):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(words)]
+    sets = {}
+    for i in range(1, n + 1):
+        base = rng.sample(vocab, rng.randint(1, longest))
+        if i > 5 and rng.random() < 0.5:
+            base = list(sets[rng.randint(1, i - 1)])
+            for _ in range(rng.randint(0, 3)):
+                base[rng.randrange(len(base))] = rng.choice(vocab)
+        sets[i] = base
+    return sets
+
+
+@pytest.mark.parametrize("shared", [None, 1, 2, 3, 4])
+@pytest.mark.parametrize("measure,t", [(JACCARD, "4/5"), (JACCARD, "1/2"), (JACCARD, "7/100"),
+                                       (OVERLAP_RATIO, "1/4")])
+def test_adaptive_prefixes_equal_brute_force(spark, measure, t, shared):
+    sets = _near_copies(11, 90, 40, 14)
+    th = Threshold.of(t, measure=measure)
+    docs = _ranked(spark, sets)
+    for cell_rows in (3, 2048):
+        got = similarity.similarity_join(docs, th, shared=shared, cell_rows=cell_rows)
+        assert {(r.doc_a, r.doc_b) for r in got.collect()} == _brute(sets, th).keys()
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(1, 60), st.lists(st.sampled_from("abcdefghijklmnop"), max_size=9),
+                       min_size=2, max_size=25),
+       st.sampled_from(["1/3", "1/2", "4/5", "1"]), st.sampled_from([2, 3, 4, None]))
+def test_shared_tokens_property(spark, sets, t, shared):
+    th = Threshold.of(t)
+    got = similarity.similarity_join(_ranked(spark, sets), th, shared=shared, max_broadcast_bytes=0)
+    assert {(r.doc_a, r.doc_b) for r in got.collect()} == _brute(sets, th).keys()
+
+
+def test_signature_bounds_the_overlap(spark):
+    from pyspark.sql import functions as F
+
+    from lexiflow.functions.sets import signature, signature_overlap
+    rng = random.Random(2)
+    rows = []
+    for _ in range(300):
+        a = set(rng.sample(range(5000), rng.randint(1, 400)))
+        b = set(rng.sample(sorted(a), rng.randint(0, len(a)))) | set(rng.sample(range(5000), rng.randint(1, 30)))
+        rows.append((sorted(a), sorted(b), len(a & b)))
+    df = spark.createDataFrame([*rows, ([], [1], 0), ([], [], 0)], "a array<int>, b array<int>, o int")
+    got = df.select("a", "b", "o", *[w.alias(f"a{k}") for k, w in enumerate(signature(F.col("a")))],
+                    *[w.alias(f"b{k}") for k, w in enumerate(signature(F.col("b")))]).select(
+        "o", F.size("a").alias("n"), signature_overlap(
+            F.size("a"), F.size("b"), [F.col(f"a{k}") for k in range(4)],
+            [F.col(f"b{k}") for k in range(4)]).alias("bound")).collect()
+    assert all(r.o <= r.bound <= r.n for r in got)
+    # with few tokens hardly any share a bit: the bound is close
+    small = [r for r in got if 0 < r.n <= 20]
+    assert small and sum(r.bound - r.o for r in small) <= len(small) * 2
+
+
+def test_profile_counts_the_posting_lists(spark):
+    sets = _near_copies(3, 60, 25, 10)
+    th = Threshold.of("1/2")
+    distinct, _, _ = similarity.collapse_duplicates(_ranked(spark, sets), signatures=True)
+    hot, measures = similarity.posting_profile(distinct, th, cell_rows=4)
+    lists = {r.token: r for r in hot.collect()}
+    for shared in (1, 2, 3, 4):
+        probe, index = ({r.token: r["count"] for r in f(distinct, th, extra=shared - 1).groupBy("token").count().collect()}
+                        for f in (similarity.prefix_postings, similarity.index_postings))
+        assert measures[f"pairs{shared}"] == sum(n * index.get(t, 0) for t, n in probe.items())
+        want_hot = {t for t in probe if max(probe[t], index.get(t, 0)) > 4}
+        assert measures[f"hot{shared}"] == len(want_hot) and want_hot <= lists.keys()
+        assert all(lists[t][f"x{shared}"] == probe[t] and lists[t][f"y{shared}"] == index.get(t, 0)
+                   for t in want_hot)
+    assert similarity.choose_shared({"pairs1": 10, "pairs2": 14, "pairs3": 15, "pairs4": 16}) == 3
+    assert similarity.choose_shared({f"pairs{n}": 0 for n in (1, 2, 3, 4)}) == 4
+
+
+def test_signatures_leave_few_candidates(spark, sf_small):
+    from lexiflow.plans import catalog
+    th = catalog.OVERLAP_RATIO_THRESHOLD
+    sets, _, stats = similarity.collapse_duplicates(catalog.ranked_lines(spark, sf_small), signatures=True)
+    plain = similarity.candidate_pairs(sets.drop(*similarity.SIGNATURE), th).count()
+    left = similarity.candidate_pairs(sets, th, shared=None)
+    assert left.count() * 10 < plain
+    assert similarity.verify(left, sets, th).count() <= left.count()
+    # candidates are made and reduced without any array on the way
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if line.lstrip(" :+-").startswith(("Join", "Aggregate")):
+            assert "tokens" not in line
+    assert similarity.array_table_bytes(10, 100, 0) == 48 * 10 + 8 * 100
