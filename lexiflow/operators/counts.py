@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import first_letter, tokenize
+from lexiflow.session import materialize
 
 # Fixed value of the reference: a word is a stop word when it occurs more
 # than this many times.
 STOP_WORD_THRESHOLD = 4000
+#: hash buckets of the first count of frequent words
+COUNT_BUCKETS = 1 << 18
 
 
 def explode_tokens(lines: DataFrame, text_col: str = "value", *, clean: bool = True,
@@ -46,6 +49,25 @@ def stop_words(counts: DataFrame, threshold: int = STOP_WORD_THRESHOLD) -> DataF
     return counts.where(F.col("n") > threshold)
 
 
+def frequent_words(words: DataFrame, threshold: int = STOP_WORD_THRESHOLD, word_col: str = "word",
+                   buckets: int = COUNT_BUCKETS) -> DataFrame:
+    """(word, n) of the words counted more than ``threshold`` times, exactly.
+
+    For vocabularies of which few words are frequent, while occurrences per bucket stay below ``threshold``
+    on average (beyond that every bucket is frequent and :func:`word_count` alone is cheaper). First, occurrences are counted per hash bucket: a task
+    shuffles ``buckets`` rows at most, however many words it has seen. A word cannot be frequent if its whole
+    bucket is not, so only words of the frequent buckets, of which there are at most
+    ``occurrences / threshold``, are counted one by one. The table of these buckets has at most ``buckets``
+    rows of one integer and is broadcast. The words are read twice.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(word_col)), F.lit(buckets)).cast("int")
+    heavy = (words.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > threshold).select("_bucket"))
+    heavy = materialize(heavy, "frequent-buckets")
+    left = words.join(F.broadcast(heavy), bucket == F.col("_bucket"), "left_semi")
+    return stop_words(word_count(left, word_col), threshold)
+
+
 def top_words(counts: DataFrame, k: int) -> DataFrame:
     """The ``k`` most frequent words, ties by word (a top-k report, O6)."""
     return counts.orderBy(F.col("n").desc(), F.col("word")).limit(k)

@@ -45,11 +45,11 @@ def prefix_sums(counts: DataFrame, key: str, value: str, largest: int,
         return summed.drop("_range")
     totals = ranged.groupBy(*within, F.col("_range").alias("_key")).agg(F.sum(value).alias("_total"))
     outer = prefix_sums(totals, "_key", "_total", largest // width, within, width)
-    outer = outer.select(*[F.col(c).alias(f"_o_{c}") for c in within],
-                         F.col("_key").alias("_o__range"), F.col("before").alias("_earlier"))
-    return (summed.join(outer, same_keys([*within, "_range"], "_o_"))
+    outer = outer.select(*[F.col(c).alias(f"_outer_{c}") for c in within],
+                         F.col("_key").alias("_outer__range"), F.col("before").alias("_earlier"))
+    return (summed.join(outer, same_keys([*within, "_range"], "_outer_"))
             .withColumn("before", F.col("before") + F.col("_earlier"))
-            .drop("_range", "_earlier", *[f"_o_{c}" for c in [*within, "_range"]]))
+            .drop("_range", "_earlier", *[f"_outer_{c}" for c in [*within, "_range"]]))
 
 
 def sorted_runs(rows: DataFrame, order_by: Sequence[str], within: Sequence[str] = (),
@@ -57,49 +57,49 @@ def sorted_runs(rows: DataFrame, order_by: Sequence[str], within: Sequence[str]
                 width: int = WIDTH) -> tuple[DataFrame, DataFrame, dict]:
     """(numbered, runs, stats): ``rows`` written once in the order of ``within`` and ``order_by``.
 
-    ``numbered`` adds ``_scan``, consecutive inside a partition. ``runs`` has one row per
-    group and partition that holds rows of it: ``_part``, ``_first`` (its first ``_scan``),
-    ``_rows`` and ``before`` (rows of the group in earlier partitions); at most one row per
+    ``numbered`` adds ``_run_scan``, consecutive inside a partition. ``runs`` has one row per
+    group and partition that holds rows of it: ``_run_part``, ``_run_first`` (its first ``_run_scan``),
+    ``_run_rows`` and ``_run_before`` (rows of the group in earlier partitions); at most one row per
     partition and group. The order is ascending, nulls first; equal rows are split over partitions
     like others, since their place in the input is the last sort key. ``stats`` has the row count
     ``n`` and the largest partition number ``part``.
     """
-    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
-    keys = [*within, *order_by, "_tie"]
+    tied = rows.withColumn("_run_tie", F.monotonically_increasing_id())
+    keys = [*within, *order_by, "_run_tie"]
     dealt = tied.repartitionByRange(partitions, *keys) if partitions else tied.repartitionByRange(*keys)
-    scanned = (dealt.sortWithinPartitions(*keys).drop("_tie")
-               .withColumn("_scan", F.monotonically_increasing_id()))
+    scanned = (dealt.sortWithinPartitions(*keys).drop("_run_tie")
+               .withColumn("_run_scan", F.monotonically_increasing_id()))
     numbered, stats = materialize_measured(scanned, name, {
-        "n": F.count(F.lit(1)), "part": F.shiftright(F.max("_scan"), SCAN_BITS)})
-    runs = (numbered.groupBy(*within, F.shiftright("_scan", SCAN_BITS).cast("int").alias("_part"))
-            .agg(F.min("_scan").alias("_first"), F.count(F.lit(1)).alias("_rows")))
-    return numbered, prefix_sums(runs, "_part", "_rows", stats["part"], within, width), stats
+        "n": F.count(F.lit(1)), "part": F.shiftright(F.max("_run_scan"), SCAN_BITS)})
+    runs = (numbered.groupBy(*within, F.shiftright("_run_scan", SCAN_BITS).cast("int").alias("_run_part"))
+            .agg(F.min("_run_scan").alias("_run_first"), F.count(F.lit(1)).alias("_run_rows")))
+    summed = prefix_sums(runs, "_run_part", "_run_rows", stats["part"], within, width)
+    return numbered, summed.withColumnRenamed("before", "_run_before"), stats
 
 
-def attach_runs(numbered: DataFrame, runs: DataFrame, position: Column, alias: str,
+def attach_runs(numbered: DataFrame, runs: DataFrame, alias: str,
                 within: Sequence[str] = (), carry: Sequence[str] = ()) -> DataFrame:
-    """``numbered`` with ``alias`` = ``position`` (an expression over ``_scan``, ``_first``, ``before``)
-    and the columns ``carry`` of ``runs``.
+    """``numbered`` with ``alias``, a row's rank in its group, and the columns ``carry`` of ``runs``.
 
     The runs are written once and broadcast below the checked size; beyond it the join shuffles on
     group and partition, at most one partition's rows per key.
     """
-    keys = [*within, "_part"]
+    keys = [*within, "_run_part"]
     side, m = materialize_measured(
-        runs.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_first", "before", *carry), "runs",
+        runs.select(*[F.col(k).alias(f"_run_r_{k}") for k in keys], "_run_first", "_run_before", *carry), "runs",
         {"rows": F.count(F.lit(1)), "chars": F.sum(_chars(within, carry))})
     side = broadcast_if_small(side, known_rows=m["rows"],
                               known_bytes=key_table_bytes(m["rows"], len(within) + len(carry), m["chars"]))
-    return (numbered.withColumn("_part", F.shiftright("_scan", SCAN_BITS).cast("int"))
-            .join(side, same_keys(keys, "_r_"))
-            .withColumn(alias, position)
-            .drop("_scan", "_part", "_first", "before", *[f"_r_{k}" for k in keys]))
+    return (numbered.withColumn("_run_part", F.shiftright("_run_scan", SCAN_BITS).cast("int"))
+            .join(side, same_keys(keys, "_run_r_"))
+            .withColumn(alias, F.col("_run_scan") - F.col("_run_first") + F.col("_run_before"))
+            .drop("_run_scan", "_run_part", "_run_first", "_run_before", *[f"_run_r_{k}" for k in keys]))
 
 
 def _chars(within: Sequence[str], carry: Sequence[str]) -> Column:
     """Bytes of a run's key and carried columns, as text."""
     total = F.lit(0).cast("long")
-    for c in [*[f"_r_{k}" for k in within], *carry]:
+    for c in [*[f"_run_r_{k}" for k in within], *carry]:
         total = total + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     return total
 
@@ -113,5 +113,4 @@ def dense_ranks(rows: DataFrame, order_by: Sequence[str], within: Sequence[str]
     the input. No task holds more than one range of rows, however large a group is.
     """
     numbered, runs, _ = sorted_runs(rows, order_by, within, name, partitions, width)
-    position = F.col("_scan") - F.col("_first") + F.col("before")
-    return attach_runs(numbered, runs, position, alias, within)
+    return attach_runs(numbered, runs, alias, within)

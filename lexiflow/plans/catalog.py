@@ -23,6 +23,7 @@ from lexiflow.sources.tables import (document_lines, document_texts, multi_corpu
 QUERY_STOP_THRESHOLD = counts.STOP_WORD_THRESHOLD
 LIST_THRESHOLD = 400
 BLOCK_WIDTH = 500
+NAME_BLOCK_WIDTH = 2
 PREFIX_THRESHOLD = Threshold.of("4/5")
 ALL_PAIRS_THRESHOLD = Threshold.of("1/2")
 OVERLAP_RATIO_THRESHOLD = Threshold.of("1/4", measure=OVERLAP_RATIO)
@@ -61,6 +62,12 @@ def stop_words_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.stop_words(word_count_clean(spark, sf_dir), LIST_THRESHOLD)
 
 
+def stop_words_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The case-kept stop list, counted by hash buckets first."""
+    texts = document_texts(spark, sf_dir)
+    return counts.frequent_words(counts.explode_tokens(texts, "text", clean=True), LIST_THRESHOLD)
+
+
 def word_count_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = document_lines(spark, sf_dir)
     return counts.job_counters(lines, "value", clean=False, keep_empty=True)
@@ -104,6 +111,20 @@ def posting_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.select("word", "block", "n_docs", F.array_join("docs", ", ").alias("docs"))
 
 
+def posting_blocks_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index by ``doc_id`` with term frequencies, in rows of bounded length."""
+    texts = document_texts(spark, sf_dir).selectExpr("doc_id AS doc", "text AS value")
+    words = counts.explode_tokens(texts, "value", clean=True, lower=True, keep=("doc",))
+    idx = index.posting_blocks(words, width=BLOCK_WIDTH, tf=True)
+    return idx.select("word", "block", "n_docs", join_tf_postings(F.col("postings")).alias("postings"))
+
+
+def posting_blocks_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index by file name with term frequencies, in rows of at most NAME_BLOCK_WIDTH names."""
+    idx = index.posting_blocks(tagged_words(spark, sf_dir), width=NAME_BLOCK_WIDTH, tf=True)
+    return idx.select("word", "block", "n_docs", join_tf_postings(F.col("postings")).alias("postings"))
+
+
 def single_document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.single_document_words(tagged_words(spark, sf_dir),
                                        max_count=QUERY_STOP_THRESHOLD)
@@ -164,6 +185,16 @@ def similar_pairs_overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similarity_join(ranked_lines(spark, sf_dir), OVERLAP_RATIO_THRESHOLD)
 
 
+def similar_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different token sets with Jaccard >= 4/5, each set named by its smallest document."""
+    return similarity.similar_sets(ranked_lines(spark, sf_dir), PREFIX_THRESHOLD)[0]
+
+
+def similar_set_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token set of every document: a cluster of k copies is k rows, not its pairs."""
+    return similarity.similar_sets(ranked_lines(spark, sf_dir), PREFIX_THRESHOLD)[1]
+
+
 def comparison_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.comparison_stats(ranked_lines(spark, sf_dir), PREFIX_THRESHOLD)
 
@@ -188,12 +219,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_letter_count": first_letter_count,
     "stop_words_lower": stop_words_lower,
     "stop_words_case": stop_words_case,
+    "stop_words_bucketed": stop_words_bucketed,
     "top_words": top_words,
     "word_count_counters": word_count_counters,
     "inverted_index": inverted_index,
     "inverted_index_tf": inverted_index_tf,
     "multi_corpus_index": multi_corpus_index,
     "posting_blocks": posting_blocks,
+    "posting_blocks_tf": posting_blocks_tf,
+    "posting_blocks_by_name": posting_blocks_by_name,
     "single_document_words": single_document_words,
     "vocabulary_stats": vocabulary_stats,
     "preprocess_documents": preprocess_documents,
@@ -203,6 +237,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similar_pairs_naive": similar_pairs_naive,
     "similar_pairs_prefix": similar_pairs_prefix,
     "similar_pairs_overlap_ratio": similar_pairs_overlap_ratio,
+    "similar_sets": similar_sets,
+    "similar_set_members": similar_set_members,
     "comparison_stats": comparison_stats,
     "all_pairs_stats": all_pairs_stats,
     "sample_lines": sample_lines,

@@ -194,6 +194,7 @@ _SAME = {
     "text_round_trip_processed": "preprocess_documents",
     "document_count_round_trip": "document_count",
     "file_name_index": "single_document_words",
+    "stop_words_bucketed": "stop_words_case",
     "preprocess_stop_file": "preprocess_documents",
 }
 for _name, _base in _SAME.items():
@@ -262,6 +263,38 @@ SELECT word, doc_id // 500 AS block, count(*) AS n_docs,
        string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS docs
 FROM tagged GROUP BY word, doc_id // 500"""
 
+ORACLE_SQL["posting_blocks_tf"] = """
+WITH tf AS (
+  SELECT doc_id, lower(w) AS word, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM documents)
+  GROUP BY doc_id, lower(w))
+SELECT word, doc_id // 500 AS block, count(*) AS n_docs,
+       string_agg(doc_id || '#' || tf, ', ' ORDER BY doc_id) AS postings
+FROM tf GROUP BY word, doc_id // 500"""
+
+ORACLE_SQL["posting_blocks_by_name"] = """
+WITH names AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+  FROM (SELECT DISTINCT source FROM documents WHERE len(regexp_extract_all(text, '[A-Za-z0-9]+')) > 0)),
+tf AS (
+  SELECT source, lower(w) AS word, count(*) AS tf
+  FROM (SELECT source, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM documents)
+  GROUP BY source, lower(w))
+SELECT word, place // 2 AS block, count(*) AS n_docs,
+       string_agg(source || '#' || tf, ', ' ORDER BY source) AS postings
+FROM tf JOIN names USING (source) GROUP BY word, place // 2"""
+
+ORACLE_SQL["similar_sets"] = f"""
+WITH {PROCESSED.strip()},
+firsts AS (SELECT min(doc_id) AS set_id FROM docs GROUP BY tokens)
+SELECT doc_a AS set_a, doc_b AS set_b, similarity FROM ({_pairs(4, 5, "jaccard", False)})
+WHERE doc_a IN (SELECT set_id FROM firsts) AND doc_b IN (SELECT set_id FROM firsts)"""
+
+ORACLE_SQL["similar_set_members"] = f"""
+WITH {PROCESSED.strip()}
+SELECT doc_id, min(doc_id) OVER (PARTITION BY tokens) AS set_id,
+       count(*) OVER (PARTITION BY tokens) AS copies, size::INTEGER AS size FROM docs"""
+
 ORACLE_SQL["multi_corpus_index"] = f"""
 WITH corpus AS (
   SELECT source AS doc, text FROM documents

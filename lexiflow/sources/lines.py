@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiflow.functions.text import split_lines
@@ -40,12 +40,14 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
     Each (file, block) split is read by exactly one task, in order, so after
     the empty-line filter ``monotonically_increasing_id`` is consecutive inside
     a split. A per-split table (one row per ~128 MB block) carries the first
-    scan id and a running-summed offset; joining it back numbers every line.
-    Only that per-split table is ordered globally. It is checkpointed and its
+    scan id and the lines of all earlier splits; joining it back numbers every line.
+    The splits are ranked by a range sort and their lines summed up in ranges of splits, so not even
+    that table comes to one task. It is written and its
     size checked before it is broadcast; past the limit it is a shuffle join.
     Output: ``line_id`` (1-based, dense over kept lines), ``value``, ``doc``.
     """
     from lexiflow.operators.joins import broadcast_if_small
+    from lexiflow.operators.ranks import dense_ranks, prefix_sums
     from lexiflow.session import materialize_measured
 
     df = spark.read.text(path)
@@ -58,10 +60,11 @@ def number_lines(spark: SparkSession, path: str | list[str], skip_empty: bool =
                    F.monotonically_increasing_id().alias("_scan"))
     per_block = df.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"),
                                                   F.min("_scan").alias("_first"))
-    before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets, m = materialize_measured(per_block.select(
-        "_path", "_block",
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")),
+    blocks, seen = materialize_measured(per_block, "line-blocks", {"rows": F.count(F.lit(1))})
+    ranked = dense_ranks(blocks, ["_path", "_block"], alias="_place", name="line-block-order")
+    summed = prefix_sums(ranked, "_place", "_n", max(0, seen["rows"] - 1))
+    offsets, m = materialize_measured(
+        summed.select("_path", "_block", (F.col("before") - F.col("_first") + 1).alias("_shift")),
         "line-offsets", {"rows": F.count(F.lit(1))})
     offsets = broadcast_if_small(offsets, max_broadcast_blocks, known_rows=m["rows"])
     numbered = df.join(offsets, ["_path", "_block"])

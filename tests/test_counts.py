@@ -1,3 +1,5 @@
+import pytest
+
 from lexiflow.operators import counts
 from tests.conftest import rows
 
@@ -33,3 +35,14 @@ def test_top_words_ties_by_word(spark):
     lines = spark.createDataFrame([("b a c b a d",)], "value string")
     top = counts.top_words(counts.count_words(lines), 3).collect()
     assert [(r.word, r.n) for r in top] == [("a", 2), ("b", 2), ("c", 1)]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 18])
+def test_frequent_words_equal_plain_counts(spark, buckets):
+    rows = [(f"w{i % 97}",) for i in range(2000)] + [("hot",)] * 500 + [("",)] * 30 + [(None,)] * 25
+    words = spark.createDataFrame(rows, "word string").repartition(5)
+    for threshold in (0, 20, 21, 499, 500):
+        want = {(r.word, r.n) for r in counts.stop_words(counts.word_count(words), threshold).collect()}
+        got = [(r.word, r.n) for r in counts.frequent_words(words, threshold, buckets=buckets).collect()]
+        assert set(got) == want and len(got) == len(want)
+    assert counts.frequent_words(words.limit(0), 1).count() == 0

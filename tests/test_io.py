@@ -163,3 +163,17 @@ def test_stage_tables_are_dropped_on_request(spark):
     unused = scratch_path(spark, "never-written")
     assert drop_stage_tables(spark) >= 1 and not os.path.exists(unused)
     assert drop_stage_tables(spark) == 0
+
+
+def test_line_numbers_need_no_window_over_all_blocks(spark, tmp_path):
+    from lexiflow.sources.lines import number_lines
+    for i in range(40):
+        (tmp_path / f"f{i:02}.txt").write_text("".join(f"{i} {j}\n\n" for j in range(i % 5)))
+    got = sorted(number_lines(spark, str(tmp_path)).collect(), key=lambda r: r.line_id)
+    assert [r.line_id for r in got] == list(range(1, len(got) + 1))
+    assert [(r.doc, r.value) for r in got] == [(f"f{i:02}.txt", f"{i} {j}") for i in range(40) for j in range(i % 5)]
+    # every window of the rank and prefix sums has a partition key
+    from lexiflow.operators import ranks
+    counts = spark.range(600).select(F.col("id").alias("k"), F.lit(2).alias("v"))
+    plan = ranks.prefix_sums(counts, "k", "v", 599)._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(_range" in plan and "SinglePartition" not in plan
