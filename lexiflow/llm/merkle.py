@@ -207,14 +207,13 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "d
         *[c.alias(f"x_{k}") for k, c in extra.items()]), "merkle-leaves")
     numbered, runs, _ = sorted_runs(leaves, ["id", "digest"], ["grp"], "merkle-sorted")
     runs = materialize(runs, "merkle-runs")
-    groups, seen = materialize_measured(runs.groupBy("grp").agg(F.sum("_rows").alias("n")), "merkle-groups", {
+    groups, seen = materialize_measured(runs.groupBy("grp").agg(F.sum("_run_rows").alias("n")), "merkle-groups", {
         "n": F.max("n"), "groups": F.count(F.lit(1))})
     # the rank of a group is its tree and its place in the tree of groups
     trees = dense_ranks(groups, ["grp"], alias="tree", name="merkle-trees")
     trees = trees.select(F.col("grp").alias("_g_grp"), "n", "tree")
     runs = runs.join(trees, same_keys(["grp"], "_g_")).drop("_g_grp")
-    nodes = attach_runs(numbered, runs, F.col("_scan") - F.col("_first") + F.col("before"), "pos",
-                        ["grp"], ["tree", "n"])
+    nodes = attach_runs(numbered, runs, "pos", ["grp"], ["tree", "n"])
     rounds = _grow_trees(nodes, max(1, seen["n"]), block_levels, "merkle-blocks")
     tops = _blocks(rounds[-1], block_levels).select(
         F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"),
