@@ -12,6 +12,12 @@ with at most e edits.
 An item is compared as a whole, or in overlapping segments of ``segment`` characters if it is longer, and
 also in passages: every ``stride``-th run of ``passage`` characters, and the last one. A verbatim
 quote of ``passage + stride - 1`` characters holds a whole passage, wherever it begins.
+
+Items of a benchmark may share phrases ("which of the following statements is true about"). A q-gram found in more
+than ``COMMON_ITEMS`` different items is common. Common grams are no evidence for a passage, which must meet its bound with
+the others, so a text that shares only such a phrase with an item matches nothing. For whole items
+they are evidence but need no index: of the grams an item must share, at most its common ones are common, so the
+bound less their number is asked of the others; only an item for which nothing would be left keeps all.
 """
 
 from __future__ import annotations
@@ -33,6 +39,10 @@ PASSAGE = 50
 STRIDE = 10
 #: the index of one pass over the texts holds at most this many benchmark q-grams
 INDEX_GRAMS = 4_000_000
+#: a q-gram in more than this many different items is common to the benchmark
+COMMON_ITEMS = 4
+#: cells of the alignment tables held at once
+ALIGN_CELLS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 22
 MATCHES = "array<struct<item_id:long,edits:int,start:long,end:long,size:int>>"
@@ -101,15 +111,29 @@ def passages(item: str, passage: int, stride: int) -> list[str]:
     return [text[i:i + passage] for i in [*range(0, last, stride), last]]
 
 
-def parts_of(item: str, q: int, segment: int, passage: int, stride: int) -> list[str]:
-    """Everything an item is compared by, each text once."""
-    return list(dict.fromkeys(segments(item, q, segment) + passages(item, passage, stride)))
+def gram_size(length: int, q: int, rate: float) -> int:
+    """q, or less where a match within the budget need not share one gram of that size."""
+    return min(q, length // (1 + edit_budget(length, rate)))
+
+
+def common_grams(texts: list[str], q: int, most: int = COMMON_ITEMS) -> np.ndarray:
+    """Sorted hashes of the q-grams that more than ``most`` of the different ``texts`` hold."""
+    per_text = [np.unique(gram_hashes(_codes(t), q)) for t in set(texts)]
+    if not per_text:
+        return np.empty(0, np.uint64)
+    grams, n = np.unique(np.concatenate(per_text), return_counts=True)
+    return grams[n > most]
 
 
 class GramIndex:
-    """The q-grams of a set of benchmark segments with their places."""
+    """The q-grams of a set of benchmark parts with their places.
+
+    ``items`` are (owner, text), the owner an item id or a list of them; ``passage`` tells which texts
+    are passages (default: none), ``common`` the hashes of common grams.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
+    def __init__(self, items: list[tuple], q: int, rate: float, passage: list[bool] | None = None,
+                 common: np.ndarray | None = None):
         self.q, self.rate = q, rate
         self.items = items
         self.length = np.array([len(t) for _, t in items], np.int64)
@@ -117,23 +141,32 @@ class GramIndex:
         # a bound below one shared gram would let every text through; one gram is then asked for
         self.bound = np.maximum(1, self.length + 1 - q - q * self.budget)
         grams = [gram_hashes(_codes(t), q) for _, t in items]
+        places = [np.arange(len(g)) for g in grams]
+        if common is not None and len(common):
+            for i, g in enumerate(grams):
+                own = ~np.isin(g, common)
+                left = int(self.bound[i]) - int((~own).sum())
+                if passage is not None and passage[i]:
+                    grams[i], places[i] = g[own], places[i][own]
+                elif left >= 1:
+                    grams[i], places[i], self.bound[i] = g[own], places[i][own], left
         h = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
+        place = np.concatenate(places) if grams else np.empty(0, np.int64)
         order = np.argsort(h, kind="stable")
         self.h, self.owner, self.place = h[order], owner[order], place[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[_slot(self.h)] = True
 
-    def regions(self, codes: np.ndarray, doc_of) -> list[tuple[int, int, int, int]]:
-        """(text, item, first diagonal, last diagonal) of bands that meet the bound."""
+    def regions(self, codes: np.ndarray, doc_of) -> np.ndarray:
+        """Rows (text, item, first diagonal) of bands that meet the bound; a band is two budgets and two wide."""
         g = gram_hashes(codes, self.q)
         pos = np.flatnonzero(self.filter[_slot(g)])
         lo = np.searchsorted(self.h, g[pos], side="left")
         hi = np.searchsorted(self.h, g[pos], side="right")
         n = hi - lo
         pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
-        out = []
+        out = [np.empty((0, 3), np.int64)]
         # in runs of a bounded number of hits; a text is never divided between runs
         docs = doc_of(pos)
         ends = np.flatnonzero(np.diff(docs, append=-1)) + 1
@@ -143,9 +176,9 @@ class GramIndex:
             stop = ends[ends > at]
             fit = stop[total[stop - at - 1] <= 2_000_000]
             to = int(fit[-1]) if len(fit) else int(stop[0])
-            out += self._bands(pos[at:to], docs[at:to], lo[at:to], n[at:to])
+            out.append(self._bands(pos[at:to], docs[at:to], lo[at:to], n[at:to]))
             at = to
-        return out
+        return np.concatenate(out)
 
     def _bands(self, pos, docs, lo, n):
         k = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -161,90 +194,130 @@ class GramIndex:
         new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(item, prepend=-1) != 0)
                              | (np.diff(band, prepend=band[:1] - 1) != 0))
         count = np.diff(np.append(new, len(doc)))
-        ok = count >= self.bound[item[new]]
-        new = new[ok]
-        return [(int(doc[i]), int(item[i]), int(band[i] * (self.budget[item[i]] + 1)),
-                 int((band[i] + 2) * (self.budget[item[i]] + 1) - 1)) for i in new]
+        new = new[count >= self.bound[item[new]]]
+        return np.stack([doc[new], item[new], band[new] * (self.budget[item[new]] + 1)], axis=1)
 
 
-def align(text: str, item: str, first: int, last: int, budget: int) -> tuple[int, int] | None:
-    """(edits, end) of the best alignment of all of ``item`` on diagonals first..last, or None.
+def align_all(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, items: np.ndarray, first: np.ndarray,
+              width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(edits, end) of the best alignment of all of each item on ``width`` diagonals from ``first`` on.
 
-    Row i of the table holds, for diagonal d, the edits of item[:i] against text ending at
-    i + d; the alignment may begin and end anywhere in the text.
+    Row r aligns ``items[r]`` with ``codes[begin[r]:end[r]]``, free ends in the text; all items have one length.
+    The tables of all rows are filled together: row i holds, for diagonal d, the edits of item[:i] against text
+    ending at i + d. Edits beyond the item's length mean that no alignment lies on these diagonals.
     """
-    width = last - first + 1
-    big = len(item) + 1
-    row = [0 if 0 <= first + d <= len(text) else big for d in range(width)]
-    for i, c in enumerate(item, 1):
-        new = [big] * width
-        best = big
-        for d in range(width):
-            j = i + first + d
-            if not 0 <= j <= len(text):
-                continue
-            v = row[d] + (text[j - 1] != c) if j else big
-            if d + 1 < width and row[d + 1] + 1 < v:
-                v = row[d + 1] + 1
-            if d and new[d - 1] + 1 < v:
-                v = new[d - 1] + 1
-            new[d] = v
-            best = min(best, v)
-        if best > budget:
-            return None
+    m = items.shape[1]
+    d = np.arange(width)
+    big = 2 * m + 2
+    at = first[:, None] + d[None, :]
+    lo, hi = begin[:, None], end[:, None]
+    row = np.where((at >= lo) & (at <= hi), 0, big)
+    for i in range(m):
+        here = np.clip(at + i, 0, len(codes) - 1)
+        new = row + (codes[here] != items[:, i, None])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        inside = (at + i + 1 >= lo) & (at + i + 1 <= hi)
+        new = np.where(inside, new, big)
+        # a step along the text costs one per diagonal
+        new = np.minimum.accumulate(new - d, axis=1) + d
+        row = np.where(inside, new, big)
+    best = row.argmin(axis=1)
+    return row[np.arange(len(row)), best], m + first + best
+
+
+def start_of(text: str, item: str, end: int, edits: int) -> int:
+    """Where the part of ``text`` ending at ``end`` begins that is within ``edits`` of ``item``; the nearest to its length."""
+    last = text[max(0, end - len(item) - edits):end][::-1]
+    row = list(range(len(last) + 1))
+    for i, c in enumerate(reversed(item), 1):
+        new = [i]
+        for j, t in enumerate(last, 1):
+            new.append(min(row[j - 1] + (c != t), row[j] + 1, new[j - 1] + 1))
         row = new
-    edits = min(row)
-    if edits > budget:
-        return None
-    return edits, len(item) + first + row.index(edits)
+    fits = [j for j, v in enumerate(row) if v <= edits]
+    return end - min(fits, key=lambda j: (abs(j - len(item)), j))
+
+
+def _owners(owner) -> list[int]:
+    return owner if isinstance(owner, list) else [owner]
 
 
-def find_matches(texts: list[str], index: GramIndex) -> list[list[dict]]:
+def find_matches(texts: list[str], indexes) -> list[list[dict]]:
     """Per text, its best confirmed match with every benchmark item; places in the folded text.
 
     Best is the longest part of the item, then fewest edits, then the first place.
     """
+    indexes = [indexes] if isinstance(indexes, GramIndex) else indexes
     folded = [fold(t) for t in texts]
     starts = np.cumsum([0] + [len(t) + 1 for t in folded])
     # texts are joined by a character that folding removes, so no gram crosses it unseen
-    joined = "\x00".join(folded)
+    codes = _codes("\x00".join(folded))
 
     def doc_of(pos):
         return np.searchsorted(starts, pos, side="right") - 1
 
+    met = [(int(index.length[part]), doc, part, first, index)
+           for index in indexes for doc, part, first in index.regions(codes, doc_of).tolist()]
+    by_size: dict[int, list] = {}
+    for region in met:
+        by_size.setdefault(region[0], []).append(region)
     found: list[dict[int, dict]] = [{} for _ in texts]
-    regions = index.regions(_codes(joined), doc_of)
     # longest parts first: a shorter part of an item already found is not aligned
-    for doc, seg, first, last in sorted(regions, key=lambda r: -int(index.length[r[1]])):
-        item_id, item = index.items[seg]
-        old = found[doc].get(item_id)
-        if old is not None and old["size"] > len(item):
-            continue
-        text, shift = folded[doc], int(starts[doc])
-        got = align(text, item, first - shift, last - shift, int(index.budget[seg]))
-        if got is None:
-            continue
-        edits, end = got
-        match = {"item_id": item_id, "edits": edits, "start": max(0, end - len(item)), "end": end,
-                 "size": len(item)}
-        if old is None or (edits, match["start"]) < (old["edits"], old["start"]):
-            found[doc][item_id] = match
+    for size in sorted(by_size, reverse=True):
+        todo = [r for r in by_size[size] if any(
+            found[r[1]].get(o, {"size": 0})["size"] <= size for o in _owners(r[4].items[r[2]][0]))]
+        budget = edit_budget(size, indexes[0].rate)
+        width = 2 * (budget + 1)
+        rows = max(1, ALIGN_CELLS // max(width, size))
+        for at in range(0, len(todo), rows):
+            _confirm(todo[at:at + rows], codes, folded, starts, size, budget, width, found)
     return [[m[k] for k in sorted(m)] for m in found]
 
 
-def _passes(benchmark: DataFrame, id_col: str, text_col: str, q: int, rate: float, segment: int,
-            passage: int, stride: int, index_grams: int):
-    """Benchmark segments and passages in passes of at most ``index_grams`` q-grams each."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("item_id"),
-                            text_or_empty(text_col).alias("text")).where(F.col("item_id").isNotNull()).distinct()
+def _confirm(regions, codes, folded, starts, size, budget, width, found) -> None:
+    """Align regions of one part length and keep each item's best match per text."""
+    docs = np.array([r[1] for r in regions])
+    items = np.stack([_codes(r[4].items[r[2]][1]) for r in regions])
+    edits, ends = align_all(codes, starts[docs], starts[docs + 1] - 1, items, np.array([r[3] for r in regions]), width)
+    best: dict[tuple, tuple] = {}
+    for i in np.flatnonzero(edits <= budget).tolist():
+        _, doc, part, _, index = regions[i]
+        key = (doc, part, id(index))
+        best[key] = min(best.get(key, (budget + 1, 0)), (int(edits[i]), int(ends[i] - starts[doc])))
+    by_id = {id(r[4]): r[4] for r in regions}
+    for (doc, part, index), (n, end) in best.items():
+        owner, item = by_id[index].items[part]
+        start = start_of(folded[doc], item, end, n) if n else end - size
+        for item_id in _owners(owner):
+            old = found[doc].get(item_id)
+            if old is None or (-size, n, start) < (-old["size"], old["edits"], old["start"]):
+                found[doc][item_id] = {"item_id": item_id, "edits": n, "start": start, "end": end, "size": size}
+
+
+def benchmark_parts(items: list[tuple[int, str]], q: int, segment: int, passage: int,
+                    stride: int) -> list[tuple[list[int], str, bool]]:
+    """(item ids, text, is it a passage) of everything items are compared by, each text once per kind."""
+    whole: dict[str, dict] = {}
+    part: dict[str, dict] = {}
+    for item_id, text in items:
+        own = segments(text, q, segment)
+        for t in own:
+            whole.setdefault(t, {})[item_id] = None
+        for t in passages(text, passage, stride):
+            if t not in own:
+                part.setdefault(t, {})[item_id] = None
+    return [(sorted(ids), t, kind) for kind, texts in ((False, whole), (True, part)) for t, ids in texts.items()]
+
+
+def _passes(parts: list[tuple[list[int], str, bool]], index_grams: int):
+    """The parts in passes of at most ``index_grams`` q-grams each."""
     held, grams = [], 0
-    for row in rows.orderBy("item_id", "text").toLocalIterator():
-        for part in parts_of(row.text, q, segment, passage, stride):
-            if held and grams + len(part) > index_grams:
-                yield held
-                held, grams = [], 0
-            held.append((row.item_id, part))
-            grams += len(part)
+    for part in parts:
+        if held and grams + len(part[1]) > index_grams:
+            yield held
+            held, grams = [], 0
+        held.append(part)
+        grams += len(part[1])
     yield held
 
 
@@ -257,23 +330,29 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, out_col: str = "matches"
     A match is that of the longest part of the item found: the whole item or segment, else a passage of
     ``passage`` characters with at most ``rate`` edits.
 
-    The benchmark is the small, held-out side: its parts are read in passes of at most
-    ``index_grams`` q-grams (about 100 MB on a worker), each shipped with the scan of the texts as one
-    UDF; a larger benchmark takes more UDFs over the same scan, never a larger one. The texts
+    The benchmark is the small, held-out side and goes through the driver as a whole: its parts are cut into
+    passes of at most ``index_grams`` q-grams (about 100 MB), each shipped with the scan of the texts as one
+    UDF. All UDFs of the scan run in one worker, so a worker holds the indexes of all passes. The texts
     are not shuffled.
 
     Defined cases: null or empty texts and items match nothing; an item shorter than q folded
     characters is too short to be evidence and matches nothing; items with a null id are not used;
-    repeated items count as one, repeated texts each for itself; empty tables on either side give empty
+    repeated items count as one, repeated texts each for itself; of items with equal parts each is
+    reported; a passage that is common to more than ``COMMON_ITEMS`` items is no evidence (a whole item is); empty tables on either side give empty
     matches; an input column named ``out_col`` is refused.
     """
     if out_col in docs.columns:
         raise ValueError(f"column {out_col} is added by this operator")
     if passage + 1 - q - q * edit_budget(passage, rate) < 1:
         raise ValueError(f"a passage of {passage} characters may share no {q}-gram with its quote")
-    parts = []
-    for held in _passes(benchmark, item_col, item_text_col, q, rate, segment, passage, stride, index_grams):
-        parts.append(_matcher(held, q, rate)(text_or_empty(text_col)))
+    rows = (benchmark.select(F.col(item_col).cast("long").alias("item_id"),
+                             text_or_empty(item_text_col).alias("text"))
+            .where(F.col("item_id").isNotNull()).distinct())
+    items = [(r.item_id, r.text) for r in rows.orderBy("item_id", "text").toLocalIterator()]
+    folded = [fold(t) for _, t in items]
+    common = {n: common_grams(folded, n) for n in {gram_size(len(t), q, rate) for t in folded} if n}
+    parts = [_matcher(held, q, rate, common)(text_or_empty(text_col))
+             for held in _passes(benchmark_parts(items, q, segment, passage, stride), index_grams)]
     # one UDF column is read twice if its fields are picked at once, so the size goes in a step of its own
     found = docs.withColumn(out_col, parts[0] if len(parts) == 1 else F.flatten(F.array(*parts)))
     return found.withColumn(out_col, _best_per_item(F.col(out_col)))
@@ -289,16 +368,26 @@ def _best_per_item(matches):
     return F.transform(F.array_distinct(F.transform(matches, lambda x: x.item_id)), best)
 
 
-def _matcher(held: list[tuple[int, str]], q: int, rate: float):
+def build_indexes(held: list[tuple[list[int], str, bool]], q: int, rate: float,
+                  common: dict[int, np.ndarray]) -> list[GramIndex]:
+    """One index per gram size that the parts need."""
+    by_size: dict[int, list] = {}
+    for part in held:
+        by_size.setdefault(gram_size(len(part[1]), q, rate), []).append(part)
+    return [GramIndex([(ids, t) for ids, t, _ in parts], n, rate, [kind for _, _, kind in parts], common.get(n))
+            for n, parts in sorted(by_size.items())]
+
+
+def _matcher(held: list[tuple[list[int], str, bool]], q: int, rate: float, common: dict[int, np.ndarray]):
     state: dict = {}
 
     @F.pandas_udf(MATCHES)
     def matches(texts: pd.Series) -> pd.Series:
-        if "index" not in state:
-            state["index"] = GramIndex(held, q, rate)
+        if "indexes" not in state:
+            state["indexes"] = build_indexes(held, q, rate, common)
         out: list = []
         for part in slices(texts.tolist()):
-            out.extend(find_matches(part, state["index"]))
+            out.extend(find_matches(part, state["indexes"]) if state["indexes"] else [[] for _ in part])
         return pd.Series(out, dtype=object)
 
     return matches.asNondeterministic()

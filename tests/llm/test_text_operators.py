@@ -232,6 +232,102 @@ def test_part_quotes_of_short_and_long_items_are_found(spark):
             (0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2)]
 
 
+STEM = "which of the following statements is true about "
+
+
+def stem_items(rng, n):
+    return [(i, STEM + " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9)))
+                                for _ in range(14))) for i in range(n)]
+
+
+def indexes_of(items, rate=0.06, **options):
+    o = {"q": 10, "segment": 512, "passage": 50, "stride": 10, **options}
+    texts = [decontaminate.fold(t) for _, t in items]
+    common = {n: decontaminate.common_grams(texts, n)
+              for n in {decontaminate.gram_size(len(t), o["q"], rate) for t in texts} if n}
+    parts = decontaminate.benchmark_parts(items, o["q"], o["segment"], o["passage"], o["stride"])
+    return decontaminate.build_indexes(parts, o["q"], rate, common)
+
+
+@pytest.mark.parametrize("n", [30, 800])
+def test_a_phrase_that_items_share_is_no_evidence(n):
+    import time
+    rng = random.Random(n)
+    items = stem_items(rng, n)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(500)]
+    clean = " ".join(" ".join(rng.choices(words, k=9)) + " " + STEM for _ in range(14))
+    indexes = indexes_of(items)
+    decontaminate.find_matches(["warm"], indexes)
+    began = time.perf_counter()
+    assert decontaminate.find_matches([clean], indexes) == [[]]
+    assert time.perf_counter() - began < 0.5
+    # the item itself, its rest, and an opening that goes on far enough are evidence
+    for quote in (items[7][1], items[7][1][len(STEM):], items[7][1][:len(STEM) + 24], mutate(rng, items[7][1], 2)):
+        assert [m["item_id"] for m in decontaminate.find_matches([f"{clean} {quote} {clean}"], indexes)[0]] == [7]
+
+
+def test_equal_items_and_short_items_that_share_grams():
+    twins = [(i, "the same question about the colour of the sky in spring") for i in range(9)]
+    short = [(100 + i, f"define the word {w}") for i, w in enumerate(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"])]
+    indexes = indexes_of(twins + short)
+    text = f"intro {twins[0][1]} then define the word gamma and so on"
+    assert sorted(m["item_id"] for m in decontaminate.find_matches([text], indexes)[0]) == [*range(9), 102]
+
+
+@pytest.mark.parametrize("length", [10, 16, 17, 18, 19, 20, 33, 34])
+def test_short_items_keep_their_edit_budget(length):
+    rng = random.Random(length)
+    budget = decontaminate.edit_budget(length, 0.06)
+    for _ in range(40):
+        item = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=length))
+        at = length // 2
+        quote = item if not budget else item[:at] + "0" + item[at + 1:]
+        got = decontaminate.find_matches([f"one two {quote} three"], indexes_of([(5, item)]))[0]
+        assert [(m["item_id"], m["edits"], m["start"], m["end"]) for m in got] == [
+            (5, min(budget, 1), 8, 8 + length)]
+
+
+def test_passages_equal_brute_force():
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefg", k=rng.randint(2, 6))) for _ in range(60)]
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    items = [(i, prose(rng.randint(12, 45))) for i in range(10)]
+    indexes = indexes_of(items)
+    parts = decontaminate.benchmark_parts(items, 10, 512, 50, 10)
+    texts = []
+    for _ in range(50):
+        item = decontaminate.fold(rng.choice(items)[1])
+        a = rng.randrange(max(1, len(item) - 40))
+        texts.append(f"{prose(rng.randint(0, 9))} {mutate(rng, item[a:a + rng.randint(30, 110)], rng.randint(0, 5))} {prose(4)}")
+    for text, found in zip(texts, decontaminate.find_matches(texts, indexes), strict=True):
+        folded = decontaminate.fold(text)
+        want = {}
+        for ids, part, _ in parts:
+            d = edit_distance_anywhere(folded, part)
+            if d <= decontaminate.edit_budget(len(part), 0.06):
+                for i in ids:
+                    want[i] = min(want.get(i, (0, 0)), (-len(part), d))
+        assert {m["item_id"]: (-m["size"], m["edits"]) for m in found} == want
+        for m in found:  # what stands there is within the edits of a part of that length
+            there = folded[m["start"]:m["end"]]
+            assert m["edits"] in {edit_distance_anywhere(there, p) for ids, p, _ in parts if len(p) == m["size"]}
+
+
+def test_a_long_text_of_quotes_takes_no_time():
+    import time
+    rng = random.Random(3)
+    item = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(30))
+    text = " ".join([item] * 480)  # 100,000 characters
+    indexes = indexes_of([(1, item)])
+    began = time.perf_counter()
+    got = decontaminate.find_matches([text, "x" * 2_000_000], indexes)
+    assert time.perf_counter() - began < 4 and [m["item_id"] for m in got[0]] == [1] and got[1] == []
+    assert (got[0][0]["edits"], got[0][0]["start"], got[0][0]["end"]) == (0, 0, len(item))
+
+
 # ---- HTML extraction
 
 def page(body):
