@@ -12,6 +12,7 @@ run's last rows leave open.
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +99,31 @@ def rank_encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return _LOADED[path]
 
 
+#: what the pattern's ``\\s`` matches, in runs too long for its look-ahead
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+#: a pattern that ends so takes a run of white space as one piece, up to the character before a word
+_SPACE_RULE = r"|\s+(?!\S)|\s+"
+
+
+def encode_text(encoding: tiktoken.Encoding, pattern: str, text: str) -> list[int]:
+    """The ids of ``encoding.encode_ordinary(text)``, for runs of white space of any length.
+
+    The look-ahead of the pattern's rule for white space overflows the matcher's stack on runs of some
+    hundred thousand characters. A long run is cut out as the piece that the rule makes of it: all of it at the end of the
+    text, else all but its last character, which begins the next piece. What stands before it ends
+    at the run in any case.
+    """
+    if not pattern.endswith(_SPACE_RULE):
+        return encoding.encode_ordinary(text)
+    out: list[int] = []
+    at = 0
+    for run in _LONG_SPACE.finditer(text):
+        out += encoding.encode_ordinary(text[at:run.start()])
+        at = run.end() if run.end() == len(text) else run.end() - 1
+        out += encoding._encode_single_piece(text[run.start():at].encode("utf-8"))
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def _lists(values: np.ndarray, lengths: np.ndarray, kind) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
@@ -163,7 +189,7 @@ def pack(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
     def run(batches):
         from pyspark import TaskContext
 
-        encode = rank_encoding(rank_path, pattern).encode_ordinary
+        encoding = rank_encoding(rank_path, pattern)
         next_pack = TaskContext.get().partitionId() << 33
         ids, known, tokens, held = [], [], [], 0
         for batch in batches:
@@ -171,7 +197,7 @@ def pack(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
             at = 0
             for part in slices(batch.column(1).to_pylist()):
                 for text in part:
-                    one = np.array(encode(text), np.int32)
+                    one = np.array(encode_text(encoding, pattern, text), np.int32)
                     if len(one):
                         ids.append(got_ids[at])
                         known.append(got_ids[at] is not None)

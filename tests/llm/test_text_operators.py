@@ -484,3 +484,35 @@ def test_packed_rows_give_the_documents_back(spark):
             assert parts[(i, o)] == [whole[o:o + 64]] * copies
     assert sum(map(len, parts.values())) == sum(-(-len(encode(t or "")) // 64) for _, t in rows)
     assert packing.pack(docs(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_cut_and_uncut_encodings_are_equal():
+    rng = random.Random(12)
+    encoding = packing.rank_encoding(RANKS, public_tokenizers.PATTERN)
+    spaces = [" ", "\n", "\t", " \n", "\r\n", "\u3000", "\x85", "\u2028", "\x1c", "\x0b\x0c"]
+    words = ["a", "it's", "12", "é", "...", "word", "\x1c", "\u200b", "'", "你好"]
+    for n in (999, 1000, 1001, 5000):
+        for _ in range(30):
+            text = "".join(rng.choice(["", rng.choice(words)]) + rng.choice(spaces) * rng.choice([1, 3, n])
+                           + rng.choice(["", rng.choice(words)]) for _ in range(5))
+            assert packing.encode_text(encoding, public_tokenizers.PATTERN, text) == encoding.encode_ordinary(text)
+    # another pattern is left alone
+    other = packing.tiktoken.Encoding("other", pat_str=r"\w+|\s", mergeable_ranks=encoding._mergeable_ranks, special_tokens={})
+    assert packing.encode_text(other, r"\w+|\s", "a" + " " * 2000) == other.encode_ordinary("a" + " " * 2000)
+
+
+def test_texts_of_megabytes_are_packed_whole(spark):
+    encoding = packing.rank_encoding(RANKS, public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    prose = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(3000))
+    texts = {1: " " * 2_000_000, 2: "a" + " \n" * 1_000_000 + "b", 3: prose * 480, 4: "x" + "\n" * 600_000 + " y z"}
+    got = packing.pack(docs(spark, list(texts.items())), RANKS, public_tokenizers.PATTERN).collect()
+    pieces = {}
+    for r in got:
+        ends = r.cu_seqlens
+        for i, d in enumerate(r.doc_ids):
+            pieces.setdefault(d, []).append((r.doc_offsets[i], r.input_ids[ends[i]:ends[i + 1]]))
+    for d, text in texts.items():
+        ids = [t for _, part in sorted(pieces[d]) for t in part]
+        assert encoding.decode(ids) == text
+        assert [o for o, _ in sorted(pieces[d])] == list(range(0, len(ids), 2048))
