@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, prolonged until no column of ``df`` has it (names are compared as Spark does, without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(col: str = "text") -> Column:
     """A null text counts as an empty one throughout the subpackage."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

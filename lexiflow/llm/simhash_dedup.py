@@ -29,10 +29,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import hot_limit, join_counted, popcount, text_or_empty, text_udf
+from lexiflow.llm.common import (free_name, hot_limit, join_counted, popcount, text_or_empty,
+                                 text_udf)
 from lexiflow.llm.graph import connected_components
 from lexiflow.operators.joins import broadcast_if_small
 from lexiflow.session import materialize, materialize_measured
@@ -246,13 +247,16 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        width: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its near-duplicate group.
 
-    An id names one document: of several rows with one id, one stays. Rows with a null
-    id cannot be named by a group and all stay. All columns are returned.
+    An id names one document: of several rows with one id the one whose text comes first in byte order
+    stays (null first; equal texts: any). Rows with a null id cannot be named by a group and all stay. All
+    columns are returned, whatever their names.
     """
     groups = near_duplicate_groups(docs, id_col, text_col, width, radius)
+    keep_id, nth = free_name(docs, "_keep_id"), free_name(docs, "_nth")
     keep = (groups.where(F.col(id_col) == F.col("component_id"))
-            .select(F.col(id_col).alias("_keep_id")).distinct())
+            .select(F.col(id_col).alias(keep_id)).distinct())
+    first = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
     kept = (docs.where(F.col(id_col).isNotNull())
-            .join(keep, F.col(id_col) == F.col("_keep_id"), "left_semi")
-            .dropDuplicates([id_col]))
+            .join(keep, F.col(id_col) == F.col(keep_id), "left_semi")
+            .withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth))
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
