@@ -20,6 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiflow.llm.common import free_name
 from lexiflow.operators.joins import broadcast_if_small, key_table_bytes
 from lexiflow.session import materialize_measured
 
@@ -90,22 +91,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
     Defined cases: null source as in :func:`source_means`; a null id hashes as the empty
     string; repeated rows draw the same count each; null text has volume 0; an empty table gives an
-    empty result. Input columns named like the three added ones are refused.
+    empty result. Input columns named like the three added ones are refused; any other name may be in use.
     """
     clash = {"_copies", "_copy", "_key"} & set(docs.columns)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are added by this operator")
     means, n_sources, name_bytes = source_means(docs, source_col, text_col, temperature, epochs, weights)
-    side = with_distribution(means).select(F.col("source").alias("_src"), F.col("steps").alias("_steps"),
-                        F.col("cdf").alias("_cdf"))
+    src, steps, cdf = (free_name(docs, c) for c in ("_src", "_steps", "_cdf"))
+    side = with_distribution(means).select(F.col("source").alias(src), F.col("steps").alias(steps),
+                                           F.col("cdf").alias(cdf))
     side_bytes = key_table_bytes(n_sources, 1, name_bytes) + 8 * (MAX_DRAW + 3) * n_sources
     joined = docs.join(broadcast_if_small(side, known_rows=n_sources, known_bytes=side_bytes),
-                       F.col(source_col).eqNullSafe(F.col("_src")))
-    draws = F.transform(F.sequence(F.lit(0), F.col("_steps") - 1), lambda i: F.size(F.filter(
-        "_cdf", lambda c: c <= hash_unit(F.lit(seed), F.col(id_col), i))))
+                       F.col(source_col).eqNullSafe(F.col(src)))
+    # one uniform number per step, then its place in the distribution
+    units = F.transform(F.sequence(F.lit(0), F.col(steps) - 1),
+                        lambda i: hash_unit(F.lit(seed), F.col(id_col), i))
+    draws = F.transform(units, lambda u: F.size(F.filter(cdf, lambda c: c <= u)))
     copies = F.aggregate(draws, F.lit(0), lambda a, x: a + x)
     key = hash_unit(F.lit(seed), F.lit("order"), F.col(id_col), F.col("_copy"))
-    return (joined.withColumn("_copies", copies).drop("_src", "_steps", "_cdf")
+    return (joined.withColumn("_copies", copies).drop(src, steps, cdf)
             .where(F.col("_copies") > 0)
             .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
             .withColumn("_key", key)

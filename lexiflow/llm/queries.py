@@ -27,9 +27,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = poisson_mix.mix(table(spark, sf_dir, "documents"))
-    return (mixed.withColumnRenamed("_copies", "copies").withColumnRenamed("_copy", "copy")
-            .withColumnRenamed("_key", "order_key"))
+    """All columns of the documents and ``copies``, ``copy``, ``order_key``; input columns of these names are left out."""
+    added = {"_copies": "copies", "_copy": "copy", "_key": "order_key"}
+    mixed = poisson_mix.mix(table(spark, sf_dir, "documents").drop(*added, *added.values()))
+    return mixed.withColumnsRenamed(added)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

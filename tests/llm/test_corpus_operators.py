@@ -126,8 +126,33 @@ def test_groups_edge_rows(spark):
     assert simhash_dedup.near_duplicate_groups(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_keep_the_first_text(spark):
+    rows = [(1, "beta text"), (1, "alpha text"), (1, "alpha text"), (2, None), (2, "zeta"), (None, "beta text")]
+    df = spark.createDataFrame([(*r, 7, 8) for r in rows], "doc_id long, text string, _keep_id int, _NTH int")
+    kept = simhash_dedup.keep_one_per_group(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, "alpha text"), (2, None), (None, "beta text")], key=repr)
+
+
 # ---- mixing
 
+def test_mixing_with_columns_named_like_helpers(spark, tmp_path):
+    rows = [(i, "some text " * (i % 5), "en", "ab"[i % 2], 9) for i in range(200)]
+    plain = spark.createDataFrame(rows, DOCS)
+    names = ("_src", "_steps", "_cdf", "_SRC_", "mean", "weight", "volume", "steps", "cdf", "pmf")
+    wide = plain.select("*", *[F.lit(1).alias(c) for c in names])
+    want = sorted(map(tuple, poisson_mix.mix(plain).select("doc_id", "_copies", "_copy", "_key").collect()))
+    got = poisson_mix.mix(wide)
+    assert got.columns == [*wide.columns, "_copies", "_copy", "_key"]
+    assert sorted(map(tuple, got.select("doc_id", "_copies", "_copy", "_key").collect())) == want
+    taken = wide.select("*", *[F.lit("x").alias(c) for c in ("copies", "copy", "order_key", "_copies", "_key")])
+    taken.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    entry.queries()["op3_poisson_mix"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out").select("doc_id", "copies", "copy", "order_key")
+    assert sorted(map(tuple, back.collect())) == want
+
+
 def test_poisson_counts_have_the_target_means(spark):
     rows = [(i, "x" * 10, "en", "big" if i < 8000 else "small", 10) for i in range(10_000)]
     df = spark.createDataFrame(rows, DOCS)
@@ -277,7 +302,9 @@ def test_registered_queries():
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, sf_small, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{os.path.join(sf_small, 'documents.parquet')}')")
+    for name_of in ("documents", "embeddings"):
+        path = os.path.join(sf_small, f"{name_of}.parquet")
+        con.execute(f"CREATE VIEW {name_of} AS SELECT * FROM read_parquet('{path}')")
     df = entry.queries()[name](spark, sf_small)
     res = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in res.description]
