@@ -3,7 +3,8 @@
 Two views of a document are learnt separately: its text (hashed features of its distinct
 words and of its shape) and its page metadata (language, source, length). Both
 start from the labelled sample; in every round each view labels the unlabelled pool, and its
-most confident labels join the other view's training set. Each view is then calibrated on
+most confident labels join the other view's training set. A view that is never that sure, as metadata that says
+little, teaches nothing; what was passed in each round is kept with the model. Each view is then calibrated on
 held-out labelled rows, and a logistic combination of the two calibrated views, fitted on
 the same rows, scores every document.
 
@@ -22,7 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiflow.llm.common import text_or_empty
@@ -192,12 +193,17 @@ class CoTrained:
     text: View
     meta: View
     combine: tuple[float, float, float]
+    #: (round, from, to, class, labels passed that the other view did not have)
+    passed: list[tuple[int, str, str, str, int]] = field(default_factory=list)
 
     def combined(self, text_logit, meta_logit):
         a, b, c = self.combine
         return a * text_logit + b * meta_logit + c
 
 
+NAMES = ("text", "meta")
+
+
 def co_train(text_rows: list[np.ndarray], meta_rows: list[np.ndarray], label: np.ndarray,
              held_out: np.ndarray, rounds: int = ROUNDS, share: float = CONFIDENT_SHARE,
              confident: float = CONFIDENT) -> CoTrained:
@@ -212,6 +218,7 @@ def co_train(text_rows: list[np.ndarray], meta_rows: list[np.ndarray], label: np
     views = [text_rows, meta_rows]
     taught = [{int(i): float(label[i]) for i in train} for _ in views]
     fitted: list[View] = []
+    passed: list = []
     for turn in range(rounds + 1):
         fitted = []
         for rows, known in zip(views, taught, strict=True):
@@ -224,15 +231,20 @@ def co_train(text_rows: list[np.ndarray], meta_rows: list[np.ndarray], label: np
             break
         # each view hands its surest labels to the other one
         for me, other in ((0, 1), (1, 0)):
-            p = _sigmoid(fitted[me].calibrated(fitted[me].margins([views[me][i] for i in pool])))
+            # of those that the other view does not have yet
+            new = np.array([i for i in pool.tolist() if i not in taught[other]], np.int64)
+            p = _sigmoid(fitted[me].calibrated(fitted[me].margins([views[me][i] for i in new])))
             for value, sure in ((1.0, p), (0.0, 1 - p)):
                 best = np.argsort(-sure, kind="stable")[:int(share * len(pool))]
-                for i in pool[best[sure[best] >= confident]]:
+                before = len(taught[other])
+                for i in new[best[sure[best] >= confident]]:
                     taught[other].setdefault(int(i), value)
+                passed.append((turn + 1, NAMES[me], NAMES[other], "good" if value else "bad",
+                               len(taught[other]) - before))
     x = np.column_stack([v.calibrated(v.margins([rows[i] for i in held]))
                          for v, rows in zip(fitted, views, strict=True)])
     a, b, c = fit_logistic(x, label[held])
-    return CoTrained(*fitted, (float(a), float(b), float(c)))
+    return CoTrained(*fitted, (float(a), float(b), float(c)), passed)
 
 
 # ---- Spark
@@ -271,9 +283,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     # a quarter of the labelled rows is held out of the training
     held = F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(4)) == 0
+    # at most labelled + pool rows: of several rows with one id the first text, then the first metadata
+    nth = Window.partitionBy("_id").orderBy("_text", "lang", "source", "n_chars")
+    chosen = (docs.join(F.broadcast(wanted), "_id").withColumn("_nth", F.row_number().over(nth))
+              .where("_nth = 1"))
     sample = materialize(
-        docs.join(F.broadcast(wanted), "_id")  # at most labelled + pool rows
-        .select("_id", "label", held.alias("held"), hashed("_text").alias("f"), "lang", "source", "n_chars"),
+        chosen.select("_id", "label", held.alias("held"), hashed("_text").alias("f"), "lang", "source", "n_chars"),
         "labelled-sample")
     telling = telling_features(sample.where(F.col("label").isNotNull() & ~F.col("held")))
 

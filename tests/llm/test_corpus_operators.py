@@ -17,6 +17,57 @@ from lexiflow.llm.oracle import ORACLE_SQL
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+# ---- co-training
+
+def test_views_teach_each_other_at_production_parameters():
+    """Text tells the class of half the documents, metadata that of the other half and of all labelled ones."""
+    rng = random.Random(21)
+    n = 3000
+    good = np.array([rng.random() < 0.6 for _ in range(n)], float)
+    filler = [f"word{i}" for i in range(200)]
+    rows = []
+    for g in good:
+        mark = ["fine"] * 3 if g else ["awful"] * 3
+        telling = rng.random() < 0.5
+        rows.append((" ".join(rng.choices(filler, k=20) + (mark if telling else [])), "en",
+                     ("press" if g else "spam") if rng.random() < 0.8 else "any", 100))
+    text = [np.array(cotrain_quality.text_features(r[0]), np.int32) for r in rows]
+    meta = [np.array(cotrain_quality.meta_features(*r[1:]), np.int32) for r in rows]
+    label = np.where(np.arange(n) < 1000, good, np.nan)
+    held = np.arange(n) % 4 == 0
+    model = cotrain_quality.co_train(text, meta, label, held)
+    sent = {}
+    for turn, source, to, kind, count in model.passed:
+        sent[source, to, kind] = sent.get((source, to, kind), 0) + count
+        assert turn in (1, 2, 3) and count <= cotrain_quality.CONFIDENT_SHARE * 2000
+    assert sent.keys() == {(a, b, k) for a, b in (("text", "meta"), ("meta", "text")) for k in ("good", "bad")}
+    assert min(sent.values()) > 0
+    score = model.combined(model.text.calibrated(model.text.margins(text)), model.meta.calibrated(model.meta.margins(meta)))
+    alone = cotrain_quality.co_train(text, meta, label, held, rounds=0)
+    before = alone.combined(alone.text.calibrated(alone.text.margins(text)), alone.meta.calibrated(alone.meta.margins(meta)))
+    right, base = (((s > 0) == good)[1000:].mean() for s in (score, before))
+    assert right > 0.88 and right >= base - 0.01
+
+
+def test_the_sample_has_one_row_per_id(spark):
+    rows = [(7, f"text {i % 3}", "en", "s", i) for i in range(400)] + [(i, "other", "de", "s", 1) for i in range(20, 40)]
+    df = spark.createDataFrame(rows, DOCS).repartition(6)
+    lab = spark.createDataFrame([(7, 1, 0)] + [(i, i % 2, 0) for i in range(20, 30)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit_rows = cotrain_quality.co_train
+
+    def watch(text, meta, label, held, rounds):
+        seen.append((len(text), len(label)))
+        return fit_rows(text, meta, label, held, rounds)
+
+    cotrain_quality.co_train, kept = watch, fit_rows
+    try:
+        assert cotrain_quality.score_documents(df, lab).count() == len(rows)
+    finally:
+        cotrain_quality.co_train = kept
+    assert seen == [(21, 21)]
+
+
 # ---- components
 
 def components(nodes, links):
