@@ -443,6 +443,115 @@ def test_repeated_text_that_is_no_boilerplate_stays(spark, shard_tokens):
         assert got[10 + i] == f"{long}\n\nText {i}"
 
 
+@pytest.mark.parametrize("body,want", [
+    ("<form id='aspnetForm'><article><p>a</p><form>login</form></article><input></form>", ["a"]),
+    ("<form><div class='header'>h</div><div class='content'><p>a</p></div></form>", ["a"]),
+    ("<div>Site</div><nav><ul><li>home</ul><article><p>a</p></article><div>f</div>", ["a"]),
+    ("<div id=p><div>Site</div><aside><p>x</p><article><p>a</p></article></div><div>f</div>", ["a"]),
+    ("<article><p>a</p><video><p>b</p></article>", ["a", "b"]),
+    ("<article><p>a</p><video>no</video><p>b</p><svg><p>c</p></article>", ["a", "b", "c"]),
+    ("<article><p>a</p><section id='consent'><p>b</p></section><div class='subscription'>c</div><div class='notice'>d</div>"
+     "<p class='story-promo-text'>e</p><div class='cookie-banner'>x</div><div class='ad'>y</div></article>",
+     ["a", "b", "c", "d", "e"]),
+    ("<div class='content'><p>A long story of many words.</p></div><article>teaser</article>", ["A long story of many words."]),
+    ("<h1>The title</h1><article><p>a</p></article>", ["The title", "a"]),
+    ("<h1>Some site</h1><article><p>a</p></article>", ["a"]),
+    ("<h1>The title</h1><article><h1>Own</h1><p>a</p></article>", ["Own", "a"]),
+    ("<article hidden><p>a</p></article><div style='display:none'><article>x</article></div><p>b</p>", ["a"]),
+])
+def test_wrapped_unclosed_and_named_sections_keep_their_text(body, want):
+    whole = f"<html><head><title>The title - Site</title></head><body>{body}</body></html>"
+    assert [t for z, t in html_extract.page_blocks(whole) if z == "main"] == want
+
+
+def test_a_form_around_unmarked_text_and_stray_tags():
+    whole = page("<form><p>Story one.</p><p>Story two.</p></form>")
+    assert html_extract.page_blocks(whole) == [("plain", "Story one."), ("plain", "Story two.")]
+    import time
+    began = time.perf_counter()
+    html_extract.page_blocks("<div>" * 20_000 + "</span>" * 20_000 + "<video>" * 20_000 + "end")
+    assert time.perf_counter() - began < 2
+
+
+def test_repeated_substrings_equal_brute_force():
+    rng = random.Random(17)
+    for _ in range(40):
+        pages = []
+        common = [f"c{i}" for i in range(30)]
+        for i in range(rng.randint(1, 7)):
+            blocks = []
+            for _ in range(rng.randint(0, 6)):
+                a = rng.randrange(20)
+                words = rng.choices("abc", k=rng.randint(1, 6)) + rng.choice([[], common[a:a + rng.randint(1, 14)]])
+                blocks.append(("plain", " ".join(words)))
+            pages.append((f"page{i}", blocks))
+        shard = html_extract.Shard([p for p, _ in pages], [b for _, b in pages])
+        runs, whole = html_extract.repeated_substrings(shard)
+        where, equal = {}, {}
+        for p, blocks in pages:
+            for _, text in blocks:
+                w = text.split(" ")
+                equal.setdefault(text, set()).add(p)
+                for i in range(len(w) - html_extract.RUN + 1):
+                    where.setdefault(tuple(w[i:i + html_extract.RUN]), set()).add(p)
+        hashes = html_extract._run_hashes(shard)
+        at = {}
+        for n, (p, i, a, b) in enumerate(shard.spans):
+            text = dict(pages)[p][i][1]
+            w = text.split(" ")
+            assert whole[n] == (len(equal[text]) if len(w) < html_extract.RUN else 0)
+            for j in range(a, b + 1):
+                gram = tuple(w[j - a:j - a + html_extract.RUN])
+                full = len(gram) == html_extract.RUN
+                assert runs[j] == (len(where[gram]) if full else 0) and (hashes[j] != 0) == full
+                if full:
+                    at.setdefault(gram, set()).add(int(hashes[j]))
+        assert all(len(h) == 1 for h in at.values()) and len({min(h) for h in at.values()}) == len(at)
+
+
+def test_unique_runs_by_brute_force():
+    rng = random.Random(18)
+    for _ in range(300):
+        words = [str(i) for i in range(rng.randint(8, 130))]
+        starts = np.array(sorted(rng.sample(range(len(words) - 7), rng.randint(0, min(9, len(words) - 7)))), int)
+        covered = {i for s in starts for i in range(s, s + html_extract.RUN)}
+        want, i = [], 0
+        while i < len(words):
+            j = i
+            while j < len(words) and (j in covered) == (i in covered):
+                j += 1
+            if i not in covered or j - i >= html_extract.LONG_BLOCK:
+                want += words[i:j]
+            i = j
+        assert html_extract.unique_runs(words, starts) == want
+
+
+@pytest.mark.parametrize("shard_tokens", [1_000_000, 3000])
+def test_pages_without_article_tags(spark, sf_small, tmp_path, monkeypatch, shard_tokens):
+    """The test pages with their articles unmarked among furniture of the host, through the registered query."""
+    import re
+
+    import __spark_entry__ as entry
+    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()]
+    rows, want, hosts = [], {}, {}
+    for i, _, text in pages:
+        article = re.search(r"<article>(.*)</article>", text or "", re.DOTALL)
+        host = f"h{i % 5}.example"
+        hosts.setdefault(host, []).append(i)
+        before = f"<div>{host} news from all over the region since nineteen hundred and nine</div><div>Menu</div>"
+        after = (f"<p>Posted on day {i} by the desk of {host} and may not be copied without written leave of ours, number {i}</p>"
+                 f"<div>Imprint</div>")
+        rows.append((i, f"https://{host}/{i}", f"<html><body>{before}<div>{article[1]}</div>{after}</body></html>"))
+        body = "\n\n".join(t for _, t in html_extract.page_blocks(f"<html><body>{article[1]}</body></html>"))
+        want[i] = f"{body}\n\nPosted on day {i} {i}".strip()
+    assert min(map(len, hosts.values())) >= 3
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    whole = html_extract.extract
+    monkeypatch.setattr(html_extract, "extract", lambda p: whole(p, shard_tokens=shard_tokens))
+    got = {r.page_id: r.text for r in entry.queries()["op9_html_extract"](spark, str(tmp_path)).collect()}
+    assert got == want
+
+
 # ---- packing
 
 def test_best_fit_decreasing_equals_brute_force():
