@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from lexiflow.functions.sets import (JACCARD, SIGNATURE_WORDS, Threshold, accept, overlap_of,
                                      pair_count, pair_ratio, prefix_length, signature,
                                      signature_overlap, similarity_value, size_compatible)
+from lexiflow.operators.index import posting_blocks
 from lexiflow.operators.joins import (DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS,
                                       DEFAULT_CELL_ROWS, broadcast_if_small, key_table_bytes,
                                       pairs_across_groups, pairs_within_groups)
@@ -432,6 +433,18 @@ def prefix_index(docs: DataFrame, threshold, measure: str = JACCARD,
                  F.array_sort(F.collect_list("_pid")).alias("docs")))
 
 
+def prefix_index_blocks(docs: DataFrame, threshold, measure: str = JACCARD, id_col: str = "doc_id",
+                        width: int = 4096) -> DataFrame:
+    """(word, block, n_docs, docs): :func:`prefix_index` in rows of at most ``width`` documents.
+
+    For documents of any preprocessing: nothing needs to bound a posting list. Block b holds the ids
+    ``b * width`` to ``b * width + width - 1``.
+    """
+    th = as_threshold(threshold, measure)
+    posted = prefix_postings(docs.withColumnRenamed(id_col, "_pid"), th, id_col="_pid")
+    return posting_blocks(posted.select(F.col("token").alias("word"), F.col("_pid").alias("doc")), width=width)
+
+
 def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,
                      id_col: str = "doc_id", posting_bound: int | None = None,
                      cell_rows: int = DEFAULT_CELL_ROWS,

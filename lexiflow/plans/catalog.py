@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lexiflow.functions.render import join_docs, join_tf_postings, join_tokens
 from lexiflow.functions.sets import OVERLAP_RATIO, Threshold
 from lexiflow.operators import counts, index, preprocess, similarity
+from lexiflow.sources.lines import LINE_ID_STRIDE
 from lexiflow.sources.tables import (document_lines, document_texts, multi_corpus_texts,
                                      tagged_texts)
 
@@ -24,6 +25,8 @@ QUERY_STOP_THRESHOLD = counts.STOP_WORD_THRESHOLD
 LIST_THRESHOLD = 400
 BLOCK_WIDTH = 500
 NAME_BLOCK_WIDTH = 2
+# line ids of 100 documents
+PREFIX_BLOCK_IDS = 100 * LINE_ID_STRIDE
 PREFIX_THRESHOLD = Threshold.of("4/5")
 ALL_PAIRS_THRESHOLD = Threshold.of("1/2")
 OVERLAP_RATIO_THRESHOLD = Threshold.of("1/4", measure=OVERLAP_RATIO)
@@ -172,6 +175,12 @@ def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.select("word", "n_docs", F.array_join("docs", ", ").alias("docs"))
 
 
+def prefix_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix index in rows that span PREFIX_BLOCK_IDS line ids each."""
+    idx = similarity.prefix_index_blocks(processed_lines(spark, sf_dir), PREFIX_THRESHOLD, width=PREFIX_BLOCK_IDS)
+    return idx.select("word", "block", "n_docs", F.array_join("docs", ", ").alias("docs"))
+
+
 def similar_pairs_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs with Jaccard >= 1/2: the rows of a full comparison, from prefix candidates."""
     return similarity.similarity_join(ranked_lines(spark, sf_dir), ALL_PAIRS_THRESHOLD)
@@ -234,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preprocess_ties_collapsed": preprocess_ties_collapsed,
     "document_count": document_count,
     "prefix_index": prefix_index,
+    "prefix_index_blocks": prefix_index_blocks,
     "similar_pairs_naive": similar_pairs_naive,
     "similar_pairs_prefix": similar_pairs_prefix,
     "similar_pairs_overlap_ratio": similar_pairs_overlap_ratio,

@@ -195,6 +195,7 @@ _SAME = {
     "document_count_round_trip": "document_count",
     "file_name_index": "single_document_words",
     "stop_words_bucketed": "stop_words_case",
+    "base_name_index": "inverted_index",
     "preprocess_stop_file": "preprocess_documents",
 }
 for _name, _base in _SAME.items():
@@ -284,6 +285,13 @@ SELECT word, place // 2 AS block, count(*) AS n_docs,
        string_agg(source || '#' || tf, ', ' ORDER BY source) AS postings
 FROM tf JOIN names USING (source) GROUP BY word, place // 2"""
 
+ORACLE_SQL["prefix_index_blocks"] = f"""
+WITH {PROCESSED.strip()},
+posted AS (SELECT doc_id, unnest(tokens[1:{_prefix_len(4, 5)}]) AS word FROM docs)
+SELECT word, doc_id // 100000000 AS block, count(*) AS n_docs,
+       string_agg(CAST(doc_id AS VARCHAR), ', ' ORDER BY doc_id) AS docs
+FROM posted GROUP BY word, doc_id // 100000000"""
+
 ORACLE_SQL["similar_sets"] = f"""
 WITH {PROCESSED.strip()},
 firsts AS (SELECT min(doc_id) AS set_id FROM docs GROUP BY tokens)

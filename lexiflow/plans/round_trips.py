@@ -7,6 +7,8 @@ result must equal the in-memory query it started from.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,6 +180,29 @@ def file_name_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return single_document_words(words, max_count=catalog.QUERY_STOP_THRESHOLD)
 
 
+def _write_named_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write every source's texts into one text file that is named after the source."""
+    folders, files = scratch_path(spark, "by-source"), scratch_path(spark, "named")
+    texts = document_texts(spark, sf_dir).select("source", "text")
+    texts.repartition("source").write.partitionBy("source").text(folders)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folders).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(files))
+    for folder in fs.listStatus(path(folders)):
+        key, _, name = folder.getPath().getName().partition("=")
+        for n, part in enumerate(fs.listStatus(folder.getPath()) if key == "source" else []):
+            fs.rename(part.getPath(), path(files, f"{unquote(name)}{'.' + str(n) if n else ''}"))
+    return files
+
+
+def base_name_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted index over files by base name (S3, A7): the document of a line is the file it was read from."""
+    lines = read_lines(spark, _write_named_files(spark, sf_dir), with_file=True)
+    words = counts.explode_tokens(lines, "value", clean=True, lower=True, keep=("doc",))
+    idx = inverted_index(words, max_count=catalog.QUERY_STOP_THRESHOLD)
+    return idx.select("word", "n_docs", join_docs(F.col("docs")).alias("docs"))
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense line numbers over text files in file order (P5, F1): (line_id, line)."""
     path = scratch_path(spark, "ordered_corpus")
@@ -202,6 +227,7 @@ ROUND_TRIP_QUERIES = {
     "similar_pairs_chained": similar_pairs_chained,
     "corpus_from_files": corpus_from_files,
     "file_name_index": file_name_index,
+    "base_name_index": base_name_index,
     "numbered_lines": numbered_lines,
 }
 

@@ -306,3 +306,14 @@ def test_signatures_leave_few_candidates(spark, sf_small):
         if line.lstrip(" :+-").startswith(("Join", "Aggregate")):
             assert "tokens" not in line
     assert similarity.array_table_bytes(10, 100, 0) == 48 * 10 + 8 * 100
+
+
+def test_prefix_index_blocks_hold_the_prefix_index(spark):
+    sets = _near_copies(5, 80, 12, 6)
+    for docs in (_docs(spark, sets), _ranked(spark, sets)):
+        want = {r.word: list(r.docs) for r in similarity.prefix_index(docs, Threshold.of("1/2")).collect()}
+        got = {}
+        for r in sorted(similarity.prefix_index_blocks(docs, Threshold.of("1/2"), width=7).collect(), key=lambda r: r.block):
+            assert r.n_docs == len(r.docs) <= 7 and {d // 7 for d in r.docs} == {r.block}
+            got.setdefault(r.word, []).extend(r.docs)
+        assert got == want
