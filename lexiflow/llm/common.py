@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,5 +94,18 @@ def hot_limit(total: int, most_keys: int = HOT_KEYS, least: int = HOT_ROWS) -> i
     return max(least, -(-total // most_keys))
 
 
+def give_back_memory() -> None:
+    """Hand what a finished step has freed in this process back to the system.
+
+    Arrow and the C library keep freed memory for later use; a driver that fits a model once would hold it for the rest
+    of the job. Where the C library has no such call, nothing happens.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiflow.llm.common import text_or_empty
+from lexiflow.llm.common import give_back_memory, text_or_empty
 from lexiflow.session import materialize
 
 LABELLED = 12_000
@@ -305,7 +305,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     meta = list(zip(*(got[c].to_pylist() for c in ("lang", "source", "n_chars")), strict=True))
     meta_rows = [np.array(meta_features(*meta[i]), np.int32) for i in order]
     label = got["label"].to_numpy().astype(np.float64)
-    return co_train(text_rows, meta_rows, label[order], got["held"].to_numpy()[order], rounds)
+    model = co_train(text_rows, meta_rows, label[order], got["held"].to_numpy()[order], rounds)
+    del got, features, flat, ends, text_rows, meta, meta_rows
+    give_back_memory()
+    return model
 
 
 def telling_features(train: DataFrame) -> np.ndarray:
