@@ -17,7 +17,7 @@ from lexiflow.operators.counts import (count_words, explode_tokens, first_letter
                                        frequent_words, job_counters, stop_words, top_words, word_count)
 from lexiflow.operators.index import (inverted_index, inverted_index_tf, posting_blocks,
                                       remove_stop_words, render_postings, single_document_words,
-                                      vocabulary_stats, word_spread)
+                                      vocabulary_stats)
 from lexiflow.operators.preprocess import (document_count, preprocess, preprocess_ranked,
                                             rank_dictionary, word_frequency)
 from lexiflow.operators.ranks import dense_ranks, prefix_sums
@@ -35,7 +35,7 @@ __all__ = [
     "JACCARD", "OVERLAP_RATIO", "Threshold", "first_letter", "tokenize", "count_words",
     "explode_tokens", "first_letter_count", "frequent_words", "job_counters", "stop_words", "top_words",
     "word_count", "inverted_index", "inverted_index_tf", "posting_blocks", "remove_stop_words", "render_postings",
-    "single_document_words", "vocabulary_stats", "word_spread", "document_count", "preprocess", "preprocess_ranked", "rank_dictionary",
+    "single_document_words", "vocabulary_stats", "document_count", "preprocess", "preprocess_ranked", "rank_dictionary",
     "dense_ranks", "prefix_sums",
     "word_frequency", "all_pairs", "all_pairs_stats", "candidate_pairs", "comparison_stats",
     "prefix_index", "similar_sets", "similarity_join", "write_delimited", "write_scalar", "lines_from_documents",

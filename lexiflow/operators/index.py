@@ -164,36 +164,53 @@ def posting_blocks(tagged: DataFrame, stop: DataFrame | None = None,
                        F.array_sort(F.collect_list("doc")).alias("docs"))
 
 
-def word_spread(tagged: DataFrame, stop: DataFrame | None = None, max_count: int | None = None) -> DataFrame:
-    """(word, n, doc, alone): per non-stop word its occurrences, a document, and whether it is in that one only.
+def document_keys(tagged: DataFrame) -> tuple[DataFrame, Column, dict]:
+    """(documents, key, measures): the distinct documents (``_key``, ``_doc``), written once, and an expression for
+    the 64-bit key of column ``doc``. The hash is seeded anew until no two of the documents share a key."""
+    names, m = materialize_measured(tagged.select(F.col("doc").alias("_doc")).distinct(), "documents", {
+        "rows": F.count(F.lit(1)), "chars": F.sum(F.octet_length(F.col("_doc").cast("string")).cast("bigint"))})
+    for seed in range(64):
+        keys = names.select(F.xxhash64(F.lit(seed), "_doc").alias("_key"), "_doc")
+        if keys.select("_key").distinct().count() == m["rows"]:
+            return keys, F.xxhash64(F.lit(seed), "doc"), m
+    raise RuntimeError("no hash seed tells all documents apart")
+
+
+def word_spread(tagged: DataFrame, stop: DataFrame | None = None, max_count: int | None = None
+                ) -> tuple[DataFrame, DataFrame, dict]:
+    """(words, documents, measures): per non-stop word ``n``, its occurrences, and ``_key``, the key of its document if
+    it is in one only (else null); documents as of :func:`document_keys`.
 
     One aggregate with one shuffle of one row per task and word: a word is in one document if the smallest and the
-    largest document are the same, so pairs of word and document need no shuffle of their own, and the
-    count that decides on stop words comes from the same group. A null document counts as one.
+    largest document key are the same, so pairs of word and document need no shuffle of their own, and the
+    count that decides on stop words comes from the same group. Keys are numbers, so that the aggregate hashes its words
+    and never sorts the occurrences. A null document counts as one.
     """
+    documents, key, measures = document_keys(tagged)
     if stop is not None:
         tagged = remove_stop_words(tagged, stop, case_insensitive=True)
-    per_word = tagged.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n"), F.count("doc").alias("_known"), F.min("doc").alias("doc"),
-        F.max("doc").alias("_last"))
+    per_word = tagged.select("word", key.alias("_of")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_of").alias("_low"), F.max("_of").alias("_high"))
     if max_count is not None:
         per_word = per_word.where(F.col("n") <= max_count)
-    alone = (F.col("_known") == 0) | ((F.col("_known") == F.col("n")) & (F.col("doc") == F.col("_last")))
-    return per_word.select("word", "n", "doc", F.coalesce(alone, F.lit(False)).alias("alone"))
+    return (per_word.select("word", "n", F.when(F.col("_low") == F.col("_high"), F.col("_low")).alias("_key")),
+            documents, measures)
 
 
 def single_document_words(tagged: DataFrame, stop: DataFrame | None = None,
                           max_count: int | None = None) -> DataFrame:
     """(word, doc) for words found in exactly one document."""
-    return word_spread(tagged, stop, max_count).where("alone").select("word", "doc")
+    words, documents, m = word_spread(tagged, stop, max_count)
+    documents = broadcast_if_small(documents, known_rows=m["rows"],
+                                   known_bytes=key_table_bytes(m["rows"], 1, m["chars"]))
+    return words.join(documents, "_key").select("word", F.col("_doc").alias("doc"))
 
 
 def vocabulary_stats(tagged: DataFrame, stop: DataFrame | None = None,
                      max_count: int | None = None) -> DataFrame:
     """One row: unique (non-stop) words and words in a single document."""
-    return word_spread(tagged, stop, max_count).agg(
-        F.count(F.lit(1)).alias("unique_words"),
-        F.count(F.when(F.col("alone"), 1)).alias("single_document_words"))
+    words, _, _ = word_spread(tagged, stop, max_count)
+    return words.agg(F.count(F.lit(1)).alias("unique_words"), F.count("_key").alias("single_document_words"))
 
 
 def render_postings(idx: DataFrame) -> DataFrame:
