@@ -35,9 +35,9 @@ def test_processed_and_scalar(spark):
     _write_lines(path, "p.txt", ["1,EBook;Complete;Works", "2,Shakespeare;William", "bad", "7"])
     got = {r.doc_id: (list(r.tokens), r.size) for r in read_processed(spark, path).collect()}
     assert got == {1: (["EBook", "Complete", "Works"], 3), 2: (["Shakespeare", "William"], 2)}
-    spath = scratch_path(spark, "nb")
-    _write_lines(spath, "nb_lines.txt", ["115105"])
-    assert read_scalar(spark, spath, "n").first().n == 115105
+    spath = scratch_path(spark, "scalar")
+    _write_lines(spath, "count.txt", ["40321"])
+    assert read_scalar(spark, spath, "n").first().n == 40321
 
 
 def test_delimited_sink_layouts_and_modes(spark):
