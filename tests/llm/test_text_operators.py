@@ -74,6 +74,33 @@ def test_ledger_scans_only_unseen_blobs(spark, monkeypatch):
     assert secret_scan.scan(docs(spark, []), ledger).count() == 0
 
 
+@pytest.mark.parametrize("bits", [None, 32768])
+def test_ledger_holds_each_unseen_blob_once(spark, monkeypatch, bits):
+    if bits:
+        # so small a bitmap leaves contents in doubt
+        monkeypatch.setattr(secret_scan, "bitmap_bits", lambda n: bits)
+    ledger = scratch_path(spark, "test-ledger")
+    texts = [f"row {i} token=abcd{i:08d}" for i in range(9_000)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(10_000 + i, texts[i % 50]) for i in range(3_000)]
+    rows += [(None, texts[0]), (20_000, None), (20_001, "")]
+    # nine thousand unseen blobs, 50 of them with many copies, over several partitions
+    got = secret_scan.scan(docs(spark, rows[:6_000] + rows[9_000:]).repartition(5), ledger)
+    assert got.count() == len(rows) - 3_000
+    filed = spark.read.parquet(ledger)
+    assert filed.count() == filed.select("blob").distinct().count() == 6_001
+    # the second scan takes the 3,000 blobs that the first has not met, and returns all findings
+    got = secret_scan.finding_digest(secret_scan.scan(docs(spark, rows).repartition(5), ledger)).collect()
+    assert spark.read.parquet(ledger).count() == 9_001
+    want = sorted(((d, len(secret_scan.find_secrets(t or ""))) for d, t in rows), key=repr)
+    assert sorted(((r.doc_id, r.n_assign) for r in got), key=repr) == want
+
+
+def test_bitmaps_of_addresses_are_bounded():
+    assert secret_scan.bitmap_bits(0) == secret_scan.LEAST_BITS
+    assert secret_scan.bitmap_bits(10**6) >= 16 * 10**6
+    assert secret_scan.bitmap_bits(10**12) == secret_scan.MOST_BITS
+
+
 # ---- licence scan
 
 def test_licences_match_brute_force(spark):
