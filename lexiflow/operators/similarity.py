@@ -434,15 +434,20 @@ def prefix_index(docs: DataFrame, threshold, measure: str = JACCARD,
 
 
 def prefix_index_blocks(docs: DataFrame, threshold, measure: str = JACCARD, id_col: str = "doc_id",
-                        width: int = 4096) -> DataFrame:
+                        width: int = 4096, dictionary: DataFrame | None = None) -> DataFrame:
     """(word, block, n_docs, docs): :func:`prefix_index` in rows of at most ``width`` documents.
 
     For documents of any preprocessing: nothing needs to bound a posting list. Block b holds the ids
-    ``b * width`` to ``b * width + width - 1``.
+    ``b * width`` to ``b * width + width - 1``. Tokens that are ranks are turned into words by ``dictionary``
+    (word, rank) at the end, so that only integers are dealt out on the way and a word meets its blocks, not its documents.
     """
     th = as_threshold(threshold, measure)
     posted = prefix_postings(docs.withColumnRenamed(id_col, "_pid"), th, id_col="_pid")
-    return posting_blocks(posted.select(F.col("token").alias("word"), F.col("_pid").alias("doc")), width=width)
+    blocks = posting_blocks(posted.select(F.col("token").alias("word"), F.col("_pid").alias("doc")), width=width)
+    if dictionary is None:
+        return blocks
+    return (blocks.withColumnRenamed("word", "rank").join(dictionary.select("rank", "word"), "rank")
+            .select("word", "block", "n_docs", "docs"))
 
 
 def comparison_stats(docs: DataFrame, threshold, measure: str = JACCARD, *,

@@ -147,11 +147,16 @@ def processed_lines(spark: SparkSession, sf_dir: str, collapse_ties: bool = Fals
     return out.withColumnRenamed("line_id", "doc_id")
 
 
+def ranked_lines_and_words(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, tokens, size) as :func:`processed_lines`, with ranks for tokens, and (word, n, rank) of all ranks."""
+    lines = document_lines(spark, sf_dir).select("line_id", "value")
+    docs, words = preprocess.preprocess_ranked(lines, "line_id", "value", stop_threshold=QUERY_STOP_THRESHOLD)
+    return docs.withColumnRenamed("line_id", "doc_id"), words
+
+
 def ranked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, tokens, size) as :func:`processed_lines`, with ranks in the global order for tokens."""
-    lines = document_lines(spark, sf_dir).select("line_id", "value")
-    docs, _ = preprocess.preprocess_ranked(lines, "line_id", "value", stop_threshold=QUERY_STOP_THRESHOLD)
-    return docs.withColumnRenamed("line_id", "doc_id")
+    return ranked_lines_and_words(spark, sf_dir)[0]
 
 
 def preprocess_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +182,8 @@ def prefix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prefix_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix index in rows that span PREFIX_BLOCK_IDS line ids each."""
-    idx = similarity.prefix_index_blocks(processed_lines(spark, sf_dir), PREFIX_THRESHOLD, width=PREFIX_BLOCK_IDS)
+    docs, dictionary = ranked_lines_and_words(spark, sf_dir)
+    idx = similarity.prefix_index_blocks(docs, PREFIX_THRESHOLD, width=PREFIX_BLOCK_IDS, dictionary=dictionary)
     return idx.select("word", "block", "n_docs", F.array_join("docs", ", ").alias("docs"))
 
 

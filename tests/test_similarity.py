@@ -317,3 +317,17 @@ def test_prefix_index_blocks_hold_the_prefix_index(spark):
             assert r.n_docs == len(r.docs) <= 7 and {d // 7 for d in r.docs} == {r.block}
             got.setdefault(r.word, []).extend(r.docs)
         assert got == want
+
+
+def test_prefix_index_blocks_of_ranks_name_the_words(spark):
+    from lexiflow.operators import preprocess
+    words = [f"w{i}" for i in range(30)]
+    rng = random.Random(3)
+    lines = spark.createDataFrame([(i, " ".join(rng.choices(words, k=9))) for i in range(60)], "line_id long, value string")
+    th = Threshold.of("4/5")
+    plain = preprocess.preprocess(lines, "line_id", "value").withColumnRenamed("line_id", "doc_id")
+    ranked, dictionary = preprocess.preprocess_ranked(lines, "line_id", "value")
+    ranked = ranked.withColumnRenamed("line_id", "doc_id")
+    want = sorted(map(tuple, similarity.prefix_index_blocks(plain, th, width=8).collect()))
+    got = similarity.prefix_index_blocks(ranked, th, width=8, dictionary=dictionary)
+    assert got.columns == ["word", "block", "n_docs", "docs"] and sorted(map(tuple, got.collect())) == want
