@@ -13,14 +13,16 @@ A page is read into blocks in page order, each in one of three zones:
   dropped; on a page without one it is the only text there is, and the suffix array
   decides.
 
-The suffix array takes the token streams of all blocks outside main regions, host by host, for hosts with a page that
-has no main region. Pages of a host with the same blocks count as one. They are dealt to shards of bounded size, and each shard
+The suffix array takes the token streams of all blocks, main text too, of all pages of every host. Pages of a host with
+the same blocks count as one, for main text also those with the same main text. They are dealt to shards of bounded size, and each shard
 sorts the suffixes of its streams: suffixes with ``RUN`` tokens of one block in common are one substring, those with a whole block
 and its end mark in common one block. What stands on at least ``MIN_SHARE`` of a shard's pages is a candidate (what
 stands on that share of a host's pages does so in one of its shards at least), and all shards of the host count the candidates'
 pages. Repeated substrings, and blocks shorter than a run, are boilerplate from ``MIN_PAGES`` distinct pages and ``MIN_SHARE`` of the
 host's pages on. Covered stretches of plain blocks are cut out and the unique runs stay; a covered stretch of
-``LONG_BLOCK`` tokens or more is text that several pages carry, and stays as well.
+``LONG_BLOCK`` tokens or more is text that several pages carry, and stays as well. Main text asks for more: only a whole block goes
+(a notice or advert without any mark inside the article), if runs on ``MAIN_PAGES`` distinct main texts, and ``MIN_SHARE`` of them, cover all of it, it is
+shorter than ``LONG_BLOCK``, and what goes is less than half of the page's main text, so no copy of an article is cut down.
 """
 
 from __future__ import annotations
@@ -36,17 +38,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.operators.joins import broadcast_if_small
-from lexiflow.session import materialize
+from lexiflow.operators.joins import broadcast_if_small, key_table_bytes
+from lexiflow.session import materialize, materialize_measured
 
 #: a plain block is boilerplate from so many distinct pages of its host on, if they are also this share of them
 MIN_PAGES = 3
 MIN_SHARE = 0.5
+#: a whole block of main text is boilerplate from so many distinct main texts of its host on, if they are also that share
+MAIN_PAGES = 6
 #: a stretch of so many tokens is text, however often it occurs
 LONG_BLOCK = 50
+#: most tasks that the shards are dealt to
+MAX_TASKS = 10_000
 #: tokens of the shortest repeated substring that is cut out of a longer block
 RUN = 8
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 250_000
 
 # Element and class names.
 # elements whose content is no markup: only their own end tag ends them
@@ -97,7 +103,7 @@ _END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in SKIPPED
 _TITLE = re.compile(r"<title[^>]*>([^<]*)", re.IGNORECASE)
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE)
 
-BLOCK = "array<struct<zone:string,text:string>>"
+JOIN = "\n\n"
 
 
 def _zone_of(tag: str, attrs: str, inside: str) -> str:
@@ -276,40 +282,77 @@ def _raw_blocks(page: str) -> list[tuple[str, str, str]]:
     return blocks
 
 
+def _digest(blocks: list[tuple[str, str]]) -> str:
+    return hashlib.blake2b("\x00".join(z + t for z, t in blocks).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _parse(batches):
-    kind = pa.list_(pa.struct([("zone", pa.string()), ("text", pa.string())]))
+    """Per page the kept blocks (``text``) and the others (``side``), joined by two line ends, which no block holds.
+
+    ``content`` names all blocks, ``article`` the main ones (or all), ``fresh`` is the first row of a content in this task.
+    """
+    seen: set[tuple[str | None, str]] = set()
+    kinds = (pa.string(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.bool_())
     for batch in batches:
-        blocks, has_main, content = [], [], []
-        for page in batch.column(2).to_pylist():
+        columns = [[] for _ in kinds]
+        for page, host in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             got = page_blocks(page or "")
-            blocks.append([{"zone": z, "text": t} for z, t in got])
-            has_main.append(any(z == "main" for z, _ in got))
-            content.append(hashlib.blake2b("\x00".join(z + t for z, t in got).encode("utf-8", "surrogatepass"),
-                                           digest_size=16).hexdigest())
+            main = [b for b in got if b[0] == "main"]
+            content = _digest(got)
+            for column, value in zip(columns, (
+                    JOIN.join(t for z, t in got if z != "chrome"), JOIN.join(t for z, t in got if z == "chrome"),
+                    bool(main), content, _digest(main) if main else content,
+                    sum(t.count(" ") + 2 for _, t in got), (host, content) not in seen), strict=True):
+                column.append(value)
+            seen.add((host, content))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1),
-             pa.array(blocks, kind), pa.array(has_main), pa.array(content, pa.string())],
-            names=["page_id", "url", "blocks", "has_main", "content"])
+            [batch.column(0), batch.column(1), batch.column(3),
+             *[pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]],
+            names=["page_id", "url", "host", "text", "side", "has_main", "content", "article", "n", "fresh"])
+
+
+def _blocks_of(packed: bytes) -> list[str]:
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True).decode()
+    return [t for t in raw.split(JOIN) if t]
+
+
+def _packed(batches):
+    """Text and side of every page as compressed bytes, for the shuffle."""
+    for batch in batches:
+        raw = [f"{text}{JOIN}{side}".encode() for text, side in zip(
+            batch.column("text").to_pylist(), batch.column("side").to_pylist(), strict=True)]
+        # the length comes first, as unpacking has to know it
+        packed = [len(r).to_bytes(8, "little") + pa.compress(r, codec="zstd", asbytes=True) for r in raw]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("host", "shard", "content", "article")],
+                                          pa.array(packed, pa.binary())],
+                                         names=["host", "shard", "content", "article", "packed"])
 
 
 def suffix_array(tokens: np.ndarray) -> np.ndarray:
-    """Suffix array of an integer sequence by prefix doubling."""
+    """Suffix array of an integer sequence by prefix doubling; a round sorts only what is not yet in its place."""
     n = len(tokens)
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
-    k = 1
-    order = np.argsort(rank, kind="stable")
-    while n > 1:
-        second = np.full(n, -1, np.int64)
-        if k < n:
-            second[:n - k] = rank[k:]
-        key = rank * (n + 1) + second + 1
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], (sorted_key[1:] != sorted_key[:-1]).astype(np.int64)]))
-        rank = new
-        if rank[order[-1]] == n - 1 or k >= n:
-            break
+    token = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
+    bits = int(token.max(initial=1)).bit_length()
+    k = 62 // bits
+    key = np.zeros(n, np.int64)
+    for i in range(k):  # as many tokens as one number holds
+        key <<= bits
+        key[:max(n - i, 0)] |= token[i:]
+    order = np.argsort(key)
+    slots = np.arange(n)
+    rank = np.empty(n, np.int64)
+    members, key = order, key[order]
+    while len(slots):
+        # a suffix ranks by the first place of those that are equal so far
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[members] = slots[np.maximum.accumulate(np.where(first, np.arange(len(slots)), 0))]
+        tied = ~first | ~np.concatenate([first[1:], [True]])
+        slots, members = slots[tied], members[tied]
+        after = members + k
+        key = rank[members] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by_key = np.argsort(key)
+        members, key = members[by_key], key[by_key]
+        order[slots] = members
         k *= 2
     return order
 
@@ -333,18 +376,21 @@ def common_prefixes(tokens: np.ndarray, order: np.ndarray, most: int) -> np.ndar
 class Shard:
     """Token streams of one shard of a host; every block ends with its own end mark."""
 
-    def __init__(self, rows: list[str], blocks: list[list[tuple[str, str]]]):
+    def __init__(self, rows: list[str], blocks: list[list[tuple[str, str]]], articles: list[str] | None = None):
         words: dict[str, int] = {}
         stream: list[int] = []
         self.spans: list[tuple[str, int, int, int]] = []  # (page content, block number, first, last + 1)
         mark = 0
         for row, page in zip(rows, blocks, strict=True):
             for i, (_, text) in enumerate(page):
-                ids = [words.setdefault(w, len(words) + 1) for w in text.split(" ")]
-                self.spans.append((row, i, len(stream), len(stream) + len(ids)))
-                stream += [*ids, mark]
+                at = len(stream)
+                stream += [words.setdefault(w, len(words) + 1) for w in text.split(" ")]
+                self.spans.append((row, i, at, len(stream)))
+                stream.append(mark)
         self.tokens = np.array(stream, np.int64)
         self.names = [""] + list(words)
+        #: the main text (or page) that a row counts as for main text
+        self.articles = dict(zip(rows, articles or rows, strict=True))
 
 
 def _word_hashes(shard: Shard) -> np.ndarray:
@@ -384,8 +430,9 @@ def _run_starts(shard: Shard) -> np.ndarray:
     return ok
 
 
-def _page_of_position(shard: Shard) -> np.ndarray:
-    page = np.unique(np.array([row for row, _, _, _ in shard.spans]), return_inverse=True)[1]
+def _page_of_position(shard: Shard, articles: bool = False) -> np.ndarray:
+    """Number of the page, or of its article, that every position belongs to."""
+    page = pd.factorize(np.array([shard.articles[row] if articles else row for row, _, _, _ in shard.spans], object))[0]
     return np.repeat(page, [b - a + 1 for _, _, a, b in shard.spans])
 
 
@@ -393,16 +440,16 @@ def _distinct_pages(group: np.ndarray, page: np.ndarray) -> np.ndarray:
     """Per row the number of different pages of its group."""
     if not len(group):
         return np.empty(0, np.int64)
-    pairs = np.unique(np.stack([group, page]), axis=1)
-    classes, pages = np.unique(pairs[0], return_counts=True)
+    width = int(page.max()) + 1
+    classes, pages = np.unique(np.unique(group * width + page) // width, return_counts=True)
     return pages[np.searchsorted(classes, group)]
 
 
-def repeated_substrings(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
+def repeated_substrings(shard: Shard, article_runs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """By the suffix array of the shard: (pages of the run from every position on, pages of every block).
 
     A run is the next ``RUN`` tokens, if they belong to one block (else 0 pages). Only blocks shorter than a
-    run are counted as blocks (else 0).
+    run are counted as blocks (else 0). ``article_runs`` is filled with the different articles of every run.
     """
     n = len(shard.tokens)
     runs, blocks = np.zeros(n, np.int64), np.zeros(len(shard.spans), np.int64)
@@ -415,7 +462,10 @@ def repeated_substrings(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
     rank[order] = np.arange(n)
     at = np.flatnonzero(_run_starts(shard))
     # suffixes between two drops of the common prefix below the length are one class
-    runs[at] = _distinct_pages(np.cumsum(lcp < RUN)[rank[at]], page[at])
+    classes = np.cumsum(lcp < RUN)[rank[at]]
+    runs[at] = _distinct_pages(classes, page[at])
+    if article_runs is not None:
+        article_runs[at] = _distinct_pages(classes, _page_of_position(shard, articles=True)[at])
     first = np.array([a for _, _, a, _ in shard.spans])
     # a block must be followed by its end mark in the other place as well
     need = np.array([b - a + 1 for _, _, a, b in shard.spans])
@@ -426,39 +476,49 @@ def repeated_substrings(shard: Shard) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _candidates(min_share: float):
-    """Hashes of the substrings and blocks on at least ``min_share`` of a shard's pages."""
+    """Hashes of the substrings and blocks on at least ``min_share`` of a shard's pages or articles, and on how many."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         shard = _shard_of(pdf)
-        least = min_share * pdf["content"].nunique()
-        runs, blocks = repeated_substrings(shard)
-        hashes = np.unique(np.concatenate([
-            _run_hashes(shard)[(runs > 0) & (runs >= least)],
-            _block_hashes(shard)[(blocks > 0) & (blocks >= least)]]))
+        articles = np.zeros(len(shard.tokens), np.int64)
+        runs, blocks = repeated_substrings(shard, articles)
+        pages = np.concatenate([runs, blocks])
+        articles = np.concatenate([articles, np.zeros_like(blocks)])
+        often = (pages > 0) & ((pages >= min_share * pdf["content"].nunique())
+                               | (articles >= min_share * pdf["article"].nunique()))
+        hashes = np.concatenate([_run_hashes(shard), _block_hashes(shard)]) if often.any() else np.zeros(len(often), np.int64)
+        hashes, first = np.unique(hashes[often], return_index=True)
         return pd.DataFrame({"host": pd.Series([key[0]] * len(hashes), dtype=object),
-                             "shard": np.full(len(hashes), key[1], np.int32), "hash": hashes})
+                             "shard": np.full(len(hashes), key[1], np.int32), "hash": hashes,
+                             "pages": pages[often][first], "articles": articles[often][first]})
 
     return run
 
 
 def _count_candidates(key: tuple, pages: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-    """On how many pages of this shard every wanted hash stands."""
-    found = pd.DataFrame({"hash": np.empty(0, np.int64), "pages": np.empty(0, np.int64)})
+    """On how many pages and articles of this shard every wanted hash stands."""
+    found = pd.DataFrame({c: np.empty(0, np.int64) for c in ("hash", "pages", "articles")})
     if len(pages) and len(wanted):
         shard = _shard_of(pages)
-        page = _page_of_position(shard)
+        runs, blocks = _run_hashes(shard), _block_hashes(shard)
         first = np.array([a for _, _, a, _ in shard.spans], np.int64)
-        h = np.concatenate([_run_hashes(shard), _block_hashes(shard)])
-        of = np.concatenate([page, page[first]])
+        h = np.concatenate([runs, blocks])
         keep = (h != 0) & np.isin(h, wanted["hash"].to_numpy(np.int64))
-        hashes, n = np.unique(np.unique(np.stack([h[keep], of[keep]]), axis=1)[0], return_counts=True)
-        found = pd.DataFrame({"hash": hashes, "pages": n})
+        hashes, index, of = np.unique(h[keep], return_index=True, return_inverse=True)
+        counts = []
+        for by_article in (False, True):
+            page = _page_of_position(shard, by_article)
+            counts.append(_distinct_pages(of, np.concatenate([page, page[first]])[keep])[index])
+        # short blocks are never cut out of main text
+        is_run = np.concatenate([np.ones(len(runs), bool), np.zeros(len(blocks), bool)])[keep][index]
+        found = pd.DataFrame({"hash": hashes, "pages": counts[0], "articles": np.where(is_run, counts[1], 0)})
     found.insert(0, "host", pd.Series([key[0]] * len(found), dtype=object))
     return found
 
 
 def _shard_of(pdf: pd.DataFrame) -> Shard:
-    pdf = pdf.sort_values("content")
-    return Shard(pdf["content"].tolist(), [[(b["zone"], b["text"]) for b in page] for page in pdf["blocks"]])
+    pdf = pdf.drop_duplicates("content").sort_values("content")
+    return Shard(pdf["content"].tolist(), [[("", t) for t in _blocks_of(p)] for p in pdf["packed"]],
+                 pdf["article"].tolist())
 
 
 def unique_runs(text_tokens: list[str], starts: np.ndarray) -> list[str]:
@@ -475,27 +535,27 @@ def unique_runs(text_tokens: list[str], starts: np.ndarray) -> list[str]:
     return [w for w, g in zip(text_tokens, gone.tolist(), strict=True) if not g]
 
 
-def _kept_text(key: tuple, pages: pd.DataFrame, boilerplate: pd.DataFrame) -> pd.DataFrame:
-    if not len(pages):
-        return pd.DataFrame({c: pd.Series(dtype=object) for c in ("host", "content", "text")})
-    shard = _shard_of(pages)
-    known = boilerplate["hash"].to_numpy(np.int64)
-    runs = np.isin(_run_hashes(shard), known)
-    short = np.isin(_block_hashes(shard), known)
-    blocks = dict(zip(pages["content"], pages["blocks"], strict=True))
-    texts: dict[str, list[str]] = {}
-    for (content, i, a, b), drop in zip(shard.spans, short.tolist(), strict=True):
-        block = blocks[content][i]
-        if block["zone"] != "plain" or drop:
-            continue
-        text = block["text"]
-        starts = np.flatnonzero(runs[a:b])
-        if len(starts):
-            text = " ".join(unique_runs(text.split(" "), starts))
-        if text:
-            texts.setdefault(content, []).append(text)
-    return pd.DataFrame({"host": [key[0]] * len(texts), "content": list(texts),
-                         "text": ["\n\n".join(t) for t in texts.values()]}, dtype=object)
+def page_text(blocks: list[str], main: bool, cut: np.ndarray) -> list[str]:
+    """The kept blocks of a page without boilerplate, given its hashes; ``main``: they are main text."""
+    shard = Shard([""], [[("", text) for text in blocks]])
+    known, short = np.isin(_run_hashes(shard), cut), np.isin(_block_hashes(shard), cut)
+    left = [" ".join(unique_runs(text.split(" "), np.flatnonzero(known[a:b])))
+            for text, (_, _, a, b) in zip(blocks, shard.spans, strict=True)]
+    if not main:
+        return [text for text, drop in zip(left, short.tolist(), strict=True) if text and not drop]
+    lost = sum(b - a for text, (_, _, a, b) in zip(left, shard.spans, strict=True) if not text)
+    if 2 * lost >= sum(b - a for _, _, a, b in shard.spans):
+        return blocks
+    return [whole for whole, text in zip(blocks, left, strict=True) if text]
+
+
+def _kept_text(batches):
+    for batch in batches:
+        texts = []
+        for text, main, cut in zip(*[batch.column(k).to_pylist() for k in ("text", "has_main", "cut")], strict=True):
+            texts.append(JOIN.join(page_text(text.split(JOIN), main, np.array(cut, np.int64))) if text else "")
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+                                         names=["page_id", "url", "text"])
 
 
 def _host(url: str):
@@ -506,8 +566,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             shard_tokens: int = SHARD_TOKENS, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """Per page: id, url, ``text`` (blocks joined by two line ends), ``n_chars`` (code points).
 
-    Main text is not shuffled. A host with more than ``shard_tokens`` tokens outside its main
-    regions is cut into shards by page, and only hashes of blocks travel between shards.
+    The blocks of every page go once to the suffix arrays, copies once per task. A host with more than ``shard_tokens``
+    tokens is cut into shards by page; its shards are read again, to be counted, only if one of them has a candidate. The
+    text is put together where the page is; only pages of hosts with boilerplate meet its hashes.
 
     Defined cases: a null or empty page has empty text; a null url is a host of its own (the empty
     one); repeated rows come out as often as they went in, and count as one page; an empty table
@@ -516,45 +577,58 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
     id_type = dict(src.dtypes)["page_id"]
-    parsed = materialize(src.mapInArrow(
-        _parse, f"page_id {id_type}, url string, blocks {BLOCK}, has_main boolean, content string"), "pages")
-    side = parsed.select(
-        "content", _host("url").alias("host"), "has_main",
-        F.filter("blocks", lambda b: b.zone != "main").alias("blocks"))
-    # only hosts with a page that has no main region need an answer
-    open_hosts = side.where(~F.col("has_main")).select("host").distinct()
-    distinct = (side.join(broadcast_if_small(materialize(open_hosts, "hosts")), "host", "left_semi")
-                .groupBy("host", "content").agg(F.first("blocks").alias("blocks"))
-                .withColumn("n", F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.size(
-                    F.split(b.text, " ")) + 1)))
-    distinct = materialize(distinct, "distinct")
-    hosts = materialize(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"), F.greatest(
-        F.lit(1), F.ceil(F.sum("n") / F.lit(shard_tokens))).cast("int").alias("shards")), "host_sizes")
-    hosts = broadcast_if_small(hosts)
-    dealt = (distinct.where(F.col("n") > 0).join(hosts, "host")
-             .withColumn("shard", F.pmod(F.xxhash64("content"), F.col("shards")).cast("int"))
-             .select("host", "shard", "content", "blocks"))
-    found = materialize(dealt.groupBy("host", "shard").applyInPandas(
-        _candidates(min_share), "host string, shard int, hash long"), "candidates")
-
-    def in_all_shards(rows: DataFrame) -> DataFrame:
-        return rows.join(hosts, "host").select(
-            "host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "hash")
-
-    wanted = in_all_shards(found.select("host", "hash").distinct())
-    counted = dealt.groupBy("host", "shard").cogroup(wanted.groupBy("host", "shard")).applyInPandas(
-        _count_candidates, "host string, hash long, pages long")
-    known = (counted.groupBy("host", "hash").agg(F.sum("pages").alias("pages")).join(hosts, "host")
-             .where((F.col("pages") >= min_pages) & (F.col("pages") >= F.col("host_pages") * F.lit(min_share)))
-             .select("host", "hash"))
-    boilerplate = in_all_shards(materialize(known, "boilerplate"))
-    kept = dealt.groupBy("host", "shard").cogroup(boilerplate.groupBy("host", "shard")).applyInPandas(
-        _kept_text, "host string, content string, text string")
-    main_text = F.array_join(F.transform(F.filter("blocks", lambda b: b.zone == "main"), lambda b: b.text), "\n\n")
-    with_main = parsed.where("has_main").select("page_id", "url", main_text.alias("text"))
-    without = (parsed.where(~F.col("has_main")).select("page_id", "url", "content", _host("url").alias("host"))
-               .join(kept, ["host", "content"], "left")
-               .select("page_id", "url", F.coalesce("text", F.lit("")).alias("text")))
-    return (with_main.unionByName(without)
+    parsed = materialize(src.withColumn("host", _host("url")).mapInArrow(
+        _parse, f"page_id {id_type}, url string, host string, text string, side string, has_main boolean, "
+                "content string, article string, n long, fresh boolean"), "pages", compression="zstd")
+    fresh = parsed.where("fresh")
+    hosts, m = materialize_measured(
+        fresh.groupBy("host", "article", "content").agg(F.max("n").alias("n"))
+        .groupBy("host", "article").agg(F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"))
+        .groupBy("host").agg(
+            F.sum("pages").alias("host_pages"), F.count(F.lit(1)).alias("host_articles"),
+            F.greatest(F.lit(1), F.ceil(F.sum("n") / F.lit(shard_tokens))).cast("int").alias("shards")), "host_sizes",
+        {"rows": F.count(F.lit(1)), "shards": F.sum("shards"), "chars": F.sum(F.octet_length("host").cast("long"))})
+    hosts = broadcast_if_small(hosts, known_rows=m["rows"], known_bytes=key_table_bytes(m["rows"], 1, m["chars"]))
+    # a shard is seconds of work, so tasks are dealt by shards and not by bytes
+    tasks = max(1, min(m["shards"], MAX_TASKS))
+
+    def dealt(of: DataFrame) -> DataFrame:
+        return (fresh.where(F.col("n") > 0).join(of, "host")
+                .withColumn("shard", F.pmod(F.xxhash64("article"), F.col("shards")).cast("int"))
+                .select("host", "shard", "content", "article", "text", "side")
+                .mapInArrow(_packed, "host string, shard int, content string, article string, packed binary")
+                .repartition(tasks, "host", "shard").groupBy("host", "shard"))
+
+    # a host of fewer than min_pages different pages has no boilerplate
+    found = materialize(dealt(hosts.where(F.col("host_pages") >= min_pages)).applyInPandas(
+        _candidates(min_share), "host string, shard int, hash long, pages long, articles long"), "candidates")
+    found = found.join(hosts, "host")
+    sharded = found.where(F.col("shards") > 1)
+    many = broadcast_if_small(materialize(sharded.select("host", "shards").distinct(), "sharded_hosts"))
+    wanted = sharded.select(
+        "host", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "hash").distinct()
+    counted = (dealt(many).cogroup(wanted.groupBy("host", "shard"))
+               .applyInPandas(_count_candidates, "host string, hash long, pages long, articles long")
+               .groupBy("host", "hash").agg(F.sum("pages").alias("pages"), F.sum("articles").alias("articles"))
+               .join(hosts, "host"))
+    counts = ["host", "hash", "pages", "host_pages", "articles", "host_articles"]
+    share = F.lit(min_share)
+    known = (counted.select(*counts).unionByName(found.where(F.col("shards") == 1).select(*counts)).select(
+        "host", "hash",
+        ((F.col("pages") >= min_pages) & (F.col("pages") >= F.col("host_pages") * share)).alias("plain"),
+        ((F.col("articles") >= MAIN_PAGES) & (F.col("articles") >= F.col("host_articles") * share)).alias("main"))
+        .where(F.col("plain") | F.col("main")))
+    boilerplate, m = materialize_measured(
+        known.groupBy("host").agg(F.collect_list(F.when(F.col("plain"), F.col("hash"))).alias("cut"),
+                                  F.collect_list(F.when(F.col("main"), F.col("hash"))).alias("cut_main")),
+        "boilerplate", {"rows": F.count(F.lit(1)), "hashes": F.sum((F.size("cut") + F.size("cut_main")).cast("long"))})
+    boilerplate = broadcast_if_small(boilerplate, known_rows=m["rows"],
+                                     known_bytes=key_table_bytes(m["rows"], 3, 8 * m["hashes"]))
+    rows = parsed.join(boilerplate, "host", "left")
+    cut = F.when(F.col("has_main"), F.col("cut_main")).otherwise(F.col("cut"))
+    judged = (rows.where(F.size(cut) > 0).select("page_id", "url", "text", "has_main", cut.alias("cut"))
+              .mapInArrow(_kept_text, f"page_id {id_type}, url string, text string"))
+    untouched = rows.where(F.coalesce(F.size(cut), F.lit(0)) <= 0).select("page_id", "url", "text")
+    return (untouched.unionByName(judged)
             .select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text",
                     F.char_length("text").cast("long").alias("n_chars")))

@@ -93,7 +93,7 @@ def drop_stage_tables(spark: SparkSession) -> int:
     return n
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str | None = None) -> DataFrame:
     """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder.
 
     The table survives executor loss and later stages re-read it instead of
@@ -104,7 +104,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 

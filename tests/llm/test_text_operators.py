@@ -500,6 +500,26 @@ def test_a_form_around_unmarked_text_and_stray_tags():
     assert time.perf_counter() - began < 2
 
 
+@pytest.mark.parametrize("shard_tokens", [1_000_000, 400])
+def test_unmarked_notices_inside_articles_go_by_the_suffix_array(spark, shard_tokens):
+    """Every page has an article: the host's repeated notice inside it goes, copies of an article and headings stay."""
+    notice = "You are reading the free edition of this paper, sign in to read all of it"
+    refrain = "as the minister said in a long interview on Monday evening"
+    story = [f"Story {i} was told on day {i * 7} by {i * 11} people of the town, {refrain}, in {i * 13} words." for i in range(9)]
+    rows = [(i, f"http://n.x/{i}", page(f"<nav>Menu</nav><article><h2>Summary</h2><p>{t}</p><p>{notice}</p></article>"))
+            for i, t in enumerate(story)]
+    whole = "<article><p>" + "</p><p>".join(" ".join(f"p{k}w{j}" for j in range(20)) for k in range(4)) + "</p>{}</article>"
+    rows += [(20 + i, f"http://c.x/{i}", page(f"<div>Ad {i}</div>" + whole.format(""))) for i in range(8)]
+    rows += [(40 + i, f"http://d.x/{i}", page(whole.format(f"<p>Ending {i}</p>"))) for i in range(8)]
+    rows += [(60 + i, f"http://f.x/{i}", page(f"<article><p>{story[i]}</p><p>{notice}</p></article>")) for i in range(3)]
+    src = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(src, shard_tokens=shard_tokens).collect()}
+    for i, t in enumerate(story):
+        assert got[i] == f"Summary\n\n{t}"
+    for i, _, html in rows[len(story):]:
+        assert got[i] == "\n\n".join(t for z, t in html_extract.page_blocks(html) if z == "main") != ""
+
+
 def test_repeated_substrings_equal_brute_force():
     rng = random.Random(17)
     for _ in range(40):
