@@ -1,12 +1,12 @@
 """Column expressions for turning text into tokens.
 
-Every function here returns a ``Column`` built from ``pyspark.sql.functions``
+Everything here (but :func:`tokens`, which explodes them) is a ``Column`` built from ``pyspark.sql.functions``
 only, so tokenization runs JVM-side inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's behaviour.
@@ -72,6 +72,16 @@ def tokenize(text: Column | str, clean: bool = True, lower: bool = False,
     return F.transform(toks, F.lower) if lower else toks
 
 
+def tokens(lines: DataFrame, text_col: Column | str, clean: bool = True, lower: bool = False,
+           keep_empty: bool = False, keep: tuple[str | Column, ...] = ()) -> DataFrame:
+    """One row per token of :func:`tokenize`, column ``word``, beside the columns ``keep``.
+
+    Lower-casing follows the explode, where it is compiled; inside the array it is interpreted token by token.
+    """
+    words = lines.select(*keep, F.explode(tokenize(text_col, clean=clean, keep_empty=keep_empty)).alias("word"))
+    return words.withColumn("word", F.lower("word")) if lower else words
+
+
 def first_letter(token: Column | str) -> Column:
     """Lower-cased first character; an empty token stays empty."""
     return F.lower(F.substring(_col(token), 1, 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiflow.functions.text import first_letter, tokenize
+from lexiflow.functions.text import first_letter, tokenize, tokens
 from lexiflow.session import materialize
 
 # Fixed value of the reference: a word is a stop word when it occurs more
@@ -22,10 +22,10 @@ def explode_tokens(lines: DataFrame, text_col: str = "value", *, clean: bool = T
 
     ``keep`` columns (e.g. a document name or line id) are carried along.
     """
+    if not distinct_per_row:
+        return tokens(lines, text_col, clean=clean, lower=lower, keep_empty=keep_empty, keep=keep)
     toks: Column = tokenize(text_col, clean=clean, lower=lower, keep_empty=keep_empty)
-    if distinct_per_row:
-        toks = F.array_distinct(toks)
-    return lines.select(*keep, F.explode(toks).alias("word"))
+    return lines.select(*keep, F.explode(F.array_distinct(toks)).alias("word"))
 
 
 def word_count(words: DataFrame, word_col: str = "word") -> DataFrame:

@@ -82,10 +82,10 @@ def similar_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similar pairs written as ``a,b, similarity : x`` lines (T14), read back and parsed."""
     path = scratch_path(spark, "similar_pairs")
     pairs = catalog.similar_pairs_prefix(spark, sf_dir)
-    (pairs.select(pair_line(F.col("doc_a"), F.col("doc_b"), F.col("similarity")).alias("value"),
-                  "doc_a", "doc_b")
-     .repartitionByRange("doc_a", "doc_b").sortWithinPartitions("doc_a", "doc_b")
-     .select("value").write.text(path))
+    # lines are made after the shuffle, which carries numbers only, and compressed: pairs grow faster than their documents
+    (pairs.repartitionByRange("doc_a", "doc_b").sortWithinPartitions("doc_a", "doc_b")
+     .select(pair_line(F.col("doc_a"), F.col("doc_b"), F.col("similarity")).alias("value"))
+     .write.text(path, compression="gzip"))
     pattern = r"^(\d+),(\d+), similarity : (.*)$"
     back = spark.read.text(path)
     return back.select(F.regexp_extract("value", pattern, 1).try_cast("bigint").alias("doc_a"),
@@ -236,13 +236,20 @@ ROUND_TRIP_QUERIES = {
 
 STREAM_FILES = 16
 STREAM_FILES_PER_TRIGGER = 4
+# a batch of few files is read by as many tasks as there are row groups in them
+STREAM_ROW_GROUP_BYTES = 4 * 1024 * 1024
+
+
+def _in_stream_files(texts: DataFrame) -> DataFrame:
+    """Rows dealt evenly to STREAM_FILES partitions, by row number: a plain repartition sorts whole texts first."""
+    return (texts.withColumn("_row", F.monotonically_increasing_id())
+            .repartition(STREAM_FILES, "_row").drop("_row"))
 
 
 def _write_stream_input(spark: SparkSession, sf_dir: str) -> str:
     """The documents' text as STREAM_FILES text files, arriving as a file stream."""
     path = scratch_path(spark, "stream-in")
-    (document_texts(spark, sf_dir).select(F.col("text").alias("value"))
-     .repartition(STREAM_FILES).write.text(path))
+    _in_stream_files(document_texts(spark, sf_dir).select(F.col("text").alias("value"))).write.text(path)
     return path
 
 
@@ -266,8 +273,8 @@ def streaming_inverted_index_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexiflow.functions.render import join_tf_postings
     from lexiflow.streaming.incremental import incremental_inverted_index_tf
     path = scratch_path(spark, "stream-docs")
-    (document_texts(spark, sf_dir).select("source", "text")
-     .repartition(STREAM_FILES).write.parquet(path))
+    (_in_stream_files(document_texts(spark, sf_dir).select("source", "text"))
+     .write.option("parquet.block.size", STREAM_ROW_GROUP_BYTES).parquet(path))
     idx = incremental_inverted_index_tf(spark, path, "source string, text string",
                                         max_count=catalog.QUERY_STOP_THRESHOLD,
                                         max_files_per_trigger=STREAM_FILES_PER_TRIGGER)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiflow.functions.text import tokenize
+from lexiflow.functions.text import tokens
 from lexiflow.session import scratch_path
 
 
@@ -29,8 +29,7 @@ def running_word_count(lines: DataFrame, text_col: str = "value", *, clean: bool
                        lower: bool = False, keep_empty: bool = False,
                        min_count: int | None = None) -> DataFrame:
     """Streaming (word, n); with ``min_count`` only words counted more than it (stop words)."""
-    words = lines.select(F.explode(tokenize(text_col, clean=clean, lower=lower,
-                                            keep_empty=keep_empty)).alias("word"))
+    words = tokens(lines, text_col, clean=clean, lower=lower, keep_empty=keep_empty)
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts if min_count is None else counts.where(F.col("n") > min_count)
 
@@ -97,9 +96,7 @@ def running_term_frequencies(tagged_lines: DataFrame, text_col: str = "value",
                              doc_col: str = "doc") -> DataFrame:
     """Streaming (word, doc, tf) of lower-cased alphanumeric tokens: the state
     of an inverted index, one row per (word, document) pair."""
-    words = tagged_lines.select(F.col(doc_col).alias("doc"),
-                                F.explode(tokenize(text_col, clean=True, lower=True))
-                                .alias("word"))
+    words = tokens(tagged_lines, text_col, clean=True, lower=True, keep=(F.col(doc_col).alias("doc"),))
     return words.groupBy("word", "doc").agg(F.count(F.lit(1)).alias("tf"))
 
 
