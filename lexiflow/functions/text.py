@@ -18,6 +18,7 @@ WHITESPACE_RUN = r"\s+"
 NON_SPACE_RUN = r"\S+"
 # A line of a text value ends as a line of a text file does: at \r\n, \n or a lone \r.
 LINE_SEPARATOR = "\r\n|\n|\r"
+SEPARATED_LINE = f"(?:{LINE_SEPARATOR})([^\r\n]*)"
 
 
 def _col(c: Column | str) -> Column:
@@ -88,5 +89,9 @@ def first_letter(token: Column | str) -> Column:
 
 
 def split_lines(text: Column | str) -> Column:
-    """Array of lines of a text value (trailing empty line kept, like a file)."""
-    return F.split(_col(text), LINE_SEPARATOR, -1)
+    """Array of lines of a text value (trailing empty line kept, like a file).
+
+    With a separator before it the first line is found like all others, in one regex pass (``split`` takes
+    several times as long).
+    """
+    return F.regexp_extract_all(F.concat(F.lit("\n"), _col(text)), F.lit(SEPARATED_LINE), 1)

@@ -115,7 +115,8 @@ def preprocess_ranked(lines: DataFrame, id_col: str = "line_id", text_col: str =
     ``docs`` has (``id_col``, tokens, size) with ``tokens`` ascending ranks, the same documents in the same
     order as the words of :func:`preprocess`; ``dictionary`` has (word, n, rank). The dictionary holds the words
     counted at most ``stop_threshold`` times, so its join is also the stop filter; it is
-    broadcast below the checked size, else words and dictionary are shuffled, and no key of that join is hot.
+    broadcast below the checked size, else words and dictionary are shuffled, and no key of that join is hot. A
+    task then looks words up in its part of the dictionary, which has one row per word, and sorts no words.
     """
     kept = lines.where(F.col(text_col) != "")
     words = kept.select(F.col(id_col).alias("_id"),
@@ -132,7 +133,7 @@ def preprocess_ranked(lines: DataFrame, id_col: str = "line_id", text_col: str =
                                   stop_rows=stop_m["rows"],
                                   stop_bytes=key_table_bytes(stop_m["rows"], 1, stop_m["chars"]))
     side = dictionary.select("word", "rank")
-    ranked = words.join(F.broadcast(side) if small else side, "word").select("_id", "rank")
+    ranked = words.join(F.broadcast(side) if small else side.hint("shuffle_hash"), "word").select("_id", "rank")
     docs = ranked.groupBy("_id").agg(F.sort_array(F.collect_list("rank")).alias("tokens"))
     return docs.select(F.col("_id").alias(id_col), "tokens", F.size("tokens").alias("size")), dictionary
 

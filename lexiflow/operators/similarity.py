@@ -69,8 +69,8 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id", checkpoint: boo
     members: <id_col>, set_id, copies, size
     Each document is tagged with its set once: an aggregate on the SHA-256 of the
     token array (each token with its length before it, so no two arrays read alike), partial
-    map-side so a hot copy cluster collapses before the shuffle, joined back on that
-    64-character key; arrays never are a shuffle key and AQE splits a hot one. The tagged table
+    map-side so a hot copy cluster collapses before the shuffle, joined back on those
+    32 bytes; arrays never are a shuffle key and AQE splits a hot one. The tagged table
     is written once (``checkpoint``); ``sets`` is then a narrow filter on it
     (the member whose id is the set id) and ``members`` a projection, so no
     later stage recomputes the preprocessing or the grouping. ``stats`` of the
@@ -78,10 +78,10 @@ def collapse_duplicates(docs: DataFrame, id_col: str = "doc_id", checkpoint: boo
     are observed during that write; None without ``checkpoint``.
     """
     words = _words(docs)
-    spelled = F.transform("tokens", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t)
-                          if words else t.cast("string"))
+    spelled = F.transform("tokens", lambda t: F.concat(F.length(t).cast("string"), F.lit(":"), t)) \
+        if words else F.col("tokens").cast("array<string>")
     docs = docs.select(id_col, "tokens", "size",
-                       F.sha2(F.array_join(spelled, ","), 256).alias("_print"))
+                       F.unhex(F.sha2(F.array_join(spelled, ","), 256)).alias("_print"))
     set_of = (docs.groupBy("_print")
               .agg(F.min(id_col).alias("set_id"), F.count(F.lit(1)).alias("copies")))
     tagged = docs.join(set_of, "_print").drop("_print")

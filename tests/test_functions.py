@@ -77,3 +77,12 @@ def test_pair_count_exact_and_overflow_safe(spark):
     ratio = df.select(pair_ratio(F.lit(7).cast("long"), F.col("n"))).collect()
     assert ratio[0][0] is None and ratio[1][0] is None and ratio[2][0] == 7.0
     assert ratio[-1][0] == pytest.approx(7 / (6e9 * (6e9 - 1) / 2))
+
+
+def test_lines_are_found_in_one_regex_pass(spark):
+    from lexiflow.functions.text import LINE_SEPARATOR, split_lines
+    texts = ["", "a", "\n", "\r", "\r\n", "\n\r", "a\n", "\na", "\r\na\r\n", "a\r\rb\n\nc\r\n\r\n", " x\u0085\u2028y\x0b\x0c\r", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = df.select(split_lines("text").alias("got"), F.split("text", LINE_SEPARATOR, -1).alias("want"))
+    assert all(r.got == r.want for r in got.collect())
+    assert " split(" not in df.select(split_lines("text"))._jdf.queryExecution().analyzed().toString()

@@ -117,3 +117,12 @@ def test_ranked_documents_spell_the_same_words(spark, sf_small):
         assert all(r.size == len(r.tokens) for r in got)
     empty, none = preprocess_ranked(lines.limit(0))
     assert empty.count() == 0 and none.count() == 0
+
+
+def test_shuffled_dictionary_sorts_no_words(spark):
+    from lexiflow.operators.preprocess import preprocess_ranked
+    lines = spark.createDataFrame([(1, "b a a"), (2, "c b"), (None, "b b")], "line_id long, value string")
+    docs, _ = preprocess_ranked(lines, max_broadcast_bytes=0)
+    plan = docs._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {r.line_id: list(r.tokens) for r in docs.collect()} == {1: [1, 2], 2: [0, 2], None: [2]}
